@@ -242,6 +242,279 @@ def _seven_vs_28(w):
     return Q.seven_vs_28(w, ANCHOR)
 
 
+# --- health, quality, catalog, report ------------------------------------------------------
+
+from tidemark.plans import quality as QA  # noqa: E402
+from tidemark.schemas import REGISTRY as DATASETS, TABLE_SOURCE, TABLES  # noqa: E402
+
+_FRESH_TTL = {d.table: d.freshness_ttl_minutes for d in DATASETS}
+
+
+def _health_sql() -> str:
+    rows = []
+    for t in Q.HEALTH_COUNTS:
+        if t == "fact_events":
+            rows.append(f"SELECT 'rows_{t}' AS metric, '0' AS value")
+        else:
+            rows.append(f"SELECT 'rows_{t}' AS metric, CAST(COUNT(*) AS VARCHAR) AS value FROM {t}")
+    uses = ["fact_sessions", "fact_sessions_by_country"]
+    for metric, t in Q.HEALTH_LATEST:
+        if t == "fact_yt_video_daily":
+            rows.append(f"SELECT '{metric}', 'None'")
+        else:
+            uses.append(t)
+            rows.append(f"SELECT '{metric}', COALESCE(CAST(MAX(date) AS VARCHAR), 'None') FROM {t}")
+    return O.with_facts(tuple(uses), "\nUNION ALL\n".join(rows))
+
+
+@register("health", _health_sql())
+def _health(w):
+    return Q.health(w)
+
+
+def _freshness_body(as_of=ANCHOR, end=END) -> tuple[tuple[str, ...], str]:
+    parts, uses = [], []
+    for label, t in QA.FRESHNESS_SIGNALS:
+        uses.append(t)
+        ttl = _FRESH_TTL.get(t, QA.DEFAULT_TTL_MINUTES)
+        parts.append(f"SELECT '{label}' AS name, '{t}' AS table_name, MAX(date) AS latest_date, "
+                     f"CAST({ttl} AS BIGINT) AS ttl_minutes FROM {t}")
+    lag = f"CAST(date_diff('day', latest_date, {O.d(as_of)}) AS BIGINT)"
+    body = (f"SELECT name, table_name, latest_date, {lag} AS lag_days, ttl_minutes, "
+            f"(latest_date IS NULL OR {lag} * 1440 > ttl_minutes) AS stale, "
+            f"{'TRUE' if str(end) == str(as_of) else 'FALSE'} AS partial_day FROM ("
+            + " UNION ALL ".join(parts) + ") f")
+    return tuple(uses), body
+
+
+_VOL_SERIES = """
+    SELECT date, CAST(sessions AS BIGINT) AS sessions, CAST(minutes AS BIGINT) AS minutes,
+           CASE WHEN ses_prev IS NULL OR ses_prev = 0 THEN 0.0
+                ELSE CAST(sessions - ses_prev AS DOUBLE) * 100.0 / CAST(ses_prev AS DOUBLE) END AS ses_dod_pct,
+           CASE WHEN min_prev IS NULL OR min_prev = 0 THEN 0.0
+                ELSE CAST(minutes - min_prev AS DOUBLE) * 100.0 / CAST(min_prev AS DOUBLE) END AS min_dod_pct
+    FROM (SELECT date, sessions, minutes, LAG(sessions) OVER (ORDER BY date) AS ses_prev,
+                 LAG(minutes) OVER (ORDER BY date) AS min_prev
+          FROM (SELECT date, SUM(COALESCE(sessions, 0)) AS sessions,
+                       SUM(COALESCE(estimatedMinutesWatched, 0)) AS minutes
+                FROM fact_engagement_daily GROUP BY date) a) b"""
+_VOL_LATEST = "SELECT date, ses_dod_pct, min_dod_pct FROM vs ORDER BY date DESC NULLS LAST LIMIT 1"
+
+
+@register("freshness", O.with_facts(_freshness_body()[0], _freshness_body()[1]))
+def _freshness(w):
+    return QA.freshness(w, ANCHOR, END)
+
+
+@register("volumetry_series", O.with_facts(("fact_engagement_daily",), _VOL_SERIES))
+def _vol_series(w):
+    return QA.volumetry_series(w)
+
+
+@register("volumetry_dod", O.with_facts(("fact_engagement_daily",), _VOL_LATEST, extra=(("vs", _VOL_SERIES),)))
+def _vol_dod(w):
+    return QA.volumetry_dod(w)
+
+
+@register("volumetry_drops", O.with_facts(("fact_engagement_daily",), f"""
+    SELECT date, ses_dod_pct, min_dod_pct FROM vs
+    WHERE ses_dod_pct < {QA.DROP_ALERT_PCT} OR min_dod_pct < {QA.DROP_ALERT_PCT}""", extra=(("vs", _VOL_SERIES),)))
+def _vol_drops(w):
+    return QA.volumetry_drops(w)
+
+
+@register("quality_signals", O.with_facts(
+    _freshness_body()[0] + ("fact_engagement_daily",), """
+    SELECT 'freshness' AS signal, name, latest_date AS date, CAST(NULL AS DOUBLE) AS value FROM fr
+    UNION ALL SELECT 'volumetry', 'ses_dod_pct', date, ses_dod_pct FROM vl
+    UNION ALL SELECT 'volumetry', 'min_dod_pct', date, min_dod_pct FROM vl""",
+    extra=(("fr", _freshness_body()[1]), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST))))
+def _quality_signals(w):
+    return QA.quality_signals(w, ANCHOR)
+
+
+def _not_null_body() -> tuple[tuple[str, ...], str]:
+    parts, uses = [], []
+    for d in DATASETS:
+        for c in d.not_null:
+            uses.append(d.table)
+            parts.append(f"SELECT '{d.id}' AS dataset, '{c}' AS column_name, "
+                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls, "
+                         f"CAST(COUNT(*) AS BIGINT) AS \"rows\", COUNT(*) FILTER (WHERE {c} IS NULL) > 0 AS violated "
+                         f"FROM {d.table}")
+    return tuple(dict.fromkeys(uses)), "\nUNION ALL\n".join(parts)
+
+
+def _unique_body() -> tuple[tuple[str, ...], str]:
+    parts, uses = [], []
+    for d in DATASETS:
+        if not d.unique:
+            continue
+        uses.append(d.table)
+        keys = ", ".join(d.unique)
+        parts.append(f"SELECT '{d.id}' AS dataset, '{','.join(d.unique)}' AS key_columns, "
+                     f"CAST(COUNT(*) AS BIGINT) AS duplicate_keys, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows, "
+                     f"COUNT(*) > 0 AS violated FROM (SELECT {keys}, COUNT(*) AS n FROM {d.table} "
+                     f"GROUP BY {keys} HAVING COUNT(*) > 1) t")
+    return tuple(uses), "\nUNION ALL\n".join(parts)
+
+
+@register("check_not_null", O.with_facts(*_not_null_body()))
+def _check_not_null(w):
+    return QA.check_not_null(w)
+
+
+@register("check_unique", O.with_facts(*_unique_body()))
+def _check_unique(w):
+    return QA.check_unique(w)
+
+
+_SQL_TYPE = {"LongType()": "BIGINT", "DoubleType()": "DOUBLE", "StringType()": "VARCHAR", "DateType()": "DATE",
+             "IntegerType()": "INTEGER"}
+
+
+def _columns_of(table: str) -> list[tuple[str, str]]:
+    cols = [(f.name, _SQL_TYPE[repr(f.dataType)]) for f in TABLES[table].fields]
+    if table == "fact_sessions":  # the derived table has no CSV-only duration column
+        cols = [c for c in cols if c[0] != "avg_session_duration"]
+    return cols
+
+
+def _catalog_sql(tables=QA.CATALOG_TABLES) -> tuple[tuple[str, ...], str]:
+    parts, uses = [], []
+    for t in tables:
+        if t == "fact_events":  # not derived from the driver tables: skipped as missing
+            continue
+        uses.append(t)
+        for c, ty in _columns_of(t):
+            parts.append(f"SELECT '{TABLE_SOURCE.get(t, '')}' AS source, '{t}' AS dataset, 'column' AS type, "
+                         f"'{c}:{ty}' AS name, '' AS description, CAST(COUNT(*) AS BIGINT) AS \"rows\", "
+                         f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls FROM {t}")
+    for ds, fields in QA.PLANNED_FIELDS:
+        for f in fields:
+            parts.append(f"SELECT 'RD', '{ds}', 'planned_field', '{f}', 'planned', "
+                         f"CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
+    return tuple(uses), "\nUNION ALL\n".join(parts)
+
+
+@register("datasets_catalog", O.with_facts(*_catalog_sql()))
+def _datasets_catalog(w):
+    return QA.datasets_catalog(w)
+
+
+def _invalid_fields_sql() -> str:
+    reqs = QA.registry_requests()
+    tables = sorted({r[0] for r in reqs})
+    prof = []
+    for t in tables:
+        for c, _ in _columns_of(t):
+            prof.append(f"SELECT '{t}' AS dataset, '{c}' AS field FROM {t} HAVING COUNT({c}) > 0")
+    values = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in reqs)
+    body = (f"SELECT r.dataset, r.kind, r.field FROM (VALUES {values}) r(dataset, kind, field) "
+            f"WHERE NOT EXISTS (SELECT 1 FROM prof p WHERE p.dataset = r.dataset AND p.field = r.field)")
+    return O.with_facts(tuple(tables), body, extra=(("prof", " UNION ALL ".join(prof)),))
+
+
+@register("invalid_fields", _invalid_fields_sql())
+def _invalid_fields(w):
+    return QA.invalid_fields(w, QA.registry_requests())
+
+
+def _field_matrix_sql(end=ANCHOR, days=7) -> str:
+    import datetime as _dt
+    from tidemark.functions.columns import as_date
+    e = as_date(end)
+    s = e - _dt.timedelta(days=days)
+    parts = []
+    for dname in QA.MATRIX_DIMENSIONS:
+        for m in QA.MATRIX_METRICS:
+            parts.append(f"SELECT '{dname}' AS dimension, '{m}' AS metric, CAST(COUNT(*) AS BIGINT) AS \"rows\" "
+                         f"FROM (SELECT DISTINCT CAST({dname} AS VARCHAR) FROM fact_ga4_pages_daily "
+                         f"WHERE date BETWEEN {O.d(s)} AND {O.d(e)} AND {m} IS NOT NULL) t")
+    return O.with_facts(("fact_ga4_pages_daily",), "\nUNION ALL\n".join(parts))
+
+
+@register("field_matrix", _field_matrix_sql())
+def _field_matrix(w):
+    return QA.field_matrix(w, ANCHOR, 7)
+
+
+@register("quality_alerts", O.with_facts(
+    _freshness_body()[0] + ("fact_engagement_daily",) + _not_null_body()[0] + _unique_body()[0], f"""
+    SELECT 'freshness' AS "check", name AS target, CAST(lag_days AS DOUBLE) AS value, stale AS breached FROM fr
+    UNION ALL SELECT 'volumetry_dod', 'sessions', ses_dod_pct, ses_dod_pct < {QA.DROP_ALERT_PCT} FROM vl
+    UNION ALL SELECT 'volumetry_dod', 'minutes', min_dod_pct, min_dod_pct < {QA.DROP_ALERT_PCT} FROM vl
+    UNION ALL SELECT 'not_null', dataset || '.' || column_name, CAST(nulls AS DOUBLE), violated FROM nn
+    UNION ALL SELECT 'unique', dataset || '.' || key_columns, CAST(duplicate_keys AS DOUBLE), violated FROM un""",
+    extra=(("fr", _freshness_body()[1]), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST),
+           ("nn", _not_null_body()[1]), ("un", _unique_body()[1]))))
+def _quality_alerts(w):
+    return QA.quality_alerts(w, ANCHOR)
+
+
+@register("partial_day", O.with_facts(("fact_sessions",), f"""
+    SELECT {O.d(END)} AS end_date, {O.d(ANCHOR)} AS as_of, MAX(date) AS latest_date,
+           {'TRUE' if END == ANCHOR else 'FALSE'} AS is_partial FROM fact_sessions"""))
+def _partial_day(w):
+    return QA.partial_day(w, END, ANCHOR)
+
+
+def _report_sql(start, end, top_n: int, with_countries: bool) -> str:
+    bt = O.between(start, end)
+    uses = ["fact_sessions", "fact_ga4_pages_daily", "fact_ga4_events_daily"]
+    k = (f"SELECT CAST(COALESCE(SUM(users), 0) AS DOUBLE) AS users, CAST(COALESCE(SUM(sessions), 0) AS DOUBLE) AS sessions, "
+         f"CAST(COALESCE(SUM(pageviews), 0) AS DOUBLE) AS pageviews FROM fact_sessions WHERE {bt}")
+    pg = (f"SELECT * FROM (SELECT pagePath AS page_path, COALESCE(MAX(pageTitle), pagePath) AS page_title, "
+          f"CAST(COALESCE(SUM(screenPageViews), 0) AS BIGINT) AS pageviews FROM fact_ga4_pages_daily WHERE {bt} "
+          f"GROUP BY pagePath ORDER BY pageviews DESC NULLS LAST, page_path LIMIT {top_n}) t "
+          f"UNION ALL SELECT 'NA', 'Total', pv FROM (SELECT CAST(COALESCE(SUM(pageviews), 0) AS BIGINT) AS pv "
+          f"FROM fact_sessions WHERE {bt}) f WHERE NOT EXISTS (SELECT 1 FROM fact_ga4_pages_daily WHERE {bt})")
+    fn = (f"SELECT CAST(COALESCE(SUM(CASE WHEN eventName = 'video_start' THEN eventCount END), 0) AS BIGINT) AS start, "
+          f"CAST(COALESCE(SUM(CASE WHEN eventName = 'video_progress' THEN eventCount END), 0) AS BIGINT) AS progress "
+          f"FROM fact_ga4_events_daily WHERE {bt} AND eventName IN ('video_start', 'video_progress')")
+    rows = [
+        "SELECT 'kpis' AS section, 1 AS rank, 'users' AS label, users AS value FROM k",
+        "SELECT 'kpis', 2, 'sessions', sessions FROM k",
+        "SELECT 'kpis', 3, 'pageviews', pageviews FROM k",
+        "SELECT 'top_pages', CAST(row_number() OVER (ORDER BY pageviews DESC NULLS LAST, page_path) AS INTEGER), "
+        "COALESCE(page_title, page_path, '(sem título)'), CAST(pageviews AS DOUBLE) FROM pg",
+        "SELECT 'funnel', 1, 'start', CAST(start AS DOUBLE) FROM fn",
+        "SELECT 'funnel', 2, 'progress', CAST(progress AS DOUBLE) FROM fn",
+        "SELECT 'funnel', 3, 'completion_rate', CASE WHEN start > 0 THEN "
+        "round(CAST(progress AS DOUBLE) / CAST(start AS DOUBLE) * 100.0, 2) ELSE 0.0 END FROM fn",
+    ]
+    extra = [("k", k), ("pg", pg), ("fn", fn)]
+    if with_countries:
+        uses.append("fact_sessions_by_country")
+        extra.append(("ct", f"SELECT country_id, CAST(COALESCE(SUM(users), 0) AS BIGINT) AS users "
+                            f"FROM fact_sessions_by_country WHERE {bt} GROUP BY 1 "
+                            f"ORDER BY users DESC NULLS LAST, country_id LIMIT {top_n}"))
+        rows.append("SELECT 'top_countries', CAST(row_number() OVER (ORDER BY users DESC NULLS LAST, country_id) "
+                    "AS INTEGER), COALESCE(country_id, 'NA'), CAST(users AS DOUBLE) FROM ct")
+    body = ("SELECT section, CAST(rank AS INTEGER) AS rank, label, value, "
+            "CASE WHEN label = 'completion_rate' THEN CAST(value AS VARCHAR) || '%' "
+            "ELSE format('{:t.}', CAST(trunc(COALESCE(value, 0.0)) AS BIGINT)) END AS display FROM ("
+            + "\nUNION ALL\n".join(rows) + ") r")
+    return O.with_facts(tuple(uses), body, extra=tuple(extra))
+
+
+@register("weekly_report", _report_sql(START, END, 10, True))
+def _weekly_report(w):
+    return Q.weekly_report(w, START, END, 10)
+
+
+def _summary_window():
+    import datetime as _dt
+    from tidemark.functions.columns import as_date
+    e = as_date(ANCHOR)
+    return e - _dt.timedelta(days=7), e
+
+
+@register("weekly_summary", _report_sql(*_summary_window(), 5, False))
+def _weekly_summary(w):
+    return Q.weekly_summary(w, ANCHOR)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
