@@ -42,12 +42,12 @@ def ts_floor_lit(d: str | _dt.date) -> Column:
 
 def ymd_date(c: ColumnOrName) -> Column:
     """'yyyyMMdd' text → DATE; anything unparsable (20240230, '', junk) → NULL."""
-    return F.try_to_date(_c(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(_c(c).cast("string"), "yyyyMMdd")
 
 
 def iso_prefix_date(c: ColumnOrName) -> Column:
     """First 10 characters as a 'yyyy-MM-dd' date; NULL when they do not parse."""
-    return F.try_to_date(F.substring(_c(c).cast("string"), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_c(c).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
 def week_w(d: ColumnOrName) -> Column:

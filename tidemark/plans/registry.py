@@ -515,6 +515,79 @@ def _weekly_summary(w):
     return Q.weekly_summary(w, ANCHOR)
 
 
+# --- ingestion replays (landed files → refresh/import → table) ----------------------------
+
+from tidemark.plans import replays as RP  # noqa: E402
+
+
+def _register_plain(name: str, oracle: str | None, fn):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, sf_dir)
+    build.__name__ = name
+    build.__doc__ = fn.__doc__
+    REGISTRY[name] = (build, oracle)
+
+
+_RW = "date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"  # refresh window: 30 days up to 2024-01-31
+
+for _name, _table, _cols in (
+        ("refresh_sessions", "fact_sessions", "date, pageviews, sessions, users"),
+        ("refresh_sessions_by_utm", "fact_ga4_sessions_by_utm_daily", "*"),
+        ("refresh_events", "fact_ga4_events_daily", "*"),
+        ("refresh_pages", "fact_ga4_pages_daily", "*")):
+    _register_plain(_name, O.with_facts((_table,), f"SELECT {_cols} FROM {_table} WHERE {_RW}"),
+                    lambda spark, sf_dir, _t=_table: RP.replay_report(spark, sf_dir, _t))
+
+_register_plain("refresh_yt_channel",
+                O.with_facts(("fact_yt_channel_daily",), f"SELECT * FROM fact_yt_channel_daily WHERE {_RW}"),
+                RP.replay_yt_channel)
+_register_plain("refresh_yt_videos", O.with_facts(("fact_yt_video_period",), """
+    SELECT videoId, views, estimatedMinutesWatched, averageViewDuration, startDate, endDate
+    FROM fact_yt_video_period
+    QUALIFY row_number() OVER (PARTITION BY startDate, endDate ORDER BY views DESC NULLS LAST, videoId) <= 50"""),
+                RP.replay_yt_videos)
+_register_plain("refresh_rd_email_campaign", O.with_facts(("fact_rd_email_campaign",), f"""
+    SELECT date, campaignId,
+           CAST(SUM(sends) OVER (PARTITION BY campaignId) AS BIGINT) AS sends,
+           CAST(SUM(opens) OVER (PARTITION BY campaignId) AS BIGINT) AS opens,
+           CAST(SUM(clicks) OVER (PARTITION BY campaignId) AS BIGINT) AS clicks
+    FROM fact_rd_email_campaign WHERE {_RW}"""), RP.replay_email_campaigns)
+_register_plain("refresh_rd_lead_stage", """
+    SELECT DATE '2024-01-31' AS date, stage, COUNT(*) AS "count"
+    FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN COALESCE(NULLIF(c_mktsegment, ''), 'unknown')
+                                    WHEN 1 THEN COALESCE(NULLIF(lower(c_mktsegment), ''), 'unknown')
+                                    ELSE 'unknown' END AS stage,
+                 DATE '2024-01-01' + CAST(c_custkey % 40 AS INTEGER) AS upd
+          FROM customer) t
+    WHERE upd BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+    GROUP BY stage""", RP.replay_lead_stage)
+_register_plain("import_map_utm_campaign", O.with_facts(("map_utm_campaign",), "SELECT * FROM map_utm_campaign"),
+                RP.replay_utm_map)
+
+_PAGE_EXPORT = f"""
+    SELECT pagePath, MAX(pageTitle) AS t, SUM(screenPageViews) AS pv, SUM(totalUsers) AS u, SUM(sessions) AS s
+    FROM fact_ga4_pages_daily WHERE {BT} GROUP BY pagePath"""
+_register_plain("csv_pages_import", O.with_facts(("fact_ga4_pages_daily",), """
+    SELECT pagePath AS page_path, t AS page_title FROM per
+    WHERE t IS NOT NULL AND lower(trim(t)) NOT IN ('total geral', 'total')""", extra=(("per", _PAGE_EXPORT),)),
+                lambda spark, sf_dir: RP.replay_pages_csv(spark, sf_dir, "dim_page"))
+_register_plain("csv_pages_facts", O.with_facts(("fact_ga4_pages_daily",), """
+    SELECT DATE '2024-01-28' AS date, CAST(pv AS BIGINT) AS pageviews, CAST(NULL AS BIGINT) AS sessions,
+           CAST(u AS BIGINT) AS users, round(CAST(s AS DOUBLE) / CAST(u AS DOUBLE), 3) AS avg_session_duration
+    FROM per WHERE t IS NOT NULL AND lower(trim(t)) NOT IN ('total geral', 'total')""",
+    extra=(("per", _PAGE_EXPORT),)),
+                lambda spark, sf_dir: RP.replay_pages_csv(spark, sf_dir, "fact_sessions"))
+_register_plain("csv_videos_import", O.with_facts(("fact_yt_video_period",), f"""
+    SELECT DATE '2024-01-28' AS date, 'video_start' AS event_name, views AS event_count, videoId AS video_title
+    FROM fact_yt_video_period WHERE startDate = {O.d(START)}
+    UNION ALL
+    SELECT DATE '2024-01-28', 'video_progress', estimatedMinutesWatched, videoId
+    FROM fact_yt_video_period WHERE startDate = {O.d(START)}"""), RP.replay_videos_csv)
+_register_plain("csv_countries_import", O.with_facts(("fact_sessions_by_country",), f"""
+    SELECT DATE '2024-01-28' AS date, country_id, CAST(SUM(users) AS BIGINT) AS users
+    FROM fact_sessions_by_country WHERE {BT} GROUP BY country_id"""), RP.replay_countries_csv)
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
