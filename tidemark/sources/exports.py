@@ -64,14 +64,44 @@ def read_csv_text(spark: SparkSession, path: str, encoding: str = "utf-8") -> Da
     return r.csv(path)
 
 
+def sniff_bom(spark: SparkSession, path: str) -> str | None:
+    """Encoding named by a byte-order mark at the start of the (first) file, if any.
+
+    Reads at most 4 bytes through the Hadoop file system; no data pass.
+    """
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        parts = sorted(st.getPath().toString() for st in fs.listStatus(p)
+                       if not st.getPath().getName().startswith(("_", ".")))
+        if not parts:
+            return None
+        p = jvm.org.apache.hadoop.fs.Path(parts[0])
+    stream = fs.open(p)
+    try:
+        head = bytes((stream.read() & 0xFF) for _ in range(3))
+    finally:
+        stream.close()
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16"
+    if head == b"\xef\xbb\xbf":
+        return "utf-8"
+    return None
+
+
 def read_csv_robust(spark: SparkSession, path: str, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
-    """First encoding whose decoding has no replacement character (U+FFFD) in headers or
-    cells. The test is a distributed ``exists`` over the file, not a driver read."""
+    """The encoding a byte-order mark names; otherwise the first encoding whose decoding
+    has no replacement character (U+FFFD) and no NUL in the headers and no U+FFFD in the
+    cells. The cell test is a distributed ``exists`` over the file, not a driver read."""
     last_error = None
+    bom = sniff_bom(spark, path)
+    if bom is not None:
+        encodings = [bom]
     for enc in encodings:
         try:
             df = read_csv_text(spark, path, enc)
-            if any("�" in c for c in df.columns):
+            if any(("�" in c) or ("\x00" in c) for c in df.columns):
                 continue
             bad = F.lit(False)
             for c in df.columns:

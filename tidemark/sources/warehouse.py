@@ -61,9 +61,15 @@ class DerivedWarehouse(Warehouse):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        # Logical plans only (no data is cached): one footer read per driver table, and one
+        # plan object per built table, so repeated uses share subtrees (exchange reuse).
+        self._reads: dict[str, DataFrame] = {}
+        self._built: dict[tuple, DataFrame] = {}
 
     def driver(self, name: str) -> DataFrame:
-        return A.read_driver_table(self.spark, self.sf_dir, name)
+        if name not in self._reads:
+            self._reads[name] = A.read_driver_table(self.spark, self.sf_dir, name)
+        return self._reads[name]
 
     def events(self, start=None, end=None) -> DataFrame:
         return A.event_rows(self.driver("events"), start, end)
@@ -88,6 +94,12 @@ class DerivedWarehouse(Warehouse):
         return df
 
     def _build(self, name: str, start, end) -> DataFrame:
+        key = (name, None if start is None else str(C.as_date(start)), None if end is None else str(C.as_date(end)))
+        if key not in self._built:
+            self._built[key] = self._build_new(name, start, end)
+        return self._built[key]
+
+    def _build_new(self, name: str, start, end) -> DataFrame:
         from tidemark.plans import marts as M
         if name in DAY_LOCAL_FACTS:
             return DAY_LOCAL_FACTS[name](self, self.events(start, end))
