@@ -173,3 +173,27 @@ def test_stored_warehouse_missing_tables_in_health(spark, tmpdir_spark):
     assert got["latest_date_fact_sessions"] == "2024-01-02" and got["latest_date_ga4_pages_daily"] == "None"
     tp = {tuple(r) for r in Q.top_pages(w, "2024-01-01", "2024-01-31").collect()}
     assert tp == {("NA", "Total", 1)}
+
+
+def test_export_csv_and_ensure_table(spark, tmpdir_spark):
+    df = spark.createDataFrame([("GA4", "fact_sessions", "column", "date:DATE", "")],
+                               "source string, dataset string, type string, name string, description string")
+    K.export_csv(df, f"{tmpdir_spark}/catalog_csv")
+    back = spark.read.option("header", True).csv(f"{tmpdir_spark}/catalog_csv")
+    assert back.columns == df.columns and back.first().name == "date:DATE"
+    path = f"{tmpdir_spark}/wh/fact_ga4_events_daily"
+    K.ensure_table(spark, path, "fact_ga4_events_daily")
+    t = StoredWarehouse(spark, f"{tmpdir_spark}/wh").table("fact_ga4_events_daily")
+    assert t.count() == 0 and t.columns == ["date", "eventName", "eventCount", "activeUsers"]
+    K.ensure_table(spark, path, "fact_ga4_events_daily")  # exists: untouched
+
+
+def test_video_funnel_falls_back_to_csv_events(spark, tmpdir_spark):
+    from tidemark.plans import queries as Q
+    root = f"{tmpdir_spark}/wh2"
+    ev = spark.createDataFrame([(D(2024, 1, 5), "video_start", 40, "A"), (D(2024, 1, 5), "video_progress", 10, "A"),
+                                (D(2024, 1, 6), "video_start", 10, "B"), (D(2024, 2, 1), "video_start", 99, "A")],
+                               "date date, event_name string, event_count bigint, video_title string")
+    K.append(ev, f"{root}/fact_events", ["date"])
+    r = Q.video_funnel(StoredWarehouse(spark, root), "2024-01-01", "2024-01-31").first()
+    assert (r.start, r.progress, r.completion_rate) == (50, 10, 20.0)
