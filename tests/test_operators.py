@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import compare as CMP
@@ -44,12 +46,14 @@ def test_running_share_top_is_prefix_of_all(spark):
         assert abs(s - ref[k]) < 1e-12
 
 
-def test_sessions_and_users_equals_count_distinct(spark):
+@pytest.mark.parametrize("slot", [None, "hour"])
+def test_sessions_and_users_equals_count_distinct(spark, slot):
     rnd = random.Random(1)
-    rows = [(rnd.choice(["a", "b"]), rnd.choice([1, 2, 3, None]), rnd.randint(0, 5)) for _ in range(500)]
-    rows = [(g, u, None if u is None else u * 24 + h) for g, u, h in rows]
-    df = spark.createDataFrame(rows, "g string, user_id bigint, session_key bigint")
-    got = {r.g: (r.sessions, r.users) for r in sessions_and_users(df, ["g"]).collect()}
+    rows = [(rnd.choice(["a", "b"]), rnd.choice([1, 2, 3, None]), rnd.choice([0, 5, 23, None]))
+            for _ in range(500)]
+    rows = [(g, u, None if u is None or h is None else u * 24 + h, h) for g, u, h in rows]
+    df = spark.createDataFrame(rows, "g string, user_id bigint, session_key bigint, hour int")
+    got = {r.g: (r.sessions, r.users) for r in sessions_and_users(df, ["g"], session_slot=slot).collect()}
     for g in ("a", "b"):
         sub = [r for r in rows if r[0] == g]
         assert got[g] == (len({r[2] for r in sub if r[2] is not None}), len({r[1] for r in sub if r[1] is not None}))

@@ -37,7 +37,8 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_rows(events: DataFrame, start=None, end=None) -> DataFrame:
-    """``ev``: one row per event with its day, session key, whole value and page key ``k``.
+    """``ev``: one row per event with its day, session key (user × hour, so ``hour`` is the
+    session's slot within its user), whole value and page key ``k``.
 
     ``ts`` is TIMESTAMP_NTZ, so the day does not depend on the session time zone.
     """
@@ -51,6 +52,7 @@ def event_rows(events: DataFrame, start=None, end=None) -> DataFrame:
         "user_id",
         "event_type",
         (F.col("user_id") * 24 + F.hour("ts")).alias("session_key"),
+        F.hour("ts").alias("hour"),
         F.floor("value").alias("val"),
         F.get_json_object("props", "$.k").try_cast("int").alias("k"),
     )
@@ -62,7 +64,8 @@ def _flag(cond) -> F.Column:
 
 def fact_sessions(ev: DataFrame) -> DataFrame:
     """date → pageviews (view events), sessions, users."""
-    out = sessions_and_users(ev, ["date"], sums={"pageviews": _flag(F.col("event_type") == "view")})
+    out = sessions_and_users(ev, ["date"], sums={"pageviews": _flag(F.col("event_type") == "view")},
+                             session_slot="hour")
     return out.select("date", "pageviews", "sessions", "users")
 
 
@@ -84,7 +87,7 @@ def fact_ga4_pages_daily(ev: DataFrame, pages: DataFrame) -> DataFrame:
     a filter, not a shuffle of the page table. A page id listed twice with one url counts
     twice, as a row-level join would.
     """
-    agg = sessions_and_users(ev, ["date", "k"], users_name="totalUsers",
+    agg = sessions_and_users(ev, ["date", "k"], users_name="totalUsers", session_slot="hour",
                              sums={"screenPageViews": _flag(F.col("event_type").isin(*VIEW_LIKE))})
     used_keys = agg.select(F.col("k").alias("page_id")).where(F.col("page_id").isNotNull()).distinct()
     page_urls = (pages.select("page_id", "url")
@@ -119,12 +122,12 @@ def utm_rows(ev: DataFrame) -> DataFrame:
                .otherwise(F.concat(F.lit(" "), F.col("event_type"))))
     medium = F.when(k % 3 == 0, F.lit("Email ")).when(k % 3 == 1, F.lit("cpc"))
     campaign = F.concat(F.lit(" Camp-"), (k % 8).cast("string"))
-    return ev.select("date", "session_key", "user_id", source.alias("source"),
+    return ev.select("date", "session_key", "hour", "user_id", source.alias("source"),
                      medium.alias("medium"), campaign.alias("campaign"))
 
 
 def fact_ga4_sessions_by_utm_daily(ev: DataFrame) -> DataFrame:
-    out = sessions_and_users(utm_rows(ev), ["date", "source", "medium", "campaign"])
+    out = sessions_and_users(utm_rows(ev), ["date", "source", "medium", "campaign"], session_slot="hour")
     return out.select("date", "source", "medium", "campaign", "sessions", "users")
 
 
