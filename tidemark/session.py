@@ -27,7 +27,7 @@ SESSION_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "tidemark") -> SparkSession:
+              app_name: str = "tidemark", driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings above.
 
     On a cluster the master and partition counts come from spark-submit; ``master`` and
@@ -40,6 +40,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:  # local mode: the driver JVM is the whole cluster
+        b = b.config("spark.driver.memory", driver_memory)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -32,8 +32,18 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 VIEW_LIKE = ("view", "click")
 
 
+# Input tables are read-only: their scan plans (file listing + footer schema) are resolved
+# once per session, like tables registered in a catalog. Only the plan is kept — every
+# query still reads the data.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def event_rows(events: DataFrame, start=None, end=None) -> DataFrame:
