@@ -138,12 +138,41 @@ def replace_period(new: DataFrame, path: str, start_col: str = "startDate", end_
     return True
 
 
+def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Replace ``path`` by the fully written ``staged`` folder (two renames, then cleanup).
+
+    The new table is complete before the old one is touched, so a failed job leaves the old
+    table as it was; readers see no table only between the two renames.
+    """
+    jvm = spark._jvm
+    fs, p = _hadoop_fs(spark, path)
+    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "._replaced")
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(p):
+        fs.rename(p, old)
+    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), p)
+    if fs.exists(old):
+        fs.delete(old, True)
+
+
+def _staged_path(path: str) -> str:
+    import uuid
+    return f"{path.rstrip('/')}._staged-{uuid.uuid4().hex[:8]}"
+
+
 def rebuild(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
-    """K4/K6: full replace of a table from a query (the query must not read ``path``)."""
+    """K4/K6: full replace of a table from a query.
+
+    Written to a staging folder first and swapped in, so a failure never leaves the table
+    half-deleted, and the query may read the table it replaces.
+    """
+    staged = _staged_path(path)
     w = df.write.mode("overwrite")
     if partition_cols:
         w = df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
-    w.parquet(path)
+    w.parquet(staged)
+    _swap_in(df.sparkSession, staged, path)
 
 
 def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
@@ -155,15 +184,15 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
 
 
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, table: str, key: str | list[str]) -> None:
-    """U3 on a stored dimension: merge, cut lineage with a reliable checkpoint (so the old
-    files are no longer read), then overwrite."""
+    """U3 on a stored dimension: merge old ∪ new by key into a staged table (a written table
+    cuts the lineage to the old files), then swap it in."""
     schema = TABLES[table]
     if path_exists(spark, path):
         old = spark.read.schema(schema).parquet(path)
     else:
         old = spark.createDataFrame([], schema)
-    merged = upsert_by_key(old, new.select(*schema.fieldNames()), key).checkpoint(eager=True)
-    merged.write.mode("overwrite").parquet(path)
+    merged = upsert_by_key(old, new.select(*schema.fieldNames()), key)
+    rebuild(merged, path)
 
 
 def cache_report(df: DataFrame, cache_root: str, dimensions: list[str], metrics: list[str],

@@ -97,6 +97,9 @@ def top_weekdays(w: Warehouse, start, end) -> DataFrame:
 
 # Q7
 def yt_channel_daily(w: Warehouse, start, end) -> DataFrame:
+    if not w.has("fact_yt_channel_daily"):
+        return w.spark.createDataFrame([], "date date, views bigint, estimatedMinutesWatched bigint, "
+                                           "averageViewDuration double")
     f = w.fact("fact_yt_channel_daily", start, end)
     return (f.select("date",
                      F.coalesce("views", F.lit(0)).cast("bigint").alias("views"),
@@ -114,6 +117,9 @@ def _periods_touching(w: Warehouse, start, end) -> DataFrame:
 # Q8
 def yt_top_videos(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
     """Views, minutes and mean of the period means (rounded to 6 decimals) per video."""
+    if not w.has("fact_yt_video_period"):
+        return w.spark.createDataFrame([], "videoId string, views bigint, estimatedMinutesWatched bigint, "
+                                           "averageViewDuration double")
     p = _periods_touching(w, start, end)
     agg = (p.groupBy("videoId")
             .agg(C.sum0("views").cast("bigint").alias("views"),
@@ -143,6 +149,8 @@ def engagement_series(w: Warehouse, start, end) -> DataFrame:
 # Q11
 def yt_retention(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
     """Minutes per view by video, most minutes first."""
+    if not w.has("fact_yt_video_period"):
+        return w.spark.createDataFrame([], "videoId string, minutes bigint, views bigint, min_per_view double")
     p = _periods_touching(w, start, end)
     agg = (p.groupBy("videoId")
             .agg(C.sum0("estimatedMinutesWatched").cast("bigint").alias("minutes"),
