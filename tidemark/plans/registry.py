@@ -19,6 +19,8 @@ START, END, ANCHOR = O.START, O.END, O.ANCHOR
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
+# The same queries as functions of any Warehouse (derived or stored).
+WAREHOUSE_QUERIES: dict[str, Callable] = {}
 
 
 def register(name: str, oracle: str | None):
@@ -28,6 +30,7 @@ def register(name: str, oracle: str | None):
         build.__name__ = name
         build.__doc__ = fn.__doc__
         REGISTRY[name] = (build, oracle)
+        WAREHOUSE_QUERIES[name] = fn
         return fn
     return deco
 
