@@ -91,11 +91,22 @@ def test_land_and_read_report_roundtrip(spark, tmpdir_spark):
     path = f"{tmpdir_spark}/landed"
     L.land_report(df.withColumnRenamed("users", "totalUsers").withColumnRenamed("pageviews", "screenPageViews"),
                   path, ["date"], ["totalUsers", "sessions", "screenPageViews"], page_size=3)
-    assert spark.read.text(path).count() == 3  # ceil(7 / 3) pages
+    sizes = [len(json.loads(r.value)["rows"]) for r in spark.read.text(path).collect()]
+    assert max(sizes) <= 3 and sum(sizes) == 7
     back = sorted(tuple(r) for r in I.report_batch(spark, path, I.SESSIONS).collect())
     assert back == sorted(tuple(r) for r in df.collect())
 
 
+def test_land_records_pages_stay_bounded_with_duplicates(spark, tmpdir_spark):
+    same = spark.createDataFrame([("x", "lead")] * 1000 + [(str(i), "mql") for i in range(500)],
+                                 "id string, lifecycle_stage string").repartition(3)
+    path = f"{tmpdir_spark}/dups"
+    L.land_records(same, path, wrapper="contacts", page_size=100)
+    sizes = [len(json.loads(r.value)["contacts"]) for r in spark.read.text(path).collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 1500
+    assert L.read_contacts(spark, path).count() == 1500
+
+
 def test_records_bare_and_wrapped(spark, tmpdir_spark):
     p = _local(f"{tmpdir_spark}/contacts")
     os.makedirs(p, exist_ok=True)

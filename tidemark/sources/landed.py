@@ -11,14 +11,14 @@ Values are mapped to names through each page's own headers, so pages whose heade
 differs still land in the right columns. Bad numbers and dates become NULL (``try_cast``,
 ``try_to_date``) instead of failing the job.
 
-The writers build such files from warehouse-shaped DataFrames (fixtures, replays); pages are
-formed by hashing the rows into ``ceil(rows / page_size)`` buckets, so a page holds about
-``page_size`` rows and no group grows with the data.
+The writers build such files from warehouse-shaped DataFrames (fixtures, replays): rows are
+serialised by Spark and cut into pages of at most ``page_size`` rows inside each partition,
+so no page grows with the data and no shuffle is needed.
 """
 
 from __future__ import annotations
 
-import math
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -124,62 +124,92 @@ def read_campaign_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 # --- writers (landing) -----------------------------------------------------------------------
 
-def _pages(df: DataFrame, key_cols: Sequence[str], page_size: int) -> DataFrame:
-    n = max(1, math.ceil(df.count() / page_size))
-    return df.withColumn("_page", F.pmod(F.xxhash64(*key_cols), F.lit(n)))
+def _page_lines(rows_json: DataFrame, prefix: str, suffix: str, page_size: int,
+                group_cols: Sequence[str] = ()) -> DataFrame:
+    """Join per-row JSON texts (column ``j``) into page lines ``prefix + j1,j2,… + suffix``.
+
+    Pages are cut inside each Spark partition, in order, every ``page_size`` rows (and at
+    every change of ``group_cols``, after a local sort): no shuffle, no count, and no page
+    larger than ``page_size`` whatever the data (duplicates included). The rows are
+    serialised by Spark (``to_json``); Python only concatenates text per Arrow batch.
+    """
+    import pandas as pd
+
+    gcols = list(group_cols)
+    src = rows_json.sortWithinPartitions(*gcols) if gcols else rows_json
+    out_schema = ", ".join([f"`{c}` {rows_json.schema[c].dataType.simpleString()}" for c in gcols] + ["value string"])
+
+    def chunk(batches):
+        buf: list[str] = []
+        key = None
+
+        def flush():
+            row = dict(zip(gcols, key)) if gcols else {}
+            row["value"] = prefix + ",".join(buf) + suffix
+            return row
+
+        out_rows: list[dict] = []
+        for pdf in batches:
+            keys = list(zip(*[pdf[c] for c in gcols])) if gcols else [()] * len(pdf)
+            for k, j in zip(keys, pdf["j"]):
+                if buf and (k != key or len(buf) >= page_size):
+                    out_rows.append(flush())
+                    buf = []
+                key = k
+                buf.append(j)
+            if out_rows:
+                yield pd.DataFrame(out_rows)
+                out_rows = []
+        if buf:
+            yield pd.DataFrame([flush()])
+
+    return src.mapInPandas(chunk, out_schema)
+
+
+def _write_lines(lines: DataFrame, path: str, group_cols: Sequence[str] = ()) -> None:
+    w = lines.write.mode("overwrite")
+    if group_cols:
+        w = w.partitionBy(*group_cols)
+    w.text(path)
 
 
 def land_report(df: DataFrame, path: str, dimensions: Sequence[str], metrics: Sequence[str],
                 page_size: int = PAGE_SIZE) -> None:
     """Write ``df`` as analytics-report pages: dimension values as text, metrics as numeric
-    text, dates as 'yyyyMMdd'. One JSON line per page."""
+    text, dates as 'yyyyMMdd'. One JSON line per page of at most ``page_size`` rows."""
     def as_text(c: str):
         f = df.schema[c]
         if isinstance(f.dataType, T.DateType):
             return F.date_format(F.col(c), "yyyyMMdd")
         return F.col(c).cast("string")
 
-    rows = df.select(*dimensions, *metrics)
-    rows = rows.select(F.struct(
+    row = F.struct(
         F.array(*[F.struct(as_text(d).alias("value")) for d in dimensions]).alias("dimension_values"),
-        F.array(*[F.struct(F.col(m).cast("string").alias("value")) for m in metrics]).alias("metric_values"),
-    ).alias("row"), *[F.col(d) for d in dimensions])
-    paged = _pages(rows, list(dimensions), page_size)
-    out = paged.groupBy("_page").agg(F.collect_list("row").alias("rows")).select(
-        F.array(*[F.struct(F.lit(d).alias("name")) for d in dimensions]).alias("dimension_headers"),
-        F.array(*[F.struct(F.lit(m).alias("name")) for m in metrics]).alias("metric_headers"),
-        "rows")
-    out.write.mode("overwrite").json(path)
+        F.array(*[F.struct(F.col(m).cast("string").alias("value")) for m in metrics]).alias("metric_values"))
+    headers = json.dumps({"dimension_headers": [{"name": d} for d in dimensions],
+                          "metric_headers": [{"name": m} for m in metrics]})
+    prefix = headers[:-1] + ', "rows": ['
+    _write_lines(_page_lines(df.select(F.to_json(row).alias("j")), prefix, "]}", page_size), path)
 
 
 def land_video_report(df: DataFrame, path: str, columns: Sequence[str], group_cols: Sequence[str] = (),
                       page_size: int = PAGE_SIZE) -> None:
-    """Write ``df`` as video-report pages (one per ``group_cols`` value, e.g. a period, split
-    further by hash when a group exceeds ``page_size``)."""
+    """Write ``df`` as video-report pages; with ``group_cols`` (e.g. a period) one folder per
+    group value and pages never mix groups."""
     def as_text(c: str):
         f = df.schema[c]
         if isinstance(f.dataType, T.DateType):
             return F.date_format(F.col(c), "yyyy-MM-dd")
         return F.col(c).cast("string")
 
-    rows = df.select(F.array(*[as_text(c) for c in columns]).alias("row"), *group_cols, *columns)
-    paged = _pages(rows, list(columns), page_size)
-    out = paged.groupBy(*group_cols, "_page").agg(F.collect_list("row").alias("rows")).select(
-        *group_cols, F.array(*[F.struct(F.lit(c).alias("name")) for c in columns]).alias("columnHeaders"), "rows")
-    if group_cols:
-        out.write.mode("overwrite").partitionBy(*group_cols).json(path)
-    else:
-        out.write.mode("overwrite").json(path)
+    rows = df.select(*group_cols, F.to_json(F.array(*[as_text(c) for c in columns])).alias("j"))
+    prefix = json.dumps({"columnHeaders": [{"name": c} for c in columns]})[:-1] + ', "rows": ['
+    _write_lines(_page_lines(rows, prefix, "]}", page_size, group_cols), path, group_cols)
 
 
 def land_records(df: DataFrame, path: str, wrapper: str | None = None, page_size: int = 100) -> None:
     """Write records as JSON lines of pages: a bare list when ``wrapper`` is None, else an
     object ``{wrapper: [...]}``. Page size is the CRM's (100 records)."""
-    cols = df.columns
-    rec = F.struct(*[F.col(c) for c in cols]).alias("rec")
-    paged = _pages(df.select(rec, *cols), cols, page_size)
-    grouped = paged.groupBy("_page").agg(F.collect_list("rec").alias("recs"))
-    if wrapper is None:
-        grouped.select(F.to_json("recs").alias("value")).write.mode("overwrite").text(path)
-    else:
-        grouped.select(F.col("recs").alias(wrapper)).write.mode("overwrite").json(path)
+    rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
+    prefix, suffix = ("[", "]") if wrapper is None else ("{" + json.dumps(wrapper) + ": [", "]}")
+    _write_lines(_page_lines(rows, prefix, suffix, page_size), path)
