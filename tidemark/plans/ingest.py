@@ -107,8 +107,8 @@ def yt_videos_batch(spark: SparkSession, path: str, max_results: int = 50, start
                                                                T.StructField("endDate", T.DateType())])
         pages = spark.read.schema(schema).json(path)
         rows = pages.select("startDate", "endDate", F.col("columnHeaders.name").alias("h"), F.explode("rows").alias("r"))
-        m = F.map_from_arrays(F.col("h"), F.col("r"))
-        r = rows.select(*[F.try_element_at(m, F.lit(c)).alias(c) for c in cols], "startDate", "endDate")
+        maps = rows.select("startDate", "endDate", F.map_from_arrays(F.col("h"), F.col("r")).alias("m"))
+        r = maps.select(*[F.try_element_at("m", F.lit(c)).alias(c) for c in cols], "startDate", "endDate")
     typed = r.select(F.col("video").cast("string").alias("videoId"),
                      C.safe_long("views").alias("views"),
                      C.safe_long("estimatedMinutesWatched").alias("estimatedMinutesWatched"),

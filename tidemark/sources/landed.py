@@ -55,18 +55,18 @@ def read_report(spark: SparkSession, path: str, dimensions: Sequence[str], metri
     pages = spark.read.schema(REPORT_SCHEMA).json(path)
     rows = pages.select(F.col("dimension_headers.name").alias("dh"), F.col("metric_headers.name").alias("mh"),
                         F.explode("rows").alias("r"))
-    dmap = F.map_from_arrays(F.col("dh"), F.col("r.dimension_values.value"))
-    mmap = F.map_from_arrays(F.col("mh"), F.col("r.metric_values.value"))
-    return rows.select(*[F.try_element_at(dmap, F.lit(d)).alias(d) for d in dimensions],
-                       *[C.safe_double(F.try_element_at(mmap, F.lit(m))).alias(m) for m in metrics])
+    maps = rows.select(F.map_from_arrays(F.col("dh"), F.col("r.dimension_values.value")).alias("dm"),
+                       F.map_from_arrays(F.col("mh"), F.col("r.metric_values.value")).alias("mm"))
+    return maps.select(*[F.try_element_at("dm", F.lit(d)).alias(d) for d in dimensions],
+                       *[C.safe_double(F.try_element_at("mm", F.lit(m))).alias(m) for m in metrics])
 
 
 def read_video_report(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Video report → the requested columns as text (cast by the caller)."""
     pages = spark.read.schema(VIDEO_REPORT_SCHEMA).json(path)
     rows = pages.select(F.col("columnHeaders.name").alias("h"), F.explode("rows").alias("r"))
-    m = F.map_from_arrays(F.col("h"), F.col("r"))
-    return rows.select(*[F.try_element_at(m, F.lit(c)).alias(c) for c in columns])
+    maps = rows.select(F.map_from_arrays(F.col("h"), F.col("r")).alias("m"))
+    return maps.select(*[F.try_element_at("m", F.lit(c)).alias(c) for c in columns])
 
 
 def _record_schema(fields: Sequence[str], wrappers: Sequence[str]) -> T.StructType:
