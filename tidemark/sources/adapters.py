@@ -41,9 +41,10 @@ _SCANS: dict[tuple[int, str], DataFrame] = {}
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    return _SCANS[key]
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def event_rows(events: DataFrame, start=None, end=None) -> DataFrame:
