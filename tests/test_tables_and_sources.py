@@ -208,3 +208,24 @@ def test_video_funnel_falls_back_to_csv_events(spark, tmpdir_spark):
     K.append(ev, f"{root}/fact_events", ["date"])
     r = Q.video_funnel(StoredWarehouse(spark, root), "2024-01-01", "2024-01-31").first()
     assert (r.start, r.progress, r.completion_rate) == (50, 10, 20.0)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_day = st.integers(min_value=1, max_value=12).map(lambda d: D(2024, 1, d))
+
+
+@settings(max_examples=25, deadline=None)
+@given(old=st.lists(st.tuples(st.one_of(st.none(), _day), st.integers(0, 9)), max_size=12),
+       new=st.lists(st.tuples(_day, st.integers(0, 9)), max_size=8),
+       lo=st.integers(1, 12), span=st.integers(0, 5))
+def test_replace_window_df_matches_model(spark, old, new, lo, span):
+    start, end = D(2024, 1, lo), D(2024, 1, min(12, lo + span))
+    schema = "date date, v int"
+    got = K.replace_window_df(spark.createDataFrame(old, schema), spark.createDataFrame(new, schema), start, end)
+    if new:
+        model = [r for r in old if r[0] is None or not (start <= r[0] <= end)] + new
+    else:
+        model = old
+    key = lambda r: (r[0] is not None, r[0] or D(1, 1, 1), r[1])
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(model, key=key)

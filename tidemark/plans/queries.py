@@ -17,7 +17,9 @@ from tidemark.operators import compare as CMP
 from tidemark.operators.prefix import running_share_all, running_share_top
 from tidemark.sources.warehouse import Warehouse
 
+# The two funnel events, and the report label of a page with neither title nor path.
 FUNNEL_EVENTS = ("video_start", "video_progress")
+UNTITLED_LABEL = "(sem título)"
 
 
 def _top(df: DataFrame, metric: str, keys: list[str], limit: int | None) -> DataFrame:
@@ -301,7 +303,7 @@ def weekly_report(w: Warehouse, start, end, top_n: int = 10, with_countries: boo
     pages = top_pages(w, start, end, top_n)
     rk = Window.orderBy(F.col("pageviews").desc_nulls_last(), F.col("page_path").asc_nulls_last())
     pg = pages.select(F.lit("top_pages").alias("section"), F.row_number().over(rk).cast("int").alias("rank"),
-                      F.coalesce("page_title", "page_path", F.lit("(sem título)")).alias("label"),
+                      F.coalesce("page_title", "page_path", F.lit(UNTITLED_LABEL)).alias("label"),
                       F.col("pageviews").cast("double").alias("value"))
     fn = video_funnel(w, start, end).select(
         F.expr("stack(3, 1, 'start', cast(start as double), 2, 'progress', cast(progress as double), "
