@@ -112,10 +112,10 @@ def quality_signals(w: Warehouse, as_of) -> DataFrame:
 
 
 # D3
-def check_not_null(w: Warehouse) -> DataFrame:
+def check_not_null(w: Warehouse, registry=REGISTRY) -> DataFrame:
     """NULL count per column declared not-null in the registry: one aggregate per table."""
     parts = []
-    for d in REGISTRY:
+    for d in registry:
         if not d.not_null or not w.has(d.table):
             continue
         t = w.table(d.table)
@@ -130,10 +130,10 @@ def check_not_null(w: Warehouse) -> DataFrame:
 
 
 # D4
-def check_unique(w: Warehouse) -> DataFrame:
+def check_unique(w: Warehouse, registry=REGISTRY) -> DataFrame:
     """Keys declared unique that occur more than once: distinct duplicated keys and rows."""
     parts = []
-    for d in REGISTRY:
+    for d in registry:
         if not d.unique or not w.has(d.table):
             continue
         dup = (w.table(d.table).groupBy(*d.unique).agg(F.count(F.lit(1)).alias("n"))

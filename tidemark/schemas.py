@@ -123,8 +123,33 @@ REGISTRY: tuple[Dataset, ...] = (
 )
 
 
-def registry_by_table() -> dict[str, Dataset]:
-    return {d.table: d for d in REGISTRY}
+def registry_by_table(registry: tuple[Dataset, ...] | None = None) -> dict[str, Dataset]:
+    return {d.table: d for d in (registry or REGISTRY)}
+
+
+def load_registry(source: str, table_of: dict[str, str] | None = None) -> tuple[Dataset, ...]:
+    """Dataset registry from YAML (a path or the text itself), read on the driver.
+
+    Each entry: id, source, entity, description, dimensions[], metrics[], granularity,
+    freshness_ttl_minutes, quality_checks{not_null[], unique[]}. The warehouse table of an
+    entry is ``table_of[id]`` when given, else ``fact_<id>``.
+    """
+    import os
+
+    import yaml
+
+    text = open(source, encoding="utf-8").read() if os.path.exists(source) else source
+    out = []
+    for e in yaml.safe_load(text) or []:
+        checks = e.get("quality_checks") or {}
+        out.append(Dataset(
+            id=e["id"], table=(table_of or {}).get(e["id"], f"fact_{e['id']}"), source=e.get("source", ""),
+            entity=e.get("entity", ""), dimensions=tuple(e.get("dimensions") or ()),
+            metrics=tuple(e.get("metrics") or ()), granularity=e.get("granularity", "daily"),
+            freshness_ttl_minutes=int(e.get("freshness_ttl_minutes", 60)),
+            not_null=tuple(checks.get("not_null") or ()), unique=tuple(checks.get("unique") or ()),
+            description=e.get("description", "")))
+    return tuple(out)
 
 
 @dataclass
