@@ -7,7 +7,6 @@ implement, not the engine they mimic.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -150,10 +149,3 @@ TOTAL_ROW_LABELS = ("total geral", "total")
 def in_range(c: ColumnOrName, start, end) -> Column:
     """Inclusive date range on a DATE column."""
     return _c(c).between(date_lit(start), date_lit(end))
-
-
-def any_of(cols: Iterable[Column]) -> Column:
-    out = None
-    for c in cols:
-        out = c if out is None else (out | c)
-    return out if out is not None else F.lit(False)

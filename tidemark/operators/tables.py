@@ -12,8 +12,6 @@ gives the same table (idempotent).
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -213,8 +211,3 @@ def cache_report(df: DataFrame, cache_root: str, dimensions: list[str], metrics:
 def export_csv(df: DataFrame, path: str) -> None:
     """K7: CSV with header, UTF-8 (one part file per task)."""
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
-
-
-def days(start, end) -> list[_dt.date]:
-    s, e = C.as_date(start), C.as_date(end)
-    return [s + _dt.timedelta(days=i) for i in range((e - s).days + 1)]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.schemas import REGISTRY, TABLE_SOURCE, registry_by_table
+from tidemark.schemas import REGISTRY, TABLE_SOURCE
 from tidemark.sources.warehouse import Warehouse
 
 DROP_ALERT_PCT = -40.0  # fixed value: day-over-day drop that raises an alert
@@ -259,7 +259,3 @@ def partial_day(w: Warehouse, end, as_of) -> DataFrame:
     latest = w.table("fact_sessions").agg(F.max("date").alias("latest_date"))
     return latest.select(F.lit(C.as_date(end)).alias("end_date"), F.lit(C.as_date(as_of)).alias("as_of"),
                          "latest_date", F.lit(C.as_date(end) == C.as_date(as_of)).alias("is_partial"))
-
-
-def registry_table_ids() -> dict[str, str]:
-    return {t: d.id for t, d in registry_by_table().items()}

@@ -7,7 +7,6 @@ malformed number becomes NULL instead of failing the load.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -186,11 +185,3 @@ def write_csv(df: DataFrame, path: str, encoding: str = "utf-8") -> None:
     """Land a DataFrame as a header CSV export, whitespace kept as is."""
     (df.write.mode("overwrite").option("header", True).option("encoding", charset(encoding))
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
-
-
-def local_path(p: str) -> str:
-    return p[5:] if p.startswith("file:") else p
-
-
-def exists_local(p: str) -> bool:
-    return os.path.exists(local_path(p))

@@ -19,8 +19,6 @@ written by the distributed refresh jobs.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,8 +69,3 @@ def start_refresh_stream(spark: SparkSession, manifest_dir: str, warehouse_root:
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
-
-
-def manifest_json(kind: str, table_name: str, report_path: str, start, end) -> str:
-    return json.dumps({"kind": kind, "table_name": table_name, "report_path": report_path,
-                       "start": str(start), "end": str(end)})
