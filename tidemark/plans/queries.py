@@ -112,8 +112,7 @@ def yt_channel_daily(w: Warehouse, start, end) -> DataFrame:
 
 def _periods_touching(w: Warehouse, start, end) -> DataFrame:
     """Video periods that start on ``start`` or end on ``end`` (either edge matching)."""
-    p = w.table("fact_yt_video_period")
-    return p.where((F.col("startDate") == C.date_lit(start)) | (F.col("endDate") == C.date_lit(end)))
+    return w.video_periods(start, end)
 
 
 # Q8

@@ -8,6 +8,7 @@ Both hand out DataFrames only; nothing is collected.
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,14 @@ class Warehouse:
             df = df.where(F.col("date") <= C.date_lit(end))
         return df
 
+    def video_periods(self, start, end) -> DataFrame:
+        """Video periods that start on ``start`` or end on ``end`` (either edge matching).
+
+        Stored tables are partitioned by (startDate, endDate), so the OR prunes partitions.
+        """
+        p = self.table("fact_yt_video_period")
+        return p.where((F.col("startDate") == C.date_lit(start)) | (F.col("endDate") == C.date_lit(end)))
+
 
 class DerivedWarehouse(Warehouse):
     """Facts and marts computed from the driver tables under ``sf_dir``."""
@@ -85,6 +94,19 @@ class DerivedWarehouse(Warehouse):
     def fact(self, name: str, start=None, end=None) -> DataFrame:
         return self._window(self._build(name, start, end), start, end)
 
+    def video_periods(self, start, end) -> DataFrame:
+        """As the base method, but only two weeks of events are aggregated: a period starting
+        on ``start`` holds events dated start..start+6, one ending on ``end`` events dated
+        end-6..end. The two ranges become a pushed-down OR of ``ts`` ranges; the edge
+        predicate after the aggregate keeps the answer exact."""
+        s, e = C.as_date(start), C.as_date(end)
+        ev = self.driver("events")
+        week = _dt.timedelta(days=7)
+        in_range = lambda lo, hi: (F.col("ts") >= C.ts_floor_lit(lo)) & (F.col("ts") < C.ts_floor_lit(hi))
+        ev = ev.where(in_range(s, s + week) | in_range(e - _dt.timedelta(days=6), e + _dt.timedelta(days=1)))
+        p = A.fact_yt_video_period(A.event_rows(ev))
+        return p.where((F.col("startDate") == F.lit(s)) | (F.col("endDate") == F.lit(e)))
+
     @staticmethod
     def _window(df: DataFrame, start, end) -> DataFrame:
         if start is not None:
