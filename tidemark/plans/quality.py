@@ -37,7 +37,11 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 # D1 (+ Q20)
-def freshness(w: Warehouse, as_of, end=None) -> DataFrame:
+def _today(as_of):
+    return C.as_date(as_of) if as_of is not None else _dt.date.today()
+
+
+def freshness(w: Warehouse, as_of=None, end=None) -> DataFrame:
     """Latest date per fact, lag in days to ``as_of``, declared TTL and stale flag.
 
     ``partial_day`` tells whether the report range ends on ``as_of`` (today's data may be
@@ -45,7 +49,7 @@ def freshness(w: Warehouse, as_of, end=None) -> DataFrame:
     table is never produced). A missing table yields a NULL date and counts as stale.
     """
     ttl = {d.table: d.freshness_ttl_minutes for d in REGISTRY}
-    as_of_d = C.as_date(as_of)
+    as_of_d = _today(as_of)
     end_d = C.as_date(end) if end is not None else as_of_d
     parts = []
     for label, table in FRESHNESS_SIGNALS:
@@ -99,7 +103,7 @@ def volumetry_drops(w: Warehouse, threshold: float = DROP_ALERT_PCT) -> DataFram
 
 
 # Q19
-def quality_signals(w: Warehouse, as_of) -> DataFrame:
+def quality_signals(w: Warehouse, as_of=None) -> DataFrame:
     """Freshness of six facts plus the latest day-over-day changes, as typed rows
     (signal, name, date, value)."""
     fr = freshness(w, as_of).select(F.lit("freshness").alias("signal"), "name",
@@ -235,7 +239,7 @@ def field_matrix(w: Warehouse, end, days: int = 7, table: str = "fact_ga4_pages_
 
 
 # D7
-def quality_alerts(w: Warehouse, as_of, threshold: float = DROP_ALERT_PCT) -> DataFrame:
+def quality_alerts(w: Warehouse, as_of=None, threshold: float = DROP_ALERT_PCT) -> DataFrame:
     """(check, target, value, breached) rows from freshness, volume drop, not-null and unique."""
     fr = freshness(w, as_of).select(F.lit("freshness").alias("check"), F.col("name").alias("target"),
                                     F.col("lag_days").cast("double").alias("value"), F.col("stale").alias("breached"))

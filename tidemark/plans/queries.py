@@ -265,22 +265,25 @@ HEALTH_LATEST = (
 def health(w: Warehouse) -> DataFrame:
     """(metric, value) text rows: row counts of 3 tables and latest date of 8.
 
-    A missing table gives '0' / 'None'. One small aggregate per table, unioned: one job.
+    A missing table gives '0' / 'None'. One small aggregate per table (count and latest date
+    together when both are asked), unioned: one job.
     """
-    parts = []
+    wanted: dict[str, list[tuple[str, str]]] = {}
     for t in HEALTH_COUNTS:
-        name = F.lit(f"rows_{t}").alias("metric")
-        if w.has(t):
-            parts.append(w.table(t).agg(F.count(F.lit(1)).cast("string").alias("value")).select(name, "value"))
-        else:
-            parts.append(w.spark.range(1).select(name, F.lit("0").alias("value")))
+        wanted.setdefault(t, []).append(("count", f"rows_{t}"))
     for metric, t in HEALTH_LATEST:
-        name = F.lit(metric).alias("metric")
+        wanted.setdefault(t, []).append(("latest", metric))
+    parts = []
+    for t, asks in wanted.items():
         if w.has(t):
-            parts.append(w.table(t).agg(F.coalesce(F.max("date").cast("string"), F.lit("None")).alias("value"))
-                          .select(name, "value"))
+            aggs = {"count": F.count(F.lit(1)).cast("string"),
+                    "latest": F.coalesce(F.max("date").cast("string"), F.lit("None"))}
+            kinds = sorted({k for k, _ in asks})
+            one = w.table(t).agg(*[aggs[k].alias(k) for k in kinds])
         else:
-            parts.append(w.spark.range(1).select(name, F.lit("None").alias("value")))
+            one = w.spark.range(1).select(F.lit("0").alias("count"), F.lit("None").alias("latest"))
+        for kind, metric in asks:
+            parts.append(one.select(F.lit(metric).alias("metric"), F.col(kind).alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -324,8 +327,9 @@ def weekly_report(w: Warehouse, start, end, top_n: int = 10, with_countries: boo
     return out.withColumn("display", display)
 
 
-def weekly_summary(w: Warehouse, today) -> DataFrame:
-    """Last 7 days back from ``today`` inclusive (8 days), 5 pages, no countries."""
-    d_end = C.as_date(today)
+def weekly_summary(w: Warehouse, today=None) -> DataFrame:
+    """Last 7 days back from ``today`` (default: the current date) inclusive (8 days), 5 pages,
+    no countries."""
+    d_end = C.as_date(today) if today is not None else _dt.date.today()
     d_start = d_end - _dt.timedelta(days=7)
     return weekly_report(w, d_start, d_end, top_n=5, with_countries=False)
