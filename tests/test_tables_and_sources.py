@@ -229,3 +229,11 @@ def test_replace_window_df_matches_model(spark, old, new, lo, span):
         model = old
     key = lambda r: (r[0] is not None, r[0] or D(1, 1, 1), r[1])
     assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(model, key=key)
+
+
+def test_field_matrix_reports_empty_windows_as_zero(spark):
+    from tidemark.plans import quality as QA
+    from tidemark.sources.warehouse import DerivedWarehouse
+    w = DerivedWarehouse(spark, "/root/testdata/sf0.001")
+    rows = QA.field_matrix(w, "2023-06-30", 7).collect()
+    assert len(rows) == 9 and all(r.rows == 0 for r in rows)

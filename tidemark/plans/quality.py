@@ -234,8 +234,12 @@ def field_matrix(w: Warehouse, end, days: int = 7, table: str = "fact_ga4_pages_
     per_value = long.groupBy("dimension", "dim_value").agg(*[F.max(m).alias(m) for m in MATRIX_METRICS])
     per_dim = per_value.groupBy("dimension").agg(*[F.sum(m).alias(m) for m in MATRIX_METRICS])
     met_args = ", ".join(f"'{m}', {m}" for m in MATRIX_METRICS)
-    return per_dim.select("dimension", F.expr(f"stack({len(MATRIX_METRICS)}, {met_args}) as (metric, n)")) \
-                  .select("dimension", "metric", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("rows"))
+    counts = per_dim.select("dimension", F.expr(f"stack({len(MATRIX_METRICS)}, {met_args}) as (metric, n)"))
+    # every candidate pair appears, with 0 rows when the window holds nothing for it
+    grid = w.spark.createDataFrame([(d, m) for d in MATRIX_DIMENSIONS for m in MATRIX_METRICS],
+                                   "dimension string, metric string")
+    return (grid.join(counts, ["dimension", "metric"], "left")
+                .select("dimension", "metric", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("rows")))
 
 
 # D7
