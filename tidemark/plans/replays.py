@@ -30,11 +30,15 @@ def _dirs(spark: SparkSession, purpose: str) -> tuple[str, str]:
 
 def replay_report(spark: SparkSession, sf_dir: str, table: str, days: int = 30) -> DataFrame:
     """M1–M4: land the fact as an analytics report (request names, text values, yyyyMMdd
-    dates), refresh the last ``days`` days of an empty table, read the table back."""
+    dates) plus the junk rows below, refresh the last ``days`` days of an empty table, read
+    the table back."""
     spec = I.REPORTS[table]
     w = DerivedWarehouse(spark, sf_dir)
     ren = dict(spec.rename)
-    fact = w.table(table).select(*[F.col(ren.get(c, c)).alias(c) for c in spec.dimensions + spec.metrics])
+    fact = w.table(table).select(
+        *[(F.date_format(ren.get(c, c), "yyyyMMdd") if c == "date" else F.col(ren.get(c, c)).cast("string")).alias(c)
+          for c in spec.dimensions + spec.metrics])
+    fact = fact.unionByName(_junk_rows(spark, spec))
     landed, root = _dirs(spark, f"report-{table}")
     L.land_report(fact, landed, spec.dimensions, spec.metrics)
     start, end = I.refresh_window(AS_OF, days)
@@ -42,6 +46,22 @@ def replay_report(spark: SparkSession, sf_dir: str, table: str, days: int = 30)
     return StoredWarehouse(spark, root).table(table).select(*spec.columns)
 
 
+# Rows every landed report carries on purpose — an impossible date, a date
+# outside the refresh window, and a malformed date with a malformed number. None may reach
+# the table.
+JUNK_DATES = ("20240230", "20231215", "2024-01-0x")
+
+
+def _junk_rows(spark: SparkSession, spec: I.ReportSpec) -> DataFrame:
+    rows = []
+    for i, d in enumerate(JUNK_DATES):
+        dims = [d] + ["junk"] * (len(spec.dimensions) - 1)
+        mets = ["n/a" if i == 2 else "1"] * len(spec.metrics)
+        rows.append(tuple(dims + mets))
+    cols = ", ".join(f"`{c}` string" for c in spec.dimensions + spec.metrics)
+    return spark.createDataFrame(rows, cols)
+
+
 def replay_yt_channel(spark: SparkSession, sf_dir: str, days: int = 30) -> DataFrame:
     w = DerivedWarehouse(spark, sf_dir)
     fact = w.table("fact_yt_channel_daily").withColumnRenamed("date", "day")
