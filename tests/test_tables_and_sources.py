@@ -237,3 +237,16 @@ def test_field_matrix_reports_empty_windows_as_zero(spark):
     w = DerivedWarehouse(spark, "/root/testdata/sf0.001")
     rows = QA.field_matrix(w, "2023-06-30", 7).collect()
     assert len(rows) == 9 and all(r.rows == 0 for r in rows)
+
+
+def test_created_empty_table_exists_without_rows(spark, tmpdir_spark):
+    from tidemark.plans import queries as Q
+    root = f"{tmpdir_spark}/wh3"
+    K.ensure_table(spark, f"{root}/fact_ga4_events_daily", "fact_ga4_events_daily")
+    ev = spark.createDataFrame([(D(2024, 1, 5), "video_start", 40, "A")],
+                               "date date, event_name string, event_count bigint, video_title string")
+    K.append(ev, f"{root}/fact_events", ["date"])
+    w = StoredWarehouse(spark, root)
+    assert w.has("fact_ga4_events_daily") and not w.has("fact_sessions")
+    r = Q.video_funnel(w, "2024-01-01", "2024-01-31").first()   # existing GA4 table wins, even empty
+    assert (r.start, r.progress, r.completion_rate) == (0, 0, 0.0)

@@ -9,7 +9,6 @@ Both hand out DataFrames only; nothing is collected.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,16 +152,9 @@ class StoredWarehouse(Warehouse):
         return f"{self.root}/{name}"
 
     def has(self, name: str) -> bool:
-        p = self.path(name)
-        if p.startswith("file:"):
-            p = p[5:]
-        if "://" in p:
-            try:
-                self.spark.read.parquet(self.path(name)).schema  # noqa: B018
-                return True
-            except Exception:  # noqa: BLE001 — missing path
-                return False
-        return os.path.isdir(p) and any(not f.startswith((".", "_")) for f in os.listdir(p))
+        """The table exists (its folder does), even with no rows — like a created table."""
+        from tidemark.operators.tables import path_exists
+        return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
         schema = TABLES.get(name)
