@@ -51,31 +51,35 @@ for _t in ("fact_sessions", "fact_ga4_events_daily", "fact_ga4_pages_daily", "fa
     register(_t, _fact_sql(_t))(lambda w, _t=_t: w.table(_t))
 
 
-_FANOUT_BASE = """
-    SELECT c.campaignId, r.date AS d, r.sessions
-    FROM fact_comms_impact_daily r JOIN fact_rd_email_campaign c ON c.campaignId = r.campaignId"""
-_FANOUT_PVT = """
-    SELECT c.campaignId, CAST(c.date AS DATE) AS send_date,
-           MAX(CASE WHEN b.d = CAST(c.date AS DATE) - 1 THEN b.sessions END) AS ses_d_1,
-           MAX(CASE WHEN b.d = CAST(c.date AS DATE) THEN b.sessions END) AS ses_d0,
-           SUM(CASE WHEN b.d BETWEEN CAST(c.date AS DATE) AND CAST(c.date AS DATE) + 2 THEN b.sessions END) AS ses_d0_d2
-    FROM fact_rd_email_campaign c LEFT JOIN base b ON b.campaignId = c.campaignId
-    GROUP BY 1, 2"""
-
-
-@register("fact_comms_impact_summary_fanout", O.with_facts(("fact_comms_impact_daily", "fact_rd_email_campaign"), """
-    SELECT pvt.campaignId, pvt.send_date,
-           CAST(COALESCE(ses_d_1, 0) AS BIGINT) AS ses_d_1, CAST(COALESCE(ses_d0, 0) AS BIGINT) AS ses_d0,
-           CAST(COALESCE(ses_d0_d2, 0) AS BIGINT) AS ses_d0_d2,
-           CAST(COALESCE(ses_d0, 0) - COALESCE(ses_d_1, 0) AS BIGINT) AS uplift_abs,
-           CASE WHEN COALESCE(ses_d_1, 0) > 0
-                THEN CAST(COALESCE(ses_d0, 0) - COALESCE(ses_d_1, 0) AS DOUBLE) * 100.0 / CAST(ses_d_1 AS DOUBLE)
+# Independent formulation: the repeated-send double counting is an explicit multiplicity —
+# the band sum times the send rows of the (campaign, date) pair times the campaign's send rows.
+_FANOUT_SQL = O.with_facts(("fact_comms_impact_daily", "fact_rd_email_campaign"), """
+    SELECT p.campaignId, p.send_date,
+           CAST(COALESCE(b.d_1, 0) AS BIGINT) AS ses_d_1, CAST(COALESCE(b.d0, 0) AS BIGINT) AS ses_d0,
+           CAST(COALESCE(b.d02 * p.n_pair * t.n_rows, 0) AS BIGINT) AS ses_d0_d2,
+           CAST(COALESCE(b.d0, 0) - COALESCE(b.d_1, 0) AS BIGINT) AS uplift_abs,
+           CASE WHEN COALESCE(b.d_1, 0) > 0
+                THEN CAST(COALESCE(b.d0, 0) - COALESCE(b.d_1, 0) AS DOUBLE) * 100.0 / CAST(b.d_1 AS DOUBLE)
                 ELSE 0.0 END AS uplift_pct,
            t.sends, t.opens, t.clicks
-    FROM pvt LEFT JOIN (SELECT campaignId, CAST(SUM(sends) AS BIGINT) AS sends, CAST(SUM(opens) AS BIGINT) AS opens,
-                               CAST(SUM(clicks) AS BIGINT) AS clicks
-                        FROM fact_rd_email_campaign GROUP BY 1) t ON t.campaignId = pvt.campaignId""",
-    extra=(("base", _FANOUT_BASE), ("pvt", _FANOUT_PVT))))
+    FROM pairs p
+    JOIN tot t ON t.campaignId = p.campaignId
+    LEFT JOIN band b ON b.campaignId = p.campaignId AND b.send_date = p.send_date""",
+    extra=(("pairs", """SELECT campaignId, CAST(date AS DATE) AS send_date, COUNT(*) AS n_pair
+                        FROM fact_rd_email_campaign GROUP BY 1, 2"""),
+           ("tot", """SELECT campaignId, COUNT(*) AS n_rows, CAST(SUM(sends) AS BIGINT) AS sends,
+                             CAST(SUM(opens) AS BIGINT) AS opens, CAST(SUM(clicks) AS BIGINT) AS clicks
+                      FROM fact_rd_email_campaign GROUP BY 1"""),
+           ("band", """SELECT p.campaignId, p.send_date,
+                              MAX(r.sessions) FILTER (WHERE r.date = p.send_date - 1) AS d_1,
+                              MAX(r.sessions) FILTER (WHERE r.date = p.send_date) AS d0,
+                              SUM(r.sessions) FILTER (WHERE r.date >= p.send_date AND r.date <= p.send_date + 2) AS d02
+                       FROM pairs p JOIN fact_comms_impact_daily r
+                         ON r.campaignId = p.campaignId AND r.date >= p.send_date - 1 AND r.date <= p.send_date + 2
+                       GROUP BY 1, 2""")))
+
+
+@register("fact_comms_impact_summary_fanout", _FANOUT_SQL)
 def _summary_fanout(w):
     """The campaign summary with the fan-out of a campaign sent more than once kept
     (D0..D+2 sessions counted once per send row of the campaign)."""
