@@ -223,16 +223,18 @@ def _comms_by_campaign(w):
 
 
 def _pareto_sql(limit: int | None) -> str:
+    """Brute-force definition: a page's running total is the sum over every page ranked at or
+    before it (more views, or as many views and a path not after it)."""
     lim = f"LIMIT {limit}" if limit is not None else ""
     return O.with_facts(("fact_ga4_pages_daily",), f"""
-    SELECT pageTitle AS page_title, pageviews, CAST(cum_pv AS DOUBLE) / NULLIF(CAST(total_pv AS DOUBLE), 0) AS cum_share
-    FROM (SELECT *, SUM(pageviews) OVER () AS total_pv,
-                 SUM(pageviews) OVER (ORDER BY pageviews DESC, pagePath
-                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pv
-          FROM (SELECT pagePath, COALESCE(MAX(pageTitle), pagePath) AS pageTitle,
-                       CAST(COALESCE(SUM(screenPageViews), 0) AS BIGINT) AS pageviews
-                FROM fact_ga4_pages_daily WHERE {BT} GROUP BY 1) agg) ranked
-    ORDER BY pageviews DESC NULLS LAST, pagePath {lim}""")
+    SELECT a.title AS page_title, a.pv AS pageviews,
+           CAST((SELECT SUM(b.pv) FROM agg b WHERE b.pv > a.pv OR (b.pv = a.pv AND b.path <= a.path)) AS DOUBLE)
+             / NULLIF(CAST((SELECT SUM(pv) FROM agg) AS DOUBLE), 0) AS cum_share
+    FROM agg a
+    ORDER BY a.pv DESC, a.path {lim}""", extra=(("agg", f"""
+        SELECT pagePath AS path, COALESCE(MAX(pageTitle), pagePath) AS title,
+               CAST(COALESCE(SUM(screenPageViews), 0) AS BIGINT) AS pv
+        FROM fact_ga4_pages_daily WHERE {BT} GROUP BY pagePath"""),))
 
 
 @register("pages_pareto", _pareto_sql(50))
@@ -328,16 +330,16 @@ def _freshness_body(as_of=ANCHOR, end=END) -> tuple[tuple[str, ...], str]:
 
 
 _VOL_SERIES = """
-    SELECT date, CAST(sessions AS BIGINT) AS sessions, CAST(minutes AS BIGINT) AS minutes,
-           CASE WHEN ses_prev IS NULL OR ses_prev = 0 THEN 0.0
-                ELSE CAST(sessions - ses_prev AS DOUBLE) * 100.0 / CAST(ses_prev AS DOUBLE) END AS ses_dod_pct,
-           CASE WHEN min_prev IS NULL OR min_prev = 0 THEN 0.0
-                ELSE CAST(minutes - min_prev AS DOUBLE) * 100.0 / CAST(min_prev AS DOUBLE) END AS min_dod_pct
-    FROM (SELECT date, sessions, minutes, LAG(sessions) OVER (ORDER BY date) AS ses_prev,
-                 LAG(minutes) OVER (ORDER BY date) AS min_prev
-          FROM (SELECT date, SUM(COALESCE(sessions, 0)) AS sessions,
-                       SUM(COALESCE(estimatedMinutesWatched, 0)) AS minutes
-                FROM fact_engagement_daily GROUP BY date) a) b"""
+    SELECT x.date, CAST(x.sessions AS BIGINT) AS sessions, CAST(x.minutes AS BIGINT) AS minutes,
+           CASE WHEN COALESCE(p.sessions, 0) = 0 THEN 0.0
+                ELSE CAST(x.sessions - p.sessions AS DOUBLE) * 100.0 / CAST(p.sessions AS DOUBLE) END AS ses_dod_pct,
+           CASE WHEN COALESCE(p.minutes, 0) = 0 THEN 0.0
+                ELSE CAST(x.minutes - p.minutes AS DOUBLE) * 100.0 / CAST(p.minutes AS DOUBLE) END AS min_dod_pct
+    FROM per_day x
+    LEFT JOIN per_day p ON p.date = (SELECT MAX(q.date) FROM per_day q WHERE q.date < x.date)"""
+_PER_DAY = """
+    SELECT date, SUM(COALESCE(sessions, 0)) AS sessions, SUM(COALESCE(estimatedMinutesWatched, 0)) AS minutes
+    FROM fact_engagement_daily GROUP BY date"""
 _VOL_LATEST = "SELECT date, ses_dod_pct, min_dod_pct FROM vs ORDER BY date DESC NULLS LAST LIMIT 1"
 
 
@@ -346,19 +348,19 @@ def _freshness(w):
     return QA.freshness(w, ANCHOR, END)
 
 
-@register("volumetry_series", O.with_facts(("fact_engagement_daily",), _VOL_SERIES))
+@register("volumetry_series", O.with_facts(("fact_engagement_daily",), _VOL_SERIES, extra=(("per_day", _PER_DAY),)))
 def _vol_series(w):
     return QA.volumetry_series(w)
 
 
-@register("volumetry_dod", O.with_facts(("fact_engagement_daily",), _VOL_LATEST, extra=(("vs", _VOL_SERIES),)))
+@register("volumetry_dod", O.with_facts(("fact_engagement_daily",), _VOL_LATEST, extra=(("per_day", _PER_DAY), ("vs", _VOL_SERIES))))
 def _vol_dod(w):
     return QA.volumetry_dod(w)
 
 
 @register("volumetry_drops", O.with_facts(("fact_engagement_daily",), f"""
     SELECT date, ses_dod_pct, min_dod_pct FROM vs
-    WHERE ses_dod_pct < {QA.DROP_ALERT_PCT} OR min_dod_pct < {QA.DROP_ALERT_PCT}""", extra=(("vs", _VOL_SERIES),)))
+    WHERE ses_dod_pct < {QA.DROP_ALERT_PCT} OR min_dod_pct < {QA.DROP_ALERT_PCT}""", extra=(("per_day", _PER_DAY), ("vs", _VOL_SERIES))))
 def _vol_drops(w):
     return QA.volumetry_drops(w)
 
@@ -368,7 +370,7 @@ def _vol_drops(w):
     SELECT 'freshness' AS signal, name, latest_date AS date, CAST(NULL AS DOUBLE) AS value FROM fr
     UNION ALL SELECT 'volumetry', 'ses_dod_pct', date, ses_dod_pct FROM vl
     UNION ALL SELECT 'volumetry', 'min_dod_pct', date, min_dod_pct FROM vl""",
-    extra=(("fr", _freshness_body()[1]), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST))))
+    extra=(("fr", _freshness_body()[1]), ("per_day", _PER_DAY), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST))))
 def _quality_signals(w):
     return QA.quality_signals(w, ANCHOR)
 
@@ -486,7 +488,7 @@ def _field_matrix(w):
     UNION ALL SELECT 'volumetry_dod', 'minutes', min_dod_pct, min_dod_pct < {QA.DROP_ALERT_PCT} FROM vl
     UNION ALL SELECT 'not_null', dataset || '.' || column_name, CAST(nulls AS DOUBLE), violated FROM nn
     UNION ALL SELECT 'unique', dataset || '.' || key_columns, CAST(duplicate_keys AS DOUBLE), violated FROM un""",
-    extra=(("fr", _freshness_body()[1]), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST),
+    extra=(("fr", _freshness_body()[1]), ("per_day", _PER_DAY), ("vs", _VOL_SERIES), ("vl", _VOL_LATEST),
            ("nn", _not_null_body()[1]), ("un", _unique_body()[1]))))
 def _quality_alerts(w):
     return QA.quality_alerts(w, ANCHOR)
