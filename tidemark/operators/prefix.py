@@ -35,7 +35,17 @@ def running_share_top(df: DataFrame, value: str, key: str, limit: int,
 
 def running_share_all(df: DataFrame, value: str, key: str, rows_per_range: int = 1_000_000,
                       running: str = "cum_value", share: str = "cum_share") -> DataFrame:
-    """Every row with running sum and share, in ranges of about ``rows_per_range`` rows."""
+    """Every row with running sum and share, in ranges of about ``rows_per_range`` rows.
+
+    The input feeds three jobs (row count, range sampling, the result), so its lineage is cut
+    first with a reliable checkpoint under ``spark.checkpoint.dir``: the upstream aggregate
+    runs once. The per-range window re-shuffles the ranged rows by range id (Spark cannot
+    know the range exchange already placed them); that shuffle carries the page aggregates,
+    not raw events.
+    """
+    from tidemark.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
     n_rows = df.count()
     n_ranges = max(1, math.ceil(n_rows / rows_per_range))
     ranged = (df.repartitionByRange(n_ranges, *_order(value, key))
