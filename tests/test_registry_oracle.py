@@ -58,3 +58,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["page_title", "pageviews", "cum_share"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["fact_sessions", "pages_pareto_all", "fact_comms_impact_summary", "weekly_report"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    keys = ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    cur = con.execute(E.oracle_sql()[name])
+    assert _bag(df.columns, rows) == _bag([d[0] for d in cur.description], cur.fetchall())
