@@ -45,3 +45,10 @@ def test_cli_init_refresh_materialize_query(spark, tmpdir_spark):
     assert cat.where(F.col("name") == "pageviews:BIGINT").count() == 1
     assert main(["query", "partial_day", "--root", root, "--end", "2024-01-28", "--as-of", "2024-01-28"],
                 spark).first().latest_date == dt.date(2024, 1, 30)
+
+
+def test_cli_materialize_all_then_query(spark, tmpdir_spark):
+    root = f"{tmpdir_spark}/wh_all"
+    main(["materialize-all", "--sf-dir", SF, "--root", root], spark)
+    got = main(["query", "comms_summary", "--root", root, "--limit", "3"], spark).collect()
+    assert len(got) == 3 and got[0].send_date >= got[-1].send_date
