@@ -4,8 +4,9 @@ Sessions are nested inside users (a session is a user × hour), so "distinct ses
 "distinct users" per group come from two stacked aggregations:
 
 1. group by (keys, user): countDistinct(session) + per-user sums. One distinct column only,
-   so Spark plans it as partial aggregate on (keys, user, session) → one exchange on
-   (keys, user) → merge; a hot user is collapsed map-side before any shuffle.
+   so Spark plans it without Expand: partial aggregate on (keys, user, session) → exchange on
+   (keys, user, session) → exchange on (keys, user); a hot user is collapsed map-side before
+   any shuffle.
 2. group by keys: sum of per-user session counts, count of users, sums.
 
 This replaces Spark's Expand rewrite for two COUNT(DISTINCT ..) (which triples the rows
@@ -14,8 +15,8 @@ before the first partial aggregate) and stays exact: a session key never spans t
 When the session is identified inside its user by a small slot number (0..63, e.g. the hour
 of day), step 1 needs no distinct at all: the slots a user touched are OR-ed into one 64-bit
 mask (``bit_or(1 << slot)``, an ordinary mergeable aggregate) and counted with
-``bit_count``. That removes the extra exchange of the single-distinct plan; the partial
-aggregate carries 8 bytes per (keys, user).
+``bit_count``. That removes the first exchange of the single-distinct plan (one exchange on
+(keys, user) instead of two); the partial aggregate carries 8 bytes per (keys, user).
 """
 
 from __future__ import annotations
