@@ -94,9 +94,10 @@ def fact_ga4_pages_daily(ev: DataFrame, pages: DataFrame) -> DataFrame:
     """date × pagePath × pageTitle → screenPageViews, sessions, totalUsers.
 
     Events are aggregated per (date, k) first; only then is the page table consulted, and
-    only for the page ids that occur (left-semi on the small key set), so the page scan is
-    a filter, not a shuffle of the page table. A page id listed twice with one url counts
-    twice, as a row-level join would.
+    only for the page ids that occur: a left-semi join on the used key set, which AQE turns
+    into a broadcast filter on the page scan when the set is small (as here: page keys), and
+    which otherwise stays a sort-merge join over the two pruned columns. A page id listed
+    twice with one url counts twice, as a row-level join would.
     """
     agg = sessions_and_users(ev, ["date", "k"], users_name="totalUsers", session_slot="hour",
                              sums={"screenPageViews": _flag(F.col("event_type").isin(*VIEW_LIKE))})
