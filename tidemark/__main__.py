@@ -10,6 +10,7 @@
     python -m tidemark import-csv-pages|import-csv-countries --paths P [P ...] --root R [--as-of D]
     python -m tidemark import-csv-videos --start-paths P [P ...] --progress-paths P [P ...] --root R [--as-of D]
     python -m tidemark materialize-all --sf-dir D --root R
+    python -m tidemark refresh-marts --root R [--days 30] [--as-of D]
     python -m tidemark materialize-engagement --root R
     python -m tidemark materialize-comms-impact --root R
     python -m tidemark catalog --root R --out P
@@ -102,6 +103,7 @@ def _parser() -> argparse.ArgumentParser:
     cmd("import-csv-videos", lambda p: p.add_argument("--start-paths", nargs="*", default=[]),
         lambda p: p.add_argument("--progress-paths", nargs="*", default=[]))
     cmd("materialize-all", lambda p: p.add_argument("--sf-dir", required=True))
+    cmd("refresh-marts", days)
     cmd("materialize-engagement")
     cmd("materialize-comms-impact")
     cmd("catalog", lambda p: p.add_argument("--out", required=True))
@@ -157,6 +159,9 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
     elif a.cmd == "materialize-all":
         from tidemark.plans.build import materialize
         materialize(spark, a.sf_dir, root)
+    elif a.cmd == "refresh-marts":
+        from tidemark.plans.build import refresh_marts_window
+        refresh_marts_window(spark, root, *window())
     elif a.cmd == "materialize-engagement":
         K.rebuild(M.engagement_daily(w.table("dim_date"), w.table("fact_sessions"), w.table("fact_yt_channel_daily")),
                   f"{root}/fact_engagement_daily", PARTITION_COLS["fact_engagement_daily"])

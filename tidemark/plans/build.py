@@ -46,3 +46,23 @@ def materialize(spark: SparkSession, sf_dir: str, root: str) -> StoredWarehouse:
     _write(M.comms_impact_summary(stored.table("fact_comms_impact_daily"), stored.table("fact_rd_email_campaign")),
            root, "fact_comms_impact_summary")
     return stored
+
+
+def refresh_marts_window(spark: SparkSession, root: str, start, end) -> None:
+    """After source windows were refreshed, bring the day-local marts up to date for
+    [start, end] only, instead of rebuilding them from all history.
+
+    Exact: an engagement day depends only on that day's sessions and video rows (and the
+    calendar), a campaign-impact day only on that day's UTM sessions and the map. The send
+    summary looks around each send date and is one row per send, so it is rebuilt whole.
+    """
+    from tidemark.functions.columns import date_lit
+    w = StoredWarehouse(spark, root)
+    in_win = F.col("date").between(date_lit(start), date_lit(end))
+    eng = M.engagement_daily(w.table("dim_date").where(in_win), w.fact("fact_sessions", start, end),
+                             w.fact("fact_yt_channel_daily", start, end))
+    K.replace_window(spark, eng, f"{root}/fact_engagement_daily", start, end)
+    daily = M.comms_impact_daily(w.fact("fact_ga4_sessions_by_utm_daily", start, end), w.table("map_utm_campaign"))
+    K.replace_window(spark, daily, f"{root}/fact_comms_impact_daily", start, end)
+    _write(M.comms_impact_summary(StoredWarehouse(spark, root).table("fact_comms_impact_daily"),
+                                  w.table("fact_rd_email_campaign")), root, "fact_comms_impact_summary")
