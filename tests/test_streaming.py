@@ -33,3 +33,22 @@ def test_refresh_stream_applies_windows_in_order_and_resumes(spark, tmpdir_spark
     assert (D(2024, 1, 8), 8, 8, 8) not in got
     assert (D(2024, 1, 6), 60, 60, 60) in got and (D(2024, 1, 1), 1, 1, 1) in got
     assert len(got) == 9
+
+
+def test_refresh_stream_also_refreshes_marts(spark, tmpdir_spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import marts as M
+    from tidemark.plans.build import materialize
+    from tidemark.sources.warehouse import StoredWarehouse
+    root, manifests = f"{tmpdir_spark}/wh_m", f"{tmpdir_spark}/manifests_m"
+    stored = materialize(spark, "/root/testdata/sf0.001", root)
+    repull = (stored.fact("fact_sessions", "2024-01-05", "2024-01-06")
+              .select("date", (F.col("pageviews") * 3).alias("screenPageViews"), "sessions",
+                      F.col("users").alias("totalUsers")))
+    L.land_report(repull, f"{tmpdir_spark}/r3", ["date"], ["totalUsers", "sessions", "screenPageViews"])
+    post_manifest(spark, manifests, "report", "fact_sessions", f"{tmpdir_spark}/r3", "2024-01-05", "2024-01-06")
+    start_refresh_stream(spark, manifests, root, f"{tmpdir_spark}/ckpt_m", refresh_marts=True).awaitTermination(180)
+    w = StoredWarehouse(spark, root)
+    full = M.engagement_daily(w.table("dim_date"), w.table("fact_sessions"), w.table("fact_yt_channel_daily"))
+    assert sorted(map(tuple, w.table("fact_engagement_daily").collect())) == sorted(map(tuple, full.collect()))

@@ -52,9 +52,12 @@ def apply_manifest(spark: SparkSession, warehouse_root: str, m: dict) -> bool:
 
 def start_refresh_stream(spark: SparkSession, manifest_dir: str, warehouse_root: str,
                          checkpoint: str | None = None, available_now: bool = True,
-                         max_manifests_per_batch: int = 100) -> StreamingQuery:
+                         max_manifests_per_batch: int = 100, refresh_marts: bool = False) -> StreamingQuery:
     """Start the manifest-driven refresh. Manifests of one micro-batch are applied in
-    landing order (ordered by window end, then path), so a newer pull of the same window wins."""
+    landing order (ordered by window end, then path), so a newer pull of the same window wins.
+
+    With ``refresh_marts`` the day-local marts are then refreshed for the span of the
+    batch's windows (``plans.build.refresh_marts_window``)."""
     checkpoint = checkpoint or scratch_dir(spark, "refresh-stream-checkpoint")
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -62,6 +65,10 @@ def start_refresh_stream(spark: SparkSession, manifest_dir: str, warehouse_root:
         manifests = [r.asDict() for r in batch.orderBy("end", "report_path").collect()]
         for m in manifests:
             apply_manifest(spark, warehouse_root, m)
+        if refresh_marts and manifests:
+            from tidemark.plans.build import refresh_marts_window
+            refresh_marts_window(spark, warehouse_root, min(m["start"] for m in manifests),
+                                 max(m["end"] for m in manifests))
 
     stream = (spark.readStream.schema(MANIFEST_SCHEMA)
                    .option("maxFilesPerTrigger", max_manifests_per_batch)
