@@ -128,3 +128,41 @@ def test_utm_null_medium_never_matches(spark):
                                             "campaignId string, campaign_name string"))
     rows = M.comms_impact_daily(g, m).collect()
     assert [(r.campaignId, r.sessions, r.users) for r in rows] == [("C1", 5, 4)]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+from tidemark.operators.tables import upsert_by_key  # noqa: E402
+
+
+@settings(max_examples=20, deadline=None)
+@given(old=st.dictionaries(st.sampled_from("abcdef"), st.text("xyz", min_size=1, max_size=3), max_size=6),
+       new=st.lists(st.tuples(st.sampled_from("abcdefgh"), st.text("xyz", min_size=1, max_size=3)), max_size=8))
+def test_upsert_matches_dictionary_model(spark, old, new):
+    schema = "page_path string, page_title string"
+    got = dict(tuple(r) for r in upsert_by_key(spark.createDataFrame(list(old.items()), schema),
+                                               spark.createDataFrame(new, schema), "page_path").collect())
+    model = dict(old)
+    batch: dict[str, str] = {}
+    for k, v in new:
+        batch[k] = max(batch.get(k, v), v)  # a key twice in one batch: the greatest value
+    model.update(batch)
+    assert got == model
+
+
+@settings(max_examples=15, deadline=None)
+@given(day=st.integers(0, 365), kind=st.sampled_from(["wow", "mtd", "7v28"]))
+def test_compare_periods_matches_brute_force(spark, day, kind):
+    base = dt.date(2023, 12, 1)
+    days = [base + dt.timedelta(days=i) for i in range(420)]
+    rows = [(d, (i * 7919) % 97) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "date date, v bigint")
+    end = dt.date(2024, 1, 1) + dt.timedelta(days=day)
+    cur, ref = {"wow": CMP.wow_windows, "mtd": CMP.mtd_windows, "7v28": CMP.seven_vs_28_windows}[kind](end)
+    scale = 0.25 if kind == "7v28" else 1.0
+    r = CMP.compare_periods(df, {"v": "v"}, cur, ref, ref_scale=scale).first()
+    cs = float(sum(v for d, v in rows if cur[0] <= d <= cur[1]))
+    rs = float(sum(v for d, v in rows if ref[0] <= d <= ref[1])) * scale
+    assert (r.current, r.previous, r.delta_abs) == (cs, rs, cs - rs)
+    want = (0.0 if cs == 0 else 100.0) if rs == 0 else (cs - rs) / rs * 100.0
+    assert abs(r.delta_pct - want) <= 0.05 + 1e-9
