@@ -250,3 +250,15 @@ def test_created_empty_table_exists_without_rows(spark, tmpdir_spark):
     assert w.has("fact_ga4_events_daily") and not w.has("fact_sessions")
     r = Q.video_funnel(w, "2024-01-01", "2024-01-31").first()   # existing GA4 table wins, even empty
     assert (r.start, r.progress, r.completion_rate) == (0, 0, 0.0)
+
+
+def test_import_exports_stacks_different_headers(spark, tmpdir_spark):
+    a = _local(f"{tmpdir_spark}/a.csv")
+    b = _local(f"{tmpdir_spark}/b.csv")
+    with open(a, "w", encoding="utf-8") as f:
+        f.write("Data,Usuários,Sessões\n20240105,3,4\n")
+    with open(b, "w", encoding="utf-8") as f:
+        f.write("Data,Usuários ativos,Visualizações de tela\n20240106,7,9\n")
+    got = {r.date: r.asDict() for r in X.import_exports(spark, [a, b]).collect()}
+    assert got["20240105"]["users"] == "3" and got["20240105"]["sessions"] == "4" and got["20240105"]["pageviews"] is None
+    assert got["20240106"]["users"] == "7" and got["20240106"]["pageviews"] == "9" and got["20240106"]["sessions"] is None
