@@ -52,3 +52,22 @@ def test_cli_materialize_all_then_query(spark, tmpdir_spark):
     main(["materialize-all", "--sf-dir", SF, "--root", root], spark)
     got = main(["query", "comms_summary", "--root", root, "--limit", "3"], spark).collect()
     assert len(got) == 3 and got[0].send_date >= got[-1].send_date
+
+
+def test_cli_refresh_yt_combined(spark, tmpdir_spark):
+    root = f"{tmpdir_spark}/wh_yt"
+    src = DerivedWarehouse(spark, SF)
+    day = src.table("fact_yt_channel_daily").withColumnRenamed("date", "day")
+    L.land_video_report(day, f"{tmpdir_spark}/yt_day", ("day", "views", "estimatedMinutesWatched",
+                                                        "averageViewDuration"))
+    vids = (src.table("fact_yt_video_period").where(F.col("startDate") == F.lit(dt.date(2024, 1, 8)))
+            .withColumnRenamed("videoId", "video"))
+    L.land_video_report(vids, f"{tmpdir_spark}/yt_vid", ("video", "views", "estimatedMinutesWatched",
+                                                         "averageViewDuration"))
+    main(["refresh-yt", "--channel-report", f"{tmpdir_spark}/yt_day", "--videos-report", f"{tmpdir_spark}/yt_vid",
+          "--root", root, "--days", "7", "--as-of", "2024-01-14", "--max-results", "5"], spark)
+    ch = spark.read.parquet(f"{root}/fact_yt_channel_daily")
+    assert ch.agg(F.min("date"), F.max("date")).first() == (dt.date(2024, 1, 8), dt.date(2024, 1, 13))
+    vp = spark.read.parquet(f"{root}/fact_yt_video_period")
+    assert vp.count() == 5 and {tuple(r) for r in vp.select("startDate", "endDate").distinct().collect()} == \
+        {(dt.date(2024, 1, 7), dt.date(2024, 1, 14))}

@@ -4,6 +4,7 @@
     python -m tidemark refresh-report --table fact_sessions --report P --root R [--days 30] [--as-of D]
     python -m tidemark refresh-yt-channel --report P --root R [--days 30] [--as-of D]
     python -m tidemark refresh-yt-videos --report P --root R --start D --end D [--max-results 50]
+    python -m tidemark refresh-yt --channel-report P --videos-report P --root R [--days 30] [--as-of D]
     python -m tidemark refresh-rd-campaigns --campaigns P --metrics P --root R [--days 30] [--as-of D]
     python -m tidemark refresh-rd-leads --contacts P --root R [--days 30] [--as-of D]
     python -m tidemark import-utm-map [--path P] --root R
@@ -94,6 +95,9 @@ def _parser() -> argparse.ArgumentParser:
     cmd("refresh-yt-channel", report, days)
     cmd("refresh-yt-videos", report, lambda p: p.add_argument("--start", required=True),
         lambda p: p.add_argument("--end", required=True), lambda p: p.add_argument("--max-results", type=int, default=50))
+    cmd("refresh-yt", days, lambda p: p.add_argument("--channel-report", required=True),
+        lambda p: p.add_argument("--videos-report", required=True),
+        lambda p: p.add_argument("--max-results", type=int, default=50))
     cmd("refresh-rd-campaigns", days, lambda p: p.add_argument("--campaigns", required=True),
         lambda p: p.add_argument("--metrics", required=True))
     cmd("refresh-rd-leads", days, lambda p: p.add_argument("--contacts", required=True))
@@ -144,6 +148,9 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
         I.refresh_yt_channel(spark, a.report, f"{root}/fact_yt_channel_daily", *window())
     elif a.cmd == "refresh-yt-videos":
         I.refresh_yt_videos(spark, a.report, f"{root}/fact_yt_video_period", a.max_results, a.start, a.end)
+    elif a.cmd == "refresh-yt":
+        I.refresh_yt_channel_and_videos(spark, a.channel_report, a.videos_report, root, as_of, a.days,
+                                        a.max_results)
     elif a.cmd == "refresh-rd-campaigns":
         I.refresh_email_campaigns(spark, a.campaigns, a.metrics, f"{root}/fact_rd_email_campaign", *window())
     elif a.cmd == "refresh-rd-leads":

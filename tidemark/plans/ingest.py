@@ -123,6 +123,16 @@ def refresh_yt_videos(spark: SparkSession, path: str, table_path: str, max_resul
     return K.replace_period(yt_videos_batch(spark, path, max_results, start, end), table_path)
 
 
+def refresh_yt_channel_and_videos(spark: SparkSession, channel_path: str, videos_path: str, root: str,
+                                  as_of, days: int = 30, max_results: int = 50) -> tuple[bool, bool]:
+    """M5 as one job entry: channel days of the last ``days`` days (window replace) and the
+    top ``max_results`` videos of that same period (period replace). Either report may be
+    empty, which leaves its table untouched."""
+    start, end = refresh_window(as_of, days)
+    return (refresh_yt_channel(spark, channel_path, f"{root}/fact_yt_channel_daily", start, end),
+            refresh_yt_videos(spark, videos_path, f"{root}/fact_yt_video_period", max_results, start, end))
+
+
 # M11
 def email_campaign_batch(spark: SparkSession, campaigns_path: str, metrics_path: str, end) -> DataFrame:
     """Campaign records ⟕ their metrics (one row per campaign id), send date from the first
