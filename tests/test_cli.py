@@ -23,8 +23,11 @@ def test_cli_init_refresh_materialize_query(spark, tmpdir_spark):
         ren = dict(spec.rename)
         fact = src.table(table).select(*[F.col(ren.get(c, c)).alias(c) for c in spec.dimensions + spec.metrics])
         L.land_report(fact, f"{tmpdir_spark}/landed/{table}", spec.dimensions, spec.metrics)
-        main(["refresh-report", "--table", table, "--report", f"{tmpdir_spark}/landed/{table}", "--root", root,
-              "--days", "30", "--as-of", "2024-01-31"], spark)
+    main(["refresh-report", "--table", "fact_sessions", "--report", f"{tmpdir_spark}/landed/fact_sessions",
+          "--root", root, "--days", "30", "--as-of", "2024-01-31"], spark)
+    main(["refresh-analytics", "--pages", f"{tmpdir_spark}/landed/fact_ga4_pages_daily",
+          "--events", f"{tmpdir_spark}/landed/fact_ga4_events_daily", "--root", root, "--as-of", "2024-01-31"],
+         spark)
     yt = src.table("fact_yt_channel_daily").withColumnRenamed("date", "day")
     L.land_video_report(yt, f"{tmpdir_spark}/landed/yt", ("day", "views", "estimatedMinutesWatched",
                                                           "averageViewDuration"))

@@ -2,6 +2,7 @@
 
     python -m tidemark init --root R [--start 2023-01-01] [--as-of D]
     python -m tidemark refresh-report --table fact_sessions --report P --root R [--days 30] [--as-of D]
+    python -m tidemark refresh-analytics [--sessions P] [--events P] [--pages P] [--utm P] --root R [--days 30] [--as-of D]
     python -m tidemark refresh-yt-channel --report P --root R [--days 30] [--as-of D]
     python -m tidemark refresh-yt-videos --report P --root R --start D --end D [--max-results 50]
     python -m tidemark refresh-yt --channel-report P --videos-report P --root R [--days 30] [--as-of D]
@@ -92,6 +93,8 @@ def _parser() -> argparse.ArgumentParser:
     report = lambda p: p.add_argument("--report", required=True)
     cmd("init", lambda p: p.add_argument("--start", default="2023-01-01"))
     cmd("refresh-report", report, days, lambda p: p.add_argument("--table", required=True))
+    cmd("refresh-analytics", days, *[(lambda flag: (lambda p: p.add_argument(flag, default=None)))(f)
+                                     for f in ("--sessions", "--events", "--pages", "--utm")])
     cmd("refresh-yt-channel", report, days)
     cmd("refresh-yt-videos", report, lambda p: p.add_argument("--start", required=True),
         lambda p: p.add_argument("--end", required=True), lambda p: p.add_argument("--max-results", type=int, default=50))
@@ -144,6 +147,10 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
         K.rebuild(calendar(spark, a.start, as_of), f"{root}/dim_date")
     elif a.cmd == "refresh-report":
         I.refresh_report(spark, a.report, f"{root}/{a.table}", I.REPORTS[a.table], *window())
+    elif a.cmd == "refresh-analytics":
+        given = {"fact_sessions": a.sessions, "fact_ga4_events_daily": a.events, "fact_ga4_pages_daily": a.pages,
+                 "fact_ga4_sessions_by_utm_daily": a.utm}
+        I.refresh_reports(spark, {t: p for t, p in given.items() if p}, root, as_of, a.days)
     elif a.cmd == "refresh-yt-channel":
         I.refresh_yt_channel(spark, a.report, f"{root}/fact_yt_channel_daily", *window())
     elif a.cmd == "refresh-yt-videos":

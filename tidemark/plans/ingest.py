@@ -76,6 +76,13 @@ def refresh_report(spark: SparkSession, report_path: str, table_path: str, spec:
     return K.replace_window(spark, report_batch(spark, report_path, spec), table_path, start, end)
 
 
+def refresh_reports(spark: SparkSession, reports: dict[str, str], root: str, as_of, days: int = 30) -> dict[str, bool]:
+    """Refresh several analytics facts from their landed reports over the same window (the
+    "refresh all" action): ``reports`` maps a fact table to its landed report path."""
+    start, end = refresh_window(as_of, days)
+    return {t: refresh_report(spark, path, f"{root}/{t}", REPORTS[t], start, end) for t, path in reports.items()}
+
+
 # M5a
 def yt_channel_batch(spark: SparkSession, path: str) -> DataFrame:
     r = L.read_video_report(spark, path, ("day", "views", "estimatedMinutesWatched", "averageViewDuration"))
