@@ -82,6 +82,7 @@ def video_funnel(w: Warehouse, start, end) -> DataFrame:
 
 # Q5
 def top_countries(w: Warehouse, start, end, limit: int = 10) -> DataFrame:
+    """Users per country in the window, most first; empty when the country fact is missing."""
     if not w.has("fact_sessions_by_country"):
         return w.spark.createDataFrame([], "country_id string, users bigint")
     f = w.fact("fact_sessions_by_country", start, end)
@@ -99,6 +100,7 @@ def top_weekdays(w: Warehouse, start, end) -> DataFrame:
 
 # Q7
 def yt_channel_daily(w: Warehouse, start, end) -> DataFrame:
+    """Channel days in the window (NULL metrics as 0), by date; empty when the table is missing."""
     if not w.has("fact_yt_channel_daily"):
         return w.spark.createDataFrame([], "date date, views bigint, estimatedMinutesWatched bigint, "
                                            "averageViewDuration double")
@@ -131,6 +133,7 @@ def yt_top_videos(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
 
 # Q9
 def engagement_kpis(w: Warehouse, start, end) -> DataFrame:
+    """Sessions, page views, video views and minutes summed over the window (as doubles)."""
     f = w.fact("fact_engagement_daily", start, end)
     return f.agg(C.sum0("sessions").cast("double").alias("sessions"),
                  C.sum0("pageviews").cast("double").alias("pageviews"),
@@ -140,6 +143,7 @@ def engagement_kpis(w: Warehouse, start, end) -> DataFrame:
 
 # Q10
 def engagement_series(w: Warehouse, start, end) -> DataFrame:
+    """Per day of the window: sessions and minutes watched, by date."""
     f = w.fact("fact_engagement_daily", start, end)
     return (f.select("date",
                      F.coalesce("sessions", F.lit(0)).cast("bigint").alias("sessions"),
@@ -163,6 +167,7 @@ def yt_retention(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
 
 # Q12
 def utm_aggregate(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
+    """Sessions and users per (source, medium, campaign), NULL parts as '(na)', most sessions first."""
     f = w.fact("fact_ga4_sessions_by_utm_daily", start, end)
     na = F.lit("(na)")
     agg = (f.groupBy(F.coalesce("source", na).alias("source"), F.coalesce("medium", na).alias("medium"),
@@ -174,6 +179,7 @@ def utm_aggregate(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
 
 # Q13
 def comms_by_campaign(w: Warehouse, start, end, limit: int = 20) -> DataFrame:
+    """Sessions and users attributed to each campaign in the window, most sessions first."""
     f = w.fact("fact_comms_impact_daily", start, end)
     agg = (f.groupBy("campaignId")
             .agg(C.sum0("sessions").cast("bigint").alias("sessions"),
@@ -205,6 +211,7 @@ def pages_pareto(w: Warehouse, start, end, limit: int | None = 50) -> DataFrame:
 
 # Q15
 def rd_kpis(w: Warehouse, start, end) -> DataFrame:
+    """Sends, opens, clicks of the window and click rate (clicks / sends × 100, 2 decimals)."""
     f = w.fact("fact_rd_email_campaign", start, end)
     agg = f.agg(C.sum0("sends").alias("s"), C.sum0("opens").alias("o"), C.sum0("clicks").alias("c"))
     ctr = F.when(F.col("s") != 0,
@@ -216,6 +223,7 @@ def rd_kpis(w: Warehouse, start, end) -> DataFrame:
 
 # Q16
 def comms_summary(w: Warehouse, limit: int = 10) -> DataFrame:
+    """The latest sends of the campaign summary (send date descending, campaign as tie-break)."""
     s = w.table("fact_comms_impact_summary")
     cols = [F.col("campaignId"), F.col("send_date")]
     cols += [F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
@@ -232,17 +240,20 @@ _ENGAGEMENT_METRICS = {"sessions": "sessions", "minutes": "estimatedMinutesWatch
 
 
 def wow(w: Warehouse, end) -> DataFrame:
+    """Sessions and minutes: D-6..D against D-13..D-7."""
     cur, ref = CMP.wow_windows(end)
     return CMP.compare_periods(w.fact("fact_engagement_daily", ref[0], cur[1]), _ENGAGEMENT_METRICS, cur, ref)
 
 
 def mtd_vs_prev(w: Warehouse, end, clamp_prev_month: bool = False) -> DataFrame:
+    """Sessions and minutes: month to date against the previous month from its first day."""
     cur, ref = CMP.mtd_windows(end, clamp_prev_month)
     lo, hi = min(cur[0], ref[0]), max(cur[1], ref[1])
     return CMP.compare_periods(w.fact("fact_engagement_daily", lo, hi), _ENGAGEMENT_METRICS, cur, ref)
 
 
 def seven_vs_28(w: Warehouse, end) -> DataFrame:
+    """Sessions and minutes: the last 7 days against 7/28 of the last 28 days."""
     cur, ref = CMP.seven_vs_28_windows(end)
     return CMP.compare_periods(w.fact("fact_engagement_daily", ref[0], cur[1]), _ENGAGEMENT_METRICS, cur, ref,
                                ref_scale=7.0 / 28.0, ref_name="reference")
