@@ -52,3 +52,27 @@ def test_refresh_stream_also_refreshes_marts(spark, tmpdir_spark):
     w = StoredWarehouse(spark, root)
     full = M.engagement_daily(w.table("dim_date"), w.table("fact_sessions"), w.table("fact_yt_channel_daily"))
     assert sorted(map(tuple, w.table("fact_engagement_daily").collect())) == sorted(map(tuple, full.collect()))
+
+
+def test_refresh_stream_video_manifests(spark, tmpdir_spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.warehouse import DerivedWarehouse
+    src = DerivedWarehouse(spark, "/root/testdata/sf0.001")
+    wh, manifests = f"{tmpdir_spark}/wh_v", f"{tmpdir_spark}/manifests_v"
+    day = src.fact("fact_yt_channel_daily", "2024-01-08", "2024-01-14").withColumnRenamed("date", "day")
+    L.land_video_report(day, f"{tmpdir_spark}/v_day", ("day", "views", "estimatedMinutesWatched", "averageViewDuration"))
+    vids = (src.table("fact_yt_video_period").where(F.col("startDate") == F.lit(D(2024, 1, 8)))
+            .withColumnRenamed("videoId", "video"))
+    L.land_video_report(vids, f"{tmpdir_spark}/v_vid", ("video", "views", "estimatedMinutesWatched",
+                                                        "averageViewDuration"))
+    post_manifest(spark, manifests, "yt_channel", "fact_yt_channel_daily", f"{tmpdir_spark}/v_day",
+                  "2024-01-08", "2024-01-14")
+    post_manifest(spark, manifests, "yt_videos", "fact_yt_video_period", f"{tmpdir_spark}/v_vid",
+                  "2024-01-08", "2024-01-14")
+    start_refresh_stream(spark, manifests, wh, f"{tmpdir_spark}/ckpt_v").awaitTermination(180)
+    ch = spark.read.parquet(f"{wh}/fact_yt_channel_daily")
+    assert ch.count() == day.count()
+    vp = spark.read.parquet(f"{wh}/fact_yt_video_period")
+    assert vp.count() == min(50, vids.count())
+    assert {tuple(r) for r in vp.select("startDate", "endDate").distinct().collect()} == {(D(2024, 1, 8), D(2024, 1, 14))}
