@@ -74,3 +74,34 @@ def test_cli_refresh_yt_combined(spark, tmpdir_spark):
     vp = spark.read.parquet(f"{root}/fact_yt_video_period")
     assert vp.count() == 5 and {tuple(r) for r in vp.select("startDate", "endDate").distinct().collect()} == \
         {(dt.date(2024, 1, 7), dt.date(2024, 1, 14))}
+
+
+def test_cli_imports_and_crm_refresh(spark, tmpdir_spark):
+    import json
+    import os
+    root = f"{tmpdir_spark}/wh_imp"
+    local = lambda p: p[5:] if p.startswith("file:") else p
+    main(["import-utm-map", "--root", root], spark)  # no file: empty map
+    assert spark.read.parquet(f"{root}/map_utm_campaign").count() == 0
+    m = local(f"{tmpdir_spark}/map.csv")
+    with open(m, "w", encoding="utf-8") as f:
+        f.write("utm_source,utm_medium,utm_campaign,campaignId,campaign_name\n Email ,EMAIL,Camp-1,C1,One\n")
+    main(["import-utm-map", "--path", m, "--root", root], spark)
+    row = spark.read.parquet(f"{root}/map_utm_campaign").first()
+    assert (row.utm_source_norm, row.utm_medium_norm, row.utm_campaign_norm) == ("email", "email", "camp-1")
+    c = local(f"{tmpdir_spark}/contacts")
+    os.makedirs(c, exist_ok=True)
+    with open(f"{c}/p.json", "w") as f:
+        f.write(json.dumps({"items": [{"id": "1", "updated_at": "2024-01-20", "status": "lead"},
+                                      {"id": "2", "updated_at": "2024-01-21"}]}) + "\n")
+    main(["refresh-rd-leads", "--contacts", c, "--root", root, "--as-of", "2024-01-31"], spark)
+    main(["refresh-rd-leads", "--contacts", c, "--root", root, "--as-of", "2024-01-31"], spark)  # re-run: no double
+    leads = {(r.stage, r["count"]) for r in spark.read.parquet(f"{root}/fact_rd_lead_stage_daily").collect()}
+    assert leads == {("lead", 1), ("unknown", 1)}
+    k = local(f"{tmpdir_spark}/countries.csv")
+    with open(k, "w", encoding="utf-8") as f:
+        f.write("ID do país,Usuários ativos\nBrasil,7\nChile,x\n")
+    main(["import-csv-countries", "--paths", k, "--root", root, "--as-of", "2024-01-28"], spark)
+    got = {(r.country_id, r.users) for r in spark.read.parquet(f"{root}/fact_sessions_by_country").collect()}
+    assert got == {("Brasil", 7), ("Chile", None)}
+    assert {r.country_id for r in spark.read.parquet(f"{root}/dim_country").collect()} == {"Brasil", "Chile"}
