@@ -105,3 +105,36 @@ def test_cli_imports_and_crm_refresh(spark, tmpdir_spark):
     got = {(r.country_id, r.users) for r in spark.read.parquet(f"{root}/fact_sessions_by_country").collect()}
     assert got == {("Brasil", 7), ("Chile", None)}
     assert {r.country_id for r in spark.read.parquet(f"{root}/dim_country").collect()} == {"Brasil", "Chile"}
+
+
+def test_cli_remaining_subcommands(spark, tmpdir_spark):
+    import json
+    import os
+    local = lambda p: p[5:] if p.startswith("file:") else p
+    root = f"{tmpdir_spark}/wh_rest"
+    main(["materialize-all", "--sf-dir", SF, "--root", root], spark)
+    camp, met = local(f"{tmpdir_spark}/camp"), local(f"{tmpdir_spark}/met")
+    os.makedirs(camp, exist_ok=True)
+    os.makedirs(met, exist_ok=True)
+    with open(f"{camp}/a.json", "w") as f:
+        f.write(json.dumps([{"id": "C9", "sent_at": "2024-01-25T10:00:00Z"}]) + "\n")
+    with open(f"{met}/a.json", "w") as f:
+        f.write(json.dumps({"campaign_id": "C9", "sends": 5, "opens": 2, "clicks": 1}) + "\n")
+    main(["refresh-rd-campaigns", "--campaigns", camp, "--metrics", met, "--root", root, "--as-of", "2024-01-31"],
+         spark)
+    rd = spark.read.parquet(f"{root}/fact_rd_email_campaign")
+    assert [(r.campaignId, r.sends) for r in rd.collect()] == [("C9", 5)]  # the window was replaced
+    main(["materialize-comms-impact", "--root", root], spark)
+    assert {r.campaignId for r in spark.read.parquet(f"{root}/fact_comms_impact_summary").collect()} == {"C9"}
+    pages = local(f"{tmpdir_spark}/pages.csv")
+    with open(pages, "w", encoding="utf-8") as f:
+        f.write("Título da página,Caminho da página e classe da tela,Visualizações,Usuários ativos\n"
+                "Home,/,10,3\nTotal,,10,3\n")
+    main(["import-csv-pages", "--paths", pages, "--root", root, "--as-of", "2024-02-01"], spark)
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/dim_page").collect()] == [("/", "Home")]
+    vs = local(f"{tmpdir_spark}/vs.csv")
+    with open(vs, "w", encoding="utf-8") as f:
+        f.write("Título do vídeo,Contagem de eventos\nAula 1,12\n")
+    main(["import-csv-videos", "--start-paths", vs, "--root", root, "--as-of", "2024-02-01"], spark)
+    ev = spark.read.parquet(f"{root}/fact_events").collect()
+    assert [(r.event_name, r.event_count, r.video_title) for r in ev] == [("video_start", 12, "Aula 1")]
