@@ -37,3 +37,9 @@ def count_words(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs; one character is left of each, white space goes."""
     runs = F.regexp_replace(text, f"[^{WS_CLASS}]++", "w")
     return F.length(F.regexp_replace(runs, f"[{WS_CLASS}]++", "")).cast("long")
+
+
+def broadcast_if_few(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Hint a broadcast of ``df`` (a cut, narrow table) when a count proves it has at most ``limit`` rows;
+    beyond that the join shuffles and AQE splits its hot keys."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
