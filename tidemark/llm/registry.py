@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import mixing, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secret_scan": secrets.op4_secret_scan,
     "op5_simhash_neardup": simhash.op5_simhash_neardup,
+    "op7_quality_rules": quality.op7_quality_rules,
+    "op9_mixing": mixing.op9_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": mixing.OP9_SQL,
+}
