@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
+from collections.abc import Callable
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +47,9 @@ def broadcast_if_few(df: DataFrame, limit: int = 100_000) -> DataFrame:
     """Hint a broadcast of ``df`` (a cut, narrow table) when a count proves it has at most ``limit`` rows;
     beyond that the join shuffles and AQE splits its hot keys."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
+def share(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast ``value`` (of a proven size); a task gets it back by a call. Its class travels by value."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
