@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, mixing, quality, secrets, simhash
+from tidemark.llm import decontaminate, htmltext, mixing, quality, secrets, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_secret_scan": secrets.op4_secret_scan,
     "op5_simhash_neardup": simhash.op5_simhash_neardup,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_quality_rules": quality.op7_quality_rules,
     "op9_mixing": mixing.op9_mixing,
+    "op10_html_text": htmltext.op10_html_text,
 }
 
 ORACLE_SQL: dict[str, str] = {
