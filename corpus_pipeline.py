@@ -2,24 +2,51 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as
 Parquet into the shared checkpoint folder and rereads it as the next stage's input, so a lost
-executor costs one stage at most.
+executor costs one stage at most. All stages but the last return the columns of their input.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, mixing, quality, secrets, simhash
 from tidemark.llm.common import read_table
 from tidemark.session import scratch_dir
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
     return simhash.keep_one_per_group(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaking(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents stay; their secrets are replaced, and ``n_chars`` follows the text."""
+    clean = secrets.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: its documents with ``taken`` words of each (more than ``size``: the text repeats)."""
+    return mixing.mixed_documents(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
     ("near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("source_mix", source_mix),
 ]
 
 # SimHash (XXH64 votes), Smith-Waterman and regular-expression offsets have no SQL form in DuckDB:
@@ -29,8 +56,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    folder = scratch_dir(spark, "corpus")
     for name, stage in STAGES:
-        path = f"{scratch_dir(spark, 'corpus')}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
