@@ -37,6 +37,16 @@ def fresh(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex[:8]}"
 
 
+def keep_where(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` that stays above the projections of ``df``.
+
+    The optimizer would push the filter down by writing every alias out again, which doubles long chains of
+    array expressions at each step. A row number, which can't be copied, holds it in place.
+    """
+    at = fresh("at")
+    return df.withColumn(at, F.monotonically_increasing_id()).where((F.col(at) >= 0) & condition).drop(at)
+
+
 def count_words(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs; one character is left of each, white space goes."""
     runs = F.regexp_replace(text, f"[^{WS_CLASS}]++", "w")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, read_table, text_or_empty
+from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, keep_where, read_table, text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEATED_SHARE = 0.5
@@ -172,7 +172,7 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     whole = fresh("row")
     judged = judge(docs.withColumn(whole, F.struct(*docs.columns)), carry=(whole,), **options)
-    return judged.where("kept").select(f"{whole}.*")
+    return keep_where(judged.select(whole, "kept"), F.col("kept")).select(f"{whole}.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
