@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import cut, read_table, share
 
@@ -78,7 +79,7 @@ def url_tokens(url: str | None, host: str, path: str) -> list[str]:
     return sorted(found)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _tokens(urls: pd.Series, hosts: pd.Series, paths: pd.Series) -> pd.Series:
     return pd.Series([url_tokens(u, h, p) for u, h, p in zip(urls, hosts, paths)])
 
@@ -149,7 +150,7 @@ def matches(tokens: list[str], index: dict[str, list[frozenset]]) -> bool:
 def _matches_udf(spark: SparkSession, index: dict[str, list[frozenset]]) -> Callable:
     sent = share(spark, index)
 
-    @F.pandas_udf("boolean")
+    @F.pandas_udf(T.BooleanType())
     def hit(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = sent()
         for tokens in parts:
