@@ -42,6 +42,7 @@ COMMON_WORDS = {
            "para", "es", "al", "lo"],
 }
 CLASSES = ("lower", "upper", "other_letter", "digit", "space", "mark", "symbol", "other")
+HISTOGRAMS = {"h_class": "n_chars_seen", "h_word": "n_words"}  # and the column that holds the sum of their counts
 _HIGH = -(1 << 31)  # upper 33 bits: window hash; lower 31 bits: its position
 
 
@@ -94,30 +95,44 @@ def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     df = docs.select(*carry, "doc_id", lang.alias("lang"), text_or_empty().alias("text"))
     df = df.withColumn("words", _words(F.col("text"))).withColumn("n_words", F.size("words").cast("long"))
     # each class is taken out of what the one before it left, so only the first pass reads the whole text
-    left, rest = [F.col("text")], df
+    df = df.withColumn("left", _gone(F.col("text"), "[a-z]++"))
+    left, rest = [F.col("left")], df
     for name, pattern in zip(CLASSES, (r"\p{Ll}++", r"\p{Lu}++", r"\p{L}++", r"[0-9]++", rf"[{WS_CLASS}]++",
                                        r"""[.,;:!?'"()-]++""", r"[#*$%&|<>]++")):
         rest = rest.withColumn(f"left_{name}", _gone(left[-1], pattern))
         left.append(F.col(f"left_{name}"))
     sizes = [F.length(a) - F.length(b) for a, b in zip(left, left[1:])] + [F.length(left[-1])]
+    sizes[0] += F.length("text") - F.length("left")
     df = (rest.withColumn("h_class", F.array(*[s.cast("long") for s in sizes]))
           .withColumn("n_symbols", F.get("h_class", CLASSES.index("symbol")))
-          .withColumn("word_chars", F.length("text") - F.get("h_class", CLASSES.index("space"))))
+          .withColumn("n_chars_seen", F.length("text").cast("long"))
+          .withColumn("word_chars", F.col("n_chars_seen") - F.get("h_class", CLASSES.index("space"))))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.trim(x, F.lit(WS_CHARS))) > 0)
     df = df.withColumn("lines", lines).withColumn(
         "n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     df = _repeat_words(df, "words", "n_words")
-    # the common words alone, each between two blanks: removing one of them shows how often it stood there
+    # the common words alone, each between two blanks
     vocabulary = _vocabulary()
-    common = F.concat_ws("  ", F.transform(F.filter("words", lambda w: F.lower(w).isin(vocabulary)), F.lower))
+    cased = sorted({c for w in vocabulary for c in (w, w.capitalize(), w.upper())})
+    common = F.lower(F.concat_ws("  ", F.filter("words", lambda w: w.isin(cased))))
     df = df.withColumn("common", F.concat(F.lit(" "), common, F.lit(" ")))
-    each = [((F.length("common") - F.length(F.replace("common", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)
-             ).cast("long") for w in vocabulary]
-    df = df.withColumn("h_word", F.array(*each))
+    df = df.withColumn("h_word", _word_counts(F.col("common"), vocabulary))
     df = df.withColumn("h_word", F.array_append("h_word", F.col("n_words") - F.aggregate(
         "h_word", F.lit(0).cast("long"), lambda a, x: a + x)))
     return df.withColumn("word_chars", F.col("word_chars").cast("long")).drop(
-        "words", "lines", "common", *[f"left_{c}" for c in CLASSES[:-1]])
+        "words", "lines", "common", "left", *[f"left_{c}" for c in CLASSES[:-1]])
+
+
+def _word_counts(common: Column, vocabulary: list[str]) -> Column:
+    """How often each word stands in ``common``: taking a word out shows it, and leaves less for the next one."""
+    zero = F.struct(common.alias("rest"), F.array().cast("array<long>").alias("n"))
+
+    def take(s: Column, w: Column) -> Column:
+        left = F.array(F.replace(s.rest, w, F.lit("")))  # in an array, so that it is computed once
+        return F.get(F.transform(left, lambda r: F.struct(r.alias("rest"), F.array_append(s.n, (
+            (F.octet_length(s.rest) - F.octet_length(r)) / F.octet_length(w)).cast("long")).alias("n"))), F.lit(0))
+
+    return F.aggregate(F.array(*[F.lit(f" {w} ") for w in vocabulary]), zero, take, lambda s: s.n)
 
 
 def references(measured: DataFrame, min_words: int = MIN_WORDS) -> list[tuple[list[float], list[float]]]:
@@ -125,8 +140,8 @@ def references(measured: DataFrame, min_words: int = MIN_WORDS) -> list[tuple[li
     known = F.when(F.col("lang").isin(list(COMMON_WORDS)), F.col("lang"))
     sides = F.explode(F.array(F.lit("*"), known)).alias("ref")
     sizes = (("h_class", len(CLASSES)), ("h_word", len(_vocabulary()) + 1))
-    rows = (measured.where(F.col("n_words") >= min_words)
-            .select(*[_shares(h).alias(h) for h, _ in sizes], sides).where("ref is not null").groupBy("ref")
+    rows = (keep_where(measured, F.col("n_words") >= min_words)
+            .select(*[_shares(h, HISTOGRAMS[h]).alias(h) for h, _ in sizes], sides).where("ref is not null").groupBy("ref")
             .agg(*[F.array(*[F.avg(F.get(h, F.lit(i))) for i in range(n)]).alias(h) for h, n in sizes])
             .collect())  # at most len(COMMON_WORDS) + 1 rows
     return [(r.h_class, r.h_word) for r in sorted(rows, key=lambda r: r.ref)]
@@ -136,9 +151,8 @@ def _vocabulary() -> list[str]:
     return sorted({w for ws in COMMON_WORDS.values() for w in ws})
 
 
-def _shares(h: str) -> Column:
-    total = F.aggregate(h, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.transform(h, lambda x: x / F.greatest(total, F.lit(1)))
+def _shares(h: str, total: str) -> Column:
+    return F.transform(h, lambda x: x / F.greatest(F.col(total), F.lit(1)))
 
 
 def jensen_shannon(shares: Column, reference: list[float]) -> Column:
@@ -158,7 +172,7 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = (), min_words: int = MIN_WOR
     refs = references(measures(docs), min_words)
     df = measures(docs, carry)
     for h, d, k in (("h_class", "class_distance", 0), ("h_word", "word_distance", 1)):
-        df = df.withColumn(f"{h}_share", _shares(h))
+        df = df.withColumn(f"{h}_share", _shares(h, HISTOGRAMS[h]))
         nearest = (F.array_min(F.array(*[jensen_shannon(F.col(f"{h}_share"), r[k]) for r in refs])) if refs
                    else F.lit(0.0))
         df = df.withColumn(d, nearest)
