@@ -166,3 +166,14 @@ def test_compare_periods_matches_brute_force(spark, day, kind):
     assert (r.current, r.previous, r.delta_abs) == (cs, rs, cs - rs)
     want = (0.0 if cs == 0 else 100.0) if rs == 0 else (cs - rs) / rs * 100.0
     assert abs(r.delta_pct - want) <= 0.05 + 1e-9
+
+
+def test_running_share_in_many_ranges_with_a_title_column(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr("concat('/p/', lpad(id, 7, '0')) key", "pmod(xxhash64(id), 500) v", "concat('title ', id) title")
+    got = running_share_all(df, "v", "key", rows_per_range=15_000).select("key", "cum_value", "cum_share", "title").toPandas()
+    want = df.toPandas().sort_values(["v", "key"], ascending=[False, True])
+    want["cum"] = want.v.cumsum()
+    both = got.merge(want, on="key")
+    assert len(got) == n and (both.cum_value == both.cum).all() and (both.title_x == both.title_y).all()
+    assert abs(got.cum_share.max() - 1.0) < 1e-12

@@ -7,8 +7,9 @@
   (``TakeOrderedAndProject`` keeps N per partition), window over ≤ N rows, and divide by the
   total, computed as a scalar subquery over the partial/final aggregate.
 * **all rows**: range-partition on the full sort key (value, key) — unique per row, so ties
-  cannot pile into one range — sum each range, turn the per-range sums into offsets (one row
-  per range), and run the window inside each range only. Running total = offset + local.
+  cannot pile into one range — and store every row with its range. Both branches read those
+  stored rows: one sums each range and turns the sums into offsets (one row per range), the
+  other runs the window inside each range. Running total = offset + local.
 """
 
 from __future__ import annotations
@@ -37,11 +38,12 @@ def running_share_all(df: DataFrame, value: str, key: str, rows_per_range: int =
                       running: str = "cum_value", share: str = "cum_share") -> DataFrame:
     """Every row with running sum and share, in ranges of about ``rows_per_range`` rows.
 
-    The input feeds three jobs (row count, range sampling, the result), so its lineage is cut
+    The input feeds several jobs (row count, range sampling, the result), so its lineage is cut
     first with a reliable checkpoint under ``spark.checkpoint.dir``: the upstream aggregate
-    runs once. The per-range window re-shuffles the ranged rows by range id (Spark cannot
-    know the range exchange already placed them); that shuffle carries the page aggregates,
-    not raw events.
+    runs once. The rows are checkpointed again with their range as a column: a range id is
+    only meaningful for the one exchange that made it, so it is never derived twice. The
+    per-range window re-shuffles those rows by range id; that shuffle carries the page
+    aggregates, not raw events.
     """
     from tidemark.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
@@ -49,7 +51,7 @@ def running_share_all(df: DataFrame, value: str, key: str, rows_per_range: int =
     n_rows = df.count()
     n_ranges = max(1, math.ceil(n_rows / rows_per_range))
     ranged = (df.repartitionByRange(n_ranges, *_order(value, key))
-                .withColumn("_range", F.spark_partition_id()))
+                .withColumn("_range", F.spark_partition_id()).checkpoint(eager=True))
     per_range = ranged.groupBy("_range").agg(F.sum(value).alias("_range_sum"))
     wr = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (per_range.withColumn("_offset", F.coalesce(F.sum("_range_sum").over(wr), F.lit(0)))
