@@ -262,3 +262,64 @@ def test_import_exports_stacks_different_headers(spark, tmpdir_spark):
     got = {r.date: r.asDict() for r in X.import_exports(spark, [a, b]).collect()}
     assert got["20240105"]["users"] == "3" and got["20240105"]["sessions"] == "4" and got["20240105"]["pageviews"] is None
     assert got["20240106"]["users"] == "7" and got["20240106"]["pageviews"] == "9" and got["20240106"]["sessions"] is None
+
+
+def test_a_stop_between_the_renames_loses_nothing(spark, tmpdir_spark):
+    from tidemark.operators import tables as K
+    path = f"{tmpdir_spark}/dim_page"
+    page = lambda *keys: spark.createDataFrame([(k, "t" + k) for k in keys], "page_path string, page_title string")
+    K.upsert_table(spark, page("/a", "/b"), path, "dim_page", "page_path")
+    K._move(spark, path, K._aside(path))  # the job stopped here
+    K.upsert_table(spark, page("/c"), path, "dim_page", "page_path")
+    assert sorted(r.page_path for r in spark.read.parquet(path).collect()) == ["/a", "/b", "/c"]
+
+
+def test_a_stop_between_the_days_of_a_window_loses_nothing(spark, tmpdir_spark):
+    from tidemark.operators import tables as K
+    path = f"{tmpdir_spark}/fact"
+    day = lambda *ds: spark.createDataFrame([(d, 1) for d in ds], "d string, v int").selectExpr("to_date(d) date", "v")
+    K.replace_window(spark, day("2024-01-01", "2024-01-02", "2024-01-03"), path, "2024-01-01", "2024-01-03")
+    K._move(spark, f"{path}/date=2024-01-02", f"{K._days_aside(path)}/date=2024-01-02")  # the job stopped here
+    assert K.replace_window(spark, day("2024-01-03", "2024-01-04"), path, "2024-01-03", "2024-01-03")
+    assert sorted(str(r.date) for r in spark.read.parquet(path).collect()) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert not K.replace_window(spark, day("2024-02-01"), path, "2024-01-01", "2024-01-03")
+    assert spark.read.parquet(path).count() == 3
+    K.replace_window(spark, day("2024-02-01"), path, "2024-01-02", "2024-01-03", empty_clears=True)
+    assert [str(r.date) for r in spark.read.parquet(path).collect()] == ["2024-01-01"]
+
+
+def test_an_unfinished_report_is_not_cached(spark, tmpdir_spark):
+    from tidemark.operators import tables as K
+    df = spark.createDataFrame([("2024-01-01", 1)], "date string, sessions int")
+    path = K.cache_report(df, tmpdir_spark, ["date"], ["sessions"], "2024-01-01", "2024-01-02")
+    K._delete(spark, f"{path}/_SUCCESS")
+    K.cache_report(df.union(df), tmpdir_spark, ["date"], ["sessions"], "2024-01-01", "2024-01-02")
+    assert spark.read.parquet(path).count() == 2
+    K.cache_report(df, tmpdir_spark, ["date"], ["sessions"], "2024-01-01", "2024-01-02")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_reports_with_short_rows_and_repeated_or_reordered_headers(spark, tmpdir_spark):
+    import json
+    from tidemark.plans import ingest as I
+    from tidemark.sources import landed as L
+    names = lambda *ns: [{"name": n} for n in ns]
+    row = lambda d, m: {"dimension_values": [{"value": x} for x in d], "metric_values": [{"value": x} for x in m]}
+    pages = [{"dimension_headers": names("date"), "metric_headers": names("sessions", "totalUsers", "sessions", "screenPageViews"),
+              "rows": [row(["20240101"], ["5", "3", "99", "7"]), row(["20240102"], ["6"]), row([], []), row(["2024010x"], ["n/a", "1", "1", "1"])]},
+             {"dimension_headers": names("date"), "metric_headers": names("screenPageViews", "totalUsers"), "rows": [row(["20231231"], ["8", "4"])]}]
+    spark.createDataFrame([(json.dumps(p),) for p in pages], "value string").write.text(f"{tmpdir_spark}/r")
+    got = {str(r.date): (r.sessions, r.users, r.pageviews) for r in I.report_batch(spark, f"{tmpdir_spark}/r", I.SESSIONS).collect() if r.date}
+    assert got == {"2024-01-01": (5, 3, 7), "2024-01-02": (6, None, None), "2023-12-31": (None, 4, 8)}
+    rejects = {r.reason: r.rows for r in I.report_rejects(spark, f"{tmpdir_spark}/r", I.SESSIONS, "2024-01-01", "2024-01-31").collect()}
+    assert rejects == {"bad_date": 2, "out_of_window": 1, "bad_number": 1}
+    video = {"columnHeaders": names("day", "views", "views"), "rows": [["2024-01-01", "4", "9"], ["2024-01-02"]]}
+    spark.createDataFrame([(json.dumps(video),)], "value string").write.text(f"{tmpdir_spark}/v")
+    assert sorted(map(tuple, L.read_video_report(spark, f"{tmpdir_spark}/v", ("day", "views")).collect())) == [("2024-01-01", "4"), ("2024-01-02", None)]
+
+
+def test_an_export_in_parts_of_different_encodings(spark, tmp_path):
+    from tidemark.sources import exports as X
+    (tmp_path / "a.csv").write_bytes("name,n\ncaf\u00e9,1\n".encode("utf-8-sig"))
+    (tmp_path / "b.csv").write_bytes("name,n\nni\u00f1o,2\n".encode("latin-1"))
+    assert sorted(tuple(r) for r in X.read_csv_robust(spark, str(tmp_path)).select("name", "n").collect()) == [("caf\u00e9", "1"), ("ni\u00f1o", "2")]

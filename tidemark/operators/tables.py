@@ -4,10 +4,11 @@ Facts live at ``<root>/<table>`` partitioned by ``date`` (period facts by
 ``startDate``/``endDate``). Writes use dynamic partition overwrite, so a refresh rewrites only
 the partitions it touches, in parallel, one task per output partition group.
 
-Parquet folders have no multi-partition transaction: a refresh first writes all new
-partitions, then removes the in-window days the new pull no longer has. A reader in between
-sees new days plus soon-to-be-removed old ones, never a missing day. Re-running a refresh
-gives the same table (idempotent).
+Parquet folders have no multi-partition transaction. A replacement is therefore written whole
+beside the table, and only then moved in by renames: of one folder for a rebuilt table, day
+by day for a window. What is replaced is moved aside first and deleted last, and the next write
+brings back whatever a stopped job left aside, so no stop loses rows. Re-running a
+refresh gives the same table (idempotent).
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+def partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
     """Values of the first-level partition folders ``col=value`` under ``path``."""
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
@@ -72,9 +73,42 @@ def _partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
     return out
 
 
-def _drop_partition(spark: SparkSession, path: str, col: str, value: str) -> None:
-    fs, p = _hadoop_fs(spark, f"{path.rstrip('/')}/{col}={value}")
-    fs.delete(p, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename ``source`` to the free path ``target``; a refused rename is an error."""
+    fs, p = _hadoop_fs(spark, source)
+    _, q = _hadoop_fs(spark, target)
+    fs.mkdirs(q.getParent())
+    if fs.exists(q) or not fs.rename(p, q):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _aside(path: str) -> str:
+    return path.rstrip("/") + "._replaced"
+
+
+def _days_aside(path: str) -> str:
+    return path.rstrip("/") + "._replaced-days"
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Undo what a stopped replacement left: bring back the table, or the days, that were moved
+    aside and have no successor; delete those that have one."""
+    if path_exists(spark, _aside(path)) and not path_exists(spark, path):
+        _move(spark, _aside(path), path)
+    _delete(spark, _aside(path))
+    fs, p = _hadoop_fs(spark, _days_aside(path))
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if not path_exists(spark, f"{path.rstrip('/')}/{name}"):
+                _move(spark, f"{_days_aside(path)}/{name}", f"{path.rstrip('/')}/{name}")
+        fs.delete(p, True)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
@@ -103,29 +137,39 @@ def ensure_table(spark: SparkSession, path: str, table: str) -> None:
 
 
 def replace_window(spark: SparkSession, new: DataFrame, path: str, start, end,
-                   date_col: str = "date") -> bool:
+                   date_col: str = "date", empty_clears: bool = False) -> bool:
     """K2: make the table's rows in [start, end] equal to ``new``.
 
-    * empty ``new`` → table untouched (returns False);
+    * no row of ``new`` in the window → table untouched (returns False): a pull that brought nothing.
+      With ``empty_clears`` the window becomes empty instead: a mart computed to be empty;
     * rows with a NULL or out-of-window date are not inserted (they could never be replaced
-      by a later window refresh);
-    * partitions of ``new`` are overwritten (dynamic mode), then in-window days absent from
-      ``new`` are dropped. The set of days in the batch is bounded by the window length.
+      by a later window refresh); ``plans.ingest.report_rejects`` counts them;
+    * the batch is computed once, into a folder beside the table; its days, at most as many as
+      the window has, are then moved in one by one, and the window's other days moved out.
     """
     s, e = C.as_date(start), C.as_date(end)
-    batch = new.where(F.col(date_col).between(F.lit(s), F.lit(e)))
-    batch_days = {r[0].isoformat() for r in batch.select(date_col).distinct().collect()}
-    if not batch_days:
+    recover(spark, path)
+    staged, root = _staged_path(path), path.rstrip("/")
+    write_partitioned(new.where(F.col(date_col).between(F.lit(s), F.lit(e))), staged, [date_col])
+    arrived = set(partition_values(spark, staged, date_col))
+    if arrived or empty_clears:
+        present = {v for v in partition_values(spark, path, date_col) if _in_window(v, s, e)}
+        for day in sorted(arrived | present):
+            folder = f"{date_col}={day}"
+            if day in present:
+                _move(spark, f"{root}/{folder}", f"{_days_aside(path)}/{folder}")
+            if day in arrived:
+                _move(spark, f"{staged}/{folder}", f"{root}/{folder}")
+        _delete(spark, _days_aside(path))
+    _delete(spark, staged)
+    return bool(arrived)
+
+
+def _in_window(value: str, start, end) -> bool:
+    try:
+        return start <= C.as_date(value) <= end
+    except ValueError:
         return False
-    write_partitioned(batch, path, [date_col])
-    for v in _partition_values(spark, path, date_col):
-        try:
-            day = C.as_date(v)
-        except ValueError:
-            continue
-        if s <= day <= e and v not in batch_days:
-            _drop_partition(spark, path, date_col, v)
-    return True
 
 
 def replace_period(new: DataFrame, path: str, start_col: str = "startDate", end_col: str = "endDate") -> bool:
@@ -140,18 +184,13 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """Replace ``path`` by the fully written ``staged`` folder (two renames, then cleanup).
 
     The new table is complete before the old one is touched, so a failed job leaves the old
-    table as it was; readers see no table only between the two renames.
+    table as it was; readers see no table only between the two renames, and a job stopped
+    there is undone by ``recover``, which every writer calls first.
     """
-    jvm = spark._jvm
-    fs, p = _hadoop_fs(spark, path)
-    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "._replaced")
-    if fs.exists(old):
-        fs.delete(old, True)
-    if fs.exists(p):
-        fs.rename(p, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staged), p)
-    if fs.exists(old):
-        fs.delete(old, True)
+    if path_exists(spark, path):
+        _move(spark, path, _aside(path))
+    _move(spark, staged, path)
+    _delete(spark, _aside(path))
 
 
 def _staged_path(path: str) -> str:
@@ -165,6 +204,7 @@ def rebuild(df: DataFrame, path: str, partition_cols: list[str] | None = None) -
     Written to a staging folder first and swapped in, so a failure never leaves the table
     half-deleted, and the query may read the table it replaces.
     """
+    recover(df.sparkSession, path)
     staged = _staged_path(path)
     w = df.write.mode("overwrite")
     if partition_cols:
@@ -185,6 +225,7 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, table: str, key
     """U3 on a stored dimension: merge old ∪ new by key into a staged table (a written table
     cuts the lineage to the old files), then swap it in."""
     schema = TABLES[table]
+    recover(spark, path)
     if path_exists(spark, path):
         old = spark.read.schema(schema).parquet(path)
     else:
@@ -202,7 +243,7 @@ def cache_report(df: DataFrame, cache_root: str, dimensions: list[str], metrics:
     key = f"report__{'-'.join(dimensions)}__{'-'.join(metrics)}__{C.as_date(start)}_{C.as_date(end)}"
     path = f"{cache_root.rstrip('/')}/{key}"
     spark = df.sparkSession
-    if path_exists(spark, path) and not force:
+    if path_exists(spark, f"{path}/_SUCCESS") and not force:  # a stopped write has none
         return path
     df.write.mode("overwrite").parquet(path)
     return path

@@ -12,10 +12,14 @@ map; summary from impact + sends).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import columns as C
 from tidemark.operators import tables as K
+from tidemark.operators.calendar import calendar
 from tidemark.plans import marts as M
 from tidemark.schemas import PARTITION_COLS, TABLES
 from tidemark.sources.warehouse import DerivedWarehouse, StoredWarehouse
@@ -48,21 +52,38 @@ def materialize(spark: SparkSession, sf_dir: str, root: str) -> StoredWarehouse:
     return stored
 
 
+def extend_calendar(spark: SparkSession, root: str) -> None:
+    """Let the stored ``dim_date`` reach the day after the last day of any stored daily fact.
+
+    The facts' last days come from their partition folders; no fact is read."""
+    days = [C.as_date(v) for t in ("fact_sessions", "fact_yt_channel_daily")
+            for v in K.partition_values(spark, f"{root}/{t}", "date") if v[:1].isdigit()]
+    if not days:
+        return
+    first, last = StoredWarehouse(spark, root).table("dim_date").agg(F.min("date"), F.max("date")).first()
+    end = max(days) + _dt.timedelta(days=1)
+    if last is None or last < end or min(days) < first:
+        _write(calendar(spark, min([*days, *([first] if first else [])]), max([end, *([last] if last else [])])),
+               root, "dim_date")
+
+
 def refresh_marts_window(spark: SparkSession, root: str, start, end) -> None:
     """After source windows were refreshed, bring the day-local marts up to date for
     [start, end] only, instead of rebuilding them from all history.
 
-    Exact: an engagement day depends only on that day's sessions and video rows (and the
-    calendar), a campaign-impact day only on that day's UTM sessions and the map. The send
+    The same as a full rebuild for those days: an engagement day depends only on that day's
+    sessions and video rows (and the calendar, which is extended first), a campaign-impact day only
+    on that day's UTM sessions and the map; a window without rows becomes empty. The send
     summary looks around each send date and is one row per send, so it is rebuilt whole.
     """
     from tidemark.functions.columns import date_lit
+    extend_calendar(spark, root)
     w = StoredWarehouse(spark, root)
     in_win = F.col("date").between(date_lit(start), date_lit(end))
     eng = M.engagement_daily(w.table("dim_date").where(in_win), w.fact("fact_sessions", start, end),
                              w.fact("fact_yt_channel_daily", start, end))
-    K.replace_window(spark, eng, f"{root}/fact_engagement_daily", start, end)
+    K.replace_window(spark, eng, f"{root}/fact_engagement_daily", start, end, empty_clears=True)
     daily = M.comms_impact_daily(w.fact("fact_ga4_sessions_by_utm_daily", start, end), w.table("map_utm_campaign"))
-    K.replace_window(spark, daily, f"{root}/fact_comms_impact_daily", start, end)
+    K.replace_window(spark, daily, f"{root}/fact_comms_impact_daily", start, end, empty_clears=True)
     _write(M.comms_impact_summary(StoredWarehouse(spark, root).table("fact_comms_impact_daily"),
                                   w.table("fact_rd_email_campaign")), root, "fact_comms_impact_summary")
