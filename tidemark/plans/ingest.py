@@ -69,6 +69,19 @@ def report_batch(spark: SparkSession, report_path: str, spec: ReportSpec) -> Dat
     return raw.select(*cols).select(*spec.columns)
 
 
+def report_rejects(spark: SparkSession, report_path: str, spec: ReportSpec, start, end) -> DataFrame:
+    """(reason, rows) of a landed report: what a refresh of [start, end] leaves out (``bad_date``,
+    ``out_of_window``), and the metric values that are no numbers and become NULL (``bad_number``)."""
+    raw = L.read_report_text(spark, report_path, spec.dimensions, spec.metrics)
+    day = C.ymd_date("date")
+    outside = day.isNotNull() & ~day.between(C.date_lit(start), C.date_lit(end))
+    no_number = [(F.col(m).isNotNull() & C.safe_double(m).isNull()).cast("bigint") for m in spec.metrics]
+    counts = raw.agg(F.count_if(day.isNull()).alias("bad_date"), F.count_if(outside).alias("out_of_window"),
+                     F.coalesce(F.sum(sum(no_number[1:], no_number[0])), F.lit(0)).alias("bad_number"))
+    return counts.select(F.explode(F.create_map(*[x for c in counts.columns for x in (F.lit(c), F.col(c))]))
+                         .alias("reason", "rows"))
+
+
 # M1–M4
 def refresh_report(spark: SparkSession, report_path: str, table_path: str, spec: ReportSpec,
                    start, end) -> bool:
@@ -114,8 +127,7 @@ def yt_videos_batch(spark: SparkSession, path: str, max_results: int = 50, start
                                                                T.StructField("endDate", T.DateType())])
         pages = spark.read.schema(schema).json(path)
         rows = pages.select("startDate", "endDate", F.col("columnHeaders.name").alias("h"), F.explode("rows").alias("r"))
-        maps = rows.select("startDate", "endDate", F.map_from_arrays(F.col("h"), F.col("r")).alias("m"))
-        r = maps.select(*[F.try_element_at("m", F.lit(c)).alias(c) for c in cols], "startDate", "endDate")
+        r = rows.select(*[L.value_of(c, "h", F.col("r")).alias(c) for c in cols], "startDate", "endDate")
     typed = r.select(F.col("video").cast("string").alias("videoId"),
                      C.safe_long("views").alias("views"),
                      C.safe_long("estimatedMinutesWatched").alias("estimatedMinutesWatched"),

@@ -53,7 +53,7 @@ def charset(encoding: str) -> str:
 UTM_MAP_COLUMNS = ("utm_source", "utm_medium", "utm_campaign", "campaignId", "campaign_name")
 
 
-def read_csv_text(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | list[str], encoding: str = "utf-8") -> DataFrame:
     """Header CSV, every column as text, malformed lines kept (PERMISSIVE)."""
     encoding = charset(encoding)
     r = (spark.read.option("header", True).option("encoding", encoding).option("mode", "PERMISSIVE")
@@ -63,21 +63,22 @@ def read_csv_text(spark: SparkSession, path: str, encoding: str = "utf-8") -> Da
     return r.csv(path)
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file ``path``, or the data files of the folder ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(p).isDirectory():
+        return [path]
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
+
+
 def sniff_bom(spark: SparkSession, path: str) -> str | None:
-    """Encoding named by a byte-order mark at the start of the (first) file, if any.
+    """Encoding named by a byte-order mark at the start of one file, if any.
 
-    Reads at most 4 bytes through the Hadoop file system; no data pass.
+    Reads at most 3 bytes through the Hadoop file system; no data pass.
     """
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.getFileStatus(p).isDirectory():
-        parts = sorted(st.getPath().toString() for st in fs.listStatus(p)
-                       if not st.getPath().getName().startswith(("_", ".")))
-        if not parts:
-            return None
-        p = jvm.org.apache.hadoop.fs.Path(parts[0])
-    stream = fs.open(p)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
     try:
         head = bytes((stream.read() & 0xFF) for _ in range(3))
     finally:
@@ -92,11 +93,25 @@ def sniff_bom(spark: SparkSession, path: str) -> str | None:
 def read_csv_robust(spark: SparkSession, path: str, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
     """The encoding a byte-order mark names; otherwise the first encoding whose decoding
     has no replacement character (U+FFFD) and no NUL in the headers and no U+FFFD in the
-    cells. The cell test is a distributed ``exists`` over the file, not a driver read."""
+    cells. The cell test is a distributed ``exists`` over the files, not a driver read. A
+    folder is one export in parts: its files are grouped by their marks, and each group is
+    decoded by itself and stacked by column name."""
+    files = data_files(spark, path)
+    by_mark: dict[str | None, list[str]] = {}
+    for f in files:
+        by_mark.setdefault(sniff_bom(spark, f), []).append(f)
+    if len(by_mark) > 1:
+        parts = [_decoded(spark, fs, [mark] if mark else encodings) for mark, fs in by_mark.items()]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+    mark = next(iter(by_mark), None)
+    return _decoded(spark, path, [mark] if mark else encodings)
+
+
+def _decoded(spark: SparkSession, path: str | list[str], encodings: Iterable[str]) -> DataFrame:
     last_error = None
-    bom = sniff_bom(spark, path)
-    if bom is not None:
-        encodings = [bom]
     for enc in encodings:
         try:
             df = read_csv_text(spark, path, enc)

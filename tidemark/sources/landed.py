@@ -7,13 +7,14 @@ per line) and read here with fixed schemas, in parallel over files:
 * video report (column headers + rows of mixed values);
 * CRM records (bare lists or objects with ``items`` / ``contacts`` / ``campaigns``).
 
-Values are mapped to names through each page's own headers, so pages whose header order
-differs still land in the right columns. Bad numbers and dates become NULL (``try_cast``,
-``try_to_date``) instead of failing the job.
-
-The writers build such files from warehouse-shaped DataFrames (fixtures, replays): rows are
-serialised by Spark and cut into pages of at most ``page_size`` rows inside each partition,
-so no page grows with the data and no shuffle is needed.
+Values are mapped to names through each page's own headers: a name's place in the headers is its
+place in the row. Pages whose header order differs still land in the right columns, a repeated
+header counts where it stands first, and a row shorter than its headers gives NULL for
+what it lacks. Bad numbers and dates become NULL (``try_cast``, ``try_to_date``) instead of failing the job.
+
+The writers build such files from warehouse-shaped DataFrames (fixtures, replays): Spark serialises
+the rows and groups them into pages of at most ``page_size`` rows of one partition, so no
+page grows with the data.
 """
 
 from __future__ import annotations
@@ -49,24 +50,33 @@ PAGE_SIZE = 100_000  # fixed value: rows per analytics report page
 
 # --- readers -------------------------------------------------------------------------------
 
-def read_report(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """S3: analytics report → one column per requested dimension (text) and metric (DOUBLE,
-    NULL when not a number). Names absent from a page's headers give NULL."""
+def value_of(name: str, headers: str, values) -> F.Column:
+    """The value that stands where ``headers`` names ``name``; NULL if either has no such place."""
+    place = F.coalesce(F.array_position(headers, name), F.lit(0)).cast("int")
+    return F.get(values, place - 1)
+
+
+def read_report_text(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Analytics report → one text column per requested dimension and metric, as landed."""
     pages = spark.read.schema(REPORT_SCHEMA).json(path)
     rows = pages.select(F.col("dimension_headers.name").alias("dh"), F.col("metric_headers.name").alias("mh"),
                         F.explode("rows").alias("r"))
-    maps = rows.select(F.map_from_arrays(F.col("dh"), F.col("r.dimension_values.value")).alias("dm"),
-                       F.map_from_arrays(F.col("mh"), F.col("r.metric_values.value")).alias("mm"))
-    return maps.select(*[F.try_element_at("dm", F.lit(d)).alias(d) for d in dimensions],
-                       *[C.safe_double(F.try_element_at("mm", F.lit(m))).alias(m) for m in metrics])
+    return rows.select(*[value_of(d, "dh", F.col("r.dimension_values.value")).alias(d) for d in dimensions],
+                       *[value_of(m, "mh", F.col("r.metric_values.value")).alias(m) for m in metrics])
+
+
+def read_report(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """S3: analytics report → one column per requested dimension (text) and metric (DOUBLE,
+    NULL when not a number). Names absent from a page's headers give NULL."""
+    raw = read_report_text(spark, path, dimensions, metrics)
+    return raw.select(*dimensions, *[C.safe_double(m).alias(m) for m in metrics])
 
 
 def read_video_report(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Video report → the requested columns as text (cast by the caller)."""
     pages = spark.read.schema(VIDEO_REPORT_SCHEMA).json(path)
     rows = pages.select(F.col("columnHeaders.name").alias("h"), F.explode("rows").alias("r"))
-    maps = rows.select(F.map_from_arrays(F.col("h"), F.col("r")).alias("m"))
-    return maps.select(*[F.try_element_at("m", F.lit(c)).alias(c) for c in columns])
+    return rows.select(*[value_of(c, "h", F.col("r")).alias(c) for c in columns])
 
 
 def _record_schema(fields: Sequence[str], wrappers: Sequence[str]) -> T.StructType:
@@ -128,42 +138,15 @@ def _page_lines(rows_json: DataFrame, prefix: str, suffix: str, page_size: int,
                 group_cols: Sequence[str] = ()) -> DataFrame:
     """Join per-row JSON texts (column ``j``) into page lines ``prefix + j1,j2,… + suffix``.
 
-    Pages are cut inside each Spark partition, in order, every ``page_size`` rows (and at
-    every change of ``group_cols``, after a local sort): no shuffle, no count, and no page
-    larger than ``page_size`` whatever the data (duplicates included). The rows are
-    serialised by Spark (``to_json``); Python only concatenates text per Arrow batch.
+    A row's number inside its partition, divided by ``page_size``, is its page; rows of one
+    partition, page and group value are one line. No page is larger than ``page_size``.
     """
-    import pandas as pd
-
     gcols = list(group_cols)
-    src = rows_json.sortWithinPartitions(*gcols) if gcols else rows_json
-    out_schema = ", ".join([f"`{c}` {rows_json.schema[c].dataType.simpleString()}" for c in gcols] + ["value string"])
-
-    def chunk(batches):
-        buf: list[str] = []
-        key = None
-
-        def flush():
-            row = dict(zip(gcols, key)) if gcols else {}
-            row["value"] = prefix + ",".join(buf) + suffix
-            return row
-
-        out_rows: list[dict] = []
-        for pdf in batches:
-            keys = list(zip(*[pdf[c] for c in gcols])) if gcols else [()] * len(pdf)
-            for k, j in zip(keys, pdf["j"]):
-                if buf and (k != key or len(buf) >= page_size):
-                    out_rows.append(flush())
-                    buf = []
-                key = k
-                buf.append(j)
-            if out_rows:
-                yield pd.DataFrame(out_rows)
-                out_rows = []
-        if buf:
-            yield pd.DataFrame([flush()])
-
-    return src.mapInPandas(chunk, out_schema)
+    numbered = rows_json.withColumn("_n", F.monotonically_increasing_id())  # partition << 33 | row
+    part, page = F.shiftright("_n", 33), F.floor(F.col("_n").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(page_size))
+    lines = numbered.groupBy(*gcols, part.alias("_part"), page.alias("_page")).agg(
+        F.array_join(F.collect_list("j"), ",").alias("_rows"))
+    return lines.select(*gcols, F.concat(F.lit(prefix), "_rows", F.lit(suffix)).alias("value"))
 
 
 def _write_lines(lines: DataFrame, path: str, group_cols: Sequence[str] = ()) -> None:

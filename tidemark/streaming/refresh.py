@@ -19,20 +19,22 @@ written by the distributed refresh jobs.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans import ingest as I
-from tidemark.session import scratch_dir
 
-MANIFEST_SCHEMA = "kind string, table_name string, report_path string, start string, end string"
+MANIFEST_SCHEMA = "kind string, table_name string, report_path string, start string, end string, landed_at string"
 
 
 def post_manifest(spark: SparkSession, manifest_dir: str, kind: str, table_name: str, report_path: str,
-                  start, end) -> None:
-    """Announce a finished landing (one JSON line, written as its own file)."""
+                  start, end, landed_at: _dt.datetime | None = None) -> None:
+    """Announce a finished landing (one JSON line, written as its own file) and when it landed."""
+    landed_at = landed_at or _dt.datetime.now(_dt.timezone.utc)
     row = {"kind": kind, "table_name": table_name, "report_path": report_path,
-           "start": str(start), "end": str(end)}
+           "start": str(start), "end": str(end), "landed_at": landed_at.isoformat(timespec="microseconds")}
     spark.createDataFrame([tuple(row.values())], MANIFEST_SCHEMA).coalesce(1) \
         .write.mode("append").json(manifest_dir)
 
@@ -51,18 +53,17 @@ def apply_manifest(spark: SparkSession, warehouse_root: str, m: dict) -> bool:
 
 
 def start_refresh_stream(spark: SparkSession, manifest_dir: str, warehouse_root: str,
-                         checkpoint: str | None = None, available_now: bool = True,
+                         checkpoint: str, available_now: bool = True,
                          max_manifests_per_batch: int = 100, refresh_marts: bool = False) -> StreamingQuery:
     """Start the manifest-driven refresh. Manifests of one micro-batch are applied in
-    landing order (ordered by window end, then path), so a newer pull of the same window wins.
+    the order they landed in, so a newer pull of the same window wins. ``checkpoint`` is the
+    stream's own folder: a restart with the same one goes on where the last run stopped.
 
     With ``refresh_marts`` the day-local marts are then refreshed for the span of the
     batch's windows (``plans.build.refresh_marts_window``)."""
-    checkpoint = checkpoint or scratch_dir(spark, "refresh-stream-checkpoint")
-
     def run(batch: DataFrame, batch_id: int) -> None:
         # At most ``max_manifests_per_batch`` small control rows reach the driver.
-        manifests = [r.asDict() for r in batch.orderBy("end", "report_path").collect()]
+        manifests = [r.asDict() for r in batch.orderBy("landed_at", "end", "report_path").collect()]
         for m in manifests:
             apply_manifest(spark, warehouse_root, m)
         if refresh_marts and manifests:
