@@ -7,7 +7,6 @@ session; only when it is unset (tests, a laptop) do we create a local one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -59,6 +58,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -70,6 +72,6 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the shared checkpoint location for one run."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/tidemark/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)  # in whatever file system the path names
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
