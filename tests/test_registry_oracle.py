@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import registry
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -42,14 +43,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(registry.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert _bag(df.columns, srows) == _bag(ocols, cur.fetchall())
 
@@ -68,10 +69,10 @@ def test_results_do_not_depend_on_session_settings(spark, con, name):
         spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.shuffle.partitions", "37")
-        df = E.queries()[name](spark, SF_SMALL)
+        df = registry.queries()[name](spark, SF_SMALL)
         rows = [tuple(r) for r in df.collect()]
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(registry.oracle_sql()[name])
     assert _bag(df.columns, rows) == _bag([d[0] for d in cur.description], cur.fetchall())

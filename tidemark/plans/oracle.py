@@ -8,8 +8,6 @@ top-k orders carry the key as tie-break, '%Y-%W' / '%w' come from strftime.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 # Fixed query window of the oracle runs (both ends hit video-period week edges).
 START, END, ANCHOR = "2024-01-08", "2024-01-28", "2024-01-28"
 
@@ -64,19 +62,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                      concat('camp-', CAST(k % 8 AS VARCHAR)) AS utm_campaign,
                      concat('C', CAST(k % 8 AS VARCHAR)) AS campaignId,
                      concat('Campaign ', CAST(k % 8 AS VARCHAR)) AS campaign_name
-              FROM ev WHERE k % 8 < 6) t"""),
+              FROM ev WHERE k IS NOT NULL) t"""),
     "fact_rd_email_campaign": (("ev",), """
-        SELECT CAST(DATE '2024-01-03' + CAST(b * 4 AS INTEGER) AS DATE) AS date,
-               concat('C', CAST(b AS VARCHAR)) AS campaignId, sends, opens, clicks
-        FROM (SELECT k % 8 AS b, COUNT(*) AS sends,
-                     CAST(SUM(CASE WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END) AS BIGINT) AS opens,
-                     CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks
-              FROM ev WHERE k % 8 < 7 GROUP BY k % 8) t
-        UNION ALL SELECT DATE '2024-01-20', 'C0', CAST(10 AS BIGINT), CAST(4 AS BIGINT), CAST(1 AS BIGINT)"""),
+        SELECT MIN(date) AS date, concat('C', CAST(k % 8 AS VARCHAR)) AS campaignId, COUNT(*) AS sends,
+               COUNT(*) FILTER (WHERE event_type IN ('view', 'click')) AS opens,
+               COUNT(*) FILTER (WHERE event_type = 'click') AS clicks
+        FROM ev WHERE k IS NOT NULL GROUP BY k % 8, date_trunc('week', date)"""),
     "fact_yt_channel_daily": (("ev",), """
         SELECT date, COUNT(*) AS views, CAST(SUM(val) AS BIGINT) AS estimatedMinutesWatched,
                CAST(SUM(val) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS averageViewDuration
-        FROM ev WHERE event_type IN ('view', 'click') AND extract(day FROM date) % 7 <> 0 GROUP BY date"""),
+        FROM ev WHERE event_type IN ('view', 'click') GROUP BY date"""),
     "fact_yt_video_period": (("ev",), """
         SELECT concat('v', CAST(k AS VARCHAR)) AS videoId, COUNT(*) AS views,
                CAST(SUM(val) AS BIGINT) AS estimatedMinutesWatched,
@@ -111,29 +106,24 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
               FROM map_utm_campaign WHERE campaignId IS NOT NULL) m
           ON g.ks = m.utm_source_norm AND g.km = m.utm_medium_norm AND g.kc = m.utm_campaign_norm
         GROUP BY g.date, m.campaignId"""),
+    # A send's band is looked up by day; the campaign's totals are added over all its sends.
     "fact_comms_impact_summary": (("fact_comms_impact_daily", "fact_rd_email_campaign"), """
-        SELECT pvt.campaignId, pvt.send_date,
-               CAST(COALESCE(pvt.ses_d_1, 0) AS BIGINT) AS ses_d_1,
-               CAST(COALESCE(pvt.ses_d0, 0) AS BIGINT) AS ses_d0,
-               CAST(COALESCE(pvt.ses_d0_d2, 0) AS BIGINT) AS ses_d0_d2,
-               CAST(COALESCE(pvt.ses_d0, 0) - COALESCE(pvt.ses_d_1, 0) AS BIGINT) AS uplift_abs,
-               CASE WHEN COALESCE(pvt.ses_d_1, 0) > 0
-                    THEN CAST(COALESCE(pvt.ses_d0, 0) - COALESCE(pvt.ses_d_1, 0) AS DOUBLE) * 100.0
-                         / CAST(pvt.ses_d_1 AS DOUBLE)
+        SELECT campaignId, send_date, before AS ses_d_1, same_day AS ses_d0, three_days AS ses_d0_d2,
+               same_day - before AS uplift_abs,
+               CASE WHEN before > 0 THEN 100.0 * CAST(same_day - before AS DOUBLE) / CAST(before AS DOUBLE)
                     ELSE 0.0 END AS uplift_pct,
-               tot.sends, tot.opens, tot.clicks
-        FROM (SELECT c.campaignId, c.send_date,
-                     MAX(CASE WHEN b.d = c.send_date - 1 THEN b.sessions END) AS ses_d_1,
-                     MAX(CASE WHEN b.d = c.send_date THEN b.sessions END) AS ses_d0,
-                     SUM(CASE WHEN b.d BETWEEN c.send_date AND c.send_date + 2 THEN b.sessions END) AS ses_d0_d2
-              FROM (SELECT DISTINCT campaignId, CAST(date AS DATE) AS send_date FROM fact_rd_email_campaign) c
-              LEFT JOIN (SELECT r.campaignId, r.date AS d, r.sessions FROM fact_comms_impact_daily r
-                         WHERE r.campaignId IN (SELECT campaignId FROM fact_rd_email_campaign)) b
-                ON b.campaignId = c.campaignId
-              GROUP BY 1, 2) pvt
-        LEFT JOIN (SELECT campaignId, CAST(SUM(sends) AS BIGINT) AS sends, CAST(SUM(opens) AS BIGINT) AS opens,
-                          CAST(SUM(clicks) AS BIGINT) AS clicks
-                   FROM fact_rd_email_campaign GROUP BY 1) tot ON tot.campaignId = pvt.campaignId"""),
+               sends, opens, clicks
+        FROM (SELECT s.campaignId, s.date AS send_date,
+                     CAST(COALESCE(SUM(i.sessions) FILTER (WHERE i.date < s.date), 0) AS BIGINT) AS before,
+                     CAST(COALESCE(SUM(i.sessions) FILTER (WHERE i.date = s.date), 0) AS BIGINT) AS same_day,
+                     CAST(COALESCE(SUM(i.sessions) FILTER (WHERE i.date >= s.date), 0) AS BIGINT) AS three_days
+              FROM (SELECT DISTINCT campaignId, date FROM fact_rd_email_campaign) s
+              LEFT JOIN fact_comms_impact_daily i
+                ON i.campaignId = s.campaignId AND i.date - s.date BETWEEN -1 AND 2
+              GROUP BY ALL) band
+        JOIN (SELECT campaignId, CAST(SUM(sends) AS BIGINT) AS sends, CAST(SUM(opens) AS BIGINT) AS opens,
+                     CAST(SUM(clicks) AS BIGINT) AS clicks
+              FROM fact_rd_email_campaign GROUP BY ALL) USING (campaignId)"""),
 }
 
 
@@ -185,7 +175,3 @@ def compare_sql(metrics: dict[str, str], cur, ref, scale: float = 1.0, ref_name:
     p = (f"SELECT {', '.join(sums)} FROM fact_engagement_daily "
          f"WHERE date BETWEEN {d(lo)} AND {d(hi)}")
     return with_facts(("fact_engagement_daily",), "\nUNION ALL\n".join(rows), extra=(("p", p),))
-
-
-def iso(x) -> str:
-    return x.isoformat() if isinstance(x, _dt.date) else str(x)

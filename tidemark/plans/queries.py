@@ -195,7 +195,7 @@ def _page_totals(w: Warehouse, start, end) -> DataFrame:
 
 
 # Q14
-def pages_pareto(w: Warehouse, start, end, limit: int | None = 50) -> DataFrame:
+def pages_pareto(w: Warehouse, start, end, limit: int | None = 50, rows_per_range: int = 1_000_000) -> DataFrame:
     """page_title, pageviews, cum_share (running share of all page views in the window).
 
     Bounded (``limit``): cut to the top rows, window over them only. Unbounded: ranges on the
@@ -205,7 +205,7 @@ def pages_pareto(w: Warehouse, start, end, limit: int | None = 50) -> DataFrame:
     if limit is not None:
         out = running_share_top(agg, "pageviews", "pagePath", limit)
     else:
-        out = running_share_all(agg, "pageviews", "pagePath")
+        out = running_share_all(agg, "pageviews", "pagePath", rows_per_range)
     return out.select("page_title", "pageviews", "cum_share")
 
 

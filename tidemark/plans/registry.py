@@ -223,12 +223,12 @@ def _comms_by_campaign(w):
 
 
 def _pareto_sql(limit: int | None) -> str:
-    """Brute-force definition: a page's running total is the sum over every page ranked at or
-    before it (more views, or as many views and a path not after it)."""
+    """Definition: a page's running total is the sum over every page ranked at or before it
+    (more views, or as many views and a path not after it)."""
     lim = f"LIMIT {limit}" if limit is not None else ""
     return O.with_facts(("fact_ga4_pages_daily",), f"""
     SELECT a.title AS page_title, a.pv AS pageviews,
-           CAST((SELECT SUM(b.pv) FROM agg b WHERE b.pv > a.pv OR (b.pv = a.pv AND b.path <= a.path)) AS DOUBLE)
+           CAST(SUM(a.pv) OVER (ORDER BY a.pv DESC, a.path ROWS UNBOUNDED PRECEDING) AS DOUBLE)
              / NULLIF(CAST((SELECT SUM(pv) FROM agg) AS DOUBLE), 0) AS cum_share
     FROM agg a
     ORDER BY a.pv DESC, a.path {lim}""", extra=(("agg", f"""
@@ -247,6 +247,12 @@ def _pages_pareto_all(w):
     return Q.pages_pareto(w, START, END, None)
 
 
+@register("pages_pareto_all_ranges", _pareto_sql(None))
+def _pages_pareto_all_ranges(w):
+    """The unbounded Pareto in many ranges, as it runs on a page set of any size."""
+    return Q.pages_pareto(w, START, END, None, rows_per_range=7)
+
+
 @register("rd_kpis", O.with_facts(("fact_rd_email_campaign",), f"""
     SELECT CAST(s AS DOUBLE) AS sends, CAST(o AS DOUBLE) AS opens, CAST(c AS DOUBLE) AS clicks,
            CASE WHEN s <> 0 THEN round(CAST(c AS DOUBLE) * 100.0 / CAST(s AS DOUBLE), 2) ELSE 0.0 END AS ctr_pct
@@ -606,9 +612,9 @@ _register_plain("refresh_rd_lead_stage", """
 _register_plain("import_map_utm_campaign", O.with_facts(("map_utm_campaign",), "SELECT * FROM map_utm_campaign"),
                 RP.replay_utm_map)
 
-_PAGE_EXPORT = f"""
+_PAGE_EXPORT = """
     SELECT pagePath, MAX(pageTitle) AS t, SUM(screenPageViews) AS pv, SUM(totalUsers) AS u, SUM(sessions) AS s
-    FROM fact_ga4_pages_daily WHERE {BT} GROUP BY pagePath"""
+    FROM fact_ga4_pages_daily GROUP BY pagePath"""
 _register_plain("csv_pages_import", O.with_facts(("fact_ga4_pages_daily",), """
     SELECT pagePath AS page_path, t AS page_title FROM per
     WHERE t IS NOT NULL AND lower(trim(t)) NOT IN ('total geral', 'total')""", extra=(("per", _PAGE_EXPORT),)),
@@ -619,15 +625,48 @@ _register_plain("csv_pages_facts", O.with_facts(("fact_ga4_pages_daily",), """
     FROM per WHERE t IS NOT NULL AND lower(trim(t)) NOT IN ('total geral', 'total')""",
     extra=(("per", _PAGE_EXPORT),)),
                 lambda spark, sf_dir: RP.replay_pages_csv(spark, sf_dir, "fact_sessions"))
-_register_plain("csv_videos_import", O.with_facts(("fact_yt_video_period",), f"""
-    SELECT DATE '2024-01-28' AS date, 'video_start' AS event_name, views AS event_count, videoId AS video_title
-    FROM fact_yt_video_period WHERE startDate = {O.d(START)}
+_register_plain("csv_videos_import", O.with_facts(("fact_yt_video_period",), """
+    SELECT DATE '2024-01-28' AS date, 'video_start' AS event_name, CAST(SUM(views) AS BIGINT) AS event_count,
+           videoId AS video_title
+    FROM fact_yt_video_period GROUP BY videoId
     UNION ALL
-    SELECT DATE '2024-01-28', 'video_progress', estimatedMinutesWatched, videoId
-    FROM fact_yt_video_period WHERE startDate = {O.d(START)}"""), RP.replay_videos_csv)
-_register_plain("csv_countries_import", O.with_facts(("fact_sessions_by_country",), f"""
+    SELECT DATE '2024-01-28', 'video_progress', CAST(SUM(estimatedMinutesWatched) AS BIGINT), videoId
+    FROM fact_yt_video_period GROUP BY videoId"""), RP.replay_videos_csv)
+_register_plain("csv_countries_import", O.with_facts(("fact_sessions_by_country",), """
     SELECT DATE '2024-01-28' AS date, country_id, CAST(SUM(users) AS BIGINT) AS users
-    FROM fact_sessions_by_country WHERE {BT} GROUP BY country_id"""), RP.replay_countries_csv)
+    FROM fact_sessions_by_country GROUP BY country_id"""), RP.replay_countries_csv)
+
+
+_register_plain("refresh_sessions_rejects", O.with_facts(("fact_sessions",), f"""
+    SELECT 'bad_date' AS reason, CAST(2 AS BIGINT) AS "rows"
+    UNION ALL SELECT 'out_of_window', 1 + COUNT(*) FILTER (WHERE NOT ({BT})) FROM fact_sessions
+    UNION ALL SELECT 'bad_number', 3"""),
+                lambda spark, sf_dir: RP.replay_report_rejects(spark, sf_dir, "fact_sessions", START, END))
+
+# up to the refreshed window's end the fact, behind it the stale rows
+for _name, _table, _dims, _metrics in (
+        ("refresh_sessions_corrected", "fact_sessions", ("date",), ("pageviews", "sessions", "users")),
+        ("refresh_pages_corrected", "fact_ga4_pages_daily", ("date", "pagePath", "pageTitle"),
+         ("screenPageViews", "sessions", "totalUsers"))):
+    _stale = ", ".join([*_dims, *(f"{m} + CASE WHEN date <= {O.d(END)} THEN 0 ELSE 1 END AS {m}" for m in _metrics)])
+    _register_plain(_name, O.with_facts((_table,), f"SELECT {_stale} FROM {_table}"),
+                    lambda spark, sf_dir, _t=_table: RP.replay_report_corrected(spark, sf_dir, _t, START, END))
+_register_plain("refresh_yt_videos_corrected", O.with_facts(("fact_yt_video_period",), """
+    SELECT videoId, views, estimatedMinutesWatched, averageViewDuration, startDate, endDate FROM fact_yt_video_period"""),
+                RP.replay_yt_videos_corrected)
+_register_plain("csv_pages_import_twice", O.with_facts(("fact_ga4_pages_daily",), """
+    SELECT pagePath AS page_path, CASE WHEN t IS NOT NULL AND lower(trim(t)) NOT IN ('total geral', 'total')
+                                       THEN t ELSE 'old title' END AS page_title FROM per WHERE pagePath IS NOT NULL
+    UNION ALL SELECT '/p/kept', 'kept'""", extra=(("per", _PAGE_EXPORT),)), RP.replay_pages_csv_twice)
+_register_plain("refresh_marts_window", O.with_facts(("fact_engagement_daily", "fact_comms_impact_daily", "fact_sessions"), f"""
+    SELECT 'engagement' AS part, CAST(g.d AS DATE) AS date, CAST(COALESCE(e.sessions, x.sessions, 0) AS BIGINT) AS sessions
+    FROM (SELECT unnest(generate_series({O.d(START)}, {O.d(RP.DAY_PAST_CALENDAR)}, INTERVAL 1 DAY)) AS d) g
+    LEFT JOIN fact_engagement_daily e ON e.date = CAST(g.d AS DATE)
+    LEFT JOIN fact_sessions x ON x.date = {O.d(START)} AND CAST(g.d AS DATE) = {O.d(RP.DAY_PAST_CALENDAR)}
+    UNION ALL SELECT 'campaigns', date, sessions FROM fact_comms_impact_daily
+    WHERE NOT ({BT})
+    UNION ALL SELECT 'calendar', {O.d(RP.DAY_PAST_CALENDAR)} + 1, NULL"""),
+                lambda spark, sf_dir: RP.replay_marts_window(spark, sf_dir, START, END))
 
 
 def queries() -> dict[str, Builder]:

@@ -13,12 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
+from tidemark.operators import tables as K
 from tidemark.plans import ingest as I
 from tidemark.session import scratch_dir
 from tidemark.sources import exports as X
 from tidemark.sources import landed as L
 from tidemark.sources.warehouse import DerivedWarehouse, StoredWarehouse
 
+VANISHED_DAY = "2023-12-30"       # no event is as old
+DAY_PAST_CALENDAR = "2024-02-15"  # no calendar day is as new
 AS_OF = "2024-01-31"  # "today" of the replays: the day after the last event
 IMPORT_DATE = "2024-01-28"
 
@@ -33,19 +36,97 @@ def replay_report(spark: SparkSession, sf_dir: str, table: str, days: int = 30)
     dates) plus the junk rows below, refresh the last ``days`` days of an empty table, read
     the table back."""
     spec = I.REPORTS[table]
-    w = DerivedWarehouse(spark, sf_dir)
+    landed, root = _land_fact(spark, sf_dir, table)
+    start, end = I.refresh_window(AS_OF, days)
+    I.refresh_report(spark, landed, f"{root}/{table}", spec, start, end)
+    return StoredWarehouse(spark, root).table(table).select(*spec.columns)
+
+
+def _land_fact(spark: SparkSession, sf_dir: str, table: str) -> tuple[str, str]:
+    """Land a fact as an analytics report with the junk rows; the report's folder and a fresh warehouse."""
+    spec = I.REPORTS[table]
     ren = dict(spec.rename)
-    fact = w.table(table).select(
+    fact = DerivedWarehouse(spark, sf_dir).table(table).select(
         *[(F.date_format(ren.get(c, c), "yyyyMMdd") if c == "date" else F.col(ren.get(c, c)).cast("string")).alias(c)
           for c in spec.dimensions + spec.metrics])
-    fact = fact.unionByName(_junk_rows(spark, spec))
     landed, root = _dirs(spark, f"report-{table}")
-    L.land_report(fact, landed, spec.dimensions, spec.metrics)
-    start, end = I.refresh_window(AS_OF, days)
-    I.refresh_report(spark, landed, f"{root}/{table}", spec, start, end)
+    L.land_report(fact.unionByName(_junk_rows(spark, spec)), landed, spec.dimensions, spec.metrics)
+    return landed, root
+
+
+def replay_report_rejects(spark: SparkSession, sf_dir: str, table: str, start, end) -> DataFrame:
+    """What a refresh of [start, end] from the whole landed fact leaves out, by reason."""
+    landed, _ = _land_fact(spark, sf_dir, table)
+    return I.report_rejects(spark, landed, I.REPORTS[table], start, end)
+
+
+def replay_report_corrected(spark: SparkSession, sf_dir: str, table: str, start, end) -> DataFrame:
+    """K2 over a filled table: it holds the whole fact with wrong numbers, and a day of the window that the
+    pull doesn't have. The window is refreshed twice, then an empty pull is tried: inside the window
+    the table is the fact, outside it keeps what it had."""
+    spec = I.REPORTS[table]
+    landed, root = _land_fact(spark, sf_dir, table)
+    metrics = [c for c in spec.columns if c not in {dict(spec.rename).get(d, d) for d in spec.dimensions}]
+    stale = DerivedWarehouse(spark, sf_dir).table(table).select(
+        *[(F.col(c) + 1 if c in metrics else F.col(c)).alias(c) for c in spec.columns])
+    gone = stale.where(F.col("date") == C.date_lit(start)).withColumn("date", C.date_lit(VANISHED_DAY))
+    K.write_partitioned(stale.unionByName(gone), f"{root}/{table}", ["date"])
+    pulled = I.report_batch(spark, landed, spec)
+    lo, hi = min(C.as_date(start), C.as_date(VANISHED_DAY)), C.as_date(end)
+    for _ in range(2):
+        K.replace_window(spark, pulled, f"{root}/{table}", lo, hi)
+    K.replace_window(spark, pulled.limit(0), f"{root}/{table}", lo, hi)
     return StoredWarehouse(spark, root).table(table).select(*spec.columns)
 
 
+def replay_yt_videos_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 over a filled table: stale rows of every period (and videos that the pull doesn't have) are
+    replaced period by period, twice."""
+    fact = DerivedWarehouse(spark, sf_dir).table("fact_yt_video_period")
+    _, root = _dirs(spark, "yt-videos-corrected")
+    path = f"{root}/fact_yt_video_period"
+    stale = fact.withColumn("views", F.col("views") + 1)
+    K.write_partitioned(stale.unionByName(stale.withColumn("videoId", F.concat(F.lit("old-"), "videoId"))), path,
+                        ["startDate", "endDate"])
+    for _ in range(2):
+        K.replace_period(fact, path)
+    return StoredWarehouse(spark, root).table("fact_yt_video_period")
+
+
+def replay_pages_csv_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U3 over a filled dimension: every page is there under an old title, and one that no export has;
+    the export is imported twice."""
+    w = DerivedWarehouse(spark, sf_dir)
+    landed, root = _dirs(spark, "csv-pages-twice")
+    export = _page_export(w)
+    X.write_csv(export, landed)
+    path = "Caminho da página e classe da tela"
+    old = export.where(F.col(path).isNotNull()).select(F.col(path).alias("page_path"), F.lit("old title").alias("page_title"))
+    kept = old.limit(1).select(F.lit("/p/kept").alias("page_path"), F.lit("kept").alias("page_title"))
+    K.rebuild(old.unionByName(kept), f"{root}/dim_page")
+    for _ in range(2):
+        I.import_pages_csv(spark, [landed], root, IMPORT_DATE)
+    return StoredWarehouse(spark, root).table("dim_page")
+
+
+def replay_marts_window(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:
+    """Marts after a re-pull that maps no UTM session any more and brings a day past the calendar: the
+    window's engagement and campaign rows, and the calendar's last day."""
+    from tidemark.plans.build import materialize, refresh_marts_window
+    _, root = _dirs(spark, "marts-window")
+    w = materialize(spark, sf_dir, root)
+    utm = w.fact("fact_ga4_sessions_by_utm_daily", start, end).withColumn("campaign", F.lit("unmapped"))
+    K.replace_window(spark, utm.checkpoint(), f"{root}/fact_ga4_sessions_by_utm_daily", start, end)
+    sessions = w.fact("fact_sessions", start, start).withColumn("date", C.date_lit(DAY_PAST_CALENDAR)).checkpoint()
+    K.replace_window(spark, sessions, f"{root}/fact_sessions", DAY_PAST_CALENDAR, DAY_PAST_CALENDAR)
+    refresh_marts_window(spark, root, start, DAY_PAST_CALENDAR)
+    w = StoredWarehouse(spark, root)
+    part = lambda df, name: df.select(F.lit(name).alias("part"), "date", F.col("sessions").cast("bigint").alias("sessions"))
+    calendar = w.table("dim_date").agg(F.max("date").alias("date")).withColumn("sessions", F.lit(None))
+    return (part(w.fact("fact_engagement_daily", start, DAY_PAST_CALENDAR), "engagement")
+            .unionByName(part(w.table("fact_comms_impact_daily"), "campaigns")).unionByName(part(calendar, "calendar")))
+
+
 # Rows every landed report carries on purpose — an impossible date, a date
 # outside the refresh window, and a malformed date with a malformed number. None may reach
 # the table.
@@ -151,8 +232,8 @@ def replay_utm_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return StoredWarehouse(spark, root).table("map_utm_campaign")
 
 
-def _page_export(w: DerivedWarehouse, start, end) -> DataFrame:
-    p = w.fact("fact_ga4_pages_daily", start, end)
+def _page_export(w: DerivedWarehouse) -> DataFrame:
+    p = w.table("fact_ga4_pages_daily")
     per = (p.groupBy("pagePath")
             .agg(F.max("pageTitle").alias("t"), F.sum("screenPageViews").alias("pv"),
                  F.sum("totalUsers").alias("u"), F.sum("sessions").alias("s")))
@@ -167,23 +248,21 @@ def _page_export(w: DerivedWarehouse, start, end) -> DataFrame:
 
 
 def replay_pages_csv(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """M14 (pages): export of page totals in the query window (with a 'Total geral' footer
-    and untitled pages), imported into dim_page (upsert) and fact_sessions (append)."""
-    from tidemark.plans.oracle import END, START
+    """M14 (pages): export of all page totals (with a 'Total geral' footer and untitled pages),
+    imported into dim_page (upsert) and fact_sessions (append)."""
     w = DerivedWarehouse(spark, sf_dir)
     landed, root = _dirs(spark, "csv-pages")
-    X.write_csv(_page_export(w, START, END), landed)
+    X.write_csv(_page_export(w), landed)
     I.import_pages_csv(spark, [landed], root, IMPORT_DATE)
     return StoredWarehouse(spark, root).table(table)
 
 
 def replay_videos_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 (videos): one export per event (starts = views, progress = minutes of the first
-    week of the query window), imported into dim_video and fact_events."""
-    from tidemark.plans.oracle import START
+    """M14 (videos): one export per event (starts = views, progress = minutes, over all periods),
+    imported into dim_video and fact_events."""
     w = DerivedWarehouse(spark, sf_dir)
-    per = (w.table("fact_yt_video_period").where(F.col("startDate") == C.date_lit(START))
-            .select(F.col("videoId").alias("Título do vídeo"), "views", "estimatedMinutesWatched"))
+    per = (w.table("fact_yt_video_period").groupBy(F.col("videoId").alias("Título do vídeo"))
+            .agg(F.sum("views").alias("views"), F.sum("estimatedMinutesWatched").alias("estimatedMinutesWatched")))
     landed, root = _dirs(spark, "csv-videos")
     X.write_csv(per.select("Título do vídeo", F.col("views").cast("string").alias("Contagem de eventos")),
                 f"{landed}/video_start")
@@ -195,10 +274,9 @@ def replay_videos_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_countries_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M14 (countries): users per country in the query window, Latin-1 encoded export."""
-    from tidemark.plans.oracle import END, START
+    """M14 (countries): users per country, Latin-1 encoded export."""
     w = DerivedWarehouse(spark, sf_dir)
-    per = (w.fact("fact_sessions_by_country", START, END).groupBy("country_id").agg(F.sum("users").alias("u"))
+    per = (w.table("fact_sessions_by_country").groupBy("country_id").agg(F.sum("users").alias("u"))
             .select(F.col("country_id").alias("ID do país"), F.col("u").cast("string").alias("Usuários ativos")))
     landed, root = _dirs(spark, "csv-countries")
     X.write_csv(per, landed, encoding="latin-1")

@@ -105,25 +105,19 @@ class Dataset:
 REGISTRY: tuple[Dataset, ...] = (
     Dataset("ga4_events_daily", "fact_ga4_events_daily", "GA4", "events",
             ("date", "eventName"), ("eventCount", "activeUsers"), "daily", 60,
-            not_null=("date", "eventName"), unique=("date", "eventName"),
-            description="Events per day and event name."),
+            not_null=("date", "eventName"), unique=("date", "eventName")),
     Dataset("ga4_pages_daily", "fact_ga4_pages_daily", "GA4", "pages",
             ("date", "pagePath", "pageTitle"), ("screenPageViews", "sessions", "totalUsers"), "daily", 60,
-            not_null=("date", "pagePath"), unique=("date", "pagePath"),
-            description="Page metrics per day: page views, sessions and users."),
+            not_null=("date", "pagePath"), unique=("date", "pagePath")),
     Dataset("ga4_sessions_by_utm_daily", "fact_ga4_sessions_by_utm_daily", "GA4", "sessions_utm",
             ("date", "source", "medium", "campaign"), ("sessions", "users"), "daily", 60,
-            not_null=("date",), description="Sessions and users per UTM triple per day."),
+            not_null=("date",)),
     Dataset("rd_email_campaign", "fact_rd_email_campaign", "RD", "email_campaign",
             ("date", "campaignId"), ("sends", "opens", "clicks"), "daily", 120,
-            not_null=("date", "campaignId"), description="E-mail metrics per campaign and send date."),
+            not_null=("date", "campaignId")),
 )
 
 
-def registry_by_table(registry: tuple[Dataset, ...] | None = None) -> dict[str, Dataset]:
-    return {d.table: d for d in (registry or REGISTRY)}
-
-
 def load_registry(source: str, table_of: dict[str, str] | None = None) -> tuple[Dataset, ...]:
     """Dataset registry from YAML (a path or the text itself), read on the driver.
 
