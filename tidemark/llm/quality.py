@@ -193,3 +193,64 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("class_distance", 6).alias("class_distance"), F.round("word_distance", 6).alias("word_distance"))
+
+
+def _op7_sql() -> str:
+    """The same from the definitions, in long tables: a row per word, window, and histogram bin."""
+    spelled = sorted({(c, w) for w in _vocabulary() for c in (w, w.capitalize(), w.upper())})
+    variants = ", ".join(f"('{c}', '{w}')" for c, w in spelled)
+    langs = ", ".join(f"'{x}'" for x in COMMON_WORDS)
+    classes = (r"\p{Ll}", r"\p{Lu}", r"\p{L}", "[0-9]", rf"[{WS_CLASS}]", r"""[.,;:!?''"()-]""", "[#*$%&|<>]")
+    steps = []
+    for k, pattern in enumerate(classes):
+        steps.append(f"SELECT *, regexp_replace(left_{k}, '{pattern}', '', 'g') AS left_{k + 1} FROM c{k}")
+    chain = ",\n".join(f"c{k + 1} AS ({s})" for k, s in enumerate(steps))
+    bins = ", ".join([f"length(left_{k}) - length(left_{k + 1})" for k in range(len(classes))] + [f"length(left_{len(classes)})"])
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+t AS (SELECT rid, doc_id, lang, text, regexp_extract_all(text, '[^{WS_CLASS}]+') AS words FROM d),
+n AS (SELECT *, len(words)::BIGINT AS n_words FROM t),
+word AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM n),
+win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS times
+        FROM (SELECT rid, i, w AS a, lead(w) OVER s AS b, lead(w, 2) OVER s AS c FROM word WINDOW s AS (PARTITION BY rid ORDER BY i)) x
+        WHERE c IS NOT NULL),
+rep AS (SELECT rid, count(DISTINCT j) AS n_repeat_words
+        FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS j FROM win WHERE times > 1) x GROUP BY rid),
+line AS (SELECT rid, count(*) - count(DISTINCT l) AS n_dup_lines
+         FROM (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM n) x
+         WHERE regexp_matches(l, '[^{WS_CLASS}]') GROUP BY rid),
+c0 AS (SELECT rid, text, text AS left_0 FROM n),
+{chain},
+class AS (SELECT rid, 'class' AS hist, unnest(['0', '1', '2', '3', '4', '5', '6', '7']) AS bin, unnest([{bins}]) AS x, length(text) AS total
+          FROM c{len(classes)}),
+variant AS (SELECT * FROM (VALUES {variants}) v(spelled, term)),
+common AS (SELECT rid, term, count(*) AS x FROM word JOIN variant ON w = spelled GROUP BY ALL),
+vocab AS (SELECT DISTINCT term FROM variant),
+in_words AS (SELECT n.rid, 'word' AS hist, v.term AS bin, coalesce(c.x, 0) AS x, n.n_words AS total
+             FROM n CROSS JOIN vocab v LEFT JOIN common c ON c.rid = n.rid AND c.term = v.term),
+bins AS (SELECT * FROM class UNION ALL SELECT * FROM in_words
+         UNION ALL SELECT rid, 'word', '', any_value(total) - sum(x), any_value(total) FROM in_words GROUP BY rid),
+share AS (SELECT rid, hist, bin, x::DOUBLE / greatest(total, 1) AS p FROM bins),
+ref AS (SELECT name, hist, bin, avg(p) AS q
+        FROM share JOIN (SELECT rid, unnest(['*', CASE WHEN lang IN ({langs}) THEN lang END]) AS name FROM n WHERE n_words >= {MIN_WORDS}) m USING (rid)
+        WHERE name IS NOT NULL GROUP BY ALL),
+dist AS (SELECT rid, hist, min(js) AS js FROM (
+           SELECT rid, hist, name, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                                                    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS js
+           FROM share JOIN ref USING (hist, bin) GROUP BY ALL) x GROUP BY ALL),
+m AS (SELECT n.doc_id, n.n_words, (length(n.text) - c.x)::BIGINT AS word_chars, s.x::BIGINT AS n_symbols,
+             coalesce(line.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(rep.n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             coalesce(a.js, 0.0) AS ca, coalesce(b.js, 0.0) AS wa
+      FROM n JOIN class c ON c.rid = n.rid AND c.bin = '4' JOIN class s ON s.rid = n.rid AND s.bin = '6'
+      LEFT JOIN line ON line.rid = n.rid LEFT JOIN rep ON rep.rid = n.rid
+      LEFT JOIN dist a ON a.rid = n.rid AND a.hist = 'class' LEFT JOIN dist b ON b.rid = n.rid AND b.hist = 'word'),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {100 * MAX_REPEATED_SHARE} * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_words >= {MIN_WORDS} AND ca > {MAX_CLASS_DISTANCE}
+         OR n_words >= {MIN_WORDS_FOR_WORDS} AND wa > {MAX_WORD_DISTANCE}) AS kept,
+       round(ca, 6) AS class_distance, round(wa, 6) AS word_distance
+FROM f
+"""
+
+
+OP7_SQL = _op7_sql()

@@ -33,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_quality_rules": quality.OP7_SQL,
     "op9_mixing": mixing.OP9_SQL,
 }
