@@ -177,3 +177,12 @@ def test_running_share_in_many_ranges_with_a_title_column(spark):
     both = got.merge(want, on="key")
     assert len(got) == n and (both.cum_value == both.cum).all() and (both.title_x == both.title_y).all()
     assert abs(got.cum_share.max() - 1.0) < 1e-12
+
+
+@pytest.mark.parametrize("window", [("2024-01-02", "2024-01-20"), ("2023-12-01", "2024-01-05"), ("2024-01-25", "2024-03-01"),
+                                    ("2024-01-31", "2024-02-05"), ("2024-02-05", "2024-02-09"), ("2023-11-01", "2023-11-05"), ("2023-01-01", "2025-01-01")])
+def test_windowed_spine_equals_the_calendar_of_all_events(spark, window):
+    from tidemark.functions import columns as C
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    whole = M.dim_date_from_events(events).where(F.col("date").between(C.date_lit(window[0]), C.date_lit(window[1])))
+    assert sorted(M.dim_date_window(events, *window).collect()) == sorted(whole.collect())

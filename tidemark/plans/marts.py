@@ -6,6 +6,8 @@ Pure functions DataFrame → DataFrame; writing them is the caller's choice
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,25 @@ def dim_date_from_events(events: DataFrame, days_after: int = 1) -> DataFrame:
     return calendar_from_bounds(bounds)
 
 
+def dim_date_window(events: DataFrame, start, end) -> DataFrame:
+    """The days of ``dim_date_from_events`` inside [start, end], from the window's events alone.
+
+    Whether history goes on before or behind the window takes one event each, found in the files
+    whose ``ts`` statistics allow it; the scan itself is pruned to the window and the day before it
+    (the calendar ends one day past the last event).
+    """
+    s, e = C.as_date(start), C.as_date(end)
+    day = _dt.timedelta(days=1)
+    inside = events.where((F.col("ts") >= C.ts_floor_lit(s - day)) & (F.col("ts") < C.ts_floor_lit(e + day)))
+    earlier = events.where(F.col("ts") < C.ts_floor_lit(s)).select(F.lit(1)).limit(1)
+    later = events.where(F.col("ts") >= C.ts_floor_lit(e + day)).select(F.lit(1)).limit(1)
+    seen = inside.agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("b"))
+    lo = F.when(earlier.exists(), F.lit(s)).when(F.col("a").isNotNull(), F.greatest("a", F.lit(s)))
+    hi = F.when(later.exists(), F.lit(e)).when(F.col("b").isNotNull(), F.least(F.date_add("b", 1), F.lit(e)))
+    bounds = seen.select(lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
+    return calendar_from_bounds(bounds)
+
+
 def engagement_daily(dim_date: DataFrame, sessions: DataFrame, yt_daily: DataFrame) -> DataFrame:
     """Calendar spine ⟕ web sessions ⟕ video day, zeros for missing days.
 

@@ -129,7 +129,9 @@ class DerivedWarehouse(Warehouse):
         if name == "dim_date":
             return M.dim_date_from_events(self.driver("events"))
         if name == "fact_engagement_daily":
-            return M.engagement_daily(self.table("dim_date"),
+            spine = (self.table("dim_date") if start is None or end is None
+                     else M.dim_date_window(self.driver("events"), start, end))
+            return M.engagement_daily(spine,
                                       self._build("fact_sessions", start, end),
                                       self._build("fact_yt_channel_daily", start, end))
         if name == "fact_comms_impact_daily":
