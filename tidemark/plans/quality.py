@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.schemas import REGISTRY, TABLE_SOURCE
+from tidemark.schemas import REGISTRY, TABLES, TABLE_SOURCE
 from tidemark.sources.warehouse import Warehouse
 
 DROP_ALERT_PCT = -40.0  # fixed value: day-over-day drop that raises an alert
@@ -153,25 +153,20 @@ def check_unique(w: Warehouse, registry=REGISTRY) -> DataFrame:
 
 
 # M10
-CATALOG_TABLES = ("fact_sessions", "fact_ga4_events_daily", "fact_ga4_pages_daily", "fact_yt_channel_daily",
-                  "fact_yt_video_period", "fact_sessions_by_country", "fact_events")
-# Datasets listed as planned, with their planned fields.
-PLANNED_FIELDS = (
-    ("fact_rd_lead_stage_daily", ("date", "stage", "count")),
-    ("fact_rd_email_campaign", ("date", "campaignId", "sends", "opens", "clicks")),
-)
+CATALOG_TABLES = tuple(t for t in TABLES if t in TABLE_SOURCE)
 
 
 def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
     """Field catalog as a column profile: (source, dataset, type, name, description, rows, nulls).
 
-    Column rows carry 'name:TYPE', the row count and the NULL count of the column (one
-    aggregate per table, unpivoted with ``stack``); planned fields carry NULL counts.
-    Missing tables are skipped.
+    Every source and mart table of the schema is listed. Column rows carry 'name:TYPE', the row
+    count and the NULL count of the column (one aggregate per table, unpivoted with ``stack``); the
+    columns of a table that this warehouse doesn't hold are planned fields, without counts.
     """
-    parts = []
+    parts, planned_fields = [], []
     for t in tables:
         if not w.has(t):
+            planned_fields += [(TABLE_SOURCE.get(t, ""), t, "planned_field", f.name, "planned") for f in TABLES[t].fields]
             continue
         df = w.table(t)
         fields = df.schema.fields
@@ -182,10 +177,8 @@ def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
                                 F.lit("column").alias("type"),
                                 F.expr(f"stack({len(fields)}, {args}) as (name, nulls)"),
                                 F.lit("").alias("description"), F.col("rows").cast("bigint").alias("rows")))
-    spark = w.spark
-    planned = spark.createDataFrame(
-        [("RD", ds, "planned_field", f, "planned") for ds, fs in PLANNED_FIELDS for f in fs],
-        "source string, dataset string, type string, name string, description string")
+    planned = w.spark.createDataFrame(
+        planned_fields, "source string, dataset string, type string, name string, description string")
     planned = planned.select("*", F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("nulls"))
     out = _union(parts).select("source", "dataset", "type", "name", "description", "rows",
                                F.col("nulls").cast("bigint").alias("nulls"))

@@ -431,17 +431,16 @@ def _columns_of(table: str) -> list[tuple[str, str]]:
 def _catalog_sql(tables=QA.CATALOG_TABLES) -> tuple[tuple[str, ...], str]:
     parts, uses = [], []
     for t in tables:
-        if t == "fact_events":  # not derived from the driver tables: skipped as missing
+        if t in ("fact_events", "fact_rd_lead_stage_daily"):  # not derived from the driver tables
+            for f in TABLES[t].fields:
+                parts.append(f"SELECT '{TABLE_SOURCE[t]}', '{t}', 'planned_field', '{f.name}', 'planned', "
+                             f"CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
             continue
         uses.append(t)
         for c, ty in _columns_of(t):
             parts.append(f"SELECT '{TABLE_SOURCE.get(t, '')}' AS source, '{t}' AS dataset, 'column' AS type, "
                          f"'{c}:{ty}' AS name, '' AS description, CAST(COUNT(*) AS BIGINT) AS \"rows\", "
                          f"CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls FROM {t}")
-    for ds, fields in QA.PLANNED_FIELDS:
-        for f in fields:
-            parts.append(f"SELECT 'RD', '{ds}', 'planned_field', '{f}', 'planned', "
-                         f"CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
     return tuple(uses), "\nUNION ALL\n".join(parts)
 
 
@@ -637,6 +636,7 @@ _register_plain("csv_countries_import", O.with_facts(("fact_sessions_by_country"
     FROM fact_sessions_by_country GROUP BY country_id"""), RP.replay_countries_csv)
 
 
+_register_plain("csv_countries_import_stacked", REGISTRY["csv_countries_import"][1], RP.replay_countries_csv_stacked)
 _register_plain("refresh_sessions_rejects", O.with_facts(("fact_sessions",), f"""
     SELECT 'bad_date' AS reason, CAST(2 AS BIGINT) AS "rows"
     UNION ALL SELECT 'out_of_window', 1 + COUNT(*) FILTER (WHERE NOT ({BT})) FROM fact_sessions

@@ -282,3 +282,17 @@ def replay_countries_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.write_csv(per, landed, encoding="latin-1")
     I.import_countries_csv(spark, [landed], root, IMPORT_DATE)
     return StoredWarehouse(spark, root).table("fact_sessions_by_country")
+
+
+def replay_countries_csv_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 over two exports at once (S9): a UTF-16 file with a byte-order mark and a Latin-1 file with its
+    columns in another order and one more."""
+    w = DerivedWarehouse(spark, sf_dir)
+    per = (w.table("fact_sessions_by_country").groupBy("country_id").agg(F.sum("users").alias("u"))
+            .select(F.col("country_id").alias("ID do país"), F.col("u").cast("string").alias("Usuários ativos")))
+    landed, root = _dirs(spark, "csv-countries-stacked")
+    early = F.col("ID do país") < "J"
+    X.write_csv(per.where(early), f"{landed}/a", encoding="utf-16")
+    X.write_csv(per.where(~early).select("Usuários ativos", F.lit("x").alias("Nota"), "ID do país"), f"{landed}/b", encoding="latin-1")
+    I.import_countries_csv(spark, [f"{landed}/a", f"{landed}/b", f"{landed}/missing"], root, IMPORT_DATE)
+    return StoredWarehouse(spark, root).table("fact_sessions_by_country")
