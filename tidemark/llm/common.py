@@ -47,6 +47,13 @@ def keep_where(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn(at, F.monotonically_increasing_id()).where((F.col(at) >= 0) & condition).drop(at)
 
 
+def opaque(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with ``column`` as it is, but such that a later filter on it stays above ``df`` (see keep_where)."""
+    at = fresh("at")
+    return (df.withColumn(at, F.monotonically_increasing_id())
+            .withColumn(column, F.when(F.col(at) >= 0, F.col(column))).drop(at))
+
+
 def count_words(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs; one character is left of each, white space goes."""
     runs = F.regexp_replace(text, f"[^{WS_CLASS}]++", "w")

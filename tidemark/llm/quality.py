@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, keep_where, read_table, text_or_empty
+from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, keep_where, opaque, read_table, text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEATED_SHARE = 0.5
@@ -179,14 +179,14 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = (), min_words: int = MIN_WOR
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 100 * max_repeated * F.col("n_words"))
     far = (((F.col("n_words") >= min_words) & (F.col("class_distance") > max_class))
            | ((F.col("n_words") >= MIN_WORDS_FOR_WORDS) & (F.col("word_distance") > max_word)))
-    return df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~far)
+    return opaque(df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~far), "kept")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     whole = fresh("row")
     judged = judge(docs.withColumn(whole, F.struct(*docs.columns)), carry=(whole,), **options)
-    return keep_where(judged.select(whole, "kept"), F.col("kept")).select(f"{whole}.*")
+    return judged.where("kept").select(f"{whole}.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

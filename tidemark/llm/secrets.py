@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, read_table, text_or_empty
+from tidemark.llm.common import fresh, opaque, read_table, text_or_empty
 
 # Fixed patterns (letter case written out: no engine's case folding is involved).
 _NAMES = ("[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -115,7 +115,7 @@ def scan(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         df = df.withColumn(kind, F.filter(each(f"{chars}{{{least},}}+"), lambda m: ~allowed(m) & ~clash(m)))
         df = df.withColumn(kind, F.filter(kind, _reaches(bits)))
         added.append(spans(kind, kind))
-    return df.select(*carry, "doc_id", F.array_sort(F.concat("base", *added)).alias("found"))
+    return opaque(df.select(*carry, "doc_id", F.array_sort(F.concat("base", *added)).alias("found")), "found")
 
 
 def _is_kind(kind: str):
