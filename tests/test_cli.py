@@ -45,7 +45,7 @@ def test_cli_init_refresh_materialize_query(spark, tmpdir_spark):
     assert len(pareto) == 5 and pareto[-1].cum_share <= 1.0
     main(["catalog", "--root", root, "--out", f"{tmpdir_spark}/catalog_csv"], spark)
     cat = spark.read.option("header", True).csv(f"{tmpdir_spark}/catalog_csv")
-    assert cat.where(F.col("name") == "pageviews:BIGINT").count() == 1
+    assert cat.where((F.col("dataset") == "fact_sessions") & (F.col("name") == "pageviews:BIGINT")).count() == 1
     assert main(["query", "partial_day", "--root", root, "--end", "2024-01-28", "--as-of", "2024-01-28"],
                 spark).first().latest_date == dt.date(2024, 1, 30)
 
@@ -70,7 +70,7 @@ def test_cli_refresh_yt_combined(spark, tmpdir_spark):
     main(["refresh-yt", "--channel-report", f"{tmpdir_spark}/yt_day", "--videos-report", f"{tmpdir_spark}/yt_vid",
           "--root", root, "--days", "7", "--as-of", "2024-01-14", "--max-results", "5"], spark)
     ch = spark.read.parquet(f"{root}/fact_yt_channel_daily")
-    assert ch.agg(F.min("date"), F.max("date")).first() == (dt.date(2024, 1, 8), dt.date(2024, 1, 13))
+    assert ch.agg(F.min("date"), F.max("date")).first() == (dt.date(2024, 1, 7), dt.date(2024, 1, 14))
     vp = spark.read.parquet(f"{root}/fact_yt_video_period")
     assert vp.count() == 5 and {tuple(r) for r in vp.select("startDate", "endDate").distinct().collect()} == \
         {(dt.date(2024, 1, 7), dt.date(2024, 1, 14))}
