@@ -29,7 +29,7 @@ from tidemark.llm.common import broadcast_if_few, count_words, cut, fresh, read_
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 SEED = "mix-1"
 #: Quality weight: LOW_WEIGHT for a text of symbols only, 1 for one without any.
 LOW_WEIGHT = 0.1
