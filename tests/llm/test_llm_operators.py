@@ -93,6 +93,22 @@ def test_pii_scores_equal_sparks_trees(spark):
     assert np.allclose(pii.Trees.of(model).score(x), expect)
 
 
+def test_pii_thresholds_count_all_texts_not_the_sample(spark):
+    order = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) + (1 << 63)) % (1 << 64)  # noqa: E731  # as Spark's xxhash64 sorts
+    codes = sorted((f"tel 030 {1000 + i} {5678 + i}, part GB82 WEST 1234 5698 7654 33 no {i}" for i in range(200)), key=order)[:60]
+    valid = sorted((f"account GB82 WEST 1234 5698 7654 32 ref {i}" for i in range(200)), key=order)[-20:]
+    docs = documents(spark, codes + valid)
+    sample = [r for r in pii.training_rows(docs, 60) if r.kind == pii.KINDS.index("iban")]
+    assert sample and not any(r.label for r in sample)
+    rows = {r.doc_id: r for r in pii.find_pii(docs, 60).collect()}
+    assert all("[IBAN]" in rows[60 + i].redacted and "GB82" not in rows[60 + i].redacted for i in range(20))
+    assert all("[IBAN]" not in rows[i].redacted for i in range(60))
+    model = pii.train(docs, 60)
+    counts = {r.kind: (r.good, r.bad) for r in pii.histogram(docs, model[0]).groupBy("kind").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect()}
+    assert counts["iban"] == (20, 80) and counts["phone_national"][0] >= 60
+
+
 def test_pii_odd_rows(spark):
     docs = odd_documents(spark)
     assert pii.find_pii(docs).count() == docs.count()

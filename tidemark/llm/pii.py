@@ -9,14 +9,16 @@
    (those with the smallest hash of their text): a candidate that passes its kind's own check is
    positive, one that fails it negative, and every positive one also gives a spoiled twin (digits changed,
    glued to a word) as a negative.
-4. On the candidates held back from training, a threshold per kind is set where the precision reaches ``PRECISION``.
+4. The candidates of all texts, and the twins, are scored and counted in ``BINS`` score bins per kind; a kind's threshold
+   is the lowest bin down to which the precision reaches ``PRECISION``. A kind that no threshold makes so precise, or
+   that had no positive candidate to learn from, is decided by its own check instead: no kind is turned off.
 5. Base spans that pass their check always stand. Any other candidate is redacted if its score reaches its kind's
    threshold and it doesn't overlap a base span or a better candidate.
 
-Documents are scored where they are read: nothing is shuffled, and all candidates of a document are seen together.
+Documents are scored where they are read: no text is shuffled, and all candidates of a document are seen together.
 
-Edge cases: a null text is empty; a text without candidates has no spans; without candidates in the sample there is no
-model, and base spans alone are returned; repeated rows each get their row; extra columns are ignored; an empty table gives
+Edge cases: a null text is empty; a text without candidates has no spans; without candidates of both classes in the
+sample there are no trees, and every loose kind is decided by its own check; repeated rows each get their row; extra columns are ignored; an empty table gives
 an empty result; no pattern is quadratic in the length of a text.
 """
 
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import ipaddress
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +42,7 @@ TRAIN_DOCUMENTS = 4_000
 TRAIN_CANDIDATES = 40_000
 TREES, DEPTH = 12, 4
 PRECISION = 0.9
+BINS = 1024  # a power of two: bin edges are exact
 BASE = ("email", "ip", "card", "phone")
 LOOSE = ("email_spelled", "phone_national", "card_short", "iban", "ssn", "ipv6")
 KINDS = BASE + LOOSE
@@ -66,7 +70,7 @@ CUES = {
     "iban": ("iban", "account", "konto", "cuenta", "compte"), "ssn": ("ssn", "social", "security"),
 }
 FEATURES = ("kind", "length", "digits", "letters", "separators", "kinds_of_separators", "groups", "longest_group",
-            "distinct_digits", "luhn", "octets", "plus", "brackets", "before_word", "after_word", "cue", "last_label")
+            "distinct_digits", "check_digits", "octets", "plus", "brackets", "before_word", "after_word", "cue", "last_label")
 
 
 def luhn(digits: str) -> bool:
@@ -93,6 +97,11 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, done))
 
 
+def mod_97(text: str) -> bool:
+    joined = text.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in joined[4:] + joined[:4])) % 97 == 1
+
+
 def octets(text: str) -> bool:
     return all(int(p[-12:]) <= 255 and not p[:-12].strip("0") for p in text.split("."))
 
@@ -115,8 +124,7 @@ def passes(kind: str, text: str) -> bool:
     if kind == "card_short":
         return 13 <= len(digits) <= 15 and luhn(digits) and digits[0] in "3456"
     if kind == "iban":
-        joined = text.replace(" ", "")
-        return 15 <= len(joined) <= 34 and int("".join(str(int(c, 36)) for c in joined[4:] + joined[:4])) % 97 == 1
+        return 15 <= len(text.replace(" ", "")) <= 34 and mod_97(text)
     if kind == "ssn":
         return text[:3] not in ("000", "666") and text[0] != "9" and text[4:6] != "00" and text[7:] != "0000"
     try:
@@ -147,7 +155,7 @@ def features(kind: str, text: str, before: str, after: str) -> list[float]:
     separators = [c for c in text if not c.isalnum()]
     return [float(KINDS.index(kind)), len(text), len(digits), sum(c.isalpha() for c in text), len(separators),
             len(set(separators)), len(groups), max(map(len, groups), default=0), len(set(digits)),
-            float(bool(digits) and luhn(digits)), float(text.count(".") == 3 and octets(text) if kind == "ip" else 0),
+            float(mod_97(text) if kind == "iban" else bool(digits) and luhn(digits)), float(text.count(".") == 3 and octets(text) if kind == "ip" else 0),
             float(text[:1] == "+"), float("(" in text), float(before[-1:].isalnum()), float(after[:1].isalnum()),
             float(any(c in before.lower() for c in CUES[kind])), len(text.rpartition(".")[2])]
 
@@ -231,38 +239,81 @@ class Trees:
         return 1 / (1 + np.exp(-2 * margin))
 
 
-def train(docs: DataFrame, limit: int = TRAIN_DOCUMENTS, precision: float = PRECISION) -> tuple[Trees, dict[str, float]] | None:
-    """The trees and each kind's threshold; None without examples of both classes."""
+def train(docs: DataFrame, limit: int = TRAIN_DOCUMENTS, precision: float = PRECISION) -> tuple[Trees | None, dict[str, float | None]]:
+    """The trees (None without examples of both classes) and each loose kind's threshold (None: its own check decides)."""
     rows = training_rows(docs, limit)
     learn = [r for r in rows if not r.held] or rows
     if len({r.label for r in learn}) < 2:
-        return None
+        return None, dict.fromkeys(LOOSE)
     spark = docs.sparkSession
     data = spark.createDataFrame([(r.label, Vectors.dense(r.x)) for r in learn], ["label", "features"]).coalesce(1)
     trees = Trees.of(GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=64).fit(data))
-    held = [r for r in rows if r.held]
+    learnt = {KINDS[r.kind] for r in learn if r.label}
+    found = thresholds_of(histogram(docs, trees), precision)
+    return trees, {k: found.get(k) if k in learnt else None for k in LOOSE}
+
+
+def histogram(docs: DataFrame, trees: Trees) -> DataFrame:
+    """kind, bin, good and bad: the loose candidates of all texts, and the positive ones' twins, by score."""
+    sent = share(docs.sparkSession, trees)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent()
+        for b in batches:
+            keys, x = [], []
+            for text in b.column(0).to_pylist():
+                for kind, s, e in candidates(text):
+                    if kind in LOOSE:
+                        good = passes(kind, text[s:e])
+                        keys.append((kind, good))
+                        x.append(_row(kind, text, s, e))
+                        if good:
+                            keys.append((kind, False))
+                            x.append(_spoiled(kind, text[s:e], text[max(0, s - 32):s]))
+            if keys:
+                counts = Counter((*k, n) for k, n in zip(keys, bins(model.score(np.array(x, float))).tolist()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, _, _ in counts]), pa.array([n for _, _, n in counts], pa.int64()),
+                     pa.array([c * good for (_, good, _), c in counts.items()], pa.int64()),
+                     pa.array([c * (not good) for (_, good, _), c in counts.items()], pa.int64())],
+                    names=["kind", "bin", "good", "bad"])
+
+    found = docs.select(text_or_empty().alias("text")).mapInArrow(run, "kind string, bin long, good long, bad long")
+    return found.groupBy("kind", "bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+
+
+def bins(scores: np.ndarray) -> np.ndarray:
+    return np.minimum((scores * BINS).astype(int), BINS - 1)
+
+
+def thresholds_of(counts: DataFrame, precision: float) -> dict[str, float]:
+    """The lowest threshold of every kind that has one with this precision (at most ``BINS`` rows a kind are read)."""
+    by_kind: dict[str, list] = {}
+    for r in counts.collect():
+        by_kind.setdefault(r.kind, []).append((r.bin, r.good, r.bad))
     thresholds = {}
-    for k, kind in enumerate(KINDS):
-        mine = [r for r in held if r.kind == k]
-        thresholds[kind] = 0.5
-        if mine:
-            p, y = trees.score(np.array([r.x for r in mine], float)), np.array([r.label for r in mine])
-            order = np.argsort(-p, kind="stable")
-            good = np.cumsum(y[order]) / np.arange(1, len(order) + 1) >= precision
-            thresholds[kind] = max(0.5, float(p[order][np.flatnonzero(good)[-1]])) if good.any() else 1.1
-    return trees, thresholds
-
-
-def select(texts: list[str], model: tuple[Trees, dict[str, float]] | None) -> list[tuple[list, list]]:
+    for kind, rows in by_kind.items():
+        good = bad = 0
+        for n, g, b in sorted(rows, reverse=True):
+            good, bad = good + g, bad + b
+            if good >= precision * (good + bad):
+                thresholds[kind] = n / BINS
+    return thresholds
+
+
+def select(texts: list[str], model: tuple[Trees | None, dict[str, float | None]] | None) -> list[tuple[list, list]]:
     """Per text: base spans (kind, start, end) by kind and start, and the added spans by start."""
     found = [candidates(t) for t in texts]
     loose = [(i, k, s, e) for i, spans in enumerate(found) for k, s, e in spans if k in LOOSE]
-    scores = np.empty(0)
-    if model and loose:
+    scores = np.ones(len(loose) if model else 0)
+    if model and model[0] and loose:
         scores = model[0].score(np.array([_row(k, texts[i], s, e) for i, k, s, e in loose], float))
     added: dict[int, list] = {}
     for (i, k, s, e), p in zip(loose, scores):
-        if p >= model[1][k]:
+        least = model[1][k]
+        if least is None:  # decided by its check, which trees that never saw one can't rank
+            p, least = float(passes(k, texts[i][s:e])), 1.0
+        if p >= least:
             added.setdefault(i, []).append((-p, s, e, k))
     out = []
     for i, spans in enumerate(found):
