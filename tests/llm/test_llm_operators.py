@@ -580,6 +580,28 @@ def test_html_single_pages():
         assert htmltext.extract(page) == text, page
 
 
+def test_html_loose_markup_keeps_article_text():
+    for page, text in {
+        '<html class="no-sidebar"><body class="no-sidebar"><p>x</p></body></html>': "x",
+        '<body class="sidebar"><main class="with-sidebar"><p>x</p></main></body>': "x",
+        '<div class="content has-sidebar"><p>x</p></div>': "x", '<div id="page" class="no-sidebar"><p>x</p></div>': "x",
+        '<article class="post comments-open"><p>x</p><div class="comments"><p>c</p></div></article>': "x",
+        '<article class="ad"><p>x</p></article>': "x",
+        '<article><p>a <a href="/the-hidden-cost" title="a hidden gem">b</a> c</p></article>': "a b c",
+        "<p title='class=\"ad\" hidden'>x</p>": "x", '<p data-id="ad-12" data-hidden data-class="menu">x</p>': "x",
+        '<p><a href="?id=comments">x</a> <a href=/y?id=ads&hidden>y</a></p>': "x y",
+        '<p>x</p><p hidden>n</p><p aria-hidden=true>n</p><p style="color:red;display: none">n</p><div class="ad"><p>n</p></div>'
+        '<div class="post-comments">n</div><div class="comment-body">n</div><div id=ad-12>n</div><div CLASS=\'x sidebar\'>n</div>': "x",
+    }.items():
+        assert htmltext.extract(page) == text, page
+
+
+def test_html_template_tags_keep_all_classes():
+    name = htmltext._spelled(("open", "div", ' class="main hidden" id=a'))[1:]
+    fixed, _ = htmltext.template_of([("h", 1, name, 9, 9, "v", 1.0), ("h", 2, "/div", 9, 9, "v", 2.0)])
+    assert [f[1:] for f in fixed] == [(False, False), (False, False)]
+
+
 def site(n, host="h.org"):
     rng = random.Random(n)
     rows = []

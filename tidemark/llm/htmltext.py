@@ -49,7 +49,8 @@ MAX_BROADCAST_HOSTS = 20_000
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.I)
+# One attribute after the other, each with its value, so that neither values nor other names are searched.
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>"'][^\s>]*)))?""")
 _SPACE = re.compile(r"\s+")
 # Fixed values of the HTML standard.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "math", "iframe", "object", "canvas", "xmp",
@@ -75,8 +76,10 @@ DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "popup", "modal", "overlay", "toolbar", "pagination", "pager", "widget", "widgets", "complementary",
               "contentinfo", "search", "login", "signup", "skip"}
 MAIN = {"article", "main"}
-READER_WORDS = {"comment", "comments", "disqus", "ad", "ads", "reply", "replies", "sidebar"}  # even in an article's words
+READER_WORDS = {"comment", "comments", "disqus", "ad", "ads", "reply", "replies", "sidebar"}  # even beside an article's words
 KEEP_WORDS = {"article", "content", "main", "post", "entry", "body", "story"}
+WHOLE_PAGE = {"html", "body"}
+STATE_WORDS = {"no", "with", "without", "has"}  # such a class tells how an element's page looks, not what the element is
 
 
 def host_of(url: str | None) -> str:
@@ -123,14 +126,26 @@ def tokens(html: str | None) -> Iterator[tuple[str, str, str]]:
 
 
 def _labels(attrs: str) -> tuple[str, set[str]]:
-    """Class and id of a tag as written, and the words of its class, id and role."""
+    """Class and id of a tag, and the words of its class, id and role.
+
+    ``\0reader`` is one of them if a whole class or id is made of nothing but READER_WORDS, or of these and
+    KEEP_WORDS (``comments``, ``ad-12``, ``comment-body``, but not ``comments-open``).
+    """
     shown, words = [], set()
     for m in _ATTR.finditer(attrs):
         name, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if name in ("class", "id"):
-            shown.append(f"{name}={value}")
+            shown.append('{}="{}"'.format(name, value.replace('"', "")))
         if name in ("class", "id", "role"):
-            words.update(w for part in re.split(r"[\s_-]+", value.lower()) for w in (part, part.rstrip("0123456789")))
+            for token in value.lower().split():
+                parts = [x for x in re.split("[_-]+", token) if x]
+                if parts and parts[0] in STATE_WORDS:
+                    continue
+                plain = [x.rstrip("0123456789") for x in parts]
+                words.update(parts, plain)
+                plain = {x for x in plain if x}
+                if name != "role" and plain & READER_WORDS and plain <= READER_WORDS | KEEP_WORDS:
+                    words.add("\0reader")
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             words.add("\0hidden")
         if name == "aria-hidden" and value.lower() == "true":
@@ -242,8 +257,8 @@ def role(name: str, words: set[str], dropped: bool, main: bool) -> tuple[bool, b
     if not dropped:
         kept = name in MAIN or words & KEEP_WORDS
         dropped = (name in DROP or name == "header" and not main or "\0hidden" in words
-                   or bool(words & READER_WORDS)
-                   or bool(words & DROP_WORDS) and name not in ("html", "body", "h1") and not kept)
+                   or "\0reader" in words and name not in WHOLE_PAGE | MAIN
+                   or bool(words & DROP_WORDS) and name not in WHOLE_PAGE | {"h1"} and not kept)
     return dropped, not dropped and (main or name in MAIN)
 
 
