@@ -341,6 +341,48 @@ def test_alignment_equals_the_recurrence():
         assert score == slow_score(a, b) and 0 <= matches <= columns
 
 
+def slow_run(a, b):
+    """Whether any alignment holds MIN_RUN matches at MIN_IDENTITY: all (matches, columns) of every cell."""
+    cells = {}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            here = {(0, 0)}
+            if i and j:
+                here |= {(m + (a[i - 1] == b[j - 1]), n + 1) for m, n in cells[i - 1, j - 1]}
+            here |= {(m, n + 1) for k in ((i - 1, j), (i, j - 1)) if min(k) >= 0 for m, n in cells[k]}
+            cells[i, j] = {(m, n) for m, n in here if n - m <= len(a) // 4 + 1}
+            if any(m >= decontaminate.MIN_RUN and m >= decontaminate.MIN_IDENTITY * n for m, n in cells[i, j]):
+                return True
+    return False
+
+
+def test_runs_equal_brute_force():
+    assert decontaminate.RUN_MATCHES == (13, 13, 13, 13, 16, 20, 24) and decontaminate.RUN_WORDS == 4
+    rng, seen = random.Random(4), []
+    for _ in range(150):
+        a = list(range(1, rng.randint(15, 27)))
+        edits = [[[0], [w, 0], [], [w]][rng.choices(range(4), (12, 4, 4, 80))[0]] for w in a]
+        b = [0] * 2 + sum(edits, []) + [3]
+        found = decontaminate.run(np.array(a), np.array(b))
+        seen.append(found is not None)
+        assert seen[-1] == slow_run(a, b), (a, b)
+    assert 20 < sum(seen) < 130
+
+
+def test_leaks_behind_a_higher_score():
+    item = [f"w{i}" for i in range(50)]
+    index = decontaminate.Index([(1, item)])
+    other = iter(f"x{i}" for i in range(10_000))
+    tail = [w if k % 2 and k < 39 else next(other) for k, w in enumerate(item)][20:40]  # 9 of 20 words, every other one
+    clean = [next(other) for _ in range(200)]
+    exact = item[:20] + clean
+    loose = [w if k % 5 < 3 else next(other) for k, w in enumerate(item)][:36]  # scores more than 13 words, and passes no test
+    for text, found in ((exact, 20), (item[:20] + tail + clean, 26), (item[:13] + clean + loose, 13), (loose + clean + item[30:43], 13),
+                        (loose + clean, None), (item[:12] + clean, None)):
+        got = decontaminate.leaks(index, text)
+        assert (got and got[0][2] or None) == found, got
+
+
 def test_leaks_exact_edited_and_clean(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6)))
