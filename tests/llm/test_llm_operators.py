@@ -158,6 +158,18 @@ def test_url_rules_are_mined_pruned_and_matched(spark):
             assert (r.verdict == "block") == any(set(c) <= tokens for c in kept)
 
 
+def test_url_rules_need_a_count_of_pages_at_every_size(spark):
+    """12 bad pages in 20,000, and five words that only together are bad."""
+    words = "abcde"
+    urls = [f"http://tail.org/en/{i}" if i < 12 else f"http://good.org/en/{i}" for i in range(20_000)]
+    urls[100:120] = [f"http://good.org/en/{i}/{'/'.join(words)}" for i in range(100, 120)]
+    urls[200:300] = [f"http://good.org/en/{i}/{'/'.join(w for w in words if w != words[i % 5])}" for i in range(200, 300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not (i < 12 or 100 <= i < 120)), 0) for i in range(20_000)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.mined for r in urlrules.filter_urls(pages, labels, rules=()).collect()}
+    assert {i for i, mined in got.items() if mined} == {*range(12), *range(100, 120)}
+
+
 def test_url_filter_without_labels_or_pages(spark):
     pages, labels = planted_urls(spark)
     assert {r.verdict for r in urlrules.filter_urls(pages, labels.limit(0)).collect()} == {"allow"}

@@ -4,9 +4,9 @@
 2. Labelled urls are those whose path names a labelled document (``/lang/<doc_id>``); they are ``bad`` if the
    document's quality is 0 or it is toxic. The list's verdicts are no labels: they would only be mined back, and a language that
    the list blocks on one domain would be blocked on all.
-3. Spark's FP-growth mines the token combinations of all labelled urls. A combination is a rule if, together with
-   ``bad``, its support and its confidence reach their limits, and no combination inside it is as
-   confident.
+3. Spark's FP-growth mines the token combinations that at least ``MIN_PAGES`` bad urls hold, however many urls there
+   are, and those in all labelled urls are counted by the index of step 4. A combination is a rule if its confidence reaches its limit, and
+   no combination inside it is as confident.
 4. A url that the list doesn't judge is blocked if all tokens of a rule are in its set. Rules are found by an inverted
    index from each rule's rarest token, shared with the tasks in blocks of at most ``BLOCK_RULES`` rules.
 
@@ -20,8 +20,10 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +33,11 @@ from tidemark.llm.common import cut, read_table, share
 
 # (verdict, rule): a rule names a host, all its subdomains, and the beginning of a path.
 LIST = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-MIN_SUPPORT = 0.002     # of the labelled urls, and
-MIN_PAGES = 10          # so many of them at least
+MIN_SUPPORT = 0.0       # share of the labelled urls that a rule's bad ones must be besides
+MIN_PAGES = 10          # bad urls of a rule at least
 MIN_CONFIDENCE = 0.6
-MAX_TOKENS = 4          # of a rule
+MAX_TOKENS = 64         # of a rule; no limit, as the parts of so long a combination would be 2^64 others
 BLOCK_RULES = 50_000
-BAD = "label:bad"
 
 _PARTS = re.compile(r"[^a-z0-9]+")
 
@@ -94,26 +95,25 @@ def tokenized(pages: DataFrame, rules=LIST) -> DataFrame:
 
 
 def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         min_pages: int = MIN_PAGES, max_tokens: int = MAX_TOKENS) -> DataFrame:
+         min_pages: int = MIN_PAGES, max_tokens: int = MAX_TOKENS, block_rules: int = BLOCK_RULES) -> DataFrame:
     """(tokens, confidence): the pruned rules whose consequent is ``bad``.
 
-    Every url adds at most 2^max_tokens-fold supported combinations, so there are no more than
-    that divided by ``min_support``, however many urls there are.
+    A bad url of k tokens adds at most 2^k combinations; of good urls none are listed.
     """
     named = F.try_to_number(F.regexp_extract("path", r"\A/[^/]+/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("long")
     known = (labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("named"))
              .agg(F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).cast("int")).alias("bad")))
-    baskets = (urls.where(F.size("tokens") > 0).withColumn("named", named).join(known, "named")
-               .select(F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items")))
-    baskets = cut(baskets)
-    n = baskets.count()
-    if not n:
-        return cut(baskets.select(F.col("items").alias("tokens"), F.lit(0.0).alias("confidence")))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_pages / n)),
-                     minConfidence=min_confidence).fit(baskets)
-    found = model.associationRules.where((F.size("consequent") == 1) & (F.get("consequent", F.lit(0)) == BAD)
-                                         & (F.size("antecedent") <= max_tokens))
-    found = cut(found.select(F.array_sort("antecedent").alias("tokens"), "confidence"))
+    baskets = cut(urls.where(F.size("tokens") > 0).withColumn("named", named).join(known, "named").select("tokens", "bad"))
+    bad = baskets.where("bad = 1")
+    n_bad, least = bad.count(), max(min_pages, min_support * baskets.count())
+    if not n_bad or n_bad < least:
+        return cut(baskets.limit(0).select("tokens", F.lit(0.0).alias("confidence")))
+    # half a page less, so that the limit is the count itself whatever the division rounds to
+    model = FPGrowth(itemsCol="tokens", minSupport=max(least - 0.5, 0.5) / n_bad).fit(bad)
+    often = cut(model.freqItemsets.where(F.size("items") <= max_tokens).select(F.array_sort("items").alias("tokens"), "freq"))
+    found = often.join(totals(often.select("tokens"), baskets, block_rules), "tokens")
+    found = cut(found.select("tokens", (F.col("freq") / F.col("total")).alias("confidence"))
+                .where(F.col("confidence") >= min_confidence))
     # a rule goes if a shorter one inside it is as confident: compared along shared tokens only
     shorter = found.select(F.col("tokens").alias("inner"), F.col("confidence").alias("inner_confidence"))
     keyed = found.select("tokens", "confidence", F.explode("tokens").alias("key"))
@@ -147,6 +147,31 @@ def matches(tokens: list[str], index: dict[str, list[frozenset]]) -> bool:
     return any(rule <= have for t in have for rule in index.get(t, ()))
 
 
+def totals(rules: DataFrame, urls: DataFrame, block_rules: int = BLOCK_RULES) -> DataFrame:
+    """(tokens, total): how many urls hold each combination; one pass over the distinct token sets per block."""
+    distinct = cut(urls.groupBy("tokens").agg(F.count("*").alias("n")))
+
+    def count(index: dict[str, list[frozenset]]) -> DataFrame:
+        sent = share(urls.sparkSession, index)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, found = sent(), defaultdict(int)
+            for b in batches:
+                for tokens, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    have = set(tokens)
+                    for t in have:
+                        for rule in own.get(t, ()):
+                            if rule <= have:
+                                found[rule] += n
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(r) for r in found], pa.list_(pa.string())),
+                                              pa.array(list(found.values()), pa.int64())], names=["tokens", "n"])
+
+        return distinct.mapInArrow(run, "tokens array<string>, n long").groupBy("tokens").agg(F.sum("n").alias("total"))
+
+    parts = [cut(count(index)) for index in rule_blocks(rules, distinct, block_rules)]
+    return reduce(DataFrame.unionByName, parts) if parts else rules.select("tokens", F.lit(0).cast("long").alias("total"))
+
+
 def _matches_udf(spark: SparkSession, index: dict[str, list[frozenset]]) -> Callable:
     sent = share(spark, index)
 
@@ -165,7 +190,7 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=LIST, min_support: fl
     """page_id, host, path, rule and verdict of every row; ``mined`` tells whether a mined rule fits."""
     urls = tokenized(pages, rules)
     mined = F.lit(False)
-    found = cut(mine(urls, labels, min_support, min_confidence, min_pages))
+    found = cut(mine(urls, labels, min_support, min_confidence, min_pages, block_rules=block_rules))
     for index in rule_blocks(found, urls, block_rules):
         mined = mined | _matches_udf(pages.sparkSession, index)("tokens")
     df = urls.withColumn("mined", mined)
