@@ -5,7 +5,8 @@ Added spans: candidate strings are maximal runs of the hex or of the base64 alph
 ``WINDOW`` characters slides over a candidate; its Shannon entropy follows from the counts of its
 characters, kept up to date by the one that enters and the one that leaves. A candidate whose
 highest window entropy reaches its class's threshold is a span, unless the allow list suppresses it: no digit or no
-letter at all, UUIDs, strings that count up, placeholders, and spans that meet a base one.
+letter at all, UUIDs, strings that count up, placeholders, and what meets an assignment. Access-key ids and long hex
+runs are cut out of a candidate; each part outside them is a candidate of its own.
 
 Offsets: the pieces between a pattern's matches (``split``) and the matches (``regexp_extract_all``) alternate, so
 their running lengths are the offsets in code points. Texts without any hit skip all of that.
@@ -91,6 +92,17 @@ def max_window_entropy(text: Column, window: int = WINDOW) -> Column:
     return F.aggregate(codes, zero, step).best
 
 
+def _outside(m: Column, base: Column) -> Column:
+    """The parts of a candidate that lie outside the base spans by ``base`` (of struct<start,end>), as candidates."""
+    holes = F.filter(base, lambda b: (b.start < m.end) & (m.start < b.end))
+    nothing = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    ends = F.concat(holes, F.array(F.struct(m.end.alias("start"), m.end.alias("end"))))
+    part = lambda a, b: F.struct(a.alias("start"), b.alias("end"), F.substr(m.text, a - m.start + 1, b - a).alias("text"))
+    return F.aggregate(ends, F.struct(m.start.alias("at"), nothing.alias("out")), lambda s, h: F.struct(
+        F.greatest(s["at"], h.end).alias("at"),
+        F.when(h.start > s["at"], F.concat(s.out, F.array(part(s["at"], h.start)))).otherwise(s.out).alias("out"))).out
+
+
 def scan(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``carry``, doc_id and ``found``: array of (start, rank, end, kind, text) by start, then kind as in KINDS."""
     df = docs.select(*carry, "doc_id", text_or_empty().alias("text"))
@@ -108,11 +120,14 @@ def scan(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         m.start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m.end.alias("end"), F.lit(kind).alias("kind"),
         m.text.alias("text")))
     df = df.withColumn("base", F.array_sort(F.concat(*[spans(k, k) for k in BASE_KINDS])))
+    df = df.withColumn("fixed", F.array_sort(F.transform(F.concat("access", "hex"), lambda m: F.struct(
+        m.start.alias("start"), m.end.alias("end")))))
     added = []
     for kind, chars, least, bits in CLASSES:
         allowed = lambda m: reduce(lambda a, b: a | b, [m.text.rlike(p) for p in ALLOWED])
-        clash = lambda m: F.exists("base", lambda b: (b.start < m.end) & (m.start < b.end))
-        df = df.withColumn(kind, F.filter(each(f"{chars}{{{least},}}+"), lambda m: ~allowed(m) & ~clash(m)))
+        clash = lambda m: F.exists("assign", lambda b: (b.start < m.end) & (m.start < b.end))
+        df = df.withColumn(kind, F.flatten(F.transform(each(f"{chars}{{{least},}}+"), lambda m: _outside(m, F.col("fixed")))))
+        df = df.withColumn(kind, F.filter(kind, lambda m: (m.end - m.start >= least) & ~allowed(m) & ~clash(m)))
         df = df.withColumn(kind, F.filter(kind, _reaches(bits)))
         added.append(spans(kind, kind))
     return opaque(df.select(*carry, "doc_id", F.array_sort(F.concat("base", *added)).alias("found")), "found")
