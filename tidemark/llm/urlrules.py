@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import cut, read_table, share
+from tidemark.llm.common import broadcast_if_few, cut, read_table, share
 
 # (verdict, rule): a rule names a host, all its subdomains, and the beginning of a path.
 LIST = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -128,7 +128,7 @@ def rule_blocks(rules: DataFrame, urls: DataFrame, block_rules: int = BLOCK_RULE
     """Inverted indexes (rarest token of a rule -> its rules), each of at most ``block_rules`` rules."""
     counts = urls.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     used = rules.select(F.explode("tokens").alias("token")).distinct()
-    often = counts.join(used, "token")
+    often = broadcast_if_few(cut(counts.join(used, "token")))
     rarest = (rules.select("tokens", F.explode("tokens").alias("token")).join(often, "token")
               .groupBy("tokens").agg(F.min(F.struct("n", "token")).alias("rare")))
     index, size = defaultdict(list), 0
