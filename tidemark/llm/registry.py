@@ -12,7 +12,10 @@ from tidemark.llm import (
     htmltext,
     mixing,
     pii,
+    piece,
     quality,
+    repair,
+    runs,
     secrets,
     simhash,
     toxicity,
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_mixing": mixing.op9_mixing,
     "op10_html_text": htmltext.op10_html_text,
+    "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_periodic_runs": runs.op12_periodic_runs,
+    "op13_sentencepiece": piece.op13_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = {
