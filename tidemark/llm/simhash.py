@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, read_table, text_or_empty
+from tidemark.llm.common import cut, fresh, read_table, text_or_empty
 
 SHINGLE_WORDS = 3
 RADIUS = 2
@@ -62,14 +62,18 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) for every row; ``fp`` holds the 64 bits in a signed long."""
+    """(doc_id, fp, digest) for every row; ``fp`` holds the 64 bits in a signed long, ``digest`` is the text's SHA-256."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, shingle_words) for t in b.column(1).to_pylist()), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], names=["doc_id", "fp", "digest"])
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), _digest().alias("digest"))
+    return src.mapInArrow(run, "doc_id long, fp long, digest string")
+
+
+def _digest() -> Column:
+    return F.sha2(text_or_empty(), 256)
 
 
 def _bands(radius: int) -> list[tuple[int, int]]:
@@ -201,32 +205,45 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small
 
 
-def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
-                   tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    fps = cut(fingerprints(docs, shingle_words))
+def _named(fps: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """(fp, group): of each distinct fingerprint of ``fps`` one fingerprint that its group shares."""
     comp = components(links(fps, radius, tile_rows))
-    first = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     # linked fingerprints only: a small part of all, and one row each
     linked = (comp.select(F.col("node").alias("fp"), "root")
               .unionByName(comp.select(F.col("root").alias("fp"), "root").distinct()))
-    named = first.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    group = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(group, "root").select("fp", "component_id")
+    return fps.select("fp").distinct().join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"))
+
+
+def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
+                   tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
+    fps = cut(fingerprints(docs, shingle_words).drop("digest"))
+    first = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = first.join(_named(fps, radius, tile_rows), "fp")
+    group = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = named.join(group, "group").select("fp", "component_id")
     return (fps.join(named, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the document with the smallest id stays.
+def keep_one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
+                       tile_rows: int = TILE_ROWS) -> DataFrame:
+    """``docs`` without near-duplicates: of each group the document with the smallest id stays (without an id: last).
 
-    Rows that share a ``doc_id`` are one document (any one of them stays); rows without an id can't be
-    named by a group and stay.
+    A document is an id and a text, never an id alone: rows that share a ``doc_id`` but not their text are two documents, and each
+    is judged by its own group. Rows that share both are one (any one of them stays). Of equal ids in a group the text with the
+    smaller digest stays.
     """
-    groups = simhash_groups(docs, **options)
-    kept = cut(groups.where("doc_id = component_id").select("doc_id").distinct())
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    fps = cut(fingerprints(docs, shingle_words))
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("none")), "digest")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest"))
+    first = fps.groupBy("fp").agg(least.alias("least"))
+    best = first.join(_named(fps, radius, tile_rows), "fp").groupBy("group").agg(F.min("least").alias("best")).select("best.*")
+    at, digest = fresh("name"), fresh("digest")
+    kept = cut(best.select(name.alias(at)))
+    whole = docs.withColumn(digest, _digest())
+    whole = whole.withColumn(at, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("none")), digest))
+    return whole.drop(digest).dropDuplicates([at]).join(kept, at, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
