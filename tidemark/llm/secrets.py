@@ -5,14 +5,16 @@ Added spans: candidate strings are maximal runs of the hex or of the base64 alph
 ``WINDOW`` characters slides over a candidate; its Shannon entropy follows from the counts of its
 characters, kept up to date by the one that enters and the one that leaves. A candidate whose
 highest window entropy reaches its class's threshold is a span, unless the allow list suppresses it: no digit or no
-letter at all, UUIDs, strings that count up, placeholders, and what meets an assignment. Access-key ids and long hex
-runs are cut out of a candidate; each part outside them is a candidate of its own.
+letter at all, and UUIDs. Strings that count up and placeholder words clear their own characters: what is left must be as long as a
+candidate, half of the candidate at least, and reach the threshold. Base spans are blanked before (assignments, then access-key ids,
+then hex runs in what is left), so each part of a string beside them is a candidate of its own.
 
 Offsets: the pieces between a pattern's matches (``split``) and the matches (``regexp_extract_all``) alternate, so
 their running lengths are the offsets in code points. Texts without any hit skip all of that.
 
 Edge cases: a null text is empty; an empty text has no spans; repeated rows each get their row; other columns are
-ignored; an empty table gives an empty result; the work is linear in the length of a text.
+ignored; an empty table gives an empty result. Offsets of a text's matches take its length plus, per match, a block of 256; a
+redacted text is copied once per span.
 """
 
 from __future__ import annotations
@@ -41,13 +43,13 @@ CLASSES = (
     ("entropy_base64", "[A-Za-z0-9+/_-]", 20, 3.7),
 )
 KINDS = BASE_KINDS + tuple(c[0] for c in CLASSES)
-# Allow list: a candidate that matches is no secret.
+# Allow list: a candidate that matches whole is no secret; placeholders clear their own characters only.
 ALLOWED = (
     r"^[^0-9]*$", r"^[^A-Za-z]*$",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(?:0123456789|abcdefgh|ABCDEFGH)",
-    r"(?i:example|sample|dummy|placeholder|changeme|xxxxxx)",
 )
+PLACEHOLDERS = r"(?:0123456789|abcdefgh|ABCDEFGH|(?i:example|sample|dummy|placeholder|changeme|xxxxxx))"
+BLOCK = 256  # matches whose offsets are summed one by one; blocks start from the sums of those before them
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -55,13 +57,22 @@ def _matches(text: Column, pattern: str) -> Column:
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     gaps = F.split(text, pattern, -1)
     steps = F.zip_with(F.slice(gaps, 1, F.size(found)), found,
-                       lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("text")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string>>").alias("out"))
-    return F.aggregate(steps, zero, lambda s, x: F.struct(
-        (s["at"] + x.gap + F.length(x.text)).alias("at"),
-        F.concat(s.out, F.array(F.struct((s["at"] + x.gap).alias("start"),
-                                         (s["at"] + x.gap + F.length(x.text)).alias("end"),
-                                         x.text.alias("text")))).alias("out"))).out
+                       lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), m.alias("text")))
+    nothing = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    starts = F.transform(F.sequence(F.lit(0), F.floor(F.size(found) / BLOCK).cast("int")), lambda k: k * BLOCK + 1)
+    blocks = F.transform(starts, lambda at: F.slice(steps, at, F.lit(BLOCK)))
+    lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x.gap + x.size))
+    # where each block begins: a running sum over blocks
+    begins = F.aggregate(lengths, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda s, n: F.struct(
+        (s["at"] + n).alias("at"), F.array_append(s.out, s["at"]).alias("out"))).out
+
+    def placed(block: Column, begin: Column) -> Column:
+        return F.aggregate(block, F.struct(begin.alias("at"), nothing.alias("out")), lambda s, x: F.struct(
+            (s["at"] + x.gap + x["size"]).alias("at"),
+            F.array_append(s.out, F.struct((s["at"] + x.gap).alias("start"), (s["at"] + x.gap + x["size"]).alias("end"),
+                                           x.text.alias("text"))).alias("out"))).out
+
+    return F.flatten(F.zip_with(blocks, begins, placed))
 
 
 def max_window_entropy(text: Column, window: int = WINDOW) -> Column:
@@ -92,15 +103,12 @@ def max_window_entropy(text: Column, window: int = WINDOW) -> Column:
     return F.aggregate(codes, zero, step).best
 
 
-def _outside(m: Column, base: Column) -> Column:
-    """The parts of a candidate that lie outside the base spans by ``base`` (of struct<start,end>), as candidates."""
-    holes = F.filter(base, lambda b: (b.start < m.end) & (m.start < b.end))
-    nothing = F.array().cast("array<struct<start:int,end:int,text:string>>")
-    ends = F.concat(holes, F.array(F.struct(m.end.alias("start"), m.end.alias("end"))))
-    part = lambda a, b: F.struct(a.alias("start"), b.alias("end"), F.substr(m.text, a - m.start + 1, b - a).alias("text"))
-    return F.aggregate(ends, F.struct(m.start.alias("at"), nothing.alias("out")), lambda s, h: F.struct(
-        F.greatest(s["at"], h.end).alias("at"),
-        F.when(h.start > s["at"], F.concat(s.out, F.array(part(s["at"], h.start)))).otherwise(s.out).alias("out"))).out
+def _blanked(text: Column, pattern: str, blank) -> Column:
+    """``text`` with the pattern's matches that ``blank`` holds for overwritten by spaces, so that all offsets stay."""
+    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    gaps = F.split(text, pattern, -1)
+    over = lambda g, m: F.concat(g, F.when(blank(m), F.repeat(F.lit(" "), F.length(m))).otherwise(m))
+    return F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size(found)), found, over), ""), F.element_at(gaps, -1))
 
 
 def scan(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -120,15 +128,18 @@ def scan(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         m.start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), m.end.alias("end"), F.lit(kind).alias("kind"),
         m.text.alias("text")))
     df = df.withColumn("base", F.array_sort(F.concat(*[spans(k, k) for k in BASE_KINDS])))
-    df = df.withColumn("fixed", F.array_sort(F.transform(F.concat("access", "hex"), lambda m: F.struct(
-        m.start.alias("start"), m.end.alias("end")))))
+    # base spans are blanked, one kind after the other; candidates are looked for in what is left
+    rest = fresh("rest")
+    df = df.withColumn(rest, text)
+    for kind, pattern, blank in (("assign", ASSIGN, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= MIN_SECRET),
+                                 ("access", ACCESS, lambda m: F.lit(True)), ("hex", HEX, lambda m: F.lit(True))):
+        df = df.withColumn(rest, F.when(F.size(kind) > 0, _blanked(F.col(rest), pattern, blank)).otherwise(F.col(rest)))
     added = []
     for kind, chars, least, bits in CLASSES:
         allowed = lambda m: reduce(lambda a, b: a | b, [m.text.rlike(p) for p in ALLOWED])
-        clash = lambda m: F.exists("assign", lambda b: (b.start < m.end) & (m.start < b.end))
-        df = df.withColumn(kind, F.flatten(F.transform(each(f"{chars}{{{least},}}+"), lambda m: _outside(m, F.col("fixed")))))
-        df = df.withColumn(kind, F.filter(kind, lambda m: (m.end - m.start >= least) & ~allowed(m) & ~clash(m)))
-        df = df.withColumn(kind, F.filter(kind, _reaches(bits)))
+        found = F.when(F.col(hit), _matches(F.col(rest), f"{chars}{{{least},}}+")).otherwise(nothing)
+        df = df.withColumn(kind, F.filter(found, lambda m: ~allowed(m)))
+        df = df.withColumn(kind, F.filter(kind, _reaches(bits, least)))
         added.append(spans(kind, kind))
     return opaque(df.select(*carry, "doc_id", F.array_sort(F.concat("base", *added)).alias("found")), "found")
 
@@ -137,8 +148,11 @@ def _is_kind(kind: str):
     return lambda x: x.kind == kind
 
 
-def _reaches(bits: float):
-    return lambda m: max_window_entropy(m.text) >= bits
+def _reaches(bits: float, least: int):
+    """What is left of a candidate without placeholders must be long enough, half of it, and reach the entropy."""
+    bare = lambda m: F.regexp_replace(m.text, PLACEHOLDERS, "")
+    return lambda m: ((F.length(bare(m)) >= least) & (2 * F.length(bare(m)) >= m.end - m.start)
+                      & (max_window_entropy(bare(m)) >= bits))
 
 
 def _joined(spans: Column) -> Column:
