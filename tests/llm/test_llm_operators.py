@@ -7,6 +7,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -217,13 +218,19 @@ def base_secrets(t):
 
 
 def all_secrets(t):
-    base, added = base_secrets(t), []
+    base, added, rest = base_secrets(t), [], t
+    blank = lambda m: " " * len(m.group())
+    rest = re.sub(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                  lambda m: blank(m) if len(m.group(2)) >= 6 else m.group(), rest, flags=re.I | re.A)
+    for pattern in ("AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"):
+        rest = re.sub(pattern, blank, rest)
     for rank, (kind, chars, least, bits) in enumerate(secrets.CLASSES):
-        for m in re.finditer(f"{chars}{{{least},}}", t):
+        for m in re.finditer(f"{chars}{{{least},}}", rest):
             x = m.group()
-            if any(re.search(p, x) for p in secrets.ALLOWED) or any(b[0] < m.end() and m.start() < b[2] for b in base):
+            bare = re.sub(secrets.PLACEHOLDERS, "", x)
+            if any(re.search(p, x) for p in secrets.ALLOWED) or len(bare) < least or 2 * len(bare) < len(x):
                 continue
-            windows = [x[i:i + secrets.WINDOW] for i in range(max(1, len(x) - secrets.WINDOW + 1))]
+            windows = [bare[i:i + secrets.WINDOW] for i in range(max(1, len(bare) - secrets.WINDOW + 1))]
             entropy = lambda w: -sum(c / len(w) * math.log2(c / len(w)) for c in collections.Counter(w).values())
             if max(map(entropy, windows)) >= bits:
                 added.append((m.start(), 3 + rank, m.end(), kind))
@@ -255,6 +262,28 @@ def test_secret_parts_beside_base_spans(spark):
     assert clean[0] == "é [SECRET][SECRET] x" and not any(key in t for t in clean) and clean[3] == "[SECRET]-short1"
 
 
+def test_secret_keys_beside_assignments_and_with_placeholder_words(spark):
+    key = "q7Rk2Lm9Xz4Tb8Vw1Yc6Pd3Hs5Jf0NgAa1Bb2Cc3"
+    texts = [f"{key[:20]}sample{key[20:]}", f"{key}_token=abcdef", f"{key}secret: hunter22", "example_sample_0123456789_dummy", f"x exampleexampleexampleexampleexample{key[:20]}",
+             "sample-sample-sample-1a2b3c"]
+    rows = {r.doc_id: r for r in secrets.scan(documents(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert [(x.start, x.rank, x.end, x.kind) for x in rows[i].found] == all_secrets(t), t
+    clean = [r.text for r in secrets.redact(documents(spark, texts)).orderBy("doc_id").collect()]
+    assert clean[:3] == ["[SECRET]", "[SECRET][SECRET]", "[SECRET][SECRET]"] and clean[3:] == texts[3:]
+
+
+def test_secret_offsets_of_many_matches_take_time_in_proportion(spark):
+    took = {}
+    for n in (2_000, 8_000, 16_000):
+        text = " é ".join(f"{k:024x}" for k in range(n))
+        begun = time.time()
+        found = secrets.scan(documents(spark, [text])).collect()[0].found
+        took[n] = time.time() - begun
+        assert [(x.start, x.rank, x.end, x.kind) for x in found if x["rank"] == 2] == [(27 * k, 2, 27 * k + 24, "hex") for k in range(n)]
+    assert took[16_000] <= 2.5 * took[8_000] + 1, took
+
+
 def test_secret_redaction(spark):
     rows = {r.doc_id: r for r in secrets.redact(documents(spark, SECRETS)).collect()}
     for i, t in enumerate(SECRETS):
@@ -334,6 +363,17 @@ def test_simhash_groups(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
 
 
+def test_near_dedup_keeps_every_text_of_a_repeated_id(spark):
+    a, b, c = ("alpha beta gamma delta " * 9, "one two three four five six seven " * 9, "red green blue white black " * 9)
+    rows = [(5, b), (5, a), (2, b), (None, a + "x"), (None, c), (None, c), (7, c), (9, None), (8, ""), (8, "")]
+    for order in (rows, rows[::-1], sorted(rows, key=str)):
+        df = spark.createDataFrame([(*r, 1) for r in order], "doc_id long, text string, `x.y` int")
+        kept = [(r.doc_id, r.text) for r in simhash.keep_one_per_group(df.repartition(3)).collect()]
+        assert sorted(kept, key=str) == sorted([(5, a), (2, b), (7, c), (8, "")], key=str) or sorted(kept, key=str) == sorted(
+            [(5, a), (2, b), (None, a + "x"), (7, c), (8, "")], key=str)
+        assert len({simhash.fingerprint(t) for _, t in kept}) == len(kept)
+
+
 def test_simhash_odd_rows(spark):
     docs = odd_documents(spark)
     rows = simhash.simhash_groups(docs).collect()
@@ -661,6 +701,23 @@ def test_html_loose_markup_keeps_article_text():
         assert htmltext.extract(page) == text, page
 
 
+def test_html_drop_words_beside_other_words_keep_text():
+    for page, text in {
+        '<article><p class="search-algorithms">x</p><p id="share-prices">y</p><p class="modal-verbs">z</p></article>': "x\ny\nz",
+        '<div class="social-history-page"><p>x</p></div>': "x",
+        '<form id="aspnetForm"><div class="menu">m</div><article><p>x</p><form>f</form></article><p>s</p></form>': "x",
+        '<article><p>Press <button>OK</button> or <label>Cancel</label> now</p><button>b</button></article>': "Press OK or Cancel now",
+        '<section class="comments"><article class="c"><p>c</p></article></section><p>x</p>': "x",
+        '<div class="site-header">n</div><div class="ad-slot">n</div><ul id="main-nav">n</ul><div class="cookie-banner">n</div><p>x</p>': "x",
+        '<article><div class="widget">n</div><div class="widget-area">x</div></article>': "x",
+    }.items():
+        assert htmltext.extract(page) == text, page
+    for word in sorted(htmltext.DROP_WORDS):
+        for page in ("<article><p>a</p><p class='{0}-physics'>b</p><p id='quantum_{0}'>c</p></article>",
+                     "<body><div class='{0}-physics'><p>a</p><p id='quantum_{0}'>b</p></div><p>c</p></body>"):
+            assert htmltext.extract(page.format(word)) == "a\nb\nc", (word, page)
+
+
 def test_html_template_tags_keep_all_classes():
     name = htmltext._spelled(("open", "div", ' class="main hidden" id=a'))[1:]
     fixed, _ = htmltext.template_of([("h", 1, name, 9, 9, "v", 1.0), ("h", 2, "/div", 9, 9, "v", 2.0)])

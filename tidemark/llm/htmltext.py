@@ -15,7 +15,9 @@ Per host, over all its pages:
 Extraction walks a page along its host's fixed sequence. Text pieces of the template outside the article are
 boilerplate. A piece is left out if its slot, or the page's own markup inside the slot, belongs to menus,
 headers, footers, sidebars, notices, adverts, forms, comments or code; the rest is the result, of it only
-what is inside ``article`` or ``main`` where the page has text there. A page that doesn't follow its host's
+what is inside ``article`` or ``main`` where the page has text there (a form around an article doesn't drop it). A class, id or role
+names such a part as a whole only: outside the article if it holds nothing but words for these parts and for places on a page, inside it if
+nothing but words for these parts. A page that doesn't follow its host's
 sequence, or whose host has too few pages, is read by its own markup.
 
 A host's template is small (markup, and text repeated on most pages); pages join it by host, broadcast behind a check of
@@ -75,7 +77,15 @@ DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription",
               "popup", "modal", "overlay", "toolbar", "pagination", "pager", "widget", "widgets", "complementary",
               "contentinfo", "search", "login", "signup", "skip"}
+# Words that only place an element on the page: beside them a drop word still names what the element is.
+PLACE_WORDS = {"site", "page", "main", "global", "primary", "secondary", "top", "bottom", "left", "right", "upper", "lower", "box", "bar",
+               "area", "container", "wrapper", "wrap", "inner", "outer", "block", "section", "slot", "unit", "panel", "list", "links",
+               "link", "item", "items", "region", "zone", "col", "column", "row", "text", "content", "mobile", "desktop"}
+INLINE_DROP = {"label", "button"}  # inside a paragraph of the article they are words of a sentence
 MAIN = {"article", "main"}
+FORM = {"form", "fieldset"}
+# How an element's content is dropped: not; as a form, which an article or main inside ends; for good.
+SHOWN, IN_FORM, GONE = range(3)
 READER_WORDS = {"comment", "comments", "disqus", "ad", "ads", "reply", "replies", "sidebar"}  # even beside an article's words
 KEEP_WORDS = {"article", "content", "main", "post", "entry", "body", "story"}
 WHOLE_PAGE = {"html", "body"}
@@ -128,7 +138,9 @@ def tokens(html: str | None) -> Iterator[tuple[str, str, str]]:
 def _labels(attrs: str) -> tuple[str, set[str]]:
     """Class and id of a tag, and the words of its class, id and role.
 
-    ``\0reader`` is one of them if a whole class or id is made of nothing but READER_WORDS, or of these and
+    ``\0drop`` is one of them if a whole class, id or role is made of nothing but DROP_WORDS, ``\0place`` if of these and
+    PLACE_WORDS (``ad-slot``, ``site-header``, but not ``search-algorithms``), ``\0keep`` if it is neither and holds a word of KEEP_WORDS;
+    ``\0reader`` if of READER_WORDS, or of these and
     KEEP_WORDS (``comments``, ``ad-12``, ``comment-body``, but not ``comments-open``).
     """
     shown, words = [], set()
@@ -144,6 +156,10 @@ def _labels(attrs: str) -> tuple[str, set[str]]:
                 plain = [x.rstrip("0123456789") for x in parts]
                 words.update(parts, plain)
                 plain = {x for x in plain if x}
+                if plain & DROP_WORDS and plain <= DROP_WORDS | PLACE_WORDS:
+                    words.add("\0drop" if plain <= DROP_WORDS else "\0place")
+                elif plain & KEEP_WORDS:
+                    words.add("\0keep")
                 if name != "role" and plain & READER_WORDS and plain <= READER_WORDS | KEEP_WORDS:
                     words.add("\0reader")
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
@@ -240,9 +256,10 @@ def template_of(rows: list[tuple]) -> tuple[list[tuple[int, bool, bool]], list[i
                     del open_elements[i:]
                     break
         elif name not in VOID:
-            dropped, main = open_elements[-1][1:] if open_elements else (False, False)
-            open_elements.append((name, *role(name, _labels(attrs)[1], dropped, main)))
-        fixed.append((token, *(open_elements[-1][1:] if open_elements else (False, False))))
+            parent, dropped, main = open_elements[-1] if open_elements else ("", SHOWN, False)
+            open_elements.append((name, *role(name, _labels(attrs)[1], dropped, main, parent)))
+        _, dropped, main = open_elements[-1] if open_elements else ("", SHOWN, False)
+        fixed.append((token, dropped != SHOWN, main))
     return fixed, [m[1] for _, members in accepted for m in members if m[2] is None]
 
 
@@ -252,13 +269,19 @@ def _nested(a: list[float], b: list[float]) -> bool:
     return inside(a, b) or inside(b, a)
 
 
-def role(name: str, words: set[str], dropped: bool, main: bool) -> tuple[bool, bool]:
-    """(dropped, main) inside an element, from its name, its words and what encloses it."""
-    if not dropped:
-        kept = name in MAIN or words & KEEP_WORDS
-        dropped = (name in DROP or name == "header" and not main or "\0hidden" in words
-                   or "\0reader" in words and name not in WHOLE_PAGE | MAIN
-                   or bool(words & DROP_WORDS) and name not in WHOLE_PAGE | {"h1"} and not kept)
+def role(name: str, words: set[str], dropped: int, main: bool, parent: str = "") -> tuple[int, bool]:
+    """(dropped, main) inside an element, from its name, its words, what encloses it and the element around it."""
+    if name in MAIN and dropped == IN_FORM:
+        dropped = SHOWN
+    if dropped != GONE:
+        kept = name in MAIN or "\0keep" in words
+        named = "\0drop" in words or "\0place" in words and not main
+        if ("\0hidden" in words or name == "header" and not main or "\0reader" in words and name not in WHOLE_PAGE | MAIN
+                or name in DROP - FORM and not (main and parent == "p" and name in INLINE_DROP)
+                or named and name not in WHOLE_PAGE | {"h1"} | FORM and not kept):
+            dropped = GONE
+        elif name in FORM:
+            dropped = IN_FORM
     return dropped, not dropped and (main or name in MAIN)
 
 
@@ -275,9 +298,9 @@ def slots(found: list[tuple[str, str, str]], fixed: list[tuple[int, bool, bool]]
 def extract(html: str | None, fixed: list[tuple[int, bool, bool]] = (), boilerplate: set[int] = frozenset()) -> str:
     """Main text of one page, read along its host's template (``fixed`` and ``boilerplate``, see deduce_templates)."""
     blocks: list[tuple[str, bool]] = []       # text, inside article or main
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped, main
+    stack: list[tuple[str, int, bool]] = []   # element, dropped, main
     piece: list[str] = []
-    state = (False, False)                    # of the innermost open element
+    state = (SHOWN, False)                    # of the innermost open element
 
     def flush() -> None:
         text = squeeze("".join(piece)) if piece else ""
@@ -288,7 +311,7 @@ def extract(html: str | None, fixed: list[tuple[int, bool, bool]] = (), boilerpl
     def pop_to(n: int) -> None:
         nonlocal state
         del stack[n:]
-        state = stack[-1][1:] if stack else (False, False)
+        state = stack[-1][1:] if stack else (SHOWN, False)
 
     def close(names: set[str], until: set[str] | frozenset[str] = frozenset()) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -318,7 +341,7 @@ def extract(html: str | None, fixed: list[tuple[int, bool, bool]] = (), boilerpl
         if body in ENDS_OWN:
             close(SIBLINGS.get(body, {body}), ENDS_OWN[body])
         if body not in VOID and not (attrs.rstrip().endswith("/") and body not in BLOCK):
-            stack.append((body, *role(body, _labels(attrs)[1] if attrs else set(), *state)))
+            stack.append((body, *role(body, _labels(attrs)[1] if attrs else set(), *state, stack[-1][0] if stack else "")))
             state = stack[-1][1:]
     flush()
     inside = [t for t, main in blocks if main]
