@@ -251,7 +251,9 @@ def test_sentencepiece_equals_the_library_on_whole_texts(spark, library, monkeyp
     assert piece.encode(df.limit(0), piece.read_model()).count() == 0
 
 
-def test_every_unit_of_random_characters_merges_as_the_library_does(library):
+@pytest.mark.parametrize("few", [0, 32])
+def test_every_unit_of_random_characters_merges_as_the_library_does(library, monkeypatch, few):
+    monkeypatch.setattr(piece, "FEW", few)
     vocabulary, r = piece.Vocabulary(piece.read_model()), random.Random(2)
     signs = "etaoinshr THE,.'é▁\n<>0123 \t中\U0001f600"
     encoder = piece.Encoder(vocabulary)
@@ -266,7 +268,7 @@ def test_a_small_cache_and_units_that_span_the_text_give_the_same_ids(library, m
     vocabulary = piece.Vocabulary(piece.read_model())
     text = "the cat  sat\non the mat " * 30
     for unit in (vocabulary.unit, "(?s:.+)"):
-        vocabulary.unit = unit
+        vocabulary.unit, vocabulary.whole = unit, unit == "(?s:.+)"
         encoder = piece.Encoder(vocabulary)
         for _ in range(2):
             assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_bos=True, add_eos=True)

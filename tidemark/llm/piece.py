@@ -7,7 +7,8 @@ changed since are skipped. What is no piece at the end falls back to its bytes (
 No piece holds a space mark behind another character, so no merge crosses such a place: a text is cut there into
 units, each unit is encoded by the agenda once and remembered (``CACHE_UNITS`` at most, then forgotten). The cuts follow from the
 vocabulary; a model that has such pieces is encoded whole. In every Arrow batch all newly encoded units are
-encoded by the sentencepiece library too, and a difference fails the job: no wrong id is ever returned.
+encoded by the sentencepiece library too, many in one text, so that the cuts are checked as well; a difference fails the job: no
+wrong id is ever returned.
 
 The driver reads the model file (some hundred kilobytes) and ships its bytes; executors need the library only.
 Tasks hold one slice of a batch (``SLICE_CHARS`` characters, or one text if it is longer). Work is n log n in a unit.
@@ -32,9 +33,12 @@ from tidemark.llm.common import read_table, share, text_or_empty
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"  # the library's mark for a space
-CACHE_UNITS = 200_000
+CACHE_UNITS = 500_000
 CACHE_CHARS = 64  # longer units are not remembered
 SLICE_CHARS = 4_000_000
+FEW = 32  # symbols up to which a list is the faster agenda
+NONE = float("-inf")
+PROBE_UNITS = 64
 
 
 class Vocabulary:
@@ -44,17 +48,22 @@ class Vocabulary:
         sp = load(model)
         plain = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.model = model
-        self.ids = {sp.id_to_piece(i): i for i in plain}
+        self.packed = {sp.id_to_piece(i): _pack(i) for i in plain}
         self.scores = {sp.id_to_piece(i): sp.get_score(i) for i in plain}
         held = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.bytes = held if all(map(sp.is_byte, held)) else None
+        self.bytes = [_pack(i) for i in held] if all(map(sp.is_byte, held)) else None
         self.begin, self.end, self.unknown = sp.bos_id(), sp.eos_id(), sp.unk_id()
-        longer = [p for p in self.ids if len(p) > 1]
+        longer = [p for p in self.packed if len(p) > 1]
         spaced = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in longer)
         lines = any("\n" in p for p in longer)
+        self.whole = spaced
         self.unit = "(?s:.+)" if spaced else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if lines else f"{SPACE}+[^{SPACE}\\n]*|\\n|[^{SPACE}\\n]+"
 
 
+def _pack(token: int) -> bytes:
+    return token.to_bytes(4, "little")
+
+
 def load(model: bytes):
     import sentencepiece
 
@@ -63,6 +72,27 @@ def load(model: bytes):
 
 def merge(unit: str, scores: dict[str, float]) -> list[str]:
     """The symbols that are left of ``unit`` when no adjacent pair forms a piece any more."""
+    return _merge_few(unit, scores) if len(unit) <= FEW else _merge_many(unit, scores)
+
+
+def _merge_few(unit: str, scores: dict[str, float]) -> list[str]:
+    """The agenda as a plain list, one score per adjacent pair: its best entry, the first of equals, is merged."""
+    symbols = list(unit)
+    score = scores.get
+    agenda = [score(a + b, NONE) for a, b in zip(symbols, symbols[1:])]
+    while agenda and (best := max(agenda)) > NONE:
+        at = agenda.index(best)
+        symbols[at] += symbols.pop(at + 1)
+        del agenda[at]
+        if at:
+            agenda[at - 1] = score(symbols[at - 1] + symbols[at], NONE)
+        if at < len(agenda):
+            agenda[at] = score(symbols[at] + symbols[at + 1], NONE)
+    return symbols
+
+
+def _merge_many(unit: str, scores: dict[str, float]) -> list[str]:
+    """The agenda as a heap over a linked list of symbols."""
     symbols = list(unit)
     after = list(range(1, len(symbols))) + [-1]
     before = list(range(-1, len(symbols) - 1))
@@ -87,19 +117,23 @@ def merge(unit: str, scores: dict[str, float]) -> list[str]:
     return [s for s in symbols if s]
 
 
-def encode_unit(unit: str, vocabulary: Vocabulary) -> list[int]:
-    ids: list[int] = []
-    unknown = False
-    for symbol in merge(unit, vocabulary.scores):
-        known = vocabulary.ids.get(symbol)
+def encode_unit(unit: str, vocabulary: Vocabulary) -> bytes:
+    symbols = merge(unit, vocabulary.scores)
+    try:
+        return b"".join([vocabulary.packed[s] for s in symbols])
+    except KeyError:
+        pass
+    out, unknown = [], False
+    for symbol in symbols:
+        known = vocabulary.packed.get(symbol)
         if known is not None:
-            ids.append(known)
+            out.append(known)
         elif vocabulary.bytes is not None:
-            ids += [vocabulary.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
+            out += [vocabulary.bytes[b] for b in symbol.encode("utf-8", "surrogatepass")]
         elif not unknown:  # without bytes a stretch of unknown symbols is one id
-            ids.append(vocabulary.unknown)
+            out.append(_pack(vocabulary.unknown))
         unknown = known is None
-    return ids
+    return b"".join(out)
 
 
 class Encoder(dict):
@@ -109,12 +143,12 @@ class Encoder(dict):
         super().__init__()
         self.vocabulary, self.library, self.new = vocabulary, load(vocabulary.model), {}
         self.units = re.compile(vocabulary.unit).findall
-        self.head, self.tail = (np.array([i], "<u4").tobytes() if i >= 0 else b"" for i in (vocabulary.begin, vocabulary.end))
+        self.head, self.tail = (_pack(i) if i >= 0 else b"" for i in (vocabulary.begin, vocabulary.end))
 
     def __missing__(self, unit: str) -> bytes:
         found = self.new.get(unit)
         if found is None:
-            found = self.new[unit] = np.array(encode_unit(unit, self.vocabulary), "<u4").tobytes()
+            found = self.new[unit] = encode_unit(unit, self.vocabulary)
         return found
 
     def encode(self, text: str) -> bytes:
@@ -122,15 +156,20 @@ class Encoder(dict):
 
     def settle(self) -> None:
         """Hold the new units against the library, then remember the short ones."""
+        marked = [u for u in self.new if u[0] == SPACE]
+        alone = [u for u in marked if self.vocabulary.whole or not u.strip(SPACE)]
+        marked = [] if self.vocabulary.whole else [u for u in marked if u.strip(SPACE)]
+        others = [u for u in self.new if u[0] != SPACE and u != "\n"]
         # The library puts a space mark before a text; behind a line feed, which is a unit too, a unit has none.
-        marked = [u for u in self.new if u[0] == SPACE and len(u) > 1]
-        others = [u for u in self.new if u[0] != SPACE]
-        lead = self.library.encode("\n") if others else []
-        asked = [u[1:].replace(SPACE, " ") for u in marked] + ["\n" + u for u in others]
-        for unit, ids in zip(marked + others, self.library.encode(asked, num_threads=1)):
-            ids = ids if unit[0] == SPACE else ids[len(lead):]
-            if np.array(ids, "<u4").tobytes() != self.new[unit]:
-                raise ValueError(f"not a merge-type vocabulary: the library encodes {unit[:80]!r} otherwise")
+        mark, feed = self[SPACE], self["\n"]
+        probes = [(u, self.new[u]) for u in alone if len(u) > 1]
+        for part in (marked[k:k + PROBE_UNITS] for k in range(0, len(marked), PROBE_UNITS)):
+            probes.append(("".join(part), b"".join([self.new[u] for u in part])))
+        for part in (others[k:k + PROBE_UNITS] for k in range(0, len(others), PROBE_UNITS)):
+            probes.append((f"{SPACE}\n" + "\n".join(part), mark + feed + feed.join([self.new[u] for u in part])))
+        for probe, ids in probes:
+            if np.array(self.library.encode(probe[1:].replace(SPACE, " ")), "<u4").tobytes() != ids:
+                raise ValueError(f"not a merge-type vocabulary: the library encodes {probe[:80]!r} otherwise")
         if len(self) + len(self.new) > CACHE_UNITS:
             self.clear()
         self.update((u, i) for u, i in self.new.items() if len(u) <= CACHE_CHARS)
