@@ -181,8 +181,19 @@ def test_running_share_in_many_ranges_with_a_title_column(spark):
 
 @pytest.mark.parametrize("window", [("2024-01-02", "2024-01-20"), ("2023-12-01", "2024-01-05"), ("2024-01-25", "2024-03-01"),
                                     ("2024-01-31", "2024-02-05"), ("2024-02-05", "2024-02-09"), ("2023-11-01", "2023-11-05"), ("2023-01-01", "2025-01-01")])
-def test_windowed_spine_equals_the_calendar_of_all_events(spark, window):
+def test_windowed_engagement_equals_the_engagement_of_all_events(spark, window):
     from tidemark.functions import columns as C
+    from tidemark.sources import adapters as A
+    from tidemark.sources.warehouse import DerivedWarehouse
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    whole = M.dim_date_from_events(events).where(F.col("date").between(C.date_lit(window[0]), C.date_lit(window[1])))
-    assert sorted(M.dim_date_window(events, *window).collect()) == sorted(whole.collect())
+    events = events.where(~F.to_date("ts").between(C.date_lit("2024-01-12"), C.date_lit("2024-01-14")))  # days without events
+    day_before = C.as_date(window[0]) - dt.timedelta(days=1)
+    got = M.engagement_window(A.engagement_days(A.event_rows(events, day_before, window[1])), events, *window)
+    ev = A.event_rows(events)
+    whole = M.engagement_daily(M.dim_date_from_events(events), A.fact_sessions(ev), A.fact_yt_channel_daily(ev))
+    inside = whole.where(F.col("date").between(C.date_lit(window[0]), C.date_lit(window[1])))
+    assert sorted(got.collect()) == sorted(inside.collect())
+    assert sorted(M.engagement_from_days(A.engagement_days(ev)).collect()) == sorted(whole.collect())
+    w = DerivedWarehouse(spark, "/root/testdata/sf0.001")
+    heavy = w.fact("fact_engagement_daily", *window)._jdf.queryExecution().optimizedPlan().toString()
+    assert heavy.count("bit_or") == 1  # one aggregate of the events

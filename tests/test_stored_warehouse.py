@@ -29,6 +29,11 @@ CASES = {
     "seven_vs_28": lambda w: Q.seven_vs_28(w, A),
     "volumetry_series": lambda w: QA.volumetry_series(w),
     "check_unique": lambda w: QA.check_unique(w),
+    "check_not_null": lambda w: QA.check_not_null(w),
+    "health": lambda w: Q.health(w),
+    "freshness": lambda w: QA.freshness(w, A, E),
+    "quality_alerts": lambda w: QA.quality_alerts(w, A),
+    "partial_day": lambda w: QA.partial_day(w, E, A),
 }
 
 
@@ -50,6 +55,59 @@ def test_stored_equals_derived(spark, stored, name):
     assert _bag(CASES[name](stored)) == _bag(CASES[name](derived))
 
 
+def _scans(df) -> list[str]:
+    """The file scans of a plan, one line each."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().sparkPlan().toString()
+    return [line for line in plan.splitlines() if "FileScan" in line]
+
+
+def test_health_and_freshness_read_no_data_page(spark, stored):
+    assert not _scans(QA.freshness(stored, A, E)) and not _scans(QA.partial_day(stored, E, A))
+    scans = _scans(Q.health(stored))
+    assert scans and all("ReadSchema: struct<>" in line for line in scans), scans
+
+
+def test_quality_questions_read_the_profile_and_one_mart(spark, stored):
+    from tidemark.plans import profile as P
+    before = {n: _bag(CASES[n](stored)) for n in ("quality_alerts", "check_not_null", "check_unique")}
+    catalog = _bag(QA.datasets_catalog(stored))
+    P.build_profile(spark, stored.root)
+    assert {n: _bag(CASES[n](stored)) for n in before} == before and _bag(QA.datasets_catalog(stored)) == catalog
+    for df, tables in ((QA.quality_alerts(stored, A), {"table_profile", "fact_engagement_daily"}), (QA.datasets_catalog(stored), {"table_profile"}),
+                       (QA.check_not_null(stored), {"table_profile"}), (QA.check_unique(stored), {"table_profile"})):
+        read = {t for line in _scans(df) for t in (*tables, "fact_ga4", "fact_sessions", "fact_rd", "fact_yt", "map_") if f"/{t}" in line}
+        assert read <= tables and read, read
+
+
+def test_profile_follows_refreshed_days_and_declared_keys(spark):
+    from tidemark.operators import tables as K
+    from tidemark.plans import profile as P
+    from tidemark.schemas import Dataset
+    from tidemark.session import scratch_dir
+    from tidemark.sources.warehouse import StoredWarehouse
+    root, t = scratch_dir(spark, "profile"), "fact_ga4_events_daily"
+    rows = [(dt.date(2024, 1, d), e, n, None) for d, e, n in ((1, "a", 1), (1, "a", 2), (1, None, 3), (2, "b", 4), (3, "b", None), (3, "c", 5))]
+    df = spark.createDataFrame(rows, "date date, eventName string, eventCount long, activeUsers long")
+    K.write_partitioned(df, f"{root}/{t}", ["date"])
+    K.rebuild(spark.createDataFrame([("s",) + (None,) * 7], P.TABLES["map_utm_campaign"]), f"{root}/map_utm_campaign")
+    P.build_profile(spark, root)
+    w = StoredWarehouse(spark, root)
+    alike = lambda: (_bag(w.profile()), _bag(P.profile_days(w.table(t), t).unionByName(P.profile_days(w.table("map_utm_campaign"), "map_utm_campaign"))))
+    got, want = alike()
+    assert got == want and ("fact_ga4_events_daily", dt.date(2024, 1, 1), "key", "date,eventName", 3, 0, 1, 2) in got
+    day2 = spark.createDataFrame([(dt.date(2024, 1, 2), "x", 1, 1)] * 3, df.schema)
+    K.replace_window(spark, day2, f"{root}/{t}", "2024-01-02", "2024-01-03")
+    P.refresh_profile(spark, root, t, "2024-01-02", "2024-01-03")
+    P.refresh_profile(spark, root, "map_utm_campaign", None, None)
+    got, want = alike()
+    assert got == want and not [r for r in got if r[1] == dt.date(2024, 1, 3)]
+    two = (Dataset("x", t, "", "", (), (), unique=("date", "eventName")), Dataset("y", t, "", "", (), (), unique=("date", "eventCount")),
+           Dataset("z", t, "", "", (), (), unique=("eventName",)))
+    assert P.unique_keys(t, two) == [("date", "eventName"), ("date", "eventCount")]
+    keys = P.profile_days(df, t, two).where("kind = 'key'").groupBy("name").agg({"duplicate_rows": "sum"}).collect()
+    assert sorted(tuple(r) for r in keys) == [("date,eventCount", 0), ("date,eventName", 2)]
+
+
 def test_stored_window_read_prunes_partitions(spark, stored):
     plan = stored.fact("fact_sessions", S, E)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2024-01-08" in plan

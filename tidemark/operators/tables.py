@@ -7,12 +7,15 @@ the partitions it touches, in parallel, one task per output partition group.
 Parquet folders have no multi-partition transaction. A replacement is therefore written whole
 beside the table, and only then moved in by renames: of one folder for a rebuilt table, day
 by day for a window. What is replaced is moved aside first and deleted last, and the next write
-brings back whatever a stopped job left aside, so no stop loses rows. Re-running a
-refresh gives the same table (idempotent).
+brings back whatever a stopped job left aside, so no stop loses rows; until then a window may show days of both pulls.
+Re-running a refresh gives the same table (idempotent). A table has one writer at a time.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,17 +91,36 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def _beside(path: str, mark: str) -> str:
+    """A folder beside ``path`` that readers of the parent folder pass over (its name begins with a dot)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{mark}-{name}"
+
+
 def _aside(path: str) -> str:
-    return path.rstrip("/") + "._replaced"
+    return _beside(path, "replaced")
 
 
 def _days_aside(path: str) -> str:
-    return path.rstrip("/") + "._replaced-days"
+    return _beside(path, "replaced-days")
+
+
+def _drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete what stopped writers of ``path`` have staged (a table has one writer at a time)."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    fs, p = _hadoop_fs(spark, parent)
+    if not fs.exists(p):
+        return
+    staged = re.compile(r"\.staged-[0-9a-f]{8}-" + re.escape(name))
+    for st in fs.listStatus(p):
+        if staged.fullmatch(st.getPath().getName()):
+            fs.delete(st.getPath(), True)
 
 
 def recover(spark: SparkSession, path: str) -> None:
     """Undo what a stopped replacement left: bring back the table, or the days, that were moved
-    aside and have no successor; delete those that have one."""
+    aside and have no successor; delete those that have one, and what was staged but never moved in."""
+    _drop_staged(spark, path)
     if path_exists(spark, _aside(path)) and not path_exists(spark, path):
         _move(spark, _aside(path), path)
     _delete(spark, _aside(path))
@@ -194,8 +216,7 @@ def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
 
 
 def _staged_path(path: str) -> str:
-    import uuid
-    return f"{path.rstrip('/')}._staged-{uuid.uuid4().hex[:8]}"
+    return _beside(path, f"staged-{uuid.uuid4().hex[:8]}")
 
 
 def rebuild(df: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:

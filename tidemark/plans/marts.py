@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.operators.calendar import calendar_from_bounds
+from tidemark.operators.calendar import calendar, calendar_from_bounds
 
 
 def dim_date_from_events(events: DataFrame, days_after: int = 1) -> DataFrame:
@@ -25,23 +25,40 @@ def dim_date_from_events(events: DataFrame, days_after: int = 1) -> DataFrame:
     return calendar_from_bounds(bounds)
 
 
-def dim_date_window(events: DataFrame, start, end) -> DataFrame:
-    """The days of ``dim_date_from_events`` inside [start, end], from the window's events alone.
+ENGAGEMENT = ("sessions", "pageviews", "views", "estimatedMinutesWatched", "averageViewDuration")
 
-    Whether history goes on before or behind the window takes one event each, found in the files
-    whose ``ts`` statistics allow it; the scan itself is pruned to the window and the day before it
-    (the calendar ends one day past the last event).
+
+def _filled() -> list:
+    """The engagement columns, zeros for missing days."""
+    return [F.coalesce(c, F.lit(0.0) if c == "averageViewDuration" else F.lit(0).cast("bigint")).alias(c) for c in ENGAGEMENT]
+
+
+def engagement_from_days(days: DataFrame) -> DataFrame:
+    """Calendar spine ⟕ ``days`` (one row per day with events). The calendar runs from the first of these days to the
+    day after the last one, so its bounds come from the same aggregate and no other read of the events."""
+    bounds = days.agg(F.min("date").alias("lo"), F.date_add(F.max("date"), 1).alias("hi")).where("lo is not null")
+    return calendar_from_bounds(bounds).select("date").join(days, "date", "left").select("date", *_filled())
+
+
+def engagement_window(days: DataFrame, events: DataFrame, start, end) -> DataFrame:
+    """The rows of ``engagement_from_days`` inside [start, end], from the days of the window and the day before it.
+
+    Every day of the window is laid out beside ``days``; the first and last day with events then bound
+    the calendar (over at most one row per day of the window), unless history goes on outside: that takes one event on
+    either side, found in the files whose ``ts`` statistics allow it.
     """
     s, e = C.as_date(start), C.as_date(end)
-    day = _dt.timedelta(days=1)
-    inside = events.where((F.col("ts") >= C.ts_floor_lit(s - day)) & (F.col("ts") < C.ts_floor_lit(e + day)))
+    one = _dt.timedelta(days=1)
     earlier = events.where(F.col("ts") < C.ts_floor_lit(s)).select(F.lit(1)).limit(1)
-    later = events.where(F.col("ts") >= C.ts_floor_lit(e + day)).select(F.lit(1)).limit(1)
-    seen = inside.agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("b"))
-    lo = F.when(earlier.exists(), F.lit(s)).when(F.col("a").isNotNull(), F.greatest("a", F.lit(s)))
-    hi = F.when(later.exists(), F.lit(e)).when(F.col("b").isNotNull(), F.least(F.date_add("b", 1), F.lit(e)))
-    bounds = seen.select(lo.alias("lo"), hi.alias("hi")).where("lo <= hi")
-    return calendar_from_bounds(bounds)
+    later = events.where(F.col("ts") >= C.ts_floor_lit(e + one)).select(F.lit(1)).limit(1)
+    spine = calendar(days.sparkSession, s - one, e).select("date")
+    seen = days.withColumnRenamed("date", "day")
+    whole = Window.partitionBy(F.lit(0))
+    laid = (spine.join(seen, spine["date"] == seen["day"], "left")
+            .withColumn("first", F.min("day").over(whole)).withColumn("last", F.max("day").over(whole)))
+    kept = laid.where((F.col("date") >= F.lit(s)) & (earlier.exists() | (F.col("date") >= F.col("first")))
+                      & (later.exists() | (F.col("date") <= F.date_add("last", 1))))
+    return kept.select("date", *_filled())
 
 
 def engagement_daily(dim_date: DataFrame, sessions: DataFrame, yt_daily: DataFrame) -> DataFrame:

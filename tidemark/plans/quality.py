@@ -54,7 +54,7 @@ def freshness(w: Warehouse, as_of=None, end=None) -> DataFrame:
     parts = []
     for label, table in FRESHNESS_SIGNALS:
         if w.has(table):
-            latest = w.table(table).agg(F.max("date").alias("latest_date"))
+            latest = w.latest_date(table)
         else:
             latest = w.spark.range(1).select(F.lit(None).cast("date").alias("latest_date"))
         parts.append(latest.select(F.lit(label).alias("name"), F.lit(table).alias("table_name"), "latest_date",
@@ -116,29 +116,48 @@ def quality_signals(w: Warehouse, as_of=None) -> DataFrame:
 
 
 # D3
+def _from_profile(w: Warehouse, rows: list[tuple], names: str, kind: str) -> DataFrame:
+    """The stored profile's sums beside ``rows``, whose first two columns are a table and a column or key."""
+    sums = (w.profile().where(F.col("kind") == kind).groupBy(F.col("dataset").alias("_t"), F.col("name").alias("_c"))
+             .agg(*[F.sum(c).alias(c) for c in ("rows", "nulls", "duplicate_keys", "duplicate_rows")]))
+    asked = w.spark.createDataFrame(rows, f"_t string, _c string, {names}")
+    # few declared names against days × columns summed to columns: both sides are bounded by the schema
+    return asked.join(sums, ["_t", "_c"], "left").na.fill(0, ["rows", "nulls", "duplicate_keys", "duplicate_rows"])
+
+
 def check_not_null(w: Warehouse, registry=REGISTRY) -> DataFrame:
-    """NULL count per column declared not-null in the registry: one aggregate per table."""
-    parts = []
-    for d in registry:
-        if not d.not_null or not w.has(d.table):
-            continue
-        t = w.table(d.table)
-        agg = t.agg(F.count(F.lit(1)).alias("rows"),
-                    *[F.count_if(F.col(c).isNull()).alias(f"n__{c}") for c in d.not_null])
-        args = ", ".join(f"'{c}', n__{c}" for c in d.not_null)
-        parts.append(agg.select(F.lit(d.id).alias("dataset"), "rows",
-                                F.expr(f"stack({len(d.not_null)}, {args}) as (column_name, nulls)")))
-    out = _union(parts)
+    """NULL count per column declared not-null in the registry: from the stored profile, else one aggregate per table."""
+    held = [d for d in registry if d.not_null and w.has(d.table)]
+    if w.profile() is not None:
+        out = _from_profile(w, [(d.table, c, d.id, c) for d in held for c in d.not_null],
+                            "dataset string, column_name string", "column")
+    else:
+        parts = []
+        for d in held:
+            agg = w.table(d.table).agg(F.count(F.lit(1)).alias("rows"),
+                                       *[F.count_if(F.col(c).isNull()).alias(f"n__{c}") for c in d.not_null])
+            args = ", ".join(f"'{c}', n__{c}" for c in d.not_null)
+            parts.append(agg.select(F.lit(d.id).alias("dataset"), "rows",
+                                    F.expr(f"stack({len(d.not_null)}, {args}) as (column_name, nulls)")))
+        out = _union(parts)
     return out.select("dataset", "column_name", F.col("nulls").cast("bigint").alias("nulls"),
                       F.col("rows").cast("bigint").alias("rows"), (F.col("nulls") > 0).alias("violated"))
 
 
 # D4
 def check_unique(w: Warehouse, registry=REGISTRY) -> DataFrame:
-    """Keys declared unique that occur more than once: distinct duplicated keys and rows."""
+    """Keys declared unique that occur more than once: distinct duplicated keys and rows, from the stored profile if it
+    keeps the key (one that holds the table's date), else by an aggregate of the table."""
+    from tidemark.plans.profile import unique_keys
+    held = [d for d in registry if d.unique and w.has(d.table)]
+    kept = [d for d in held if w.profile() is not None and d.unique in unique_keys(d.table)]
     parts = []
-    for d in registry:
-        if not d.unique or not w.has(d.table):
+    if kept:
+        parts.append(_from_profile(w, [(d.table, ",".join(d.unique), d.id, ",".join(d.unique)) for d in kept],
+                                   "dataset string, key_columns string", "key")
+                     .select("dataset", "key_columns", "duplicate_keys", "duplicate_rows"))
+    for d in held:
+        if d in kept:
             continue
         dup = (w.table(d.table).groupBy(*d.unique).agg(F.count(F.lit(1)).alias("n"))
                 .where(F.col("n") > 1))
@@ -160,14 +179,17 @@ def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
     """Field catalog as a column profile: (source, dataset, type, name, description, rows, nulls).
 
     Every source and mart table of the schema is listed. Column rows carry 'name:TYPE', the row
-    count and the NULL count of the column (one aggregate per table, unpivoted with ``stack``); the
-    columns of a table that this warehouse doesn't hold are planned fields, without counts.
+    count and the NULL count of the column (from the stored profile, else one aggregate per table, unpivoted with
+    ``stack``); the columns of a table that this warehouse doesn't hold are planned fields, without counts.
     """
-    parts, planned_fields = [], []
+    parts, planned_fields, profiled = [], [], []
     for t in tables:
         if not w.has(t):
             planned_fields += [(TABLE_SOURCE.get(t, ""), t, "planned_field", f.name, "planned") for f in TABLES[t].fields]
             continue
+        if w.profile() is not None:
+            profiled += [(t, f.name, TABLE_SOURCE.get(t, ""), t, f"{f.name}:{C.column_type_name(f.dataType)}") for f in TABLES[t].fields]
+            continue
         df = w.table(t)
         fields = df.schema.fields
         agg = df.agg(F.count(F.lit(1)).alias("rows"),
@@ -177,6 +199,9 @@ def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
                                 F.lit("column").alias("type"),
                                 F.expr(f"stack({len(fields)}, {args}) as (name, nulls)"),
                                 F.lit("").alias("description"), F.col("rows").cast("bigint").alias("rows")))
+    if profiled:
+        parts.append(_from_profile(w, profiled, "source string, dataset string, name string", "column").select(
+            "source", "dataset", F.lit("column").alias("type"), "name", "nulls", F.lit("").alias("description"), "rows"))
     planned = w.spark.createDataFrame(
         planned_fields, "source string, dataset string, type string, name string, description string")
     planned = planned.select("*", F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("nulls"))
@@ -257,6 +282,6 @@ def quality_alerts(w: Warehouse, as_of=None, threshold: float = DROP_ALERT_PCT)
 # Q20
 def partial_day(w: Warehouse, end, as_of) -> DataFrame:
     """Whether the report range ends on ``as_of`` (partial data), with the latest data day."""
-    latest = w.table("fact_sessions").agg(F.max("date").alias("latest_date"))
+    latest = w.latest_date("fact_sessions")
     return latest.select(F.lit(C.as_date(end)).alias("end_date"), F.lit(C.as_date(as_of)).alias("as_of"),
                          "latest_date", F.lit(C.as_date(end) == C.as_date(as_of)).alias("is_partial"))

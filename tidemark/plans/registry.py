@@ -669,6 +669,15 @@ _register_plain("refresh_marts_window", O.with_facts(("fact_engagement_daily", "
                 lambda spark, sf_dir: RP.replay_marts_window(spark, sf_dir, START, END))
 
 
+# a stored fact_sessions has the duration column of the CSV imports, empty here
+_STORED_CATALOG = O.with_facts(_catalog_sql()[0], _catalog_sql()[1] + """
+    UNION ALL SELECT 'GA4', 'fact_sessions', 'column', 'avg_session_duration:DOUBLE', '', CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT)
+    FROM fact_sessions""")
+for _name in ("quality_alerts", "datasets_catalog"):
+    _register_plain(f"refresh_profile_{_name}", _STORED_CATALOG if _name == "datasets_catalog" else REGISTRY[_name][1],
+                    lambda spark, sf_dir, _n=_name: RP.replay_profile(spark, sf_dir, START, END, _n))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -127,6 +127,29 @@ def replay_marts_window(spark: SparkSession, sf_dir: str, start, end) -> DataFra
             .unionByName(part(w.table("fact_comms_impact_daily"), "campaigns")).unionByName(part(calendar, "calendar")))
 
 
+def replay_profile(spark: SparkSession, sf_dir: str, start, end, query: str) -> DataFrame:
+    """A stored warehouse whose profile was built while the window's days of three facts were still wrong (rows twice, a NULL key, no
+    rows), then refreshed for these days: ``query`` ('quality_alerts' or 'datasets_catalog') answers from partition
+    folders and the profile."""
+    from tidemark.plans import profile as P
+    from tidemark.plans import quality as QA
+    from tidemark.plans.build import materialize
+    _, root = _dirs(spark, "profile")
+    w = materialize(spark, sf_dir, root)
+    wrong = {"fact_ga4_events_daily": lambda df: df.unionByName(df),
+             "fact_ga4_pages_daily": lambda df: df.withColumn("pagePath", F.lit(None).cast("string")),
+             "fact_rd_email_campaign": lambda df: df.limit(0)}
+    right = {t: w.fact(t, start, end).checkpoint() for t in wrong}
+    for t, spoil in wrong.items():
+        K.replace_window(spark, spoil(right[t]), w.path(t), start, end, empty_clears=True)
+    P.build_profile(spark, root)
+    for t, rows in right.items():
+        K.replace_window(spark, rows, w.path(t), start, end)
+        P.refresh_profile(spark, root, t, start, end)
+    w = StoredWarehouse(spark, root)
+    return QA.quality_alerts(w, IMPORT_DATE) if query == "quality_alerts" else QA.datasets_catalog(w)
+
+
 # Rows every landed report carries on purpose — an impossible date, a date
 # outside the refresh window, and a malformed date with a malformed number. None may reach
 # the table.
@@ -223,9 +246,10 @@ def replay_lead_stage(spark: SparkSession, sf_dir: str, days: int = 30) -> DataF
 
 
 def replay_utm_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mapping as a header CSV (whitespace kept), imported with a full replace."""
+    """The mapping as a header CSV (whitespace kept, columns in another order and one more), imported with a
+    full replace."""
     w = DerivedWarehouse(spark, sf_dir)
-    m = w.table("map_utm_campaign").select(*X.UTM_MAP_COLUMNS)
+    m = w.table("map_utm_campaign").select("campaignId", F.lit("x").alias("note"), *reversed(X.UTM_MAP_COLUMNS[:3]), "campaign_name")
     landed, root = _dirs(spark, "utm-map")
     X.write_csv(m, landed)
     I.import_utm_map(spark, landed, f"{root}/map_utm_campaign")

@@ -47,6 +47,8 @@ TABLES: dict[str, T.StructType] = {
     "fact_comms_impact_summary": _st(("campaignId", S), ("send_date", DT), ("ses_d_1", L), ("ses_d0", L),
                                      ("ses_d0_d2", L), ("uplift_abs", L), ("uplift_pct", D),
                                      ("sends", L), ("opens", L), ("clicks", L)),
+    "table_profile": _st(("dataset", S), ("date", DT), ("kind", S), ("name", S), ("rows", L), ("nulls", L),
+                         ("duplicate_keys", L), ("duplicate_rows", L)),
     "datasets_catalog": _st(("source", S), ("dataset", S), ("type", S), ("name", S), ("description", S)),
 }
 
@@ -64,8 +66,12 @@ PARTITION_COLS: dict[str, list[str]] = {
     "fact_yt_video_period": ["startDate", "endDate"],
     "fact_engagement_daily": ["date"],
     "fact_comms_impact_daily": ["date"],
+    "table_profile": ["dataset", "date"],
 }
 
+# Column by whose days a table without a ``date`` is profiled.
+PROFILE_DATE = {"fact_yt_video_period": "startDate", "fact_comms_impact_summary": "send_date"}
+
 # Which source each table comes from (field catalog, M10).
 TABLE_SOURCE = {
     "fact_sessions": "GA4",

@@ -172,6 +172,18 @@ def fact_yt_channel_daily(ev: DataFrame) -> DataFrame:
                      (F.col("_m").cast("double") / F.col("views").cast("double")).alias("averageViewDuration")))
 
 
+def engagement_days(ev: DataFrame) -> DataFrame:
+    """Per day with events: web sessions and page views, video views, minutes and mean seconds, in one pass over the
+    events (``fact_sessions`` and ``fact_yt_channel_daily`` side by side)."""
+    video = F.col("event_type").isin(*VIEW_LIKE)
+    days = sessions_and_users(ev, ["date"], session_slot="hour", sums={
+        "pageviews": _flag(F.col("event_type") == "view"), "views": _flag(video), "minutes": F.when(video, F.col("val"))})
+    zero = F.lit(0).cast("bigint")
+    return days.select("date", "sessions", "pageviews", "views", F.coalesce("minutes", zero).alias("estimatedMinutesWatched"),
+                       F.coalesce(F.col("minutes").cast("double") / F.nullif(F.col("views"), zero).cast("double"), F.lit(0.0))
+                       .alias("averageViewDuration"))
+
+
 def fact_yt_video_period(ev: DataFrame) -> DataFrame:
     """Video × Monday-to-Sunday period."""
     v = _video_events(ev).withColumn("startDate", C.week_start("date"))

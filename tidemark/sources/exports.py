@@ -41,6 +41,7 @@ COUNTRY_HEADERS = {
     "ID do país": "country_id",
     "Usuários ativos": "users",
 }
+# Encodings tried in this order.
 ENCODINGS = ("utf-8", "latin-1", "utf-16")
 # Spark's CSV reader names Latin-1 by its ISO name.
 _CHARSET_ALIASES = {"latin-1": "iso-8859-1", "latin1": "iso-8859-1", "utf8": "utf-8", "utf16": "utf-16"}
@@ -188,12 +189,16 @@ def countries_export(df: DataFrame, import_date) -> tuple[DataFrame, DataFrame]:
 
 
 def read_utm_map(spark: SparkSession, path: str | None) -> DataFrame:
-    """UTM mapping CSV (5 text columns); a missing file gives an empty map."""
-    schema = ", ".join(f"{c} string" for c in UTM_MAP_COLUMNS)
+    """UTM mapping CSV (5 text columns, chosen by their header in any order; others are ignored). A missing file
+    gives an empty map, a missing column is an error."""
     if path is None or not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False)
-                 .option("ignoreTrailingWhiteSpace", False).schema(schema).csv(path))
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in UTM_MAP_COLUMNS))
+    df = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False)
+               .option("ignoreTrailingWhiteSpace", False).option("inferSchema", False).csv(path))
+    missing = [c for c in UTM_MAP_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"UTM map {path} has no column {', '.join(missing)}")
+    return df.select(*UTM_MAP_COLUMNS)
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "utf-8") -> None:

@@ -54,6 +54,20 @@ class Warehouse:
             df = df.where(F.col("date") <= C.date_lit(end))
         return df
 
+    def latest_date(self, name: str) -> DataFrame:
+        """One row: the latest ``date`` of a table."""
+        return self.table(name).agg(F.max("date").alias("latest_date"))
+
+    def table_facts(self, name: str, count: bool, latest: bool) -> DataFrame:
+        """One row of texts: the row ``count`` and the ``latest`` date of a table ('None' without one), as asked."""
+        asked = [F.count(F.lit(1)).cast("string").alias("count")] if count else []
+        asked += [F.coalesce(F.max("date").cast("string"), F.lit("None")).alias("latest")] if latest else []
+        return self.table(name).agg(*asked)
+
+    def profile(self) -> DataFrame | None:
+        """The stored column profile (``plans.profile``), if this warehouse keeps one."""
+        return None
+
     def video_periods(self, start, end) -> DataFrame:
         """Video periods that start on ``start`` or end on ``end`` (either edge matching).
 
@@ -129,11 +143,10 @@ class DerivedWarehouse(Warehouse):
         if name == "dim_date":
             return M.dim_date_from_events(self.driver("events"))
         if name == "fact_engagement_daily":
-            spine = (self.table("dim_date") if start is None or end is None
-                     else M.dim_date_window(self.driver("events"), start, end))
-            return M.engagement_daily(spine,
-                                      self._build("fact_sessions", start, end),
-                                      self._build("fact_yt_channel_daily", start, end))
+            if start is None or end is None:
+                return M.engagement_from_days(A.engagement_days(self.events()))
+            day_before = C.as_date(start) - _dt.timedelta(days=1)
+            return M.engagement_window(A.engagement_days(self.events(day_before, end)), self.driver("events"), start, end)
         if name == "fact_comms_impact_daily":
             return M.comms_impact_daily(self._build("fact_ga4_sessions_by_utm_daily", start, end),
                                         self.table("map_utm_campaign"))
@@ -153,6 +166,23 @@ class StoredWarehouse(Warehouse):
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def latest_date(self, name: str) -> DataFrame:
+        """From the partition folders: a day has one if it has rows. No file is opened."""
+        from tidemark.operators.tables import partition_values
+        days = [v for v in partition_values(self.spark, self.path(name), "date") if v[:1].isdigit()]
+        return self.spark.range(1).select((C.date_lit(max(days)) if days else F.lit(None).cast("date")).alias("latest_date"))
+
+    def table_facts(self, name: str, count: bool, latest: bool) -> DataFrame:
+        """The count reads no column (file footers only), the latest date is a partition folder's."""
+        day = self.latest_date(name).select(F.coalesce(F.col("latest_date").cast("string"), F.lit("None")).alias("latest"))
+        if not count:
+            return day
+        rows = self.table(name).agg(F.count(F.lit(1)).cast("string").alias("count"))
+        return rows.withColumn("latest", day.scalar()) if latest else rows
+
+    def profile(self) -> DataFrame | None:
+        return self.table("table_profile") if self.has("table_profile") else None
+
     def has(self, name: str) -> bool:
         """The table exists (its folder does), even with no rows — like a created table."""
         from tidemark.operators.tables import path_exists
