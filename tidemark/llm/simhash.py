@@ -61,15 +61,15 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(votes * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp, digest) for every row; ``fp`` holds the 64 bits in a signed long, ``digest`` is the text's SHA-256."""
+def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, digest: bool = False) -> DataFrame:
+    """(doc_id, fp) for every row, and the text's SHA-256 as ``digest`` if asked; ``fp`` holds the 64 bits in a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, shingle_words) for t in b.column(1).to_pylist()), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], names=["doc_id", "fp", "digest"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", "digest"][:len(b.columns)])
 
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), _digest().alias("digest"))
-    return src.mapInArrow(run, "doc_id long, fp long, digest string")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *([_digest().alias("digest")] if digest else []))
+    return src.mapInArrow(run, "doc_id long, fp long" + (", digest string" if digest else ""))
 
 
 def _digest() -> Column:
@@ -217,7 +217,7 @@ def _named(fps: DataFrame, radius: int, tile_rows: int) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS,
                    tile_rows: int = TILE_ROWS) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
-    fps = cut(fingerprints(docs, shingle_words).drop("digest"))
+    fps = cut(fingerprints(docs, shingle_words))
     first = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = first.join(_named(fps, radius, tile_rows), "fp")
     group = named.groupBy("group").agg(F.min("least").alias("component_id"))
@@ -234,7 +234,7 @@ def keep_one_per_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radi
     is judged by its own group. Rows that share both are one (any one of them stays). Of equal ids in a group the text with the
     smaller digest stays.
     """
-    fps = cut(fingerprints(docs, shingle_words))
+    fps = cut(fingerprints(docs, shingle_words, digest=True))
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("none")), "digest")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest"))
     first = fps.groupBy("fp").agg(least.alias("least"))
