@@ -36,3 +36,15 @@ def test_checks_follow_the_given_registry(spark):
     w = DerivedWarehouse(spark, "/root/testdata/sf0.001")
     assert [(r.dataset, r.column_name, r.nulls) for r in QA.check_not_null(w, registry).collect()] == [("tides", "date", 0)]
     assert [r.duplicate_keys for r in QA.check_unique(w, registry).collect()] == [0]
+
+
+def test_cli_takes_a_registry(spark, tmp_path):
+    from tidemark.__main__ import main
+    from tidemark.operators import tables as K
+    from tidemark.schemas import TABLES
+    rows = [(None, None, None, 1, None)] * 2
+    K.append(spark.createDataFrame(rows, TABLES["fact_sessions"]), f"{tmp_path}/fact_sessions", ["date"])
+    (tmp_path / "r.yml").write_text("- {id: sessions, quality_checks: {not_null: [users], unique: [users]}}\n")
+    ask = lambda q: [tuple(r) for r in main(["query", q, "--root", str(tmp_path), "--registry", str(tmp_path / "r.yml")], spark).collect()]
+    assert ask("check_not_null") == [("sessions", "users", 0, 2, False)]
+    assert ask("check_unique") == [("sessions", "users", 1, 2, True)]

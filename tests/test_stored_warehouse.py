@@ -135,3 +135,72 @@ def test_window_refresh_of_marts_equals_full_rebuild(spark):
     assert incremental == full
     day11 = stored.table("fact_engagement_daily").where(F.col("date") == F.lit(dt.date(2024, 1, 11))).first()
     assert day11.sessions == 0 and day11.pageviews == 0
+
+
+def _files(spark, root, table):
+    from urllib.parse import urlparse
+    import pathlib
+    path = pathlib.Path(urlparse(f"{root}/{table}").path)
+    return {str(p.relative_to(path)) for p in path.rglob("*.parquet")}
+
+
+def test_send_summary_is_merged_by_window(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import tables as K
+    from tidemark.plans import build as B
+    from tidemark.plans import marts as M
+    from tidemark.session import scratch_dir
+    from tidemark.sources.warehouse import StoredWarehouse
+    root = scratch_dir(spark, "send-summary")
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    sends = [(day(d), c, 10 + d, d, 1) for d, c in ((0, "A"), (5, "A"), (9, "B"), (12, "C"), (20, "A"), (30, "D"), (30, None))]
+    K.write_partitioned(spark.createDataFrame(sends, "date date, campaignId string, sends long, opens long, clicks long"),
+                        f"{root}/fact_rd_email_campaign", ["date"])
+    K.write_partitioned(spark.createDataFrame([(day(n), "s", "m", c, n + 1, 1) for n in range(35) for c in "abcd"],
+                                              "date date, source string, medium string, campaign string, sessions long, users long"),
+                        f"{root}/fact_ga4_sessions_by_utm_daily", ["date"])
+    m = [("s", "m", c, c.upper(), c, "s", "m", c) for c in "abcd"]
+    K.rebuild(spark.createDataFrame(m, B.TABLES["map_utm_campaign"]), f"{root}/map_utm_campaign")
+    B.build_comms(spark, root)
+    w = StoredWarehouse(spark, root)
+    full = lambda: _bag(M.comms_impact_summary(w.table("fact_comms_impact_daily"), w.table("fact_rd_email_campaign")))
+    before = _files(spark, root, "fact_comms_impact_summary")
+    # in the window A's send goes, B's changes, a new one of E comes; and the sessions of its days
+    window = (day(5), day(9))
+    new = spark.createDataFrame([(day(9), "B", 99, None, 7), (day(8), "E", 1, 1, 1)], "date date, campaignId string, sends long, opens long, clicks long")
+    K.replace_window(spark, new, f"{root}/fact_rd_email_campaign", *window)
+    utm = w.fact("fact_ga4_sessions_by_utm_daily", *window).where(F.col("date") != F.lit(day(7))).withColumn("sessions", F.col("sessions") * 3)
+    K.replace_window(spark, utm, f"{root}/fact_ga4_sessions_by_utm_daily", *window)
+    B.refresh_comms_window(spark, root, *window)
+    assert _bag(w.table("fact_comms_impact_summary")) == full()
+    # A's other dates got new totals; C (day 12) and D (day 30) lie outside and keep their files
+    kept = {f for f in before if f.startswith(("send_date=2024-01-13", "send_date=2024-01-31"))}
+    assert len(kept) >= 2 and kept <= _files(spark, root, "fact_comms_impact_summary")
+    fresh, _, _ = B.summary_changes(w, *window, day(3), day(10))
+    scan = next(line for line in fresh._jdf.queryExecution().executedPlan().toString().splitlines()
+                if "FileScan" in line and "campaignId:string,sessions:bigint>" in line)
+    filters = scan[scan.index("PartitionFilters"):]
+    assert str(day(2)) in filters and str(day(12)) in filters, filters
+    B.refresh_comms_window(spark, root, *window)  # again: nothing changes
+    assert _bag(w.table("fact_comms_impact_summary")) == full()
+
+
+def test_reports_read_the_events_twice(spark):
+    w = DerivedWarehouse(spark, SF)
+    for df in (Q.weekly_report(w, S, E, 10), Q.weekly_summary(w, A), Q.top_pages(w, S, E, 10)):
+        scans = [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in line and "user_id" in line]
+        assert len(scans) == 2 and all("GreaterThanOrEqual(ts" in line for line in scans), scans
+
+
+def test_reports_without_events_or_without_pages(spark):
+    w = DerivedWarehouse(spark, SF)
+    rows = {(r.section, r["rank"], r.label): r.value for r in Q.weekly_report(w, "2030-01-01", "2030-01-07", 10).collect()}
+    assert rows == {("kpis", 1, "users"): 0.0, ("kpis", 2, "sessions"): 0.0, ("kpis", 3, "pageviews"): 0.0, ("top_pages", 1, "Total"): 0.0,
+                    ("funnel", 1, "start"): 0.0, ("funnel", 2, "progress"): 0.0, ("funnel", 3, "completion_rate"): 0.0}
+    assert [tuple(r) for r in Q.top_pages(w, "2030-01-01", "2030-01-07", 10).collect()] == [("NA", "Total", 0)]
+    assert Q.top_pages(w, S, E, None).count() == Q.top_pages(w, S, E, 10 ** 6).count()
+
+
+def test_stored_and_derived_reports_agree(spark, stored):
+    assert _bag(Q.weekly_report(stored, S, E, 7)) == _bag(Q.weekly_report(DerivedWarehouse(spark, SF), S, E, 7))

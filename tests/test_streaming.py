@@ -76,3 +76,22 @@ def test_refresh_stream_video_manifests(spark, tmpdir_spark):
     vp = spark.read.parquet(f"{wh}/fact_yt_video_period")
     assert vp.count() == min(50, vids.count())
     assert {tuple(r) for r in vp.select("startDate", "endDate").distinct().collect()} == {(D(2024, 1, 8), D(2024, 1, 14))}
+
+
+def test_refresh_stream_crm_manifests(spark, tmpdir_spark):
+    import json
+    import os
+    base = str(tmpdir_spark)
+    local = base[5:] if base.startswith("file:") else base
+    for folder, records in (("camp/campaigns", [{"id": "C1", "sent_at": "2024-01-05"}]), ("camp/metrics", [{"campaign_id": "C1", "sends": 5}]),
+                            ("contacts", [{"id": "1", "updated_at": "2024-01-03", "status": "lead"}])):
+        os.makedirs(f"{local}/{folder}")
+        with open(f"{local}/{folder}/a.json", "w") as f:
+            f.write(json.dumps(records) + "\n")
+    post_manifest(spark, f"{base}/m", "rd_campaigns", "fact_rd_email_campaign", f"{base}/camp", "2024-01-01", "2024-01-10")
+    post_manifest(spark, f"{base}/m", "rd_leads", "fact_rd_lead_stage_daily", f"{base}/contacts", "2024-01-01", "2024-01-10")
+    start_refresh_stream(spark, f"{base}/m", f"{base}/wh", f"{base}/ckpt").awaitTermination(120)
+    sent = spark.read.parquet(f"{base}/wh/fact_rd_email_campaign").select("date", "campaignId", "sends").collect()
+    assert [tuple(r) for r in sent] == [(D(2024, 1, 5), "C1", 5)]
+    stages = spark.read.parquet(f"{base}/wh/fact_rd_lead_stage_daily").select("date", "stage", "count").collect()
+    assert [tuple(r) for r in stages] == [(D(2024, 1, 10), "lead", 1)]

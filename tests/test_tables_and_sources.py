@@ -323,3 +323,72 @@ def test_an_export_in_parts_of_different_encodings(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes("name,n\ncaf\u00e9,1\n".encode("utf-8-sig"))
     (tmp_path / "b.csv").write_bytes("name,n\nni\u00f1o,2\n".encode("latin-1"))
     assert sorted(tuple(r) for r in X.read_csv_robust(spark, str(tmp_path)).select("name", "n").collect()) == [("caf\u00e9", "1"), ("ni\u00f1o", "2")]
+
+
+def test_an_upsert_by_buckets_rewrites_only_touched_ones(spark, tmpdir_spark):
+    import pathlib
+    path = f"{tmpdir_spark}/dim_page"
+    files = lambda: {str(p.relative_to(_local(path))) for p in pathlib.Path(_local(path)).rglob("*.parquet")}
+    titles = lambda: dict(map(tuple, StoredWarehouse(spark, str(tmpdir_spark)).table("dim_page").collect()))
+    rows = [(f"/p/{i}", f"old {i}") for i in range(200)]
+    frame = lambda r: spark.createDataFrame(r, "page_path string, page_title string")
+    K.upsert_table(spark, frame(rows), path, "dim_page", "page_path")        # plain: small
+    assert not any("bucket" in f for f in files())
+    K.upsert_table(spark, frame([("/p/0", "new 0")]), path, "dim_page", "page_path", 16)   # laid out once
+    before = files()
+    assert len({f.split("/")[0] for f in before}) == 16
+    K.upsert_table(spark, frame([("/p/7", "new 7"), ("/p/new", "n"), (None, "x")]), path, "dim_page", "page_path")  # keeps its buckets
+    after = files()
+    changed = {f.split("/")[0] for f in before ^ after}
+    assert 1 <= len(changed) <= 3 and len({f.split("/")[0] for f in after}) == 16
+    assert titles() == {**dict(rows), "/p/0": "new 0", "/p/7": "new 7", "/p/new": "n", None: "x"}
+    K.upsert_table(spark, frame([]), path, "dim_page", "page_path")
+    assert files() == after
+    K.upsert_table(spark, frame([("/p/1", "new 1")]), path, "dim_page", "page_path", 4)    # another number: laid out again
+    assert len({f.split("/")[0] for f in files()}) == 4 and titles()["/p/1"] == "new 1" and len(titles()) == 202
+
+
+def test_file_encodings(spark, tmp_path):
+    text = "Título,n\ncafé,1\n\nniño,2\n"
+    given = {"a b%20.csv": ("utf-8", text), "latin.csv": ("latin-1", text), "wide.csv": ("utf-16-le", text), "mark.csv": ("utf-16", text),
+             "mark8.csv": ("utf-8-sig", text), "odd.csv": ("utf-8", "n\n�\n"), "nul.csv": ("utf-8", "n\na\x00b\nc\n"), "none.csv": ("utf-8", "")}
+    for name, (encoding, body) in given.items():
+        (tmp_path / name).write_bytes(body.encode(encoding))
+    found = {f.rsplit("/", 1)[1]: e for f, e in X.file_encodings(spark, X.data_files(spark, str(tmp_path))).items()}
+    assert found == {"a b%20.csv": "utf-8", "latin.csv": "latin-1", "wide.csv": "utf-16", "mark.csv": "utf-16", "mark8.csv": "utf-8",
+                     "odd.csv": "utf-8", "nul.csv": "utf-8", "none.csv": "utf-8"}
+    latin = str(tmp_path / "latin.csv")
+    assert [tuple(r) for r in X.read_csv_robust(spark, latin).collect()] == [("café", "1"), ("niño", "2")]
+    try:
+        X.file_encodings(spark, X.data_files(spark, latin), ("utf-8",))
+        raise AssertionError("a Latin-1 file read as UTF-8")
+    except ValueError as e:
+        assert "latin.csv" in str(e)
+
+
+def test_quarantine_is_kept_per_landing(spark, tmpdir_spark):
+    root = str(tmpdir_spark)
+    report = lambda name, rows: L.land_report(spark.createDataFrame(rows, "date string, totalUsers string, sessions string, screenPageViews string"),
+                                              f"{root}/{name}", I.SESSIONS.dimensions, I.SESSIONS.metrics)
+    held = lambda: sorted(((r.reason, r.kept, json.loads(r.record).get("date")) for r in StoredWarehouse(spark, root).table("quarantine").collect()), key=str)
+    run = lambda name: I.refresh_report(spark, f"{root}/{name}", f"{root}/fact_sessions", I.SESSIONS, "2024-01-01", "2024-01-03", root)
+    report("one", [("20240101", "1", "1", "1"), ("20240102", "x", "1", "1"), ("2024-1-1", "1", "1", "1"), (None, "1", "1", "1"), ("20240109", "n", "1", "1")])
+    one = [("bad_date", False, "2024-1-1"), ("bad_date", False, None), ("bad_number", True, "20240102"), ("out_of_window", False, "20240109")]
+    run("one")
+    run("one")
+    assert held() == sorted(one, key=str)
+    assert spark.read.parquet(f"{root}/fact_sessions").count() == 2
+    report("two", [("20250101", "1", "1", "1")])
+    run("two")  # brings no row of the window: the table stays
+    assert spark.read.parquet(f"{root}/fact_sessions").count() == 2
+    assert held() == sorted([*one, ("out_of_window", False, "20250101")], key=str)
+    report("one", [("20240101", "1", "1", "1")])
+    run("one")  # landed again, without faults: its rejects go
+    assert held() == [("out_of_window", False, "20250101")]
+
+
+def test_metadata_response(spark, tmp_path):
+    (tmp_path / "m.json").write_text(json.dumps({"dimensions": [{"apiName": "date", "uiName": "Date"}, {"apiName": "date"}, {"apiName": ""}, {}],
+                                                 "metrics": None}) + "\n" + json.dumps({"metrics": [{"apiName": "sessions", "description": "d"}]}) + "\n")
+    rows = sorted(tuple(r) for r in L.read_metadata(spark, str(tmp_path)).select("type", "name").collect())
+    assert rows == [("dimension", "date"), ("metric", "sessions")]

@@ -16,10 +16,11 @@
     python -m tidemark materialize-engagement --root R
     python -m tidemark materialize-comms-impact --root R
     python -m tidemark catalog --root R --out P
-    python -m tidemark query NAME --root R [--start D] [--end D] [--as-of D] [--limit N]
+    python -m tidemark query NAME --root R [--start D] [--end D] [--as-of D] [--limit N] [--registry F]
 
 Every job is a Spark job over ``--root`` (date-partitioned Parquet tables); ``--as-of`` replaces
-"today" so runs are reproducible.
+"today" so runs are reproducible. ``--registry`` names a YAML file of datasets (freshness, not-null and
+unique checks) that replaces the built-in one. ``refresh-report`` keeps the rows it leaves out in ``<root>/quarantine``.
 """
 
 from __future__ import annotations
@@ -38,9 +39,11 @@ QUERY_NAMES = ("kpis", "top_pages", "pages_weekly", "video_funnel", "top_countri
                "datasets_catalog", "field_matrix")
 
 
-def run_query(w, name: str, start, end, as_of, limit: int | None) -> DataFrame:
+def run_query(w, name: str, start, end, as_of, limit: int | None, registry=None) -> DataFrame:
     from tidemark.plans import quality as QA
     from tidemark.plans import queries as Q
+    from tidemark.schemas import REGISTRY
+    reg = REGISTRY if registry is None else registry
     lim = {} if limit is None else {"limit": limit}
     table = {
         "kpis": lambda: Q.kpis(w, start, end),
@@ -63,14 +66,14 @@ def run_query(w, name: str, start, end, as_of, limit: int | None) -> DataFrame:
         "mtd_vs_prev": lambda: Q.mtd_vs_prev(w, end),
         "seven_vs_28": lambda: Q.seven_vs_28(w, end),
         "health": lambda: Q.health(w),
-        "freshness": lambda: QA.freshness(w, as_of, end),
+        "freshness": lambda: QA.freshness(w, as_of, end, reg),
         "quality_signals": lambda: QA.quality_signals(w, as_of),
-        "quality_alerts": lambda: QA.quality_alerts(w, as_of),
+        "quality_alerts": lambda: QA.quality_alerts(w, as_of, registry=reg),
         "partial_day": lambda: QA.partial_day(w, end, as_of),
         "weekly_report": lambda: Q.weekly_report(w, start, end, **({"top_n": limit} if limit else {})),
         "weekly_summary": lambda: Q.weekly_summary(w, as_of),
-        "check_not_null": lambda: QA.check_not_null(w),
-        "check_unique": lambda: QA.check_unique(w),
+        "check_not_null": lambda: QA.check_not_null(w, reg),
+        "check_unique": lambda: QA.check_unique(w, reg),
         "datasets_catalog": lambda: QA.datasets_catalog(w),
         "field_matrix": lambda: QA.field_matrix(w, end),
     }
@@ -116,7 +119,7 @@ def _parser() -> argparse.ArgumentParser:
     cmd("catalog", lambda p: p.add_argument("--out", required=True))
     cmd("query", lambda p: p.add_argument("name", choices=QUERY_NAMES),
         lambda p: p.add_argument("--start", default=None), lambda p: p.add_argument("--end", default=None),
-        lambda p: p.add_argument("--limit", type=int, default=None))
+        lambda p: p.add_argument("--limit", type=int, default=None), lambda p: p.add_argument("--registry", default=None))
     return ap
 
 
@@ -127,7 +130,7 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
     from tidemark.plans import ingest as I
     from tidemark.plans import marts as M
     from tidemark.plans import quality as QA
-    from tidemark.schemas import PARTITION_COLS, TABLES
+    from tidemark.schemas import PARTITION_COLS, TABLES, load_registry
     from tidemark.session import get_spark
     from tidemark.sources.warehouse import StoredWarehouse
 
@@ -146,7 +149,7 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
                 K.ensure_table(spark, f"{root}/{t}", t)
         K.rebuild(calendar(spark, a.start, as_of), f"{root}/dim_date")
     elif a.cmd == "refresh-report":
-        I.refresh_report(spark, a.report, f"{root}/{a.table}", I.REPORTS[a.table], *window())
+        I.refresh_report(spark, a.report, f"{root}/{a.table}", I.REPORTS[a.table], *window(), quarantine_root=root)
     elif a.cmd == "refresh-analytics":
         given = {"fact_sessions": a.sessions, "fact_ga4_events_daily": a.events, "fact_ga4_pages_daily": a.pages,
                  "fact_ga4_sessions_by_utm_daily": a.utm}
@@ -183,13 +186,13 @@ def main(argv: list[str] | None = None, spark=None) -> DataFrame | None:
         K.rebuild(M.comms_impact_daily(w.table("fact_ga4_sessions_by_utm_daily"), w.table("map_utm_campaign")),
                   f"{root}/fact_comms_impact_daily", PARTITION_COLS["fact_comms_impact_daily"])
         K.rebuild(M.comms_impact_summary(w.table("fact_comms_impact_daily"), w.table("fact_rd_email_campaign")),
-                  f"{root}/fact_comms_impact_summary")
+                  f"{root}/fact_comms_impact_summary", PARTITION_COLS["fact_comms_impact_summary"])
     elif a.cmd == "catalog":
         K.export_csv(QA.datasets_catalog(w), a.out)
     elif a.cmd == "query":
         end = as_date(a.end) if a.end else as_of
         start = as_date(a.start) if a.start else end - _dt.timedelta(days=7)
-        df = run_query(w, a.name, start, end, as_of, a.limit)
+        df = run_query(w, a.name, start, end, as_of, a.limit, load_registry(a.registry) if a.registry else None)
         if __name__ == "__main__":
             df.show(200, truncate=False)
         return df

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,22 +172,44 @@ def replace_window(spark: SparkSession, new: DataFrame, path: str, start, end,
     """
     s, e = C.as_date(start), C.as_date(end)
     recover(spark, path)
-    staged, root = _staged_path(path), path.rstrip("/")
+    staged = _staged_path(path)
     write_partitioned(new.where(F.col(date_col).between(F.lit(s), F.lit(e))), staged, [date_col])
     arrived = set(partition_values(spark, staged, date_col))
     if arrived or empty_clears:
-        present = {v for v in partition_values(spark, path, date_col) if _in_window(v, s, e)}
-        for day in sorted(arrived | present):
-            folder = f"{date_col}={day}"
-            if day in present:
-                _move(spark, f"{root}/{folder}", f"{_days_aside(path)}/{folder}")
-            if day in arrived:
-                _move(spark, f"{staged}/{folder}", f"{root}/{folder}")
-        _delete(spark, _days_aside(path))
+        _move_in(spark, staged, path, date_col, {v for v in partition_values(spark, path, date_col) if _in_window(v, s, e)})
     _delete(spark, staged)
     return bool(arrived)
 
 
+def replace_partitions(spark: SparkSession, new: DataFrame, path: str, values: Iterable, col: str) -> None:
+    """Make the partitions ``values`` of a table that is partitioned by ``col`` equal to ``new``'s rows of these values; one that
+    ``new`` has no row of goes. Other partitions keep their files, rows of other values aren't inserted.
+
+    Computed once, beside the table, so ``new`` may read the table; then moved in value by value.
+    """
+    names = sorted({str(v) for v in values})
+    recover(spark, path)
+    if not names:
+        return
+    staged = _staged_path(path)
+    write_partitioned(new.where(F.col(col).cast("string").isin(names)), staged, [col])
+    _move_in(spark, staged, path, col, set(partition_values(spark, path, col)) & set(names))
+    _delete(spark, staged)
+
+
+def _move_in(spark: SparkSession, staged: str, path: str, col: str, replaced: set[str]) -> None:
+    """Move the staged partitions in, one by one; those of ``replaced`` are moved aside first and deleted last."""
+    root = path.rstrip("/")
+    arrived = set(partition_values(spark, staged, col))
+    for value in sorted(arrived | replaced):
+        folder = f"{col}={value}"
+        if value in replaced:
+            _move(spark, f"{root}/{folder}", f"{_days_aside(path)}/{folder}")
+        if value in arrived:
+            _move(spark, f"{staged}/{folder}", f"{root}/{folder}")
+    _delete(spark, _days_aside(path))
+
+
 def _in_window(value: str, start, end) -> bool:
     try:
         return start <= C.as_date(value) <= end
@@ -242,17 +265,56 @@ def append(df: DataFrame, path: str, partition_cols: list[str] | None = None) ->
     w.parquet(path)
 
 
-def upsert_table(spark: SparkSession, new: DataFrame, path: str, table: str, key: str | list[str]) -> None:
-    """U3 on a stored dimension: merge old ∪ new by key into a staged table (a written table
-    cuts the lineage to the old files), then swap it in."""
+DIM_BUCKETS = 256                 # of a dimension that outgrows one folder
+PLAIN_DIM_BYTES = 256 * 1024 ** 2
+
+
+def upsert_table(spark: SparkSession, new: DataFrame, path: str, table: str, key: str | list[str],
+                 buckets: int | None = None) -> None:
+    """U3 on a stored dimension: merge old ∪ new by key beside the table (a written table
+    cuts the lineage to the old files), then move the result in.
+
+    A small dimension is one plain folder and rewritten whole. One of ``PLAIN_DIM_BYTES`` or more is kept in
+    ``DIM_BUCKETS`` partitions by a hash of its key (in ``buckets`` if given, at any size): an upsert reads and
+    rewrites the buckets that hold a key of ``new``, the files of the others stay. Another number of buckets, or
+    none before, rewrites the table once.
+    """
     schema = TABLES[table]
+    names = schema.fieldNames()
     recover(spark, path)
-    if path_exists(spark, path):
-        old = spark.read.schema(schema).parquet(path)
-    else:
-        old = spark.createDataFrame([], schema)
-    merged = upsert_by_key(old, new.select(*schema.fieldNames()), key)
-    rebuild(merged, path)
+    exists = path_exists(spark, path)
+    kept = _buckets_of(spark, path) if exists else None
+    if buckets is None:
+        buckets = kept or (DIM_BUCKETS if exists and _size(spark, path) >= PLAIN_DIM_BYTES else None)
+    old = spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
+    new = new.select(*names)
+    if buckets is None:
+        rebuild(upsert_by_key(old.select(*names), new, key), path)
+        return
+    column = f"{_BUCKET}{buckets}"
+    keys = [key] if isinstance(key, str) else list(key)
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(column)
+    if kept != buckets:
+        rebuild(upsert_by_key(old.select(*names), new, key).select(*names, number), path, [column])
+        return
+    touched = sorted(r[0] for r in new.select(number).distinct().collect())  # at most ``buckets`` numbers
+    merged = upsert_by_key(old.where(F.col(column).cast("int").isin(touched)).select(*names), new, key)
+    replace_partitions(spark, merged.select(*names, number), path, touched, column)
+
+
+_BUCKET = "bucket_of_"
+
+
+def _buckets_of(spark: SparkSession, path: str) -> int | None:
+    """In how many hash buckets the table at ``path`` is kept (its partition column says it); None for another layout."""
+    fs, p = _hadoop_fs(spark, path)
+    found = {m.group(1) for m in (re.match(rf"{_BUCKET}(\d+)=", st.getPath().getName()) for st in fs.listStatus(p)) if m}
+    return int(found.pop()) if len(found) == 1 else None
+
+
+def _size(spark: SparkSession, path: str) -> int:
+    fs, p = _hadoop_fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
 
 
 def cache_report(df: DataFrame, cache_root: str, dimensions: list[str], metrics: list[str],

@@ -9,6 +9,7 @@ appends, which are append-only by definition.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -82,10 +83,40 @@ def report_rejects(spark: SparkSession, report_path: str, spec: ReportSpec, star
                          .alias("reason", "rows"))
 
 
+def report_quarantine(spark: SparkSession, report_path: str, spec: ReportSpec, start, end) -> DataFrame:
+    """The landed rows behind ``report_rejects``, one by one: reason, whether the row is ``kept`` in the table all the same (with
+    NULL for a value that is no number), the file it stands in and its values as landed, as JSON."""
+    raw = L.read_report_text(spark, report_path, spec.dimensions, spec.metrics, file_column="_file")
+    day = C.ymd_date("date")
+    no_number = F.lit(False)
+    for m in spec.metrics:
+        no_number = no_number | (F.col(m).isNotNull() & C.safe_double(m).isNull())
+    reason = (F.when(day.isNull(), "bad_date").when(~day.between(C.date_lit(start), C.date_lit(end)), "out_of_window")
+              .when(no_number, "bad_number"))
+    rows = raw.withColumn("reason", reason).where("reason is not null")
+    return rows.select(F.lit(spec.table).alias("table_name"), F.lit(landing_id(report_path)).alias("landing"), "reason",
+                       (F.col("reason") == "bad_number").alias("kept"), F.col("_file").alias("source_file"),
+                       F.to_json(F.struct(*spec.dimensions, *spec.metrics)).alias("record"))
+
+
+def landing_id(path: str) -> str:
+    """Names a landing in the quarantine: the same path is the same landing."""
+    return "landing-" + hashlib.sha256(path.rstrip("/").encode()).hexdigest()[:16]
+
+
+def quarantine_report(spark: SparkSession, report_path: str, root: str, spec: ReportSpec, start, end) -> None:
+    """Keep the rejected rows of one landing in ``<root>/quarantine``; those of an earlier run of the same landing go."""
+    rows = report_quarantine(spark, report_path, spec, start, end).drop("table_name")
+    K.replace_partitions(spark, rows, f"{root.rstrip('/')}/quarantine/table_name={spec.table}", [landing_id(report_path)], "landing")
+
+
 # M1–M4
 def refresh_report(spark: SparkSession, report_path: str, table_path: str, spec: ReportSpec,
-                   start, end) -> bool:
-    """Replace the window [start, end] of ``spec.table`` with the landed report."""
+                   start, end, quarantine_root: str | None = None) -> bool:
+    """Replace the window [start, end] of ``spec.table`` with the landed report. With ``quarantine_root`` the rows that it
+    leaves out are kept there first."""
+    if quarantine_root:
+        quarantine_report(spark, report_path, quarantine_root, spec, start, end)
     return K.replace_window(spark, report_batch(spark, report_path, spec), table_path, start, end)
 
 
@@ -93,7 +124,7 @@ def refresh_reports(spark: SparkSession, reports: dict[str, str], root: str, as_
     """Refresh several analytics facts from their landed reports over the same window (the
     "refresh all" action): ``reports`` maps a fact table to its landed report path."""
     start, end = refresh_window(as_of, days)
-    return {t: refresh_report(spark, path, f"{root}/{t}", REPORTS[t], start, end) for t, path in reports.items()}
+    return {t: refresh_report(spark, path, f"{root}/{t}", REPORTS[t], start, end, root) for t, path in reports.items()}
 
 
 # M5a
@@ -199,12 +230,12 @@ def import_utm_map(spark: SparkSession, csv_path: str | None, table_path: str) -
 
 
 # M14
-def import_pages_csv(spark: SparkSession, paths: list[str], root: str, import_date) -> bool:
+def import_pages_csv(spark: SparkSession, paths: list[str], root: str, import_date, buckets: int | None = None) -> bool:
     df = X.import_exports(spark, paths)
     if df is None:
         return False
     dim, fact = X.pages_export(df, import_date)
-    K.upsert_table(spark, dim, f"{root}/dim_page", "dim_page", "page_path")
+    K.upsert_table(spark, dim, f"{root}/dim_page", "dim_page", "page_path", buckets)
     K.append(fact, f"{root}/fact_sessions", ["date"])
     return True
 

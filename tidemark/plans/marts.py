@@ -107,7 +107,13 @@ def comms_impact_daily(utm_daily: DataFrame, utm_map: DataFrame) -> DataFrame:
                   F.sum("users").cast("bigint").alias("users")))
 
 
-def comms_impact_summary(daily: DataFrame, sends: DataFrame, faithful_fanout: bool = False) -> DataFrame:
+def send_totals(sends: DataFrame) -> DataFrame:
+    """Per campaign: sends, opens and clicks over all its sends."""
+    return sends.groupBy("campaignId").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("sends", "opens", "clicks")])
+
+
+def comms_impact_summary(daily: DataFrame, sends: DataFrame, faithful_fanout: bool = False,
+                         send_dates: tuple[_dt.date, _dt.date] | None = None) -> DataFrame:
     """Per campaign × send date: sessions on D-1, D0, D0..D+2, uplift, campaign totals.
 
     The band D-1..D+2 is an interval join. Each send is expanded to its four band days and
@@ -116,8 +122,14 @@ def comms_impact_summary(daily: DataFrame, sends: DataFrame, faithful_fanout: bo
 
     ``faithful_fanout=True`` keeps the double counting of a campaign sent more than once
     (each daily row repeated once per send row in D0..D+2); the default counts it once.
+    ``send_dates`` (first, last) leaves out the other send dates, and the days outside their bands; the
+    campaign totals still cover all sends.
     """
     pairs = sends.select("campaignId", F.col("date").cast("date").alias("send_date"))
+    if send_dates is not None:
+        first, last = send_dates
+        pairs = pairs.where(F.col("send_date").between(F.lit(first), F.lit(last)))
+        daily = daily.where(F.col("date").between(F.lit(first - _dt.timedelta(days=1)), F.lit(last + _dt.timedelta(days=2))))
     if not faithful_fanout:
         pairs = pairs.distinct()
     band = pairs.select("campaignId", "send_date",
@@ -137,10 +149,7 @@ def comms_impact_summary(daily: DataFrame, sends: DataFrame, faithful_fanout: bo
                     F.max(F.when(F.col("date") == sd, F.col("sessions"))).alias("d0"),
                     F.sum(F.when(F.col("date").between(sd, F.date_add(sd, 2)),
                                  F.col("sessions") * F.col("_n"))).alias("d0_d2")))
-    totals = (sends.groupBy("campaignId")
-                   .agg(F.sum("sends").cast("bigint").alias("sends"),
-                        F.sum("opens").cast("bigint").alias("opens"),
-                        F.sum("clicks").cast("bigint").alias("clicks")))
+    totals = send_totals(sends)
     d_1 = F.coalesce("d_1", F.lit(0))
     d0 = F.coalesce("d0", F.lit(0))
     return (pvt.join(totals, "campaignId", "left")

@@ -41,14 +41,15 @@ def _today(as_of):
     return C.as_date(as_of) if as_of is not None else _dt.date.today()
 
 
-def freshness(w: Warehouse, as_of=None, end=None) -> DataFrame:
+def freshness(w: Warehouse, as_of=None, end=None, registry=REGISTRY) -> DataFrame:
     """Latest date per fact, lag in days to ``as_of``, declared TTL and stale flag.
 
     ``partial_day`` tells whether the report range ends on ``as_of`` (today's data may be
     incomplete). Video freshness is read from the channel-day table (the per-video daily
-    table is never produced). A missing table yields a NULL date and counts as stale.
+    table is never produced). A missing table yields a NULL date and counts as stale. Dates are whole days: a TTL
+    below a day asks for data of ``as_of`` itself.
     """
-    ttl = {d.table: d.freshness_ttl_minutes for d in REGISTRY}
+    ttl = {d.table: d.freshness_ttl_minutes for d in registry}
     as_of_d = _today(as_of)
     end_d = C.as_date(end) if end is not None else as_of_d
     parts = []
@@ -139,7 +140,7 @@ def check_not_null(w: Warehouse, registry=REGISTRY) -> DataFrame:
             args = ", ".join(f"'{c}', n__{c}" for c in d.not_null)
             parts.append(agg.select(F.lit(d.id).alias("dataset"), "rows",
                                     F.expr(f"stack({len(d.not_null)}, {args}) as (column_name, nulls)")))
-        out = _union(parts)
+        out = _union(parts or [w.spark.createDataFrame([], "dataset string, rows bigint, column_name string, nulls bigint")])
     return out.select("dataset", "column_name", F.col("nulls").cast("bigint").alias("nulls"),
                       F.col("rows").cast("bigint").alias("rows"), (F.col("nulls") > 0).alias("violated"))
 
@@ -165,7 +166,8 @@ def check_unique(w: Warehouse, registry=REGISTRY) -> DataFrame:
                              F.coalesce(F.sum("n"), F.lit(0)).alias("duplicate_rows"))
                         .select(F.lit(d.id).alias("dataset"), F.lit(",".join(d.unique)).alias("key_columns"),
                                 "duplicate_keys", "duplicate_rows"))
-    out = _union(parts)
+    out = _union(parts or [w.spark.createDataFrame(
+        [], "dataset string, key_columns string, duplicate_keys bigint, duplicate_rows bigint")])
     return out.select("dataset", "key_columns", F.col("duplicate_keys").cast("bigint").alias("duplicate_keys"),
                       F.col("duplicate_rows").cast("bigint").alias("duplicate_rows"),
                       (F.col("duplicate_keys") > 0).alias("violated"))
@@ -175,12 +177,13 @@ def check_unique(w: Warehouse, registry=REGISTRY) -> DataFrame:
 CATALOG_TABLES = tuple(t for t in TABLES if t in TABLE_SOURCE)
 
 
-def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
+def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES, metadata: DataFrame | None = None) -> DataFrame:
     """Field catalog as a column profile: (source, dataset, type, name, description, rows, nulls).
 
     Every source and mart table of the schema is listed. Column rows carry 'name:TYPE', the row
     count and the NULL count of the column (from the stored profile, else one aggregate per table, unpivoted with
-    ``stack``); the columns of a table that this warehouse doesn't hold are planned fields, without counts.
+    ``stack``); the columns of a table that this warehouse doesn't hold are planned fields, without counts. ``metadata``
+    (``landed.read_metadata``) adds the names of the analytics source's dimensions and metrics.
     """
     parts, planned_fields, profiled = [], [], []
     for t in tables:
@@ -207,16 +210,26 @@ def datasets_catalog(w: Warehouse, tables=CATALOG_TABLES) -> DataFrame:
     planned = planned.select("*", F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("bigint").alias("nulls"))
     out = _union(parts).select("source", "dataset", "type", "name", "description", "rows",
                                F.col("nulls").cast("bigint").alias("nulls"))
-    return out.unionByName(planned)
+    out = out.unionByName(planned)
+    if metadata is not None:
+        none = F.lit(None).cast("bigint")
+        out = out.unionByName(metadata.select(F.lit("GA4").alias("source"), F.lit("ga4_metadata").alias("dataset"), "type", "name",
+                                              F.lit("").alias("description"), none.alias("rows"), none.alias("nulls")))
+    return out
 
 
 # D5
-def invalid_fields(w: Warehouse, requests: list[tuple[str, str, str]]) -> DataFrame:
+def invalid_fields(w: Warehouse, requests: list[tuple[str, str, str]], metadata: DataFrame | None = None) -> DataFrame:
     """Requested (dataset, kind, field) that the table does not hold with any non-NULL value.
 
-    Checked with a left-anti join against the column profile of the same tables.
+    Checked with a left-anti join against the column profile of the same tables; with ``metadata``
+    (``landed.read_metadata``) against the names that the source knows, whatever the tables hold. A source whose
+    metadata are empty judges nothing.
     """
     req = w.spark.createDataFrame(requests, "dataset string, kind string, field string")
+    if metadata is not None:
+        known = metadata.select(F.col("type").alias("kind"), F.col("name").alias("field"))
+        return req.join(known, ["kind", "field"], "left_anti").where(known.exists()).select("dataset", "kind", "field")
     tables = tuple(sorted({r[0] for r in requests}))
     prof = (datasets_catalog(w, tables).where(F.col("type") == "column")
             .where(F.col("rows") > F.col("nulls"))
@@ -224,9 +237,16 @@ def invalid_fields(w: Warehouse, requests: list[tuple[str, str, str]]) -> DataFr
     return req.join(prof, ["dataset", "field"], "left_anti").select("dataset", "kind", "field")
 
 
-def registry_requests() -> list[tuple[str, str, str]]:
+def report_requests() -> list[tuple[str, str, str]]:
+    """(dataset, kind, field) of every name that the analytics pulls ask for."""
+    from tidemark.plans.ingest import REPORTS
+    return [(t, kind, name) for t, s in REPORTS.items() for kind, names in (("dimension", s.dimensions), ("metric", s.metrics))
+            for name in names]
+
+
+def registry_requests(registry=REGISTRY) -> list[tuple[str, str, str]]:
     out = []
-    for d in REGISTRY:
+    for d in registry:
         out += [(d.table, "dimension", c) for c in d.dimensions]
         out += [(d.table, "metric", c) for c in d.metrics]
     # The session pull's source-side names, checked against the renamed table.
@@ -261,18 +281,18 @@ def field_matrix(w: Warehouse, end, days: int = 7, table: str = "fact_ga4_pages_
 
 
 # D7
-def quality_alerts(w: Warehouse, as_of=None, threshold: float = DROP_ALERT_PCT) -> DataFrame:
+def quality_alerts(w: Warehouse, as_of=None, threshold: float = DROP_ALERT_PCT, registry=REGISTRY) -> DataFrame:
     """(check, target, value, breached) rows from freshness, volume drop, not-null and unique."""
-    fr = freshness(w, as_of).select(F.lit("freshness").alias("check"), F.col("name").alias("target"),
+    fr = freshness(w, as_of, registry=registry).select(F.lit("freshness").alias("check"), F.col("name").alias("target"),
                                     F.col("lag_days").cast("double").alias("value"), F.col("stale").alias("breached"))
     v = volumetry_dod(w)
     vol = v.select(F.expr("stack(2, 'sessions', ses_dod_pct, 'minutes', min_dod_pct) as (target, value)"))
     vol = vol.select(F.lit("volumetry_dod").alias("check"), "target", "value",
                      (F.col("value") < F.lit(threshold)).alias("breached"))
-    nn = check_not_null(w).select(F.lit("not_null").alias("check"),
+    nn = check_not_null(w, registry).select(F.lit("not_null").alias("check"),
                                   F.concat_ws(".", "dataset", "column_name").alias("target"),
                                   F.col("nulls").cast("double").alias("value"), F.col("violated").alias("breached"))
-    un = check_unique(w).select(F.lit("unique").alias("check"),
+    un = check_unique(w, registry).select(F.lit("unique").alias("check"),
                                 F.concat_ws(".", "dataset", "key_columns").alias("target"),
                                 F.col("duplicate_keys").cast("double").alias("value"),
                                 F.col("violated").alias("breached"))

@@ -35,21 +35,34 @@ def kpis(w: Warehouse, start, end) -> DataFrame:
 
 
 # Q2
+def _page_rows(w: Warehouse, start, end) -> DataFrame:
+    return (w.fact("fact_ga4_pages_daily", start, end).groupBy("pagePath")
+            .agg(F.coalesce(F.max("pageTitle"), F.col("pagePath")).alias("page_title"),
+                 C.sum0("screenPageViews").cast("bigint").alias("pageviews"))
+            .withColumnRenamed("pagePath", "page_path"))
+
+
 def top_pages(w: Warehouse, start, end, limit: int = 10) -> DataFrame:
     """Top pages by views; falls back to one ('NA', 'Total', Σ page views) row when the page
-    fact is missing or has no rows in the window (decided lazily with an EXISTS subquery)."""
+    fact is missing or has no rows in the window. With a limit the page fact is read once: whether there are rows
+    shows in the top itself (a window over ``limit`` + 1 rows); without one an EXISTS subquery tells."""
     fallback = (w.fact("fact_sessions", start, end)
                  .agg(C.sum0("pageviews").cast("bigint").alias("pageviews"))
                  .select(F.lit("NA").alias("page_path"), F.lit("Total").alias("page_title"), "pageviews"))
     if not w.has("fact_ga4_pages_daily"):
         return fallback
-    p = w.fact("fact_ga4_pages_daily", start, end)
-    agg = (p.groupBy("pagePath")
-            .agg(F.coalesce(F.max("pageTitle"), F.col("pagePath")).alias("page_title"),
-                 C.sum0("screenPageViews").cast("bigint").alias("pageviews"))
-            .withColumnRenamed("pagePath", "page_path"))
-    top = _top(agg, "pageviews", ["page_path"], limit).select("page_path", "page_title", "pageviews")
-    return top.unionByName(fallback.where(~p.exists()))
+    top = _top(_page_rows(w, start, end), "pageviews", ["page_path"], limit).select("page_path", "page_title", "pageviews")
+    if not limit:
+        return top.unionByName(fallback.where(~w.fact("fact_ga4_pages_daily", start, end).exists()))
+    both = top.withColumn("instead", F.lit(False)).unionByName(fallback.withColumn("instead", F.lit(True)))
+    return _top(_without_unused(both).drop("instead"), "pageviews", ["page_path"], limit)
+
+
+def _without_unused(df: DataFrame) -> DataFrame:
+    """Rows marked ``instead`` count only where there is no other row. For a few rows: they meet in one task."""
+    whole = Window.partitionBy(F.lit(0))
+    others = F.count_if(~F.col("instead")).over(whole)
+    return df.withColumn("others", others).where(~F.col("instead") | (F.col("others") == 0)).drop("others")
 
 
 # Q3
@@ -305,33 +318,35 @@ def weekly_report(w: Warehouse, start, end, top_n: int = 10, with_countries: boo
     """Report sections as rows: (section, rank, label, value, display).
 
     KPIs (users, sessions, page views), top pages, video funnel and top countries; the
-    display column carries the '.'-thousands text the report prints.
+    display column carries the '.'-thousands text the report prints. Two reads of the events: all totals
+    come from one aggregate (``Warehouse.report_totals``), the pages from another, which also tells whether there are any.
     """
-    k = kpis(w, start, end)
-    kp = k.select(F.expr("stack(3, 1, 'users', users, 2, 'sessions', sessions, 3, 'pageviews', pageviews)"
-                         " as (rank, label, value)"))
-    kp = kp.select(F.lit("kpis").alias("section"), F.col("rank").cast("int").alias("rank"), "label",
-                   F.col("value").cast("double").alias("value"))
-    pages = top_pages(w, start, end, top_n)
-    rk = Window.orderBy(F.col("pageviews").desc_nulls_last(), F.col("page_path").asc_nulls_last())
-    pg = pages.select(F.lit("top_pages").alias("section"), F.row_number().over(rk).cast("int").alias("rank"),
-                      F.coalesce("page_title", "page_path", F.lit(UNTITLED_LABEL)).alias("label"),
-                      F.col("pageviews").cast("double").alias("value"))
-    fn = video_funnel(w, start, end).select(
-        F.expr("stack(3, 1, 'start', cast(start as double), 2, 'progress', cast(progress as double), "
-               "3, 'completion_rate', completion_rate) as (rank, label, value)"))
-    fn = fn.select(F.lit("funnel").alias("section"), F.col("rank").cast("int").alias("rank"), "label", "value")
-    parts = [kp, pg, fn]
-    if with_countries:
-        ct = top_countries(w, start, end, top_n)
-        rc = Window.orderBy(F.col("users").desc_nulls_last(), F.col("country_id").asc_nulls_last())
-        parts.append(ct.select(F.lit("top_countries").alias("section"),
-                               F.row_number().over(rc).cast("int").alias("rank"),
-                               F.coalesce("country_id", F.lit("NA")).alias("label"),
-                               F.col("users").cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    totals = w.report_totals(start, end, with_countries)
+    place = F.row_number().over(Window.partitionBy("by_country").orderBy(F.col("users").desc_nulls_last(), F.col("country_id").asc_nulls_last()))
+    line = lambda section, rank, label, value: F.struct(
+        F.lit(section).alias("section"), F.lit(rank).alias("rank") if isinstance(rank, int) else rank.alias("rank"),
+        (F.lit(label) if isinstance(label, str) else label).alias("label"), value.cast("double").alias("value"),
+        F.lit(section == "top_pages").alias("instead"))
+    rate = F.when(F.col("start") > 0, F.round(F.col("progress").cast("double") / F.col("start").cast("double") * F.lit(100.0), 2)) \
+            .otherwise(F.lit(0.0))
+    sums = F.array(*[line("kpis", i, c, F.col(c)) for i, c in enumerate(("users", "sessions", "pageviews"), 1)],
+                   *[line("funnel", i, c, v) for i, (c, v) in enumerate(
+                       (("start", F.col("start")), ("progress", F.col("progress")), ("completion_rate", rate)), 1)],
+                   line("top_pages", 1, "Total", F.col("pageviews")))
+    country = F.array(line("top_countries", F.col("place"), F.coalesce("country_id", F.lit("NA")), F.col("users")))
+    # one row of totals and one per country, ranked; no more than the countries there are
+    rows = (totals.withColumn("place", place).where(~F.col("by_country") | (F.col("place") <= top_n))
+            .select(F.inline(F.when(F.col("by_country"), country).otherwise(sums))))
+    if w.has("fact_ga4_pages_daily"):
+        top = _top(_page_rows(w, start, end), "pageviews", ["page_path"], top_n)
+        rk = Window.orderBy(F.col("pageviews").desc_nulls_last(), F.col("page_path").asc_nulls_last())
+        pg = top.select(F.lit("top_pages").alias("section"), F.row_number().over(rk).cast("int").alias("rank"),
+                        F.coalesce("page_title", "page_path", F.lit(UNTITLED_LABEL)).alias("label"),
+                        F.col("pageviews").cast("double").alias("value"), F.lit(False).alias("instead"))
+        rows = rows.unionByName(pg)
+    pages = F.col("section") == "top_pages"
+    found = F.count_if(pages & ~F.col("instead")).over(Window.partitionBy(F.lit(0)))
+    out = rows.withColumn("found", found).where(~F.col("instead") | (F.col("found") == 0)).select("section", "rank", "label", "value")
     display = F.when(F.col("label") == "completion_rate", F.concat(F.col("value").cast("string"), F.lit("%"))) \
                .otherwise(C.thousands_dot("value"))
     return out.withColumn("display", display)

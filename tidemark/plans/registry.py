@@ -669,6 +669,65 @@ _register_plain("refresh_marts_window", O.with_facts(("fact_engagement_daily", "
                 lambda spark, sf_dir: RP.replay_marts_window(spark, sf_dir, START, END))
 
 
+_register_plain("csv_countries_import_mixed", O.with_facts(("fact_sessions_by_country",), """
+    SELECT DATE '2024-01-28' AS date, country_id || ' é' AS country_id, CAST(SUM(users) AS BIGINT) AS users
+    FROM fact_sessions_by_country GROUP BY country_id"""), RP.replay_countries_csv_mixed)
+_register_plain("csv_pages_import_buckets", REGISTRY["csv_pages_import_twice"][1],
+                lambda spark, sf_dir: RP.replay_pages_csv_twice(spark, sf_dir, 8))
+
+# the campaign days and the sends as they are after the window's refresh, then the summary of all of them
+_COMMS_WINDOW = (START, "2024-01-16")
+_IN_COMMS_WINDOW = O.between(*_COMMS_WINDOW)
+_register_plain("refresh_comms_window", O.with_facts(
+    ("fact_comms_impact_daily", "fact_rd_email_campaign"),
+    O.CTES["fact_comms_impact_summary"][1].replace("fact_comms_impact_daily", "days").replace("fact_rd_email_campaign", "sent"),
+    extra=(("days", f"""SELECT date, campaignId, sessions * CASE WHEN {_IN_COMMS_WINDOW} THEN 2 ELSE 1 END AS sessions
+                        FROM fact_comms_impact_daily"""),
+           ("sent", f"""SELECT date, campaignId, sends + CASE WHEN {_IN_COMMS_WINDOW} THEN 1 ELSE 0 END AS sends, opens, clicks
+                        FROM fact_rd_email_campaign WHERE date <> {O.d(START)}"""))),
+                lambda spark, sf_dir: RP.replay_comms_window(spark, sf_dir, *_COMMS_WINDOW))
+
+_LANDED_DAYS = f"""SELECT strftime(date, '%Y%m%d') AS day, {BT} AS inside FROM fact_ga4_pages_daily
+    UNION ALL SELECT * FROM (VALUES ('{RP.JUNK_DATES[1]}', FALSE)) v(day, inside)"""
+_BAD_DAYS = " UNION ALL ".join(f"SELECT '{d}' AS day" for d in (RP.JUNK_DATES[0], RP.JUNK_DATES[2]))
+_register_plain("refresh_pages_quarantine", O.with_facts(("fact_ga4_pages_daily",), """
+    SELECT 'landed' AS part, day, COUNT(*) AS "rows" FROM (SELECT day FROM landed UNION ALL SELECT day FROM bad) x GROUP BY day
+    UNION ALL SELECT 'accepted', day, COUNT(*) FROM landed WHERE inside GROUP BY day
+    UNION ALL SELECT 'out_of_window', day, COUNT(*) FROM landed WHERE NOT inside GROUP BY day
+    UNION ALL SELECT 'bad_date', day, COUNT(*) FROM bad GROUP BY day""", extra=(("landed", _LANDED_DAYS), ("bad", _BAD_DAYS))),
+                lambda spark, sf_dir: RP.replay_quarantine(spark, sf_dir, "fact_ga4_pages_daily", START, END))
+
+_UNKNOWN = ", ".join(f"'{x}'" for x in RP.UNKNOWN_TO_THE_SOURCE)
+_ASKED = "SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in QA.report_requests()) + ") r(dataset, kind, field)"
+_register_plain("metadata_invalid_fields", f"""
+    WITH asked AS ({_ASKED}) SELECT dataset, kind, field FROM asked
+    WHERE field IN ({_UNKNOWN}) AND EXISTS (SELECT 1 FROM events)""",
+                lambda spark, sf_dir: RP.replay_metadata(spark, sf_dir, "invalid_fields"))
+_register_plain("metadata_datasets_catalog", O.with_facts(("fact_sessions",), _catalog_sql(("fact_sessions",))[1] + f"""
+    UNION ALL SELECT 'GA4', 'ga4_metadata', kind, name, '', NULL, NULL
+    FROM (SELECT DISTINCT kind, field AS name FROM asked WHERE field NOT IN ({_UNKNOWN})
+          UNION ALL SELECT DISTINCT 'dimension', 'customEvent:' || event_type FROM events WHERE event_type IS NOT NULL) m""",
+    extra=(("asked", _ASKED),)), lambda spark, sf_dir: RP.replay_metadata(spark, sf_dir, "datasets_catalog"))
+
+_register_plain("top_pages_fallback", O.with_facts(("fact_sessions",), f"""
+    SELECT 'NA' AS page_path, 'Total' AS page_title, CAST(COALESCE(SUM(pageviews), 0) AS BIGINT) AS pageviews
+    FROM fact_sessions WHERE {BT}"""), lambda spark, sf_dir: RP.replay_pages_fallback(spark, sf_dir, START, END))
+_register_plain("report_cache", O.with_facts(("fact_sessions",), f"""
+    SELECT part, date, pageviews, sessions, users FROM fact_sessions, (VALUES ('first'), ('again')) v(part) WHERE {BT}"""),
+                lambda spark, sf_dir: RP.replay_report_cache(spark, sf_dir, START, END))
+_register_plain("csv_export_and_append", O.with_facts(("fact_sessions_by_country",), """
+    SELECT date, country_id, users FROM fact_sessions_by_country"""), RP.replay_csv_export)
+_register_plain("registry_checks", O.with_facts(("fact_ga4_pages_daily", "fact_sessions"), """
+    SELECT 'not_null' AS "check", 'ga4_pages_daily' AS dataset, 'pageTitle' AS target, COUNT(*) AS violations, COUNT(*) > 0 AS violated
+    FROM fact_ga4_pages_daily WHERE pageTitle IS NULL
+    UNION ALL SELECT 'not_null', 'ga4_pages_daily', 'date', COUNT(*), COUNT(*) > 0 FROM fact_ga4_pages_daily WHERE date IS NULL
+    UNION ALL SELECT 'not_null', 'sessions', 'users', COUNT(*), COUNT(*) > 0 FROM fact_sessions WHERE users IS NULL
+    UNION ALL SELECT 'unique', 'ga4_pages_daily', 'pagePath', CAST(COALESCE(SUM(n), 0) AS BIGINT), COUNT(*) > 0
+    FROM (SELECT COUNT(*) AS n FROM fact_ga4_pages_daily GROUP BY pagePath HAVING COUNT(*) > 1) x
+    UNION ALL SELECT 'unique', 'sessions', 'date', CAST(COALESCE(SUM(n), 0) AS BIGINT), COUNT(*) > 0
+    FROM (SELECT COUNT(*) AS n FROM fact_sessions GROUP BY date HAVING COUNT(*) > 1) x"""), RP.registry_checks)
+
+
 # a stored fact_sessions has the duration column of the CSV imports, empty here
 _STORED_CATALOG = O.with_facts(_catalog_sql()[0], _catalog_sql()[1] + """
     UNION ALL SELECT 'GA4', 'fact_sessions', 'column', 'avg_session_duration:DOUBLE', '', CAST(COUNT(*) AS BIGINT), CAST(COUNT(*) AS BIGINT)

@@ -93,9 +93,10 @@ def replay_yt_videos_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return StoredWarehouse(spark, root).table("fact_yt_video_period")
 
 
-def replay_pages_csv_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+def replay_pages_csv_twice(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
     """U3 over a filled dimension: every page is there under an old title, and one that no export has;
-    the export is imported twice."""
+    the export is imported twice. With ``buckets`` the dimension is kept in so many: the first import lays
+    them out, the second merges into them."""
     w = DerivedWarehouse(spark, sf_dir)
     landed, root = _dirs(spark, "csv-pages-twice")
     export = _page_export(w)
@@ -105,7 +106,7 @@ def replay_pages_csv_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = old.limit(1).select(F.lit("/p/kept").alias("page_path"), F.lit("kept").alias("page_title"))
     K.rebuild(old.unionByName(kept), f"{root}/dim_page")
     for _ in range(2):
-        I.import_pages_csv(spark, [landed], root, IMPORT_DATE)
+        I.import_pages_csv(spark, [landed], root, IMPORT_DATE, buckets)
     return StoredWarehouse(spark, root).table("dim_page")
 
 
@@ -127,6 +128,128 @@ def replay_marts_window(spark: SparkSession, sf_dir: str, start, end) -> DataFra
             .unionByName(part(w.table("fact_comms_impact_daily"), "campaigns")).unionByName(part(calendar, "calendar")))
 
 
+def replay_comms_window(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:
+    """M8 merged by window: a warehouse holds the campaign marts of all days; then the window's UTM sessions are pulled again with
+    other numbers, its sends too, and the campaigns sent on its first day are gone. The send summary after the
+    window's refresh must be the one of a rebuild."""
+    from tidemark.plans.build import build_comms, refresh_comms_window
+    src = DerivedWarehouse(spark, sf_dir)
+    _, root = _dirs(spark, "comms-window")
+    utm, sends = "fact_ga4_sessions_by_utm_daily", "fact_rd_email_campaign"
+    for t in (utm, sends):
+        K.rebuild(src.table(t), f"{root}/{t}", ["date"])
+    K.rebuild(src.table("map_utm_campaign"), f"{root}/map_utm_campaign")
+    build_comms(spark, root)
+    w = StoredWarehouse(spark, root)
+    pulled = w.fact(utm, start, end).withColumn("sessions", F.col("sessions") * 2)
+    K.replace_window(spark, pulled, f"{root}/{utm}", start, end)
+    sent = w.fact(sends, start, end).where(F.col("date") > C.date_lit(start)).withColumn("sends", F.col("sends") + 1)
+    K.replace_window(spark, sent, f"{root}/{sends}", start, end)
+    refresh_comms_window(spark, root, start, end)
+    return StoredWarehouse(spark, root).table("fact_comms_impact_summary")
+
+
+def replay_quarantine(spark: SparkSession, sf_dir: str, table: str, start, end) -> DataFrame:
+    """What becomes of every landed row when [start, end] is refreshed twice from one landing: rows per part ('landed', 'accepted',
+    or the reason of a row in the quarantine) and day as landed. The landed rows are the accepted and the rejected ones."""
+    spec = I.REPORTS[table]
+    landed, root = _land_fact(spark, sf_dir, table)
+    for _ in range(2):
+        I.refresh_report(spark, landed, f"{root}/{table}", spec, start, end, root)
+    w = StoredWarehouse(spark, root)
+    count = lambda df, part, day: df.groupBy(part.alias("part"), day.alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    raw = L.read_report_text(spark, landed, spec.dimensions, spec.metrics)
+    held = w.table("quarantine").where(~F.col("kept"))
+    return (count(raw, F.lit("landed"), F.col("date"))
+            .unionByName(count(w.table(table), F.lit("accepted"), F.date_format("date", "yyyyMMdd")))
+            .unionByName(count(held, F.col("reason"), F.get_json_object("record", "$.date"))))
+
+
+UNKNOWN_TO_THE_SOURCE = ("sessionMedium", "totalUsers")  # names that the replayed metadata lack
+
+
+def replay_metadata(spark: SparkSession, sf_dir: str, query: str) -> DataFrame:
+    """M10 and D5 against landed metadata: the response names what the pulls ask for, but for two names, and a
+    custom dimension per event type of the events."""
+    from tidemark.plans import quality as QA
+    w = DerivedWarehouse(spark, sf_dir)
+    landed, _ = _dirs(spark, "metadata")
+    asked = spark.createDataFrame([r for r in QA.report_requests() if r[2] not in UNKNOWN_TO_THE_SOURCE],
+                                  "dataset string, type string, name string").select("type", "name").distinct()
+    custom = w.driver("events").where("event_type is not null").select(
+        F.lit("dimension").alias("type"), F.concat(F.lit("customEvent:"), "event_type").alias("name")).distinct()
+    L.land_metadata(asked.unionByName(custom).withColumn("description", F.lit("as landed")), landed)
+    metadata = L.read_metadata(spark, f"{landed}/*")
+    if query == "invalid_fields":
+        return QA.invalid_fields(w, QA.report_requests(), metadata)
+    return QA.datasets_catalog(w, ("fact_sessions",), metadata)
+
+
+def replay_pages_fallback(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:
+    """P10: a warehouse whose page fact was created but never filled."""
+    from tidemark.plans import queries as Q
+    _, root = _dirs(spark, "pages-fallback")
+    K.rebuild(DerivedWarehouse(spark, sf_dir).table("fact_sessions"), f"{root}/fact_sessions", ["date"])
+    K.ensure_table(spark, f"{root}/fact_ga4_pages_daily", "fact_ga4_pages_daily")
+    return Q.top_pages(StoredWarehouse(spark, root), start, end, 10)
+
+
+def replay_report_cache(spark: SparkSession, sf_dir: str, start, end) -> DataFrame:
+    """K1: a report is cached under its request; the same request with an empty answer finds the first one, unless it is forced:
+    that one is asked for other dates."""
+    report = DerivedWarehouse(spark, sf_dir).fact("fact_sessions", start, end).select(*I.SESSIONS.columns)
+    _, root = _dirs(spark, "report-cache")
+    names = (list(I.SESSIONS.dimensions), list(I.SESSIONS.metrics))
+    first = K.cache_report(report, root, *names, start, end)
+    again = K.cache_report(report.limit(0), root, *names, start, end)
+    other = K.cache_report(report, root, *names, start, start)
+    K.cache_report(report.limit(0), root, *names, start, start, force=True)
+    read = lambda part, path: spark.read.parquet(path).select(F.lit(part).alias("part"), "*")
+    return read("first", first).unionByName(read("again", again)).unionByName(read("forced", other))
+
+
+def replay_csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7, K8, K5: a fact exported as CSV, read back by its schema and appended to a table that was created before, twice."""
+    from tidemark.schemas import TABLES
+    t = "fact_sessions_by_country"
+    landed, root = _dirs(spark, "csv-export")
+    K.export_csv(DerivedWarehouse(spark, sf_dir).table(t).select(*TABLES[t].fieldNames()), landed)
+    K.ensure_table(spark, f"{root}/{t}", t)
+    K.append(spark.read.schema(TABLES[t]).option("header", True).csv(landed), f"{root}/{t}", ["date"])
+    K.ensure_table(spark, f"{root}/{t}", t)
+    return StoredWarehouse(spark, root).table(t)
+
+
+# A registry as a user writes it: other datasets, keys and limits than the built-in one.
+REGISTRY_YAML = """
+- id: ga4_pages_daily
+  source: GA4
+  entity: pages
+  dimensions: [date, pagePath]
+  metrics: [screenPageViews]
+  freshness_ttl_minutes: 4320
+  quality_checks: {not_null: [pageTitle, date], unique: [pagePath]}
+- id: sessions
+  source: GA4
+  entity: sessions
+  dimensions: [date]
+  metrics: [sessions]
+  quality_checks: {not_null: [users], unique: [date]}
+"""
+
+
+def registry_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The not-null and unique checks that a YAML registry declares, as (check, dataset, target, violations, violated)."""
+    from tidemark.plans import quality as QA
+    from tidemark.schemas import load_registry
+    w, registry = DerivedWarehouse(spark, sf_dir), load_registry(REGISTRY_YAML)
+    nn = QA.check_not_null(w, registry).select(F.lit("not_null").alias("check"), "dataset", F.col("column_name").alias("target"),
+                                               F.col("nulls").alias("violations"), "violated")
+    un = QA.check_unique(w, registry).select(F.lit("unique").alias("check"), "dataset", F.col("key_columns").alias("target"),
+                                             F.col("duplicate_rows").alias("violations"), "violated")
+    return nn.unionByName(un)
+
+
 def replay_profile(spark: SparkSession, sf_dir: str, start, end, query: str) -> DataFrame:
     """A stored warehouse whose profile was built while the window's days of three facts were still wrong (rows twice, a NULL key, no
     rows), then refreshed for these days: ``query`` ('quality_alerts' or 'datasets_catalog') answers from partition
@@ -320,3 +443,17 @@ def replay_countries_csv_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     X.write_csv(per.where(~early).select("Usuários ativos", F.lit("x").alias("Nota"), "ID do país"), f"{landed}/b", encoding="latin-1")
     I.import_countries_csv(spark, [f"{landed}/a", f"{landed}/b", f"{landed}/missing"], root, IMPORT_DATE)
     return StoredWarehouse(spark, root).table("fact_sessions_by_country")
+
+
+def replay_countries_csv_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One export in parts, a folder with UTF-8, Latin-1 and marked UTF-16 files; every country's name gets an accent."""
+    w = DerivedWarehouse(spark, sf_dir)
+    per = (w.table("fact_sessions_by_country").groupBy("country_id").agg(F.sum("users").alias("u"))
+            .select(F.concat("country_id", F.lit(" é")).alias("ID do país"), F.col("u").cast("string").alias("Usuários ativos")))
+    landed, root = _dirs(spark, "csv-countries-mixed")
+    third = F.pmod(F.ascii("ID do país"), F.lit(3))
+    for n, encoding in enumerate(X.ENCODINGS):
+        (per.where(third == n).coalesce(1).write.mode("append").option("header", True)
+            .option("encoding", X.charset(encoding)).csv(landed))
+    I.import_countries_csv(spark, [landed], root, IMPORT_DATE)
+    return StoredWarehouse(spark, root).table("fact_sessions_by_country")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-S, L, D, DT, I = T.StringType(), T.LongType(), T.DoubleType(), T.DateType(), T.IntegerType()
+S, L, D, DT, I, B = T.StringType(), T.LongType(), T.DoubleType(), T.DateType(), T.IntegerType(), T.BooleanType()
 
 
 def _st(*cols) -> T.StructType:
@@ -49,6 +49,7 @@ TABLES: dict[str, T.StructType] = {
                                      ("sends", L), ("opens", L), ("clicks", L)),
     "table_profile": _st(("dataset", S), ("date", DT), ("kind", S), ("name", S), ("rows", L), ("nulls", L),
                          ("duplicate_keys", L), ("duplicate_rows", L)),
+    "quarantine": _st(("table_name", S), ("landing", S), ("reason", S), ("kept", B), ("source_file", S), ("record", S)),
     "datasets_catalog": _st(("source", S), ("dataset", S), ("type", S), ("name", S), ("description", S)),
 }
 
@@ -66,7 +67,9 @@ PARTITION_COLS: dict[str, list[str]] = {
     "fact_yt_video_period": ["startDate", "endDate"],
     "fact_engagement_daily": ["date"],
     "fact_comms_impact_daily": ["date"],
+    "fact_comms_impact_summary": ["send_date"],
     "table_profile": ["dataset", "date"],
+    "quarantine": ["table_name", "landing"],
 }
 
 # Column by whose days a table without a ``date`` is profiled.

@@ -112,6 +112,41 @@ def fact_sessions_by_country(ev: DataFrame, customer: DataFrame, nation: DataFra
                      .agg(F.countDistinct("user_id").alias("users")))
 
 
+REPORT_SUMS = ("users", "sessions", "pageviews", "start", "progress")
+
+
+def report_totals(ev: DataFrame, customer: DataFrame | None = None, nation: DataFrame | None = None) -> DataFrame:
+    """(by_country, country_id, users, sessions, pageviews, start, progress) in one pass over the events: one row with the window's
+    totals (``by_country`` false, also without events) and, with ``customer`` and ``nation``, one row of users per country.
+
+    What ``fact_sessions``, ``fact_ga4_events_daily`` and ``fact_sessions_by_country`` give when added up: events are reduced
+    to one row per day and user first; a user's countries, at most the nations there are, then ride on that row.
+    """
+    mask = F.bit_count(F.bit_or(F.expr("shiftleft(CAST(1 AS BIGINT), hour)")))
+    known = F.col("user_id").isNotNull()
+    count = lambda *types: F.count_if(F.col("event_type").isin(*types))
+    days = ev.groupBy("date", "user_id").agg(mask.alias("slots"), count("view").alias("pageviews"),
+                                             count("view", "video_start").alias("start"), count("click", "video_progress").alias("progress"))
+    total = F.struct(F.lit(False).alias("by_country"), F.lit(None).cast("string").alias("country_id"), known.cast("bigint").alias("users"),
+                     F.when(known, F.coalesce("slots", F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias("sessions"),
+                     *[F.col(c) for c in REPORT_SUMS[2:]])
+    lines = F.array(total)
+    if customer is not None:
+        nat = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_id"))
+        homes = (customer.select(F.col("c_custkey").alias("user_id"), "c_nationkey").join(nat, "c_nationkey")
+                 .groupBy("user_id").agg(F.collect_set(F.struct("country_id")).alias("homes")))
+        days = days.join(homes, "user_id", "left")
+        zero = F.lit(0).cast("bigint")
+        lines = F.concat(lines, F.coalesce(F.transform("homes", lambda h: F.struct(
+            F.lit(True).alias("by_country"), h.country_id.alias("country_id"), F.lit(1).cast("bigint").alias("users"),
+            zero.alias("sessions"), *[zero.alias(c) for c in REPORT_SUMS[2:]])), F.array().cast("array<struct<by_country:boolean,"
+            "country_id:string,users:bigint,sessions:bigint,pageviews:bigint,start:bigint,progress:bigint>>")))
+    rows = days.select(F.inline(lines))
+    none = rows.sparkSession.range(1).select(F.lit(False).alias("by_country"), F.lit(None).cast("string").alias("country_id"),
+                                             *[F.lit(0).cast("bigint").alias(c) for c in REPORT_SUMS])
+    return rows.unionByName(none).groupBy("by_country", "country_id").agg(*[F.sum(c).alias(c) for c in REPORT_SUMS])
+
+
 def utm_rows(ev: DataFrame) -> DataFrame:
     """Events with their (messy on purpose) UTM source, medium and campaign."""
     k = F.col("k")

@@ -7,7 +7,9 @@ malformed number becomes NULL instead of failing the load.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,11 +67,11 @@ def read_csv_text(spark: SparkSession, path: str | list[str], encoding: str = "u
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """The file ``path``, or the data files of the folder ``path``."""
+    """The file ``path``, or the data files of the folder ``path``, with their file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.getFileStatus(p).isDirectory():
-        return [path]
+        return [fs.makeQualified(p).toString()]
     return sorted(st.getPath().toString() for st in fs.listStatus(p) if not st.getPath().getName().startswith(("_", ".")))
 
 
@@ -91,41 +93,63 @@ def sniff_bom(spark: SparkSession, path: str) -> str | None:
     return None
 
 
+def file_encodings(spark: SparkSession, files: Iterable[str], encodings: Iterable[str] = ENCODINGS) -> dict[str, str]:
+    """The encoding of every file: what its byte-order mark names, else the first of ``encodings`` that its bytes allow.
+
+    One job reads the files without a mark, as lines of bytes, and brings one row per file back. UTF-16 is allowed
+    where every line that isn't empty holds a NUL, the other encodings only elsewhere, and UTF-8 where all
+    lines are valid. Every byte is a character in the single-byte encodings.
+    """
+    files, encodings = list(files), list(encodings)
+    marks = {f: sniff_bom(spark, f) for f in files}
+    found = {f: m for f, m in marks.items() if m}
+    unmarked = [f for f in files if f not in found]
+    if unmarked:
+        line = F.col("value")
+        some = F.octet_length(line) > 0
+        seen = (spark.read.text(unmarked).groupBy(F.col("_metadata.file_path").alias("file"))
+                .agg(F.bool_and(F.is_valid_utf8(line)).alias("utf8"),
+                     F.coalesce(F.bool_and(F.when(some, line.contains("\x00"))), F.lit(False)).alias("wide")))
+        by_name = {_plain(unquote(r.file)): r for r in seen.collect()}
+        for f in unmarked:
+            r = by_name.get(_plain(f))  # a file without a line has no row: any encoding reads it
+            fits = [e for e in encodings if r is None or _allowed(e, r.utf8, r.wide)]
+            if not fits:
+                raise ValueError(f"cannot read CSV {f} as any of {', '.join(encodings)}")
+            found[f] = fits[0]
+    return found
+
+
+def _plain(path: str) -> str:
+    """A path with one slash behind its scheme, however many it was written with."""
+    return re.sub(r"^([A-Za-z][\w+.-]*):/+", r"\1:/", path)
+
+
+def _allowed(encoding: str, utf8: bool, wide: bool) -> bool:
+    name = charset(encoding)
+    if name.startswith("utf-16"):
+        return wide
+    return not wide and (name != "utf-8" or utf8)
+
+
 def read_csv_robust(spark: SparkSession, path: str, encodings: Iterable[str] = ENCODINGS) -> DataFrame:
-    """The encoding a byte-order mark names; otherwise the first encoding whose decoding
-    has no replacement character (U+FFFD) and no NUL in the headers and no U+FFFD in the
-    cells. The cell test is a distributed ``exists`` over the files, not a driver read. A
-    folder is one export in parts: its files are grouped by their marks, and each group is
-    decoded by itself and stacked by column name."""
-    files = data_files(spark, path)
-    by_mark: dict[str | None, list[str]] = {}
-    for f in files:
-        by_mark.setdefault(sniff_bom(spark, f), []).append(f)
-    if len(by_mark) > 1:
-        parts = [_decoded(spark, fs, [mark] if mark else encodings) for mark, fs in by_mark.items()]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p, allowMissingColumns=True)
-        return out
-    mark = next(iter(by_mark), None)
-    return _decoded(spark, path, [mark] if mark else encodings)
-
-
-def _decoded(spark: SparkSession, path: str | list[str], encodings: Iterable[str]) -> DataFrame:
-    last_error = None
-    for enc in encodings:
-        try:
-            df = read_csv_text(spark, path, enc)
-            if any(("�" in c) or ("\x00" in c) for c in df.columns):
-                continue
-            bad = F.lit(False)
-            for c in df.columns:
-                bad = bad | F.coalesce(F.col(f"`{c}`").contains("�"), F.lit(False))
-            if df.where(bad).isEmpty():
-                return df
-        except Exception as e:  # noqa: BLE001 — try the next encoding
-            last_error = e
-    raise ValueError(f"cannot read CSV {path}: {last_error}")
+    """The file, or the folder (one export in parts), read once; every file in its own encoding
+    (``file_encodings``). Files of one encoding are read together, and the groups stacked by column name."""
+    return _read_groups(spark, data_files(spark, path), encodings)
+
+
+def _read_groups(spark: SparkSession, files: list[str], encodings: Iterable[str],
+                 known: Mapping[str, str] | None = None) -> DataFrame:
+    by_encoding: dict[str, list[str]] = {}
+    for f, e in (known or file_encodings(spark, files, encodings)).items():
+        by_encoding.setdefault(e, []).append(f)
+    frames = [read_csv_text(spark, fs, e) for e, fs in sorted(by_encoding.items())]
+    if not frames:
+        raise ValueError("an export without files")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def rename_headers(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -140,9 +164,11 @@ def rename_headers(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def import_exports(spark: SparkSession, paths: Iterable[str]) -> DataFrame | None:
     """Existing files only, stacked by column name (missing columns NULL), common
     headers renamed. None when no file exists."""
-    frames = [read_csv_robust(spark, p) for p in paths if path_exists(spark, p)]
-    if not frames:
+    exports = [fs for p in paths if path_exists(spark, p) and (fs := data_files(spark, p))]
+    if not exports:
         return None
+    known = file_encodings(spark, sorted({f for fs in exports for f in fs}))  # one job for all exports
+    frames = [_read_groups(spark, fs, ENCODINGS, {f: known[f] for f in fs}) for fs in exports]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)

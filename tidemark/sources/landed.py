@@ -56,13 +56,16 @@ def value_of(name: str, headers: str, values) -> F.Column:
     return F.get(values, place - 1)
 
 
-def read_report_text(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Analytics report → one text column per requested dimension and metric, as landed."""
+def read_report_text(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str],
+                     file_column: str | None = None) -> DataFrame:
+    """Analytics report → one text column per requested dimension and metric, as landed, and the file that a row stands in
+    as ``file_column`` if asked."""
     pages = spark.read.schema(REPORT_SCHEMA).json(path)
     rows = pages.select(F.col("dimension_headers.name").alias("dh"), F.col("metric_headers.name").alias("mh"),
-                        F.explode("rows").alias("r"))
+                        F.explode("rows").alias("r"), *([F.col("_metadata.file_path").alias("file")] if file_column else []))
     return rows.select(*[value_of(d, "dh", F.col("r.dimension_values.value")).alias(d) for d in dimensions],
-                       *[value_of(m, "mh", F.col("r.metric_values.value")).alias(m) for m in metrics])
+                       *[value_of(m, "mh", F.col("r.metric_values.value")).alias(m) for m in metrics],
+                       *([F.col("file").alias(file_column)] if file_column else []))
 
 
 def read_report(spark: SparkSession, path: str, dimensions: Sequence[str], metrics: Sequence[str]) -> DataFrame:
@@ -72,6 +75,20 @@ def read_report(spark: SparkSession, path: str, dimensions: Sequence[str], metri
     return raw.select(*dimensions, *[C.safe_double(m).alias(m) for m in metrics])
 
 
+_FIELD = T.StructType([T.StructField("apiName", T.StringType()), T.StructField("description", T.StringType())])
+METADATA_SCHEMA = T.StructType([T.StructField("dimensions", T.ArrayType(_FIELD)), T.StructField("metrics", T.ArrayType(_FIELD))])
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Metadata response → (type, name, description): the dimensions and metrics that a request may name. Pages may hold
+    either list or both; a name without text, or one given twice, counts once or not at all."""
+    pages = spark.read.schema(METADATA_SCHEMA).json(path)
+    kind = lambda name: F.transform(F.coalesce(name, F.array().cast(METADATA_SCHEMA[name].dataType)),
+                                    lambda x: F.struct(F.lit(name[:-1]).alias("type"), x.apiName.alias("name"), x.description.alias("description")))
+    rows = pages.select(F.explode(F.concat(kind("dimensions"), kind("metrics"))).alias("x")).select("x.*")
+    return rows.where(F.length("name") > 0).groupBy("type", "name").agg(F.max("description").alias("description"))
+
+
 def read_video_report(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Video report → the requested columns as text (cast by the caller)."""
     pages = spark.read.schema(VIDEO_REPORT_SCHEMA).json(path)
@@ -190,6 +207,13 @@ def land_video_report(df: DataFrame, path: str, columns: Sequence[str], group_co
     _write_lines(_page_lines(rows, prefix, "]}", page_size, group_cols), path, group_cols)
 
 
+def land_metadata(df: DataFrame, path: str, page_size: int = 1000) -> None:
+    """Write (type, name, description) rows as a metadata response, ``dimensions`` and ``metrics`` in pages of their own."""
+    for kind in ("dimension", "metric"):
+        rows = df.where(F.col("type") == kind).select(F.to_json(F.struct(F.col("name").alias("apiName"), "description")).alias("j"))
+        _write_lines(_page_lines(rows, f'{{"{kind}s": [', "]}", page_size), f"{path}/{kind}s")
+
+
 def land_records(df: DataFrame, path: str, wrapper: str | None = None, page_size: int = 100) -> None:
     """Write records as JSON lines of pages: a bare list when ``wrapper`` is None, else an
     object ``{wrapper: [...]}``. Page size is the CRM's (100 records)."""

@@ -68,6 +68,25 @@ class Warehouse:
         """The stored column profile (``plans.profile``), if this warehouse keeps one."""
         return None
 
+    def report_totals(self, start, end, countries: bool) -> DataFrame:
+        """The report's totals over [start, end] (see ``adapters.report_totals``), from the facts."""
+        sums = lambda by_country, country, **given: [
+            F.lit(by_country).alias("by_country"), country.cast("string").alias("country_id"),
+            *[F.coalesce(given.get(c, F.lit(0)), F.lit(0)).cast("bigint").alias(c) for c in A.REPORT_SUMS]]
+        none = F.lit(None)
+        web = self.fact("fact_sessions", start, end).agg(*[F.sum(c).alias(c) for c in A.REPORT_SUMS[:3]])
+        name, n = ("eventName", "eventCount") if self.has("fact_ga4_events_daily") else ("event_name", "event_count")
+        video = self.fact("fact_ga4_events_daily" if name == "eventName" else "fact_events", start, end)
+        video = video.where(F.col(name).isin("video_start", "video_progress")).agg(
+            F.sum(F.when(F.col(name) == "video_start", F.col(n))).alias("start"),
+            F.sum(F.when(F.col(name) == "video_progress", F.col(n))).alias("progress"))
+        rows = web.select(*sums(False, none, **{c: F.col(c) for c in A.REPORT_SUMS[:3]})).unionByName(
+            video.select(*sums(False, none, start=F.col("start"), progress=F.col("progress"))))
+        if countries:
+            c = self.fact("fact_sessions_by_country", start, end).groupBy("country_id").agg(F.sum("users").alias("users"))
+            rows = rows.unionByName(c.select(*sums(True, F.col("country_id"), users=F.col("users"))))
+        return rows.groupBy("by_country", "country_id").agg(*[F.sum(c).alias(c) for c in A.REPORT_SUMS])
+
     def video_periods(self, start, end) -> DataFrame:
         """Video periods that start on ``start`` or end on ``end`` (either edge matching).
 
@@ -107,6 +126,10 @@ class DerivedWarehouse(Warehouse):
     def fact(self, name: str, start=None, end=None) -> DataFrame:
         return self._window(self._build(name, start, end), start, end)
 
+    def report_totals(self, start, end, countries: bool) -> DataFrame:
+        sides = (self.driver("customer"), self.driver("nation")) if countries else (None, None)
+        return A.report_totals(self.events(start, end), *sides)
+
     def video_periods(self, start, end) -> DataFrame:
         """As the base method, but only two weeks of events are aggregated: a period starting
         on ``start`` holds events dated start..start+6, one ending on ``end`` events dated

@@ -44,11 +44,16 @@ def apply_manifest(spark: SparkSession, warehouse_root: str, m: dict) -> bool:
     table_path = f"{warehouse_root.rstrip('/')}/{m['table_name']}"
     if m["kind"] == "report":
         spec = I.REPORTS[m["table_name"]]
-        return I.refresh_report(spark, m["report_path"], table_path, spec, m["start"], m["end"])
+        return I.refresh_report(spark, m["report_path"], table_path, spec, m["start"], m["end"], warehouse_root)
     if m["kind"] == "yt_channel":
         return I.refresh_yt_channel(spark, m["report_path"], table_path, m["start"], m["end"])
     if m["kind"] == "yt_videos":
         return I.refresh_yt_videos(spark, m["report_path"], table_path, start=m["start"], end=m["end"])
+    if m["kind"] == "rd_campaigns":  # the landing's records, and beside them their metrics
+        return I.refresh_email_campaigns(spark, f"{m['report_path']}/campaigns", f"{m['report_path']}/metrics", table_path,
+                                         m["start"], m["end"])
+    if m["kind"] == "rd_leads":
+        return I.refresh_lead_stage(spark, m["report_path"], table_path, m["start"], m["end"])
     raise ValueError(f"unknown manifest kind: {m['kind']}")
 
 
