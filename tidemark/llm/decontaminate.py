@@ -14,8 +14,10 @@ bounded; every block meets every document. Documents are neither shuffled nor gr
 
 Words are runs of letters and digits, lower-cased: case and punctuation don't hide a copy.
 
-Edge cases: null or wordless texts and items leak nothing; an item of fewer than ``SEED_WORDS`` words can't be
-seeded and is left out; repeated items are each reported; repeated rows each get theirs; a null ``doc_id`` is
+An item of fewer than ``SEED_WORDS`` words can't be seeded, and its words stand in many clean texts: it leaks only in a
+document that has these words and no others.
+
+Edge cases: null or wordless texts and items leak nothing; repeated items are each reported; repeated rows each get theirs; a null ``doc_id`` is
 reported as null; extra columns are ignored; empty tables give an empty result.
 """
 
@@ -43,6 +45,8 @@ MIN_SHARE = 0.5
 MIN_RUN = 13
 MIN_IDENTITY = 0.8
 BLOCK_WORDS = 1_000_000
+PROPOSALS = 1 << 18  # (place in a text, item) pairs that are laid out at once
+
 
 def _least_matches(misses: int) -> int:
     """Fewest matches, and at least MIN_RUN, that hold MIN_IDENTITY with so many other columns."""
@@ -66,12 +70,17 @@ class Index:
     """One block of items: word numbers, and the n-grams as sorted keys with the places they stand at."""
 
     def __init__(self, items: list[Item]):
-        self.items = items
+        self.short: dict[tuple[str, ...], list[int]] = {}
+        for item_id, words in items:
+            if len(words) < SEED_WORDS:
+                self.short.setdefault(tuple(words), []).append(item_id)
+        self.items = items = [(i, words) for i, words in items if len(words) >= SEED_WORDS]
         self.number: dict[str, int] = {}
         for _, words in items:
             for w in words:
                 self.number.setdefault(w, len(self.number) + 1)
         self.coded = [np.array([self.number[w] for w in words], np.int64) for _, words in items]
+        self.lengths = np.array([len(c) for c in self.coded], np.int64)
         self.base = len(self.number) + 1
         keys, item, at = [], [], []
         for k, code in enumerate(self.coded):
@@ -87,8 +96,19 @@ class Index:
     def _sort(self) -> None:
         order = np.argsort(self.key, kind="stable")
         self.key, self.item, self.at = self.key[order], self.item[order], self.at[order]
+        self.until = self.at
         self.distinct = np.unique(self.key)
 
+    def _join_places(self) -> None:
+        """One entry per n-gram and item, with its first and last place there: less than the item's length apart, so the
+        stretches that they propose around one place of a document overlap and are one stretch."""
+        order = np.lexsort((self.at, self.item, self.key))
+        key, item, at = self.key[order], self.item[order], self.at[order]
+        first = np.ones(len(key), bool)
+        first[1:] = (key[1:] != key[:-1]) | (item[1:] != item[:-1])
+        last = np.append(first[1:], True)[:len(key)]
+        self.key, self.item, self.at, self.until = key[first], item[first], at[first], at[last]
+
     def grams(self, code: np.ndarray, size: int = SEED_WORDS) -> np.ndarray:
         """Key of the n-gram at every place, 0 where it holds a word that no item has.
 
@@ -128,31 +148,52 @@ class Index:
         start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
         kept = order[np.arange(len(order)) - start < SEEDS_PER_STRETCH]
         self.key, self.item, self.at = self.key[kept], self.item[kept], self.at[kept]
-        self._sort()
+        self._join_places()
+        self.distinct = np.unique(self.key)
 
     def proposals(self, code: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """Per item: the stretches (start, end) of the document that its seeds propose, overlapping ones merged."""
+        """Per item: the stretches (start, end) of the document that its seeds propose, overlapping ones merged.
+
+        At most ``PROPOSALS`` pairs of a place and an item (or the items of one place) are laid out at once; what stays of them is merged."""
         places, keys = self.hits(code)
         if not len(places):
             return {}
         lo, hi = np.searchsorted(self.key, keys), np.searchsorted(self.key, keys, side="right")
+        upto = np.cumsum(hi - lo)
+        merged = np.empty((0, 3), np.int64)  # item, start, end
+        begin = 0
+        while begin < len(places):
+            done = upto[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(upto, done + PROPOSALS, side="right")))
+            merged = _merge(np.concatenate([merged, self._stretches(places[begin:stop], lo[begin:stop], hi[begin:stop], len(code))]))
+            begin = stop
+        found: dict[int, list[tuple[int, int]]] = {}
+        for k, s, e in merged.tolist():
+            found.setdefault(k, []).append((s, e))
+        return found
+
+    def _stretches(self, places: np.ndarray, lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
         n = hi - lo
         at = np.repeat(places, n)
         ref = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         items = self.item[ref]
-        length = np.array([len(c) for c in self.coded])[items]
+        length = self.lengths[items]
         slack = length // 4 + 2
-        start = np.maximum(at - self.at[ref] - slack, 0)
-        end = np.minimum(at - self.at[ref] + length + slack, len(code))
-        order = np.lexsort((start, items))
-        found: dict[int, list[tuple[int, int]]] = {}
-        for k, s, e in zip(items[order].tolist(), start[order].tolist(), end[order].tolist()):
-            mine = found.setdefault(k, [])
-            if mine and s <= mine[-1][1]:
-                mine[-1] = (mine[-1][0], max(mine[-1][1], e))
-            else:
-                mine.append((s, e))
-        return found
+        start = np.maximum(at - self.until[ref] - slack, 0)
+        end = np.minimum(at - self.at[ref] + length + slack, size)
+        return np.stack([items, start, end], axis=1)
+
+
+def _merge(stretches: np.ndarray) -> np.ndarray:
+    """(item, start, end) rows in order, those of an item that overlap or touch as one."""
+    item, start, end = stretches[np.lexsort((stretches[:, 1], stretches[:, 0]))].T
+    # the furthest end so far, per item: items are lifted above each other
+    lift = (item - item.min()) * (end.max() + 2)
+    reach = np.maximum.accumulate(end + lift)
+    first = np.ones(len(item), bool)
+    first[1:] = start[1:] + lift[1:] > reach[:-1]
+    last = np.append(first[1:], True)
+    return np.stack([item[first], start[first], reach[last] - lift[last]], axis=1)
 
 
 def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int, int]:
@@ -214,6 +255,9 @@ def run(item: np.ndarray, part: np.ndarray) -> tuple[int, int, int, int] | None:
 
 def leaks(index: Index, words: list[str]) -> list[tuple[int, float, int, int, int]]:
     """(item_id, share, matches, start, end) of every item that a document holds; the place in words."""
+    if words and len(words) < SEED_WORDS:
+        ids = sorted(index.short.get(tuple(words), ()), key=lambda i: (i is None, i or 0))
+        return [(i, 1.0, len(words), 0, len(words)) for i in ids]
     code = index.code(words)
     out = []
     for k, parts in index.proposals(code).items():
@@ -247,7 +291,7 @@ def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[lis
     block, size = [], 0
     for r in rows.toLocalIterator():
         words = words_of(r.text)
-        if len(words) < SEED_WORDS:
+        if not words:
             continue
         if block and size + len(words) > block_words:
             yield block
@@ -319,5 +363,5 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that hold no item, with their columns."""
     whole = fresh("row")
-    rows = docs.select(F.struct(*docs.columns).alias(whole), text_or_empty().alias("text"))
+    rows = docs.select(F.struct("*").alias(whole), text_or_empty().alias("text"))
     return find_leaks(rows, benchmark, **options).where(F.size("leaks") == 0).select(f"{whole}.*")
