@@ -111,10 +111,10 @@ def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     df = df.withColumn("lines", lines).withColumn(
         "n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
     df = _repeat_words(df, "words", "n_words")
-    # the common words alone, each between two blanks
+    # the common words alone, in any spelling, each between two blanks
     vocabulary = _vocabulary()
-    cased = sorted({c for w in vocabulary for c in (w, w.capitalize(), w.upper())})
-    common = F.lower(F.concat_ws("  ", F.filter("words", lambda w: w.isin(cased))))
+    longest = max(map(len, vocabulary))
+    common = F.lower(F.concat_ws("  ", F.filter("words", lambda w: (F.length(w) <= longest) & F.lower(w).isin(vocabulary))))
     df = df.withColumn("common", F.concat(F.lit(" "), common, F.lit(" ")))
     df = df.withColumn("h_word", _word_counts(F.col("common"), vocabulary))
     df = df.withColumn("h_word", F.array_append("h_word", F.col("n_words") - F.aggregate(
@@ -185,7 +185,7 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = (), min_words: int = MIN_WOR
 def keep_good(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns."""
     whole = fresh("row")
-    judged = judge(docs.withColumn(whole, F.struct(*docs.columns)), carry=(whole,), **options)
+    judged = judge(docs.withColumn(whole, F.struct("*")), carry=(whole,), **options)
     return judged.where("kept").select(f"{whole}.*")
 
 
@@ -197,8 +197,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _op7_sql() -> str:
     """The same from the definitions, in long tables: a row per word, window, and histogram bin."""
-    spelled = sorted({(c, w) for w in _vocabulary() for c in (w, w.capitalize(), w.upper())})
-    variants = ", ".join(f"('{c}', '{w}')" for c, w in spelled)
+    terms = ", ".join(f"('{w}')" for w in _vocabulary())
     langs = ", ".join(f"'{x}'" for x in COMMON_WORDS)
     classes = (r"\p{Ll}", r"\p{Lu}", r"\p{L}", "[0-9]", rf"[{WS_CLASS}]", r"""[.,;:!?''"()-]""", "[#*$%&|<>]")
     steps = []
@@ -223,9 +222,8 @@ c0 AS (SELECT rid, text, text AS left_0 FROM n),
 {chain},
 class AS (SELECT rid, 'class' AS hist, unnest(['0', '1', '2', '3', '4', '5', '6', '7']) AS bin, unnest([{bins}]) AS x, length(text) AS total
           FROM c{len(classes)}),
-variant AS (SELECT * FROM (VALUES {variants}) v(spelled, term)),
-common AS (SELECT rid, term, count(*) AS x FROM word JOIN variant ON w = spelled GROUP BY ALL),
-vocab AS (SELECT DISTINCT term FROM variant),
+vocab AS (SELECT * FROM (VALUES {terms}) v(term)),
+common AS (SELECT rid, term, count(*) AS x FROM word JOIN vocab ON lower(w) = term GROUP BY ALL),
 in_words AS (SELECT n.rid, 'word' AS hist, v.term AS bin, coalesce(c.x, 0) AS x, n.n_words AS total
              FROM n CROSS JOIN vocab v LEFT JOIN common c ON c.rid = n.rid AND c.term = v.term),
 bins AS (SELECT * FROM class UNION ALL SELECT * FROM in_words
