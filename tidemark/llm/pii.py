@@ -24,6 +24,7 @@ an empty result; no pattern is quadratic in the length of a text.
 
 from __future__ import annotations
 
+import bisect
 import ipaddress
 import re
 from collections import Counter
@@ -302,7 +303,7 @@ def thresholds_of(counts: DataFrame, precision: float) -> dict[str, float]:
 
 
 def select(texts: list[str], model: tuple[Trees | None, dict[str, float | None]] | None) -> list[tuple[list, list]]:
-    """Per text: base spans (kind, start, end) by kind and start, and the added spans by start."""
+    """Per text: base spans (kind, start, end), and the added spans, both by kind and start."""
     found = [candidates(t) for t in texts]
     loose = [(i, k, s, e) for i, spans in enumerate(found) for k, s, e in spans if k in LOOSE]
     scores = np.ones(len(loose) if model else 0)
@@ -319,33 +320,51 @@ def select(texts: list[str], model: tuple[Trees | None, dict[str, float | None]]
     for i, spans in enumerate(found):
         base = sorted(((k, s, e) for k, s, e in spans if k in BASE and passes(k, texts[i][s:e])),
                       key=lambda x: (BASE.index(x[0]), x[1]))
-        taken, more = [(s, e) for _, s, e in base], []
-        for _, s, e, k in sorted(added.get(i, ())):
-            if all(e <= a or b <= s for a, b in taken):
-                taken.append((s, e))
-                more.append((k, s, e))
-        out.append((base, sorted(more, key=lambda x: x[1])))
+        more = []
+        if i in added:
+            starts, ends = _disjoint(base)
+            for _, s, e, k in sorted(added[i]):
+                at = bisect.bisect_right(ends, s)  # the first taken stretch that ends behind the candidate's start
+                if at == len(starts) or e <= starts[at]:
+                    starts.insert(at, s)
+                    ends.insert(at, e)
+                    more.append((k, s, e))
+        out.append((base, sorted(more, key=lambda x: (KINDS.index(x[0]), x[1]))))
     return out
 
 
-def find_pii(docs: DataFrame, limit: int = TRAIN_DOCUMENTS, precision: float = PRECISION) -> DataFrame:
-    """doc_id, ``spans`` (kind, start, end; base ones by kind and start, then the added) and the redacted text of every row."""
+def _disjoint(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order and without overlap."""
+    starts, ends = [], []
+    for _, s, e in sorted(spans, key=lambda x: x[1:]):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
+def find_pii(docs: DataFrame, limit: int = TRAIN_DOCUMENTS, precision: float = PRECISION, texts: bool = True) -> DataFrame:
+    """doc_id, ``spans`` (kind, start, end; by kind and start, the base kinds first) and, with ``texts``, the redacted text of
+    every row."""
     sent = share(docs.sparkSession, train(docs, limit, precision))
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent()
         for b in batches:
-            texts = b.column(1).to_pylist()
+            given = b.column(1).to_pylist()
             spans, clean = [], []
-            for text, (base, more) in zip(texts, select(texts, model)):
+            for text, (base, more) in zip(given, select(given, model)):
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in base + more])
-                clean.append(redact(text, base + more))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(span)), pa.array(clean, pa.string())],
-                                             names=["doc_id", "spans", "redacted"])
+                if texts:
+                    clean.append(redact(text, base + more))
+            columns = [b.column(0), pa.array(spans, pa.list_(span)), *([pa.array(clean, pa.string())] if texts else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "spans", "redacted"][:len(columns)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>, redacted string")
+    return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>" + ", redacted string" * texts)
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -359,7 +378,7 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_pii(read_table(spark, sf_dir, "documents")).select("doc_id", "spans")
+    found = find_pii(read_table(spark, sf_dir, "documents"), texts=False)
     base = F.filter("spans", lambda x: x.kind.isin(list(BASE)))
     joined = lambda a: F.concat_ws(",", F.transform(a, lambda x: F.concat_ws(":", x.kind, x.start, x.end)))
     return found.select("doc_id", *[F.size(F.filter("spans", _is(k))).cast("long").alias(f"n_{k}") for k in BASE],
