@@ -5,7 +5,8 @@
    document's quality is 0 or it is toxic. The list's verdicts are no labels: they would only be mined back, and a language that
    the list blocks on one domain would be blocked on all.
 3. Spark's FP-growth mines the token combinations that at least ``MIN_PAGES`` bad urls hold, however many urls there
-   are, and those in all labelled urls are counted by the index of step 4. A combination is a rule if its confidence reaches its limit, and
+   are, and those in all labelled urls are counted by the index of step 4. Tokens that stand in the same labelled urls
+   are one token there (two of them in a rule would say no more than one), and are told apart again in the rules. A combination is a rule if its confidence reaches its limit, and
    no combination inside it is as confident.
 4. A url that the list doesn't judge is blocked if all tokens of a rule are in its set. Rules are found by an inverted
    index from each rule's rarest token, shared with the tasks in blocks of at most ``BLOCK_RULES`` rules.
@@ -98,18 +99,28 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
          min_pages: int = MIN_PAGES, max_tokens: int = MAX_TOKENS, block_rules: int = BLOCK_RULES) -> DataFrame:
     """(tokens, confidence): the pruned rules whose consequent is ``bad``.
 
-    A bad url of k tokens adds at most 2^k combinations; of good urls none are listed.
+    Bad urls that share k tokens add at most 2^k combinations, tokens of the same labelled urls counted once; of good
+    urls none are listed.
     """
     named = F.try_to_number(F.regexp_extract("path", r"\A/[^/]+/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("long")
     known = (labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("named"))
              .agg(F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).cast("int")).alias("bad")))
-    baskets = cut(urls.where(F.size("tokens") > 0).withColumn("named", named).join(known, "named").select("tokens", "bad"))
+    baskets = cut(urls.where(F.size("tokens") > 0).withColumn("named", named).join(known, "named")
+                  .select(F.monotonically_increasing_id().alias("at"), "tokens", "bad"))
     bad = baskets.where("bad = 1")
     n_bad, least = bad.count(), max(min_pages, min_support * baskets.count())
     if not n_bad or n_bad < least:
         return cut(baskets.limit(0).select("tokens", F.lit(0.0).alias("confidence")))
+    alike = cut(same_urls(baskets, least))
+    named_alike = broadcast_if_few(alike.select(F.get("members", F.lit(0)).alias("token")))
+    kept = (bad.select("at", F.explode("tokens").alias("token")).join(named_alike, "token")
+            .groupBy("at").agg(F.collect_list("token").alias("tokens")))
+    kept = cut(kept)
+    n_kept = kept.count()
+    if not n_kept:
+        return cut(baskets.limit(0).select("tokens", F.lit(0.0).alias("confidence")))
     # half a page less, so that the limit is the count itself whatever the division rounds to
-    model = FPGrowth(itemsCol="tokens", minSupport=max(least - 0.5, 0.5) / n_bad).fit(bad)
+    model = FPGrowth(itemsCol="tokens", minSupport=max(least - 0.5, 0.5) / n_kept).fit(kept)
     often = cut(model.freqItemsets.where(F.size("items") <= max_tokens).select(F.array_sort("items").alias("tokens"), "freq"))
     found = often.join(totals(often.select("tokens"), baskets, block_rules), "tokens")
     found = cut(found.select("tokens", (F.col("freq") / F.col("total")).alias("confidence"))
@@ -121,7 +132,31 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
     beaten = (keyed.join(inner, "key").where(
         (F.size("inner") < F.size("tokens")) & (F.col("inner_confidence") >= F.col("confidence"))
         & (F.size(F.array_except("inner", "tokens")) == 0)).select("tokens").distinct())
-    return found.join(beaten, "tokens", "left_anti")
+    return told_apart(found.join(beaten, "tokens", "left_anti"), alike)
+
+
+def same_urls(baskets: DataFrame, least: float) -> DataFrame:
+    """``members``: the tokens of at least ``least`` bad baskets, those that stand in the same baskets together, sorted.
+
+    The set of baskets is told by its size and two 64-bit sums of its hashed numbers. Its tokens stand together in one url, so
+    that a row is no longer than a url.
+    """
+    mark = lambda salt: F.bit_xor(F.xxhash64("at", F.lit(salt)))
+    sets = (baskets.select("at", "bad", F.explode("tokens").alias("token")).groupBy("token")
+            .agg(F.sum("bad").alias("bad"), F.count("*").alias("n"), mark(0).alias("one"), mark(1).alias("two"))
+            .where(F.col("bad") >= least))
+    return sets.groupBy("n", "one", "two").agg(F.array_sort(F.collect_list("token")).alias("members")).select("members")
+
+
+def told_apart(rules: DataFrame, alike: DataFrame) -> DataFrame:
+    """The rules in which a token stands for its ``members``, once for every choice of one member each."""
+    several = alike.where(F.size("members") > 1).select(F.get("members", F.lit(0)).alias("token"), "members")
+    lists = (rules.select("tokens", "confidence", F.explode("tokens").alias("token")).join(broadcast_if_few(cut(several)), "token", "left")
+             .groupBy("tokens", "confidence").agg(F.collect_list(F.coalesce("members", F.array("token"))).alias("choices")))
+    none = F.array(F.array().cast("array<string>"))
+    choose = lambda done, members: F.flatten(F.transform(done, lambda d: F.transform(members, lambda m: F.array_append(d, m))))
+    each = F.explode(F.aggregate("choices", none, choose)).alias("tokens")
+    return lists.select(each, "confidence").select(F.array_sort("tokens").alias("tokens"), "confidence")
 
 
 def rule_blocks(rules: DataFrame, urls: DataFrame, block_rules: int = BLOCK_RULES) -> Iterator[dict[str, list[frozenset]]]:
