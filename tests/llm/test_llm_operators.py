@@ -520,7 +520,7 @@ def test_quality_measures_equal_brute_force(spark):
         r = rows[i]
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == base_quality(t), t
         assert sum(r.h_class) == len(t or "") and sum(r.h_word) == r.n_words
-        words = [w if w == w.lower() else w.lower() for w in re.findall("[^\x20\x09-\x0D]+", t or "") if w in (w.lower(), w.capitalize(), w.upper())]
+        words = [w.lower() for w in re.findall("[^\x20\x09-\x0D]+", t or "")]
         assert r.h_word[:-1] == [words.count(w) for w in sorted({w for ws in quality.COMMON_WORDS.values() for w in ws})]
 
 
@@ -769,3 +769,142 @@ def test_html_articles_of_the_pages_table(spark):
         body = r.html.partition("<article>")[2].partition("</article>")[0]
         blocks = (re.sub(r"\s+", " ", html.unescape(re.sub("<[^<>]*>", "", b.replace("<br>", " ")))).strip() for b in re.split("</?(?:p|h1)>", body))
         assert rows[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+# --- bounds and spellings
+
+def test_quality_counts_common_words_in_every_spelling(spark):
+    texts = ["the THE The tHE thE cat dER Für fÜR", "K\u0130 i\u0307n de\u0301"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    vocabulary = quality._vocabulary()
+    rows = {r.doc_id: r.h_word for r in quality.measures(docs).collect()}
+    assert rows[0][vocabulary.index("the")] == 5 and rows[0][vocabulary.index("der")] == 1 and rows[0][vocabulary.index("für")] == 2
+    assert rows[0][-1] == 1 and sum(rows[1][:-1]) == 0
+
+
+def test_proposals_of_a_repetitive_text_stay_small():
+    import resource
+    index = decontaminate.Index([(1, ["na"] * 2000), (2, "a b c d e f g".split())])
+    index.keep_rare({})
+    words = ["na"] * 40_000
+    before, t0 = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    found = index.proposals(index.code(words))
+    assert found == {0: [(0, 40_000)]} and time.time() - t0 < 5
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000  # kilobytes
+
+
+def test_proposals_equal_all_places():
+    """Every place of a seed in the text with every place in the item, one by one."""
+    rng = random.Random(4)
+    for turn in range(150):
+        letters = "abcdef"[:rng.randint(2, 6)]
+        items = [(k, [rng.choice(letters) for _ in range(rng.randint(3, 25))]) for k in range(rng.randint(1, 5))]
+        index, everywhere = decontaminate.Index(items), decontaminate.Index(items)
+        index.keep_rare({})
+        words = [rng.choice(letters + "xyz") for _ in range(rng.randint(0, 120))]
+        code, want = index.code(words), {}
+        seeds = {(int(k), int(i)) for k, i in zip(index.key, index.item)}
+        for place, key in zip(*(x.tolist() for x in everywhere.hits(code))):
+            for k, i, a in zip(everywhere.key.tolist(), everywhere.item.tolist(), everywhere.at.tolist()):
+                # a seed stands for its chosen places; those between its first and last one change no stretch
+                at = np.flatnonzero((index.key == key) & (index.item == i))
+                if k == key and (k, i) in seeds and len(at) and index.at[at[0]] <= a <= index.until[at[0]]:
+                    n = len(items[i][1])
+                    want.setdefault(i, set()).update(range(max(place - a - n // 4 - 2, 0), min(place - a + n + n // 4 + 2, len(code)) + 1))
+        for pairs in (1, 7, 1 << 18):
+            decontaminate.PROPOSALS, kept = pairs, decontaminate.PROPOSALS
+            try:
+                got = index.proposals(code)
+            finally:
+                decontaminate.PROPOSALS = kept
+            assert {i: set().union(*(range(s, e + 1) for s, e in parts)) for i, parts in got.items()} == want
+            assert all(a[1] < b[0] for parts in got.values() for a, b in zip(parts, parts[1:]))
+
+
+def test_short_items_leak_in_documents_of_their_words_alone(spark):
+    docs = spark.createDataFrame([(1, "Paris!"), (2, "in Paris"), (3, "New York."), (4, None), (5, "new york city")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "paris"), (8, "New-York"), (9, " "), (10, "PARIS")], "item_id long, text string")
+    rows = decontaminate.find_leaks(docs, bench).collect()
+    assert {r.doc_id: [x.item_id for x in r.leaks] for r in rows} == {1: [7, 10], 2: [], 3: [8], 4: [], 5: []}
+
+
+def test_pii_many_spans_take_time_in_proportion():
+    def seconds(n):
+        text = " ".join(f"call 030 555 {1000 + i % 9000} or ssn 123-45-{1000 + i % 9000}" for i in range(n))
+        t0 = time.process_time()
+        (base, more), = pii.select([text], (None, dict.fromkeys(pii.LOOSE)))
+        taken = sorted((s, e) for _, s, e in base + more)
+        assert len(more) >= n and all(a[1] <= b[0] for a, b in zip(taken, taken[1:]))
+        assert more == sorted(more, key=lambda x: (pii.KINDS.index(x[0]), x[1]))
+        return time.process_time() - t0
+    seconds(500)
+    assert seconds(16_000) < 3 * seconds(8_000) + 0.2
+
+
+def test_url_tokens_of_the_same_urls_are_mined_as_one(spark):
+    """20 bad urls share a slug of 25 words: 2^25 combinations, but one class of tokens."""
+    slug = "/".join(f"w{i:02d}" for i in range(25))
+    urls = [f"http://shop.org/en/{i}/{slug}" if i < 20 else f"http://shop.org/en/{i}/w{'xyz'[i % 3]}" for i in range(200)]
+    pages = spark.createDataFrame(list(enumerate(urls)) + [(1000, "http://else.org/w07/x"), (1001, "http://else.org/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 20), 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    rules = {tuple(r.tokens): r.confidence for r in urlrules.mine(urlrules.tokenized(pages), labels).collect()}
+    assert rules == {(f"path:w{i:02d}",): 1.0 for i in range(25)}
+    mined = {r.page_id for r in urlrules.filter_urls(pages, labels, rules=()).collect() if r.mined}
+    assert mined == {*range(20), 1000}
+
+
+def test_url_rules_find_what_the_url_tells(spark):
+    """Labels that depend on the url: recall and precision on urls that were not labelled."""
+    rng = random.Random(8)
+    def url(i):
+        bad = rng.random() < 0.2
+        parts = [rng.choice(["casino", "pills", "win"]) if bad else rng.choice(["news", "guide", "win", "notes", "pills"]), rng.choice(["a", "b", "c"])]
+        host = rng.choice(["spam", "free"]) if bad else rng.choice(["paper", "school", "free"])
+        return f"http://{host}.org/en/{i}/{'/'.join(parts)}", bad
+    made = [url(i) for i in range(6000)]
+    truth = [("spam" in u or "casino" in u) for u, _ in made]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(made)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not truth[i]), 0) for i in range(3000)], "doc_id long, quality int, toxic int")
+    mined = {r.page_id for r in urlrules.filter_urls(pages, labels, rules=()).collect() if r.mined and r.page_id >= 3000}
+    want = {i for i in range(3000, 6000) if truth[i]}
+    assert len(mined & want) >= 0.95 * len(want) and len(mined & want) >= 0.95 * len(mined)
+
+
+def test_composed_grammar_equals_all_paths_of_its_parts():
+    import itertools
+    parts = (toxicity.INSULTS, toxicity.THREATS, toxicity.TARGETS, toxicity.NEGATIONS, toxicity.REPORTS)
+    rng = random.Random(3)
+
+    def paths(t, names):
+        """Every path of one transducer: its factors, if its last state is final."""
+        runs = [(s, ()) for s in t.starts]
+        for name in names:
+            runs = [(to, done + (f,)) for s, done in runs for to, f in t.step(s, name)]
+        return [done for s, done in runs if s in t.finals]
+
+    for _ in range(300):
+        tags = [(rng.randint(0, 5), round(rng.uniform(0.1, 5), 3)) for _ in range(rng.randint(0, 9))]
+        tags = [(n, w if n in (toxicity.INSULT, toxicity.MENACE) else 0.0) for n, w in tags]
+        want = max(sum(w * math.prod(f[i] for f in choice) for i, (_, w) in enumerate(tags))
+                   for choice in itertools.product(*(paths(t, [n for n, _ in tags]) for t in parts)))
+        words = [str(i) for i in range(len(tags))]
+        got, hits = toxicity.clause_score(words, dict(zip(words, tags)))
+        assert got == pytest.approx(want) and hits == sum(n in (toxicity.INSULT, toxicity.MENACE) for n, _ in tags)
+    grammar = toxicity.Grammar({"idiot": 4.0})
+    assert grammar.features("idiot that you are")[0] == grammar.features("you idiot")[0] > grammar.features("an idiot")[0]
+
+
+def test_toxicity_sample_is_bounded_when_an_id_repeats(spark):
+    docs = spark.range(3000).select((F.col("id") % 5).alias("doc_id"), F.concat(F.lit("you idiot number "), (F.col("id") % 40).cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, 1, int(i % 2)) for i in range(5)], "doc_id long, quality int, toxic int")
+    sample = toxicity.training_documents(docs, labels, 10).collect()
+    assert len(sample) == 10 and sum(r.n for r in toxicity.training_documents(docs, labels, 1000).collect()) % 600 == 0
+    assert all(r.n == 75 for r in sample)
+
+
+def test_columns_with_dots_pass_through(spark):
+    docs = spark.createDataFrame([(1, "word " * 80, "en", "s", 400, "kept")], "doc_id long, text string, lang string, source string, n_chars long, `x.y` string")
+    bench = spark.createDataFrame([(1, "some other words entirely")], "item_id long, text string")
+    for out in (secrets.redact(docs), decontaminate.drop_leaking(docs, bench), mixing.mixed_documents(docs), simhash.keep_one_per_group(docs)):
+        assert "x.y" in out.columns and [r["x.y"] for r in out.collect()] == ["kept"]
+    assert "x.y" in quality.keep_good(docs).columns

@@ -132,7 +132,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     (an input column of one of these names gives way)."""
     added = ("size", "source_size", "target", "taken")
     whole = fresh("row")
-    rows = mix(docs.withColumn(whole, F.struct(*[c for c in docs.columns if c not in added])), carry=(whole,), **options)
+    rows = mix(docs.withColumn(whole, F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added])), carry=(whole,), **options)
     return rows.where("taken > 0").select(f"{whole}.*", *added)
 
 

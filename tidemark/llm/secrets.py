@@ -169,7 +169,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span's characters replaced by ``[SECRET]`` (overlapping spans by one)."""
     whole = fresh("row")
-    rows = scan(docs.withColumn(whole, F.struct(*docs.columns)), carry=(whole,))
+    rows = scan(docs.withColumn(whole, F.struct("*")), carry=(whole,))
     text = F.coalesce(F.col(f"{whole}.text").cast("string"), F.lit(""))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
