@@ -18,6 +18,10 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,8 +117,8 @@ def measures(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     df = _repeat_words(df, "words", "n_words")
     # the common words alone, in any spelling, each between two blanks
     vocabulary = _vocabulary()
-    longest = max(map(len, vocabulary))
-    common = F.lower(F.concat_ws("  ", F.filter("words", lambda w: (F.length(w) <= longest) & F.lower(w).isin(vocabulary))))
+    spellings = _spellings(tuple(vocabulary))
+    common = F.lower(F.concat_ws("  ", F.filter("words", lambda w: w.isin(spellings))))
     df = df.withColumn("common", F.concat(F.lit(" "), common, F.lit(" ")))
     df = df.withColumn("h_word", _word_counts(F.col("common"), vocabulary))
     df = df.withColumn("h_word", F.array_append("h_word", F.col("n_words") - F.aggregate(
@@ -147,6 +151,19 @@ def references(measured: DataFrame, min_words: int = MIN_WORDS) -> list[tuple[li
     return [(r.h_class, r.h_word) for r in sorted(rows, key=lambda r: r.ref)]
 
 
+@functools.cache
+def _spellings(vocabulary: tuple[str, ...]) -> list[str]:
+    """Every spelling whose lower case is one of the words: a look-up a word is cheaper than lowering all words of a text."""
+    forms: dict[str, list[str]] = {}
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if c.lower() in _LETTERS:
+            forms.setdefault(c.lower(), []).append(c)
+    return sorted({"".join(p) for w in vocabulary for p in itertools.product(*(forms[c] for c in w))})
+
+
+_LETTERS = {c for ws in COMMON_WORDS.values() for w in ws for c in w}
+
+
 def _vocabulary() -> list[str]:
     return sorted({w for ws in COMMON_WORDS.values() for w in ws})
 
