@@ -192,7 +192,13 @@ def training_documents(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DO
     known = known.select(F.col("doc_id").alias("labelled"), (F.col("toxic") > 0).cast("int").alias("toxic"))
     rows = (docs.select("doc_id", text_or_empty().alias("text"))
             .join(F.broadcast(known), F.col("doc_id") == F.col("labelled")).groupBy("text", "toxic").agg(F.count("*").alias("n")))
-    return rows.orderBy(F.xxhash64("text"), "text", "toxic").limit(limit)
+    rows = cut(rows)
+    if rows.count() <= limit:
+        return rows
+    # an id stands before many texts: those with the smallest hashes stay, and only hashes are ordered
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    first = hashed.select("h").distinct().orderBy("h").limit(limit)
+    return cut(hashed.join(F.broadcast(first), "h", "left_semi").drop("h"))
 
 
 def _candidates(words: set[str]) -> set[str]:
@@ -255,7 +261,7 @@ def fit(sample: DataFrame, terms: dict[str, float]) -> tuple[list[float], float]
 def score_documents(docs: DataFrame, labels: DataFrame, train_documents: int = TRAIN_DOCUMENTS,
                     threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted and matched_clauses of every row."""
-    sample = cut(training_documents(docs, labels, train_documents))
+    sample = training_documents(docs, labels, train_documents)
     terms = learn_terms(sample)
     weights, bias = fit(sample, terms) if terms else ([0.0] * len(FEATURES), -math.inf)
     sent = share(docs.sparkSession, terms)
