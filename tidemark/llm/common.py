@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, scratch_dir
 
 # Word of a text, as Java (and RE2) pattern: a run of anything but ASCII white space.
 WS_CLASS = r"\x20\x09-\x0D"
@@ -32,6 +32,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as Parquet in a scratch folder of the shared location: compressed, and read by column afterwards."""
+    path = f"{scratch_dir(df.sparkSession, purpose)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh(name: str) -> str:
     """A column name that no input column has."""
     return f"{name}_{uuid.uuid4().hex[:8]}"

@@ -25,7 +25,7 @@ import sys
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, keep_where, opaque, read_table, text_or_empty
+from tidemark.llm.common import WS_CHARS, WS_CLASS, fresh, keep_where, opaque, read_table, stored, text_or_empty
 
 MIN_WORDS = 50
 MAX_REPEATED_SHARE = 0.5
@@ -184,10 +184,17 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = (), min_words: int = MIN_WOR
           max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """``measures(docs)`` with class_distance, word_distance, base_failed and kept.
 
-    The corpus is read twice: for the references, then for the verdicts.
+    Without ``carry`` the texts are read once: their measures, some 70 small counts a row, are stored in the scratch
+    folder, and references and verdicts both follow from them (the result has no ``text``). Whole rows to carry
+    would be a second copy of the corpus there, so with ``carry`` the texts are read twice instead, the first time
+    for the histograms alone.
     """
-    refs = references(measures(docs), min_words)
-    df = measures(docs, carry)
+    if carry:
+        df = measures(docs, carry)
+        refs = references(measures(docs), min_words)
+    else:
+        df = stored(measures(docs).drop("text"), "quality")
+        refs = references(df, min_words)
     for h, d, k in (("h_class", "class_distance", 0), ("h_word", "word_distance", 1)):
         df = df.withColumn(f"{h}_share", _shares(h, HISTOGRAMS[h]))
         nearest = (F.array_min(F.array(*[jensen_shannon(F.col(f"{h}_share"), r[k]) for r in refs])) if refs
